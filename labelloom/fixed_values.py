@@ -77,3 +77,15 @@ WORD_CHAR = r"[\p{L}\p{N}_]"
 NOT_WORD_CHAR = r"[^\p{L}\p{N}_]"
 SLOT = r"\{([\p{L}\p{N}_]+)\}"
 FENCE = "```"
+
+# --- fixed values: lines of the generation prompt ------------------------------------
+PROMPT_HEAD = 'Generate {n} diverse, realistic examples for label "{label}".'
+PROMPT_TASK = "Task: {goal}"
+PROMPT_CLASS = "Class definition: {description}"
+PROMPT_LABELS = "All labels: {labels}"
+PROMPT_RULES_DESCRIBED = "Rules: one per line, plain text, no numbering, varied length."
+PROMPT_FOCUS = 'Focus on boundary cases — clearly "{label}", NOT: {others}'
+PROMPT_RULES_PLAIN = (
+    'Rules: one per line, plain text, no numbering, varied length, clearly belongs to "{label}".'
+)
+PROMPT_TAIL = "Output exactly {n} lines:"
