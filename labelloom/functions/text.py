@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,9 +11,18 @@ from .. import fixed_values as fv
 from .draws import draw, pick, pick_index, pick_literal, unit
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A lambda evaluates everything it mentions for each element, so values from outside
+    are bound first.
+    """
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Split on runs of white space, no empty words."""
-    return F.filter(F.split(text, fv.SPACE + "+"), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(text, fv.SPACE + "+"), "")
 
 
 def strip(text: Column) -> Column:
@@ -36,19 +47,21 @@ def fill_slots(text: Column, slots: Column, seed, key: Column, name: str = "slot
     ``slots`` is MAP<STRING, ARRAY<STRING>>; unknown words and empty lists stay as they are.
     """
     parts = F.split(text, fv.SLOT, -1)
-    names = F.regexp_extract_all(text, F.lit(fv.SLOT), 1)
 
-    def piece(part: Column, i: Column) -> Column:
-        slot = F.get(names, i)
-        number = draw(seed, key, F.concat(F.lit(name + "#"), i.cast("string")))
-        chosen = F.coalesce(
-            pick(F.element_at(slots, slot), number),
-            F.concat(F.lit("{"), slot, F.lit("}")),
-        )
-        return F.concat(part, F.coalesce(chosen, F.lit("")))
+    def filled(names: Column) -> Column:
+        def piece(part: Column, i: Column) -> Column:
+            number = draw(seed, key, F.concat(F.lit(name + "#"), i.cast("string")))
 
-    filled = F.array_join(F.transform(parts, piece), "")
-    return F.when(text.rlike(fv.SLOT) & slots.isNotNull(), filled).otherwise(text)
+            def value(slot: Column) -> Column:
+                chosen = pick(F.element_at(slots, slot), number)
+                return F.coalesce(chosen, F.concat(F.lit("{"), slot, F.lit("}")))
+
+            return F.concat(part, F.coalesce(let(F.get(names, i), value), F.lit("")))
+
+        return F.array_join(F.transform(parts, piece), "")
+
+    names = F.regexp_extract_all(text, F.lit(fv.SLOT), 1)
+    return F.when(text.rlike(fv.SLOT) & slots.isNotNull(), let(names, filled)).otherwise(text)
 
 
 # --- rewrites ---------------------------------------------------------------
@@ -85,35 +98,53 @@ def abbreviate(text: Column, abbreviations: Column, seed, key: Column, name: str
     """Each word found in the map is replaced with probability 0.05."""
 
     def one(word: Column, i: Column) -> Column:
-        options = F.element_at(abbreviations, F.lower(word))
         index = i.cast("string")
         hit = unit(seed, key, F.concat(F.lit(name + "#"), index)) < F.lit(fv.ABBREVIATE_PROB)
-        chosen = pick(options, draw(seed, key, F.concat(F.lit(name + "_pick#"), index)))
-        return F.coalesce(F.when((F.size(options) > 0) & hit, chosen), word)
+        number = draw(seed, key, F.concat(F.lit(name + "_pick#"), index))
+        chosen = pick(F.element_at(abbreviations, F.lower(word)), number)
+        known = F.map_contains_key(abbreviations, F.lower(word))
+        return F.when(known & hit, F.coalesce(chosen, word)).otherwise(word)
 
     return F.array_join(F.transform(words(text), one), " ")
 
 
 def typo(text: Column, seed, key: Column, name: str = "typo") -> Column:
     """Swap one adjacent pair of characters in one word of at least four."""
-    ws = words(text)
-    candidates = F.filter(
-        F.transform(ws, lambda w, i: F.when(F.length(w) >= 4, i)), lambda i: i.isNotNull()
-    )
-    target = F.get(candidates, pick_index(draw(seed, key, name + "_word"), F.size(candidates)))
-    number = draw(seed, key, name + "_pos")
-
-    def swap(word: Column, i: Column) -> Column:
-        pos = pick_index(number, F.length(word) - 1)
-        swapped = F.concat(
-            F.substr(word, F.lit(1), pos),
-            F.substr(word, pos + 2, F.lit(1)),
-            F.substr(word, pos + 1, F.lit(1)),
-            F.substr(word, pos + 3),
+
+    def swapped(word: Column) -> Column:
+        pos = pick_index(draw(seed, key, name + "_pos"), F.length(word) - 1)
+        return let(
+            pos,
+            lambda p: F.concat(
+                F.substr(word, F.lit(1), p),
+                F.substr(word, p + 2, F.lit(1)),
+                F.substr(word, p + 1, F.lit(1)),
+                F.substr(word, p + 3),
+            ),
         )
-        return F.when(i == target, swapped).otherwise(word)
 
-    return F.when(target.isNull(), text).otherwise(F.array_join(F.transform(ws, swap), " "))
+    def changed(ws: Column) -> Column:
+        long_words = F.filter(
+            F.transform(ws, lambda w, i: F.when(F.length(w) >= 4, i)), lambda i: i.isNotNull()
+        )
+        target = let(
+            long_words, lambda c: F.get(c, pick_index(draw(seed, key, name + "_word"), F.size(c)))
+        )
+        return let(
+            target,
+            lambda t: F.when(t.isNull(), text).otherwise(
+                F.array_join(
+                    F.concat(
+                        F.slice(ws, F.lit(1), t),
+                        F.array(let(F.get(ws, t), swapped)),
+                        F.slice(ws, t + 2, F.size(ws)),
+                    ),
+                    " ",
+                )
+            ),
+        )
+
+    return let(words(text), changed)
 
 
 def filler_insert(text: Column, filler: Column, seed, key: Column, name: str = "insert") -> Column:
@@ -141,50 +172,64 @@ def reply_lines(text: Column) -> Column:
 
 def strip_fence(text: Column) -> Column:
     """Body of a fenced reply; other replies are only stripped."""
+
+    def body(rest: Column) -> Column:
+        end = F.array_position(F.transform(rest, strip), fv.FENCE).cast("int")
+        inner = let(
+            end, lambda e: F.when(e > 0, F.slice(rest, F.lit(1), F.greatest(e - 1, F.lit(0)))).otherwise(rest)
+        )
+        return F.array_join(inner, "\n")
+
     raw = strip(text)
     lines = F.split(raw, fv.LINE_BREAK)
     rest = F.slice(lines, F.lit(2), F.size(lines))
-    end = F.array_position(F.transform(rest, strip), fv.FENCE).cast("int")
-    body = F.when(end > 0, F.slice(rest, F.lit(1), F.greatest(end - 1, F.lit(0)))).otherwise(rest)
-    return F.when(F.startswith(raw, F.lit(fv.FENCE)), F.array_join(body, "\n")).otherwise(raw)
+    return F.when(F.startswith(raw, F.lit(fv.FENCE)), let(rest, body)).otherwise(raw)
 
 
 # --- encoding -------------------------------------------------------------------
 
 
-def byte_hex(text: Column, max_bytes: int = fv.MAX_BYTES) -> Column:
-    """Upper-case hex of the first ``max_bytes`` UTF-8 bytes."""
-    return F.hex(F.substring(F.encode(text, "UTF-8"), 1, max_bytes))
+def byte_values(text: Column, max_bytes: int = fv.MAX_BYTES) -> Column:
+    """ARRAY<BIGINT> of the first ``max_bytes`` UTF-8 bytes."""
+    one_char_per_byte = F.decode(F.substring(F.encode(text, "UTF-8"), 1, max_bytes), "ISO-8859-1")
+    chars = F.array_remove(F.split(one_char_per_byte, ""), "")
+    return F.transform(chars, lambda c: F.ascii(c).cast("bigint"))
 
 
 def byte_encode(text: Column, max_bytes: int = fv.MAX_BYTES) -> Column:
     """ARRAY<INT> of ``max_bytes`` byte values, zero padded."""
-    coded = byte_hex(text, max_bytes)
 
-    def value(i: Column) -> Column:
-        pair = F.substr(coded, i * 2 + 1, F.lit(2))
-        return F.when(i * 2 < F.length(coded), F.conv(pair, 16, 10).cast("int")).otherwise(F.lit(0))
+    def padded(values: Column) -> Column:
+        return F.concat(values, F.array_repeat(F.lit(0), F.lit(max_bytes) - F.size(values)))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(max_bytes - 1)), value)
+    return let(byte_values(text, max_bytes).cast("array<int>"), padded)
 
 
-def byte_ngrams(text: Column, n: int, max_bytes: int = fv.MAX_BYTES) -> Column:
-    """Distinct byte n-grams of the encoded text, as hex strings."""
-    coded = byte_hex(text, max_bytes)
-    last = (F.length(coded) / 2).cast("int") - n
-    grams = F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.substr(coded, i * 2 + 1, F.lit(2 * n)),
-    )
-    return F.when(last < 0, F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
+def ngram_buckets(
+    text: Column, sizes: list[int] | None = None, buckets: int = 65_536, max_bytes: int = fv.MAX_BYTES
+) -> Column:
+    """Distinct hash buckets (ARRAY<BIGINT>) of the byte n-grams that occur.
 
+    An n-gram is the big-endian number of its bytes (at most 6 bytes), its bucket that
+    number modulo ``buckets``; the i-th size uses the range starting at ``i * buckets``.
+    """
+    sizes = list(sizes or fv.NGRAM_SIZES)
+
+    def grow(values: Column, data: Column, length: int, parts: list[Column]) -> Column:
+        """``values`` are the numbers of the n-grams of ``length``; collect the sizes on the way."""
+        if length in sizes:
+            base = sizes.index(length) * buckets
+            parts = [*parts, F.transform(values, lambda v: v % buckets + base)]
+        if length == max(sizes):
+            return F.array_distinct(F.concat(*parts))
+        longer = F.zip_with(
+            F.slice(values, F.lit(1), F.greatest(F.size(values) - 1, F.lit(0))),
+            F.slice(data, F.lit(length + 1), F.size(data)),
+            lambda v, byte: v * 256 + byte,
+        )
+        return let(longer, lambda wider: grow(wider, data, length + 1, parts))
 
-def byte_ngram_buckets(text: Column, n: int, buckets: int, max_bytes: int = fv.MAX_BYTES) -> Column:
-    """Distinct hash buckets (BIGINT) of the byte n-grams; n <= 6 fits 48 bits."""
-    hashed = F.transform(
-        byte_ngrams(text, n, max_bytes), lambda g: F.pmod(F.conv(g, 16, 10).cast("bigint"), F.lit(buckets))
-    )
-    return F.array_distinct(hashed)
+    return let(byte_values(text, max_bytes), lambda data: grow(data, data, 1, []))
 
 
 # --- score arrays -----------------------------------------------------------------
@@ -196,12 +241,18 @@ def argmax(scores: Column) -> Column:
 
 
 def softmax(scores: Column) -> Column:
-    top = F.array_max(scores)
-    weights = F.transform(scores, lambda x: F.exp(x - top))
-    total = F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(weights, lambda x: x / total)
+    def weights(top: Column) -> Column:
+        return F.transform(scores, lambda x: F.exp(x - top))
+
+    def shares(values: Column) -> Column:
+        total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+        return let(total, lambda t: F.transform(values, lambda x: x / t))
+
+    return let(let(F.array_max(scores), weights), shares)
 
 
 def log_sum_exp(scores: Column) -> Column:
-    top = F.array_max(scores)
-    return top + F.log(F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + F.exp(x - top)))
+    def from_top(top: Column) -> Column:
+        return top + F.log(F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + F.exp(x - top)))
+
+    return let(F.array_max(scores), from_top)

@@ -9,32 +9,17 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.text import argmax, byte_ngram_buckets, byte_ngrams, softmax
+from ..functions.text import argmax, ngram_buckets, softmax
 from .datasets import encode_labels
 from .evaluate import log_loss
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def ngram_features(
-    text: Column, sizes: list[int] | None = None, buckets: int = 65_536, max_bytes: int = fv.MAX_BYTES
-) -> Column:
-    """ARRAY<BIGINT> of present features; each n-gram size has its own range of buckets."""
-    parts = [
-        _shift(byte_ngram_buckets(text, n, buckets, max_bytes), i * buckets)
-        for i, n in enumerate(sizes or fv.NGRAM_SIZES)
-    ]
-    return F.concat(*parts)
-
-
-def _shift(values: Column, base: int) -> Column:
-    return F.transform(values, lambda v: v + F.lit(base)) if base else values
-
-
 # --- scores to labels --------------------------------------------------------------------
 
 
@@ -73,7 +58,7 @@ class NaiveBayes:
 
     def scores(self, df: DataFrame, key: str = "record_id") -> DataFrame:
         """Add ``scores``: ARRAY<DOUBLE> of log likelihood plus log prior, in class order."""
-        feats = df.select(key, ngram_features(F.col("text"), self.sizes, self.buckets, self.max_bytes).alias("f"))
+        feats = df.select(key, ngram_buckets(F.col("text"), self.sizes, self.buckets, self.max_bytes).alias("f"))
         flat = feats.select(key, F.size("f").alias("n_feats"), F.explode_outer("f").alias("bucket"))
         hit = flat.join(self._counts(), "bucket", "left")
         total = sum(self.rows)
@@ -107,7 +92,7 @@ def train_naive_bayes(
     """Counts of present features per class, add-one smoothing over all buckets."""
     sizes = list(sizes or fv.NGRAM_SIZES)
     feats = df.filter(F.col("label").isin(*classes)).select(
-        "label", ngram_features(F.col("text"), sizes, buckets, max_bytes).alias("f")
+        "label", ngram_buckets(F.col("text"), sizes, buckets, max_bytes).alias("f")
     )
     per_class = {
         r["label"]: r
@@ -149,7 +134,7 @@ class Logistic:
 
 
 def _vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataFrame:
-    grams = F.concat(*[byte_ngrams(F.col("text"), n) for n in sizes])
+    grams = ngram_buckets(F.col("text"), sizes, num_features)
     tf = HashingTF(inputCol="__grams", outputCol="features", numFeatures=num_features, binary=True)
     return tf.transform(df.withColumn("__grams", grams))
 

@@ -19,6 +19,7 @@ from ..functions.text import (
     filler_insert,
     filler_prefix,
     first_words,
+    let,
     replace_marker,
     to_formal,
     to_passive,
@@ -56,7 +57,7 @@ def with_language(df: DataFrame, catalog: Catalog, seed: int = 42) -> DataFrame:
         __langs="langs", __edges="edges", __first="first_lang", __others="others",
     )
     x = unit(seed, F.col(KEY), "lang") * F.element_at("__edges", -1)
-    place = F.size(F.filter("__edges", lambda edge: edge <= x))
+    place = let(x, lambda at: F.size(F.filter("__edges", lambda edge: edge <= at)))
     lang = F.coalesce(F.get("__langs", place), F.col("__first"))
     return joined.withColumn("lang", F.when(F.size("__langs") > 0, lang).otherwise(F.col("__first"))).drop(
         "__langs", "__edges", "__first"
