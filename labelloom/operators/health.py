@@ -19,6 +19,7 @@ def _trusted(up: Column, unknown: str) -> Column:
 
 def backend_status(health: DataFrame, now: Column, ttl_s: int = 60, unknown: str = "up") -> DataFrame:
     """Latest check per backend: ``checked_at``, ``fresh`` (within the TTL), ``up`` and ``status``."""
+    health = health.withColumn("checked_at", F.col("checked_at").cast("timestamp"))
     past = health.filter(F.col("checked_at") <= now)
     latest = past.groupBy("backend").agg(F.max(F.struct("checked_at", "up")).alias("last"))
     fresh = F.col("last.checked_at") >= now - F.expr(f"interval {int(ttl_s)} seconds")
@@ -93,10 +94,10 @@ def health_asof(
     """
     width = int(ttl_s) * 1_000_000
     micros = F.unix_micros("__ts")
-    asked = requests.select(*keys, "backend", F.col("ts").alias("__ts"))
+    asked = requests.select(*keys, "backend", F.col("ts").cast("timestamp").alias("__ts"))
     asked = asked.withColumn("__block", F.floor(micros / width))
     checks = (
-        health.groupBy("backend", F.col("checked_at").alias("__ts"))
+        health.groupBy("backend", F.col("checked_at").cast("timestamp").alias("__ts"))
         .agg(F.bool_or("up").alias("up"))
         .withColumn("__block", F.floor(micros / width))
     )

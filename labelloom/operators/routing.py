@@ -1,6 +1,6 @@
 """Request routing: an ordered list of steps, the first match wins.
 
-A step turns the text into STRUCT<label, confidence, text>, or NULL for no match. All
+A step turns the text into STRUCT<label, confidence, text, method>, or NULL for no match. All
 native steps of a route form one projection; nothing is shuffled and no Python runs.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.text import strip, token_count
+from ..functions.text import let, token_count
 from .datasets import remap_labels
 
 Matcher = Callable[[Column], Column]
@@ -30,10 +30,15 @@ class Step:
     label_map: DataFrame | None = None
 
 
-def _found(label, text: Column, confidence=1.0) -> Column:
+def _found(method: str, label, text: Column, confidence=1.0) -> Column:
     label = label if isinstance(label, Column) else F.lit(label)
     confidence = confidence if isinstance(confidence, Column) else F.lit(float(confidence))
-    return F.struct(label.alias("label"), confidence.cast("double").alias("confidence"), text.alias("text"))
+    return F.struct(
+        label.alias("label"),
+        confidence.cast("double").alias("confidence"),
+        text.alias("text"),
+        F.lit(method).alias("method"),
+    )
 
 
 def _first(cases: list[tuple[Column, Column]]) -> Column:
@@ -61,6 +66,10 @@ def word_pattern(words: list[str]) -> str:
     return "|".join(bounded(w) for w in words)
 
 
+def substring_pattern(words: list[str]) -> str:
+    return "|".join(literal_pattern(w) for w in words)
+
+
 def prefix(rules: list[tuple[str, str]], strip_prefix: bool = True) -> Step:
     """Rules (prefix, label) in order; the prefix and the white space after it are removed."""
 
@@ -70,7 +79,7 @@ def prefix(rules: list[tuple[str, str]], strip_prefix: bool = True) -> Step:
                 return text
             return F.regexp_replace(F.substr(text, F.lit(len(p) + 1)), rf"^{fv.SPACE}+", "")
 
-        return _first([(F.startswith(text, F.lit(p)), _found(label, rest(p))) for p, label in rules])
+        return _first([(F.startswith(text, F.lit(p)), _found("prefix", label, rest(p))) for p, label in rules])
 
     return Step("prefix", match)
 
@@ -82,7 +91,7 @@ def code_block(label: str = "code") -> Step:
         opened = F.instr(text, fv.FENCE)
         fenced = (opened > 0) & (F.position(F.lit(fv.FENCE), text, opened + len(fv.FENCE)) > 0)
         indented = text.rlike(r"(?:^|\n) {4}[^\n]*\n {4}")
-        return _first([(fenced | indented, _found(label, text))])
+        return _first([(fenced | indented, _found("code_block", label, text))])
 
     return Step("code_block", match)
 
@@ -93,7 +102,7 @@ def question(label: str = "chat") -> Step:
     def match(text: Column) -> Column:
         ends = text.rlike(rf"\?{fv.SPACE}*\z")
         opens = text.rlike(rf"(?i)^(?:{words})(?:{fv.NOT_WORD_CHAR}|\z)")
-        return _first([(ends | opens, _found(label, text))])
+        return _first([(ends | opens, _found("question", label, text))])
 
     return Step("question", match)
 
@@ -102,7 +111,7 @@ def regex(rules: list[tuple[str, str]]) -> Step:
     """Rules (pattern, label) in order, searched in the whole text; flags go inside the pattern."""
 
     def match(text: Column) -> Column:
-        return _first([(text.rlike(pattern), _found(label, text)) for pattern, label in rules])
+        return _first([(text.rlike(pattern), _found("regex", label, text)) for pattern, label in rules])
 
     return Step("regex", match)
 
@@ -118,20 +127,20 @@ def keyword(
         raise ValueError(f"keyword step: match={match}, match_mode={match_mode}")
 
     def hit(text: Column, words: list[str]) -> Column:
-        if match_mode == "substring":
-            hay = text if case_sensitive else F.lower(text)
-            tests = [F.contains(hay, F.lit(w if case_sensitive else w.lower())) for w in words]
+        if match_mode == "substring" and case_sensitive:
+            tests = [F.contains(text, F.lit(w)) for w in words]
         else:
             flags = "" if case_sensitive else "(?iu)"
             groups = [words] if match == "any" else [[w] for w in words]
-            tests = [text.rlike(flags + word_pattern(g)) for g in groups]
+            pattern = word_pattern if match_mode == "word" else substring_pattern
+            tests = [text.rlike(flags + pattern(g)) for g in groups]
         out = tests[0]
         for test in tests[1:]:
             out = (out | test) if match == "any" else (out & test)
         return out
 
     def matcher(text: Column) -> Column:
-        return _first([(hit(text, words), _found(label, text)) for words, label in rules])
+        return _first([(hit(text, words), _found("keyword", label, text)) for words, label in rules])
 
     return Step("keyword", matcher)
 
@@ -166,9 +175,9 @@ def language(
             confidence = ascii_share(text)
             english = confidence >= F.lit(min_confidence)
             foreign = confidence < F.lit(min_confidence)
-        cases = [(foreign, _found(non_english_label, text, confidence))]
+        cases = [(foreign, _found("language", non_english_label, text, confidence))]
         if english_label is not None:
-            cases.append((english, _found(english_label, text, confidence)))
+            cases.append((english, _found("language", english_label, text, confidence)))
         return _first(cases)
 
     return Step("language", match)
@@ -190,18 +199,25 @@ def length(rules: list[dict], unit: str = "chars") -> Step:
                 cond = cond & (n <= rule["max"])
             return cond
 
-        return _first([(within(rule), _found(rule["label"], text)) for rule in rules])
+        return _first([(within(rule), _found("length", rule["label"], text)) for rule in rules])
 
     return Step("length", match)
 
 
 def always(label: str = "default") -> Step:
-    return Step("always", lambda text: _found(label, text))
+    return Step("always", lambda text: _found("always", label, text))
 
 
 def custom(method: str, match: Matcher) -> Step:
     """A method of the user's own: text column -> struct(label, confidence, text) or NULL."""
-    return Step(method, match)
+    def matcher(text: Column) -> Column:
+        def named(found: Column) -> Column:
+            own = _found(method, found["label"], found["text"], found["confidence"])
+            return F.when(found.isNotNull(), own)
+
+        return let(match(text), named)
+
+    return Step(method, matcher)
 
 
 def classifier(
@@ -221,16 +237,7 @@ DECISION = "struct<label:string,confidence:double,text:string,method:string>"
 
 def _decide(steps: list[Step], text: Column) -> Column:
     """Decision of the first matching native step (NULL if none)."""
-    tries = []
-    for step in steps:
-        found = step.match(text)
-        tries.append(
-            F.when(
-                found.isNotNull(),
-                F.struct(found["label"].alias("label"), found["confidence"].alias("confidence"),
-                         found["text"].alias("text"), F.lit(step.method).alias("method")),
-            )
-        )
+    tries = [step.match(text) for step in steps]
     return F.coalesce(*tries) if tries else F.lit(None).cast(DECISION)
 
 
@@ -275,8 +282,7 @@ def _route_scored(df: DataFrame, step: Step, later: list[Step]) -> DataFrame:
         scored = remap_labels(scored, step.label_map)
     own = F.when(
         F.col("label").isNotNull(),
-        F.struct("label", F.col("confidence").cast("double").alias("confidence"), "text",
-                 F.lit(step.method).alias("method")),
+        _found(step.method, F.col("label"), F.col("text"), F.col("confidence")),
     )
     if any(s.score is not None for s in later):
         matched = _spread(scored.filter(F.col("label").isNotNull()).withColumn("__decision", own))
@@ -288,29 +294,28 @@ def _route_scored(df: DataFrame, step: Step, later: list[Step]) -> DataFrame:
 
 def explain(df: DataFrame, steps: list[Step], key: str = "request_id") -> DataFrame:
     """One row per request and native step: did it match, with which label, was it reached."""
-    text = F.col("text")
-    traced = df.select(
-        key,
-        F.array(
-            *[
-                F.struct(F.lit(s.method).alias("method"), s.match(text)["label"].alias("label"))
-                for s in steps
-            ]
-        ).alias("__trace"),
-    )
-    hits = F.transform("__trace", lambda t: t["label"].isNotNull())
-    rows = traced.withColumn("__first", F.array_position(hits, True)).select(
-        key, "__first", F.posexplode("__trace").alias("step", "t")
-    )
-    return rows.select(
-        key,
-        "step",
-        F.col("t.method").alias("method"),
-        F.col("t.label").isNotNull().alias("matched"),
-        F.col("t.label").alias("label"),
-        ((F.col("__first") == 0) | (F.col("step") < F.col("__first"))).alias("reached"),
+    tries = F.array(
+        *[F.struct(F.lit(s.method).alias("method"), s.match(F.col("text"))["label"].alias("label")) for s in steps]
     )
 
+    def traced(trace: Column) -> Column:
+        first = F.array_position(F.transform(trace, lambda t: t["label"].isNotNull()), True)
+        return let(
+            first,
+            lambda at: F.transform(
+                trace,
+                lambda t, i: F.struct(
+                    i.alias("step"),
+                    t["method"].alias("method"),
+                    t["label"].isNotNull().alias("matched"),
+                    t["label"].alias("label"),
+                    ((at == 0) | (i < at)).alias("reached"),
+                ),
+            ),
+        )
+
+    return df.select(key, F.explode(let(tries, traced)).alias("t")).select(key, "t.*")
+
 
 def decision_mix(decisions: DataFrame) -> DataFrame:
     """Rows, share and fallback rate per method and label."""
@@ -332,5 +337,5 @@ def decision_mix(decisions: DataFrame) -> DataFrame:
 
 __all__ = [
     "Step", "always", "ascii_share", "classifier", "code_block", "custom", "decision_mix", "explain",
-    "keyword", "language", "length", "prefix", "question", "regex", "route", "strip",
+    "keyword", "language", "length", "prefix", "question", "regex", "route",
 ]
