@@ -73,7 +73,7 @@ def with_pools(df: DataFrame, catalog: Catalog) -> DataFrame:
         "n_any": "n_any", "fragment_at": "fragment_at", "n_fragment": "n_fragment",
         "implicit_at": "implicit_at", "n_implicit": "n_implicit", "n_situations": "n_situations",
         "n_wrappers": "n_wrappers", "n_bridges": "n_bridges", "n_fillers": "n_fillers",
-        "slots": "slots", "abbreviations": "abbreviations",
+        "slots": "slots",
     }
     return _lookup(
         df, catalog.dims, {"label": "label", "lang": "lang"}, **{"__" + k: v for k, v in sizes.items()}
@@ -191,14 +191,14 @@ def with_noise(df: DataFrame, catalog: Catalog, seed: int = 42) -> DataFrame:
     """Add ``noised``; noisy rows get a typo, abbreviations or a filler word."""
     key, text = F.col(KEY), F.col("text")
     df = _with_filler(df, catalog, seed, "noise_filler")
-    has_abbr = F.coalesce(F.size("__abbreviations") > 0, F.lit(False))
+    abbreviations = catalog.abbreviation_map
     has_filler = F.coalesce("__n_fillers", F.lit(0)) > 0
-    way = pick_index(draw(seed, key, "noise"), F.lit(1) + has_abbr.cast("int") + has_filler.cast("int"))
-    noisy = (
-        F.when(way == 0, typo(text, seed, key))
-        .when((way == 1) & has_abbr, abbreviate(text, F.col("__abbreviations"), seed, key))
-        .otherwise(filler_insert(text, F.col("__filler"), seed, key))
-    )
+    ways = F.lit(1 if abbreviations is None else 2) + has_filler.cast("int")
+    way = pick_index(draw(seed, key, "noise"), ways)
+    noisy = F.when(way == 0, typo(text, seed, key))
+    if abbreviations is not None:
+        noisy = noisy.when(way == 1, abbreviate(text, abbreviations, seed, key))
+    noisy = noisy.otherwise(filler_insert(text, F.col("__filler"), seed, key))
     df = df.withColumn("noised", unit(seed, key, "noise_use") < F.lit(fv.NOISE_PROB))
     return df.withColumn("text", F.when(F.col("noised"), noisy).otherwise(text)).drop("__filler")
 
@@ -234,7 +234,7 @@ def augment(
     df: DataFrame, catalog: Catalog, seed: int = 42, transform: bool = True, noise: bool = True
 ) -> DataFrame:
     """Transforms and noise for a table of (``record_id``, ``text``, ``label``, ``lang``, ...)."""
-    out = with_pools(df, catalog)
+    out = _lookup(df, catalog.filler_counts, {"lang": "lang"}, __n_fillers="n_fillers")
     if transform:
         out = with_transform(out, catalog, seed)
     if noise:

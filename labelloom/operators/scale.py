@@ -32,6 +32,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores over all of them.
+
+    Meant for work that is heavy per row; ``df`` must come straight from a scan. A large
+    table has more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _renamed(df: DataFrame, keys: list[str], prefix: str = "__k_") -> DataFrame:
     return df.withColumnsRenamed({k: prefix + k for k in keys})
 

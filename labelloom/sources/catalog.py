@@ -8,7 +8,7 @@ broadcast after a size check.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,22 +34,39 @@ def _size(col: Column) -> Column:
     return F.greatest(F.coalesce(F.size(col), F.lit(0)), F.lit(0))
 
 
-@dataclass(frozen=True)
+MAX_ABBREVIATIONS = 10_000
+
+
 class Catalog:
-    """``dims`` has one row per (label, lang): pool sizes, slot lists, abbreviations.
-    ``classes`` has one row per label: languages with weights, and the other labels."""
-
-    raw: DataFrame
-    classes: DataFrame
-    dims: DataFrame
-    templates: DataFrame
-    slots: DataFrame
-    situations: DataFrame
-    wrappers: DataFrame
-    signals: DataFrame
-    bridges: DataFrame
-    fillers: DataFrame
-    abbreviations: DataFrame
+    """The tables of one catalogue, each computed on first use and then kept.
+
+    ``classes`` has one row per label: languages with cumulative weights, the other labels.
+    ``dims`` has one row per (label, lang): pool sizes and slot lists. ``templates``,
+    ``situations``, ``wrappers``, ``bridges`` and ``fillers`` hold one text per row with its
+    position; ``slots``, ``signals`` and ``abbreviations`` the remaining lists.
+    """
+
+    def __init__(self, raw: DataFrame, tables: dict[str, DataFrame]):
+        self.raw = raw
+        self._tables = tables
+        self._kept: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        tables = self.__dict__.get("_tables", {})
+        if name not in tables:
+            raise AttributeError(name)
+        if name not in self._kept:
+            self._kept[name] = checked_broadcast(tables[name])
+        return self._kept[name]
+
+    @cached_property
+    def abbreviation_map(self) -> Column | None:
+        """MAP<STRING, ARRAY<STRING>> literal of the abbreviation list, None when it is empty."""
+        rows = self._tables["abbreviations"].limit(MAX_ABBREVIATIONS + 1).collect()
+        if len(rows) > MAX_ABBREVIATIONS:
+            raise ValueError(f"more than {MAX_ABBREVIATIONS} abbreviations")
+        pairs = [x for r in rows if r["alternatives"] for x in (F.lit(r["word"]), F.lit(list(r["alternatives"])))]
+        return F.create_map(*pairs) if pairs else None
 
 
 def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
@@ -166,7 +183,6 @@ def build_catalog(raw: DataFrame, languages: list[str] | None = None) -> Catalog
                 for name, source in pools.items()
             ],
             F.transform_values(_object(cls["slot_lists"]), lambda _, v: _list(v)).alias("slots"),
-            F.transform_values(_object(noise["abbreviations"]), lambda _, v: _list(v)).alias("abbreviations"),
         )
     )
 
@@ -196,12 +212,15 @@ def build_catalog(raw: DataFrame, languages: list[str] | None = None) -> Catalog
             F.explode(_list(_object(F.col("body"))["key_signals"])).alias("signal"),
         ),
         "bridges": _pool(one.select(F.explode(_object(top["compound_bridges"])).alias("lang", "list")), ["lang"]),
+        "filler_counts": one.select(F.explode(_object(noise["filler_words"])).alias("lang", "list")).select(
+            "lang", _size(_list(F.col("list"))).alias("n_fillers")
+        ),
         "fillers": _pool(one.select(F.explode(_object(noise["filler_words"])).alias("lang", "list")), ["lang"]),
         "abbreviations": one.select(F.explode(_object(noise["abbreviations"])).alias("word", "list")).select(
             "word", _list(F.col("list")).alias("alternatives")
         ),
     }
-    return Catalog(raw=raw, **{name: checked_broadcast(table) for name, table in tables.items()})
+    return Catalog(raw, tables)
 
 
 # --- summary and validation -------------------------------------------------------------

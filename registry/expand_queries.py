@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import functions as F
 
 from labelloom.functions.draws import draw
 from labelloom.operators import expand as ex
+from labelloom.operators.scale import spread_scan
 from labelloom.sources import catalog as cl
 
 from .demo_catalog import DEMO, LANGUAGES
@@ -18,18 +19,19 @@ from .kit import (
     SLOT,
     quote,
     records,
+    spread,
     sql_draw,
     sql_pick,
     sql_unit,
     sql_weighted,
     sql_words,
-    table,
     values,
 )
 
 TYPES = [("A", 0.25), ("B", 0.20), ("C", 0.20), ("D", 0.15), ("E", 0.10), ("F", 0.10)]
 
 
+@lru_cache(maxsize=2)
 def _catalog(spark):
     return cl.catalog_from_dict(spark, DEMO, LANGUAGES)
 
@@ -38,7 +40,8 @@ def seeds(spark, sf_dir):
     """One seed row per order; the class is drawn."""
     names = F.array(*[F.lit(c) for c in CLASSES])
     label = F.element_at(names, (draw(SEED, F.col("o_orderkey"), "label") % 3 + 1).cast("int"))
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), label.alias("label"))
+    orders = spread(spark, sf_dir, "orders", "o_orderkey")
+    return orders.select(F.col("o_orderkey").alias("record_id"), label.alias("label"))
 
 
 def _typed(kind):
@@ -61,13 +64,13 @@ def expand_dataset(spark, sf_dir):
 
 
 def _augmented(spark, sf_dir, **steps):
-    rows = records(spark, sf_dir).drop("source")
+    rows = spread_scan(records(spark, sf_dir).drop("source"))
     return ex.augment(rows, _catalog(spark), SEED, **steps)
 
 
 def _catalogs(spark, sf_dir):
     """One catalogue per document, built from its words; some parts are left out by doc_id."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     kind = F.col("doc_id") % 4
     lines = F.split("text", "\n")
     registers = F.map_from_arrays(F.array(F.lit("imperative"), F.lit("fragment")), F.array(lines, F.array("source")))

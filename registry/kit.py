@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from labelloom import fixed_values as fv
 from labelloom.functions.draws import draw, pick_index
+from labelloom.operators.scale import spread_scan
 
 SEED = 42
 SPACE, LINE_BREAK, SLOT = fv.SPACE, fv.LINE_BREAK, fv.SLOT
@@ -18,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Like ``table``, for queries that work hard on every row."""
+    df = table(spark, sf_dir, name)
+    return spread_scan(df.select(*columns) if columns else df)
+
+
 # --- SQL text helpers -----------------------------------------------------------------
 
 
@@ -73,7 +80,7 @@ def sql_weighted(pairs: list[tuple[str, float]], u: str) -> str:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     text, kind = F.col("text"), F.col("doc_id") % 8
     nl = F.lit("\n")
     decorated = (

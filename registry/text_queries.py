@@ -22,6 +22,7 @@ from .kit import (
     sql_strip,
     sql_unit,
     sql_words,
+    spread,
     table,
 )
 
@@ -48,7 +49,7 @@ def _on_docs(make):
     """Query: doc_id and ``out`` = make(text, key) for every document."""
 
     def run(spark, sf_dir) -> DataFrame:
-        docs = table(spark, sf_dir, "documents")
+        docs = spread(spark, sf_dir, "documents")
         return docs.select(KEY, make(F.col("text"), F.col(KEY)).alias("out"))
 
     return run
@@ -59,7 +60,7 @@ def _sql_on_docs(expr: str) -> str:
 
 
 def slot_fill(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     text = F.concat(F.lit("{greet} "), "text", F.lit(" {topic} {nothing}{empty}"))
     return docs.select(KEY, tx.fill_slots(text, _slots(), SEED, F.col(KEY)).alias("out"))
 
@@ -83,14 +84,14 @@ FROM s
 
 
 def filler_prefix(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     filler = pick_literal(FILLERS, draw(SEED, F.col(KEY), "prefix_filler"))
     filler = F.when(F.col("lang") == "en", filler)  # other languages have no fillers here
     return docs.select(KEY, tx.filler_prefix(F.col("text"), filler).alias("out"))
 
 
 def filler_insert(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     filler = pick_literal(FILLERS, draw(SEED, F.col(KEY), "noise_filler"))
     filler = F.when(F.col("lang") == "en", filler)
     return docs.select(KEY, tx.filler_insert(F.col("text"), filler, SEED, F.col(KEY)).alias("out"))
@@ -139,7 +140,7 @@ FROM w
 
 def _replies(spark, sf_dir):
     """Whole documents as model replies: numbered, dashed, plain and blank lines."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     reply = F.concat(F.lit("1. "), "text", F.lit("\n\n- "), "text", F.lit("\r\n12. * "), "source", F.lit("\n  \n* 3. "), "lang")
     return docs.select("doc_id", "source", "lang", reply.alias("reply"))
 
@@ -168,7 +169,7 @@ SELECT doc_id, CAST(generate_subscripts(lines, 1) - 1 AS BIGINT) AS line_no, unn
 
 
 def strip_fence(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     kind = F.col("doc_id") % 3
     text = (
         F.when(kind == 0, F.concat(F.lit(" ```json\n"), "text", F.lit("\n ``` \nafter")))
@@ -192,7 +193,7 @@ SELECT doc_id, CASE WHEN starts_with(raw, '```')
 
 
 def byte_encode(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     return docs.select("doc_id", F.array_join(tx.byte_encode(F.col("text")).cast("array<string>"), " ").alias("out"))
 
 
@@ -205,7 +206,7 @@ SELECT doc_id, array_to_string(list_transform(range(512),
 
 def byte_ngrams(spark, sf_dir):
     """Number of distinct n-gram buckets and the largest, for every document and size."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     feats = docs.select("doc_id", F.explode(tx.ngram_buckets(F.col("text"), fv.NGRAM_SIZES, 4096)).alias("bucket"))
     size = F.floor(F.col("bucket") / 4096) + 3
     return feats.groupBy("doc_id", size.cast("bigint").alias("n")).agg(
@@ -225,7 +226,7 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, count(DISTINCT CAST('0x' || gram AS BIGIN
 
 
 def marker_replace(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     frame = F.lit("[INTENT_A], then [INTENT_B] and [INTENT_A]")
     out = tx.replace_marker(tx.replace_marker(frame, "[INTENT_A]", F.col("text")), "[INTENT_B]", F.col("source"))
     return docs.select("doc_id", out.alias("out"))
@@ -233,7 +234,7 @@ def marker_replace(spark, sf_dir):
 
 def non_blank_query(spark, sf_dir):
     """Blank out the texts without a label, then drop the blank ones."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     text = F.when(F.col("quality").isNull(), F.lit(" \t\n ")).otherwise(F.col("text"))
     joined = docs.join(labels, "doc_id", "left").withColumn("text", text)
@@ -241,7 +242,7 @@ def non_blank_query(spark, sf_dir):
 
 
 def replace_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(spark, sf_dir, "documents")
     return with_text(docs, tx.strip(F.col("text"))).select("doc_id", "text", "original_text", "lang", "source")
 
 
