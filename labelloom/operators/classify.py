@@ -9,17 +9,15 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.text import argmax, ngram_buckets, softmax
+from ..functions.text import argmax, let, ngram_buckets, softmax
+from ..session import ensure_checkpoint_dir
 from .datasets import encode_labels
 from .evaluate import log_loss
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 # --- scores to labels --------------------------------------------------------------------
 
 
@@ -37,49 +35,42 @@ def score_labels(df: DataFrame, classes: list[str], scores: str = "scores") -> D
 
 @dataclass(frozen=True)
 class NaiveBayes:
-    """``counts``: one row per seen bucket, with a count column per class."""
+    """``weights``: one row, ``w`` = per class the array of log(count + 1) by bucket.
+
+    Its size is fixed by the parameters: classes x sizes x buckets doubles.
+    """
 
     classes: list[str]
     sizes: list[int]
     buckets: int
     max_bytes: int
-    counts: DataFrame
+    weights: DataFrame
     rows: list[int]
     features: list[int]
 
-    @property
-    def width(self) -> int:
-        return self.buckets * len(self.sizes)
-
-    def _counts(self) -> DataFrame:
-        # at most ``width`` rows of one key and one count per class
-        bound = self.width * 8 * (len(self.classes) + 4)
-        return F.broadcast(self.counts) if bound <= BROADCAST_BYTES else self.counts
+    def scores(self, df: DataFrame) -> DataFrame:
+        """Add ``scores``: ARRAY<DOUBLE> of log likelihood plus log prior, in class order.
 
-    def scores(self, df: DataFrame, key: str = "record_id") -> DataFrame:
-        """Add ``scores``: ARRAY<DOUBLE> of log likelihood plus log prior, in class order."""
-        feats = df.select(key, ngram_buckets(F.col("text"), self.sizes, self.buckets, self.max_bytes).alias("f"))
-        flat = feats.select(key, F.size("f").alias("n_feats"), F.explode_outer("f").alias("bucket"))
-        hit = flat.join(self._counts(), "bucket", "left")
+        A projection over a scalar subquery: no join and no shuffle, also on streams.
+        """
         total = sum(self.rows)
-        # rows of one key are adjacent, so the partial aggregate leaves one row per key to shuffle
-        sums = hit.groupBy(key).agg(
-            F.max("n_feats").alias("n_feats"),
-            *[
-                F.sum(F.log(F.coalesce(F.col(f"c_{i}"), F.lit(0)) + F.lit(1.0))).alias(f"s_{i}")
-                for i in range(len(self.classes))
-            ],
-        )
-        parts = []
-        for i in range(len(self.classes)):
+        width = self.buckets * len(self.sizes)
+
+        def one(i: int, w: Column, f: Column) -> Column:
             prior = math.log(self.rows[i] / total) if self.rows[i] else float("-inf")
-            norm = math.log(self.features[i] + self.width)
-            seen = F.when(F.col("n_feats") > 0, F.col(f"s_{i}") - F.col("n_feats") * F.lit(norm)).otherwise(0.0)
-            parts.append(seen + F.lit(prior))
-        return df.join(sums.select(key, F.array(*parts).alias("scores")), key, "inner")
+            norm = math.log(self.features[i] + width)
+            seen = let(F.get(w, F.lit(i)), lambda wi: F.aggregate(f, F.lit(0.0), lambda acc, b: acc + F.get(wi, b)))
+            return seen - F.size(f) * F.lit(norm) + F.lit(prior)
+
+        feats = ngram_buckets(F.col("text"), self.sizes, self.buckets, self.max_bytes).cast("array<int>")
+        scored = let(
+            F.col("__w"),
+            lambda w: let(feats, lambda f: F.array(*[one(i, w, f) for i in range(len(self.classes))])),
+        )
+        return df.withColumn("__w", self.weights.select("w").scalar()).withColumn("scores", scored).drop("__w")
 
-    def predict(self, df: DataFrame, key: str = "record_id") -> DataFrame:
-        return score_labels(self.scores(df, key), self.classes)
+    def predict(self, df: DataFrame) -> DataFrame:
+        return score_labels(self.scores(df), self.classes)
 
 
 def train_naive_bayes(
@@ -89,26 +80,31 @@ def train_naive_bayes(
     buckets: int = 65_536,
     max_bytes: int = fv.MAX_BYTES,
 ) -> NaiveBayes:
-    """Counts of present features per class, add-one smoothing over all buckets."""
+    """Counts of present features per class, add-one smoothing over all buckets.
+
+    The counts are checkpointed, so scoring never repeats the training.
+    """
     sizes = list(sizes or fv.NGRAM_SIZES)
+    width = buckets * len(sizes)
+    ensure_checkpoint_dir(df.sparkSession)
     feats = df.filter(F.col("label").isin(*classes)).select(
-        "label", ngram_buckets(F.col("text"), sizes, buckets, max_bytes).alias("f")
+        "label", F.explode(ngram_buckets(F.col("text"), sizes, buckets, max_bytes)).alias("bucket")
     )
-    per_class = {
-        r["label"]: r
-        for r in feats.groupBy("label")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("f")).alias("features"))
-        .collect()  # one row per class
-    }
     counts = (
-        feats.select("label", F.explode("f").alias("bucket"))
-        .groupBy("bucket")
+        feats.groupBy("bucket")
         .agg(*[F.count(F.when(F.col("label") == F.lit(c), 1)).alias(f"c_{i}") for i, c in enumerate(classes)])
+        .checkpoint()  # at most ``width`` rows
     )
+    rows = {r["label"]: r["n"] for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("label").isin(*classes)).collect()}  # one row per class
+    features = counts.agg(*[F.coalesce(F.sum(f"c_{i}"), F.lit(0)).alias(f"c_{i}") for i in range(len(classes))]).first()
+    logs = [F.log(F.coalesce(F.col(f"c_{i}"), F.lit(0)) + F.lit(1.0)).alias(f"c_{i}") for i in range(len(classes))]
+    every = df.sparkSession.range(width).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
+    packed = every.select(F.struct("bucket", *logs).alias("s")).agg(F.sort_array(F.collect_list("s")).alias("s"))
+    weights = packed.select(F.array(*[F.col(f"s.c_{i}") for i in range(len(classes))]).alias("w")).checkpoint()
     return NaiveBayes(
-        list(classes), sizes, buckets, max_bytes, counts,
-        [per_class[c]["rows"] if c in per_class else 0 for c in classes],
-        [per_class[c]["features"] if c in per_class else 0 for c in classes],
+        list(classes), sizes, buckets, max_bytes, weights,
+        [rows.get(c, 0) for c in classes], [features[f"c_{i}"] for i in range(len(classes))],
     )
 
 

@@ -181,6 +181,14 @@ def rephrase(
     return spread.mapInPandas(run, schema)
 
 
+def naturalize_rows(
+    df: DataFrame, fn: Callable[[str], str], n: int, seed: int = 99, done: DataFrame | None = None, **options
+) -> DataFrame:
+    """Sample ``n`` rows by class, drop those already rephrased, rephrase the rest."""
+    sample = stratified_sample(df, n, seed)
+    return rephrase(pending(sample, done) if done is not None else sample, fn, **options)
+
+
 def naturalize(
     df: DataFrame,
     fn: Callable[[str], str],
@@ -191,7 +199,7 @@ def naturalize(
     chunks: int = 1,
     **options,
 ) -> None:
-    """Sample ``n`` rows by class, drop those already rephrased, rephrase and append to ``path``.
+    """``naturalize_rows``, appended to ``path``.
 
     Each of the ``chunks`` is its own job, so a failure loses at most one of them and a
     rerun with ``done`` (the rows at ``path``) does only what is missing.
