@@ -8,15 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.draws import draw
 from ..functions.text import strip
-from .scale import (
-    checked_broadcast,
-    cutoffs,
-    dense_bucket,
-    draw_bucket,
-    join_on,
-    seeded_order,
-    within_cutoff,
-)
+from .scale import DRAW_SPAN, checked_broadcast, cutoffs, seeded_order, within_cutoff
 
 CLASSES_SCHEMA = T.StructType(
     [
@@ -127,12 +119,12 @@ def stratified_split(
         units = marked.groupBy("label", "__unit").agg(F.count(F.lit(1)).alias("__rows"))
         number = draw(seed, F.col("__unit"), "split")
         order = [number, F.col("__unit")]
-        cuts = cutoffs(units, ["label"], draw_bucket(number), order, quota=val_rows)
+        cuts = cutoffs(units, ["label"], order, quota=val_rows, span=DRAW_SPAN)
         chosen = within_cutoff(marked, cuts, ["label"], order, "__val").drop("__unit")
     else:
         number = draw(seed, F.col("record_id"), "split")
         order = [number, F.col("record_id")]
-        cuts = cutoffs(df, ["label"], draw_bucket(number), order, quota=val_rows)
+        cuts = cutoffs(df, ["label"], order, quota=val_rows, span=DRAW_SPAN)
         chosen = within_cutoff(df, cuts, ["label"], order, "__val")
     return chosen.withColumn("split", F.when(F.col("__val"), "val").otherwise("train")).drop("__val")
 
@@ -157,7 +149,7 @@ def stratified_sample(df: DataFrame, n: int, seed: int = 99) -> DataFrame:
     number = draw(seed, F.col("record_id"), "sample")
     order = [number, F.col("record_id")]
     quotas = sample_quotas(df, n).select("label", "quota")
-    cuts = cutoffs(df, ["label"], draw_bucket(number), order, quotas=quotas)
+    cuts = cutoffs(df, ["label"], order, quotas=quotas, span=DRAW_SPAN)
     return within_cutoff(df, cuts, ["label"], order, "__in").filter("__in").drop("__in")
 
 
@@ -170,14 +162,9 @@ def cap_per_class(
     """
     keys = keys or ["label"]
     order = order or ["line_no"]
-    limits = checked_broadcast(
-        df.groupBy(*keys).agg(F.min(order[0]).alias("__low"), F.max(order[0]).alias("__high"))
-    )
-    ranged = join_on(df, limits, keys)
-    bucket = dense_bucket(F.col(order[0]), F.col("__low"), F.col("__high"))
     columns = [F.col(c) for c in order]
     quotas = need.select(*keys, F.col("need").alias("quota"))
-    cuts = cutoffs(ranged, keys, bucket, columns, quotas=quotas)
+    cuts = cutoffs(df, keys, columns, quotas=quotas)
     return within_cutoff(df, cuts, keys, columns, "__in").filter("__in").drop("__in")
 
 

@@ -13,7 +13,7 @@ from .. import fixed_values as fv
 from ..functions.text import argmax, log_sum_exp
 from ..session import ensure_checkpoint_dir
 from .datasets import classes_table
-from .scale import MAX_BROADCAST_ROWS, checked_broadcast, order_statistics, running_before
+from .scale import MAX_BROADCAST_ROWS, checked_broadcast, local_copy, order_statistics, running_before
 
 BUCKETS = ["short", "medium", "long"]
 
@@ -287,27 +287,26 @@ def early_stopping(
             "pos": F.col("__rows") + 1,
             "improved": F.coalesce(loss < F.coalesce("__best", infinity), F.lit(False)),
         }
-    ).withColumn("hit", F.when(F.col("improved"), F.col("pos")))
-    streaks = running_before(seen, ["run_id"], order, block, {"__last": ("max", F.col("hit"))})
-    streak = F.when(F.col("improved"), F.lit(0)).otherwise(F.col("pos") - F.coalesce("__last", F.lit(0)))
-    streaks = streaks.withColumn("streak", streak)
-    stop = F.min(F.when(F.col("streak") >= patience, F.struct(F.col(order).alias("at"), "pos", "__last")))
-    ended = F.max(F.struct(F.col(order).alias("at"), "pos", F.greatest("hit", "__last").alias("__last")))
-    runs = streaks.groupBy("run_id").agg(stop.alias("stop"), ended.alias("ended"))
-    runs = runs.select(
+    )
+    # the row of the last improvement travels along, so the best epoch needs no second pass
+    here = F.struct(F.col("pos").alias("pos"), F.col(order).alias("epoch"), loss.alias("loss"))
+    seen = seen.withColumn("hit", F.when(F.col("improved"), here))
+    runs = running_before(seen, ["run_id"], order, block, {"__last": ("max", F.col("hit"))})
+    runs = runs.withColumn("best", F.when(F.col("improved"), here).otherwise(F.col("__last")))
+    streak = F.col("pos") - F.coalesce("best.pos", F.lit(0))
+    state = F.struct(F.col("pos"), F.col(order).alias("epoch"), F.col("best"))
+    ends = runs.groupBy("run_id").agg(
+        F.min(F.when(streak >= patience, state)).alias("stop"), F.max(state).alias("end")
+    )
+    last = F.coalesce("stop", "end")
+    return ends.select(
         "run_id",
+        last["best"]["epoch"].alias("best_epoch"),
+        last["best"]["loss"].alias("best_val_loss"),
+        last["epoch"].alias("last_epoch"),
+        last["pos"].cast("bigint").alias("epochs_run"),
         F.col("stop").isNotNull().alias("stopped_early"),
-        F.coalesce("stop.at", "ended.at").alias("last_epoch"),
-        F.coalesce("stop.pos", "ended.pos").cast("bigint").alias("epochs_run"),
-        F.when(F.col("stop").isNotNull(), F.col("stop.__last")).otherwise(F.col("ended.__last")).alias("__best_pos"),
-    )
-    best = streaks.filter("improved").select(
-        F.col("run_id").alias("__run"), F.col("pos").alias("__pos"), F.col(order).alias("best_epoch"),
-        loss.alias("best_val_loss"),
     )
-    return runs.join(
-        best, (F.col("run_id") == F.col("__run")) & (F.col("__best_pos") == F.col("__pos")), "left"
-    ).select("run_id", "best_epoch", "best_val_loss", "last_epoch", "epochs_run", "stopped_early")
 
 
 # --- gates ----------------------------------------------------------------------------------
@@ -331,9 +330,9 @@ def _with_overall(axes: list[DataFrame], key: str = "axis") -> DataFrame:
 
 def small_copy(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Local copy of a small aggregate; a larger one is checkpointed in the shared folder."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+    small = local_copy(df, max_rows)
+    if small is not None:
+        return small
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 

@@ -18,6 +18,7 @@ from ..functions.draws import draw
 
 MAX_BROADCAST_ROWS = 50_000
 BUCKET_SHIFT = 16  # a draw has 32 bits: 65,536 buckets
+DRAW_SPAN = (0, 2**32 - 1)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -26,10 +27,14 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     At most ``max_rows + 1`` rows are read; the small table then becomes a local
     relation, so it is computed once however often it is joined.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    small = local_copy(df, max_rows)
+    return df if small is None else F.broadcast(small)
+
+
+def local_copy(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` as a local relation, or None when it has more than ``max_rows`` rows."""
+    rows = df.limit(max_rows + 1).toArrow()
+    return None if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
@@ -58,50 +63,100 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left
 
 # --- first k rows per group -------------------------------------------------------
 
+BUCKETS = 65_536
+EDGE_ROWS = 1_000_000  # more rows than this in one bucket: look closer
+MAX_LEVELS = 4
+
+
+def dense_bucket(value: Column, low: Column, high: Column, buckets: int = BUCKETS) -> Column:
+    """Equal-width bucket of an integer key, for ``low <= value <= high``."""
+    width = F.greatest(F.floor((high - low) / F.lit(buckets)) + 1, F.lit(1))
+    return F.floor((value - low) / width)
+
 
 def cutoffs(
     df: DataFrame,
     keys: list[str],
-    bucket: Column,
     order: list[Column],
     quota: Callable[[Column], Column] | None = None,
     quotas: DataFrame | None = None,
+    span: tuple[int, int] | None = None,
+    weight: Column | None = None,
+    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
-    """One row per group: the sort key of its k-th row.
+    """One row per group: the sort key at which its first k rows end.
 
-    ``bucket`` must not decrease along ``order``. The bucket counts give the bucket that
-    holds the k-th row; only the rows of that bucket are ranked. ``k`` is ``quota(n)`` of
-    the group size, or the ``quota`` column of ``quotas`` (missing group: 0).
+    ``order[0]`` is an integer, within ``span`` if that is given. Counts in 65,536 buckets
+    of it give the bucket that holds the k-th row; a bucket of more than ``edge_rows``
+    rows is cut again, and only the rows of the last bucket are put in order. ``k`` is
+    ``quota(n)`` of the group size, or the ``quota`` column of ``quotas`` (missing: 0).
+    With ``weight`` (a count per row) k counts weight instead of rows.
 
-    Output: keys, ``take_all`` BOOLEAN, ``cut`` STRUCT (NULL when nothing is taken).
-    ``take_all`` covers groups with at most k rows.
+    Output: keys, ``take_all`` BOOLEAN (the group has at most k), ``cut`` STRUCT (NULL when
+    nothing is taken), ``part`` BIGINT: how much of the weight of the row at ``cut`` is taken.
     """
+    one = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
     keyed = df.select(
-        *keys, bucket.alias("__bucket"), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("__order")
+        *keys,
+        order[0].cast("bigint").alias("__at"),
+        F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("__order"),
+        one.alias("__weight"),
     )
-    hist = keyed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("n"))
-    by_group = Window.partitionBy(*keys)
-    running = by_group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumns({"upto": F.sum("n").over(running), "total": F.sum("n").over(by_group)})
+    sums = [F.sum("__weight").alias("__total")]
+    if span is None:
+        sums += [F.min("__at").alias("__low"), F.max("__at").alias("__high")]
+    groups = keyed.groupBy(*keys).agg(*sums)
+    if span is not None:
+        groups = groups.withColumns({"__low": F.lit(span[0]).cast("bigint"), "__high": F.lit(span[1]).cast("bigint")})
     if quotas is not None:
-        hist = join_on(hist, quotas.select(*keys, F.col("quota").cast("bigint").alias("k")), keys)
-        hist = hist.withColumn("k", F.coalesce("k", F.lit(0).cast("bigint")))
+        groups = join_on(groups, quotas.select(*keys, F.col("quota").cast("bigint").alias("__left")), keys)
+        groups = groups.withColumn("__left", F.coalesce("__left", F.lit(0).cast("bigint")))
     else:
-        hist = hist.withColumn("k", quota(F.col("total")).cast("bigint"))
-    edge = hist.groupBy(*keys).agg(
-        (F.max("total") <= F.max("k")).alias("take_all"),
-        F.min(F.when(F.col("upto") >= F.col("k"), F.col("__bucket"))).alias("edge_bucket"),
-        (F.max("k") - F.coalesce(F.max(F.when(F.col("upto") < F.col("k"), F.col("upto"))), F.lit(0))).alias("left"),
+        groups = groups.withColumn("__left", quota(F.col("__total")).cast("bigint"))
+    groups = groups.withColumn("take_all", F.col("__total") <= F.col("__left")).drop("__total")
+    groups = checked_broadcast(groups)
+    open_groups = groups.filter(~F.col("take_all") & (F.col("__left") > 0)).drop("take_all")
+
+    for level in range(MAX_LEVELS):
+        edge = _edge_bucket(keyed, open_groups, keys)
+        small = local_copy(edge)
+        open_groups = edge.drop("__rows") if small is None else F.broadcast(small.drop("__rows"))
+        if small is None:
+            if level == 1:  # too many groups to look at: two levels for all of them
+                break
+        elif small.filter((F.col("__rows") > edge_rows) & (F.col("__low") < F.col("__high"))).isEmpty():
+            break
+
+    at_edge = join_on(keyed, open_groups, keys, "inner").filter(F.col("__at").between(F.col("__low"), F.col("__high")))
+    running = (
+        Window.partitionBy(*keys).orderBy("__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = at_edge.withColumn("__upto", F.sum("__weight").over(running))
+    before = F.col("__upto") - F.col("__weight")
+    cut = ranked.filter((F.col("__upto") >= F.col("__left")) & (before < F.col("__left"))).select(
+        *keys, F.col("__order").alias("cut"), (F.col("__left") - before).alias("part")
     )
-    edge = checked_broadcast(edge)
-    at_edge = join_on(keyed, edge, keys, "inner").filter(
-        ~F.col("take_all") & (F.col("left") > 0) & (F.col("__bucket") == F.col("edge_bucket"))
+    return join_on(groups.select(*keys, "take_all"), cut, keys)
+
+
+def _edge_bucket(keyed: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Narrow each group's range ``__low..__high`` to the bucket where ``__left`` is reached."""
+    inside = join_on(keyed, groups, keys, "inner").filter(F.col("__at").between(F.col("__low"), F.col("__high")))
+    hist = inside.groupBy(*keys, dense_bucket(F.col("__at"), F.col("__low"), F.col("__high")).alias("__bucket")).agg(
+        F.sum("__weight").alias("__n"),
+        F.count(F.lit(1)).alias("__rows"),
+        F.min("__at").alias("__low"),
+        F.max("__at").alias("__high"),
+        F.first("__left").alias("__left"),  # the same in every row of a group
     )
-    ranked = at_edge.withColumn(
-        "rank", F.row_number().over(Window.partitionBy(*keys, "__bucket").orderBy("__order"))
+    running = (
+        Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    upto = hist.withColumn("__upto", F.sum("__n").over(running))
+    before = F.col("__upto") - F.col("__n")
+    return upto.filter((F.col("__upto") >= F.col("__left")) & (before < F.col("__left"))).select(
+        *keys, "__low", "__high", (F.col("__left") - before).alias("__left"), "__rows"
     )
-    cut = ranked.filter(F.col("rank") == F.col("left")).select(*keys, F.col("__order").alias("cut"))
-    return join_on(edge.select(*keys, "take_all"), cut, keys)
 
 
 def within_cutoff(
@@ -112,19 +167,13 @@ def within_cutoff(
     joined = join_on(df, cuts, keys)
     key = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     chosen = F.coalesce(F.col("take_all"), F.lit(False)) | F.coalesce(key <= F.col("cut"), F.lit(False))
-    return joined.withColumn(name, chosen).drop("take_all", "cut")
+    return joined.withColumn(name, chosen).drop("take_all", "cut", "part")
 
 
 def draw_bucket(number: Column) -> Column:
     return F.shiftright(number, BUCKET_SHIFT)
 
 
-def dense_bucket(value: Column, low: Column, high: Column, buckets: int = 65_536) -> Column:
-    """Equal-width bucket of an integer key, for ``low <= value <= high``."""
-    width = F.greatest(F.floor((high - low) / F.lit(buckets)) + 1, F.lit(1))
-    return F.floor((value - low) / width)
-
-
 # --- order statistics ---------------------------------------------------------------
 
 
@@ -138,34 +187,60 @@ def order_statistics(
 ) -> DataFrame:
     """Exact values at 0-based ``ranks`` (functions of the group size) and ``n``, per group.
 
-    Rows are first reduced to counts per distinct value. Bucket totals locate each rank,
-    and only the values of those buckets are put in order.
+    Rows are first reduced to counts per distinct value. Bucket totals locate each rank: at
+    first logarithmic buckets, then equal-width ones inside those. Only the values of the
+    last buckets are put in order.
     """
     values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
     counts = values.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    counts = counts.withColumn("__b", _value_bucket(F.col("__v")))
-    buckets = counts.groupBy(*keys, "__b").agg(F.sum("__c").alias("__bc"))
+
+    def holds_a_rank(start: Column, size: Column) -> Column:
+        out = F.lit(False)
+        for rank in ranks.values():
+            target = rank(F.col("__n"))
+            out = out | ((target >= start) & (target < start + size))
+        return out
+
+    # level 1: buckets of the whole group
+    rows = counts.withColumn("__b1", _value_bucket(F.col("__v")))
+    coarse = rows.groupBy(*keys, "__b1").agg(
+        F.sum("__c").alias("__size"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
+    )
     by_group = Window.partitionBy(*(keys or [F.lit(0)]))
-    running = by_group.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = buckets.withColumns(
-        {"__before": F.sum("__bc").over(running) - F.col("__bc"), "__n": F.sum("__bc").over(by_group)}
+    running = by_group.orderBy("__b1").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    coarse = coarse.withColumns(
+        {"__start": F.sum("__size").over(running) - F.col("__size"), "__n": F.sum("__size").over(by_group)}
+    ).filter(holds_a_rank(F.col("__start"), F.col("__size")))
+    rows = join_on(rows, coarse.drop("__size"), [*keys, "__b1"], "inner")
+
+    # level 2: 65,536 slices of each bucket that holds a rank
+    share = F.try_divide(F.col("__v") - F.col("__min"), F.col("__max") - F.col("__min"))
+    rows = rows.withColumn("__b2", F.floor(F.coalesce(share, F.lit(0.0)) * F.lit(65535.0)))
+    fine = rows.groupBy(*keys, "__b1", "__b2").agg(
+        F.sum("__c").alias("__size"), F.first("__start").alias("__start"), F.first("__n").alias("__n")
     )
-    targets = {name: rank(F.col("__n")) for name, rank in ranks.items()}
-    wanted = F.lit(False)
-    for rank in targets.values():
-        wanted = wanted | ((rank >= F.col("__before")) & (rank < F.col("__before") + F.col("__bc")))
-    located = join_on(counts, buckets.filter(wanted), [*keys, "__b"], "inner")
-    in_bucket = (
-        Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_coarse = (
+        Window.partitionBy(*keys, "__b1").orderBy("__b2").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    located = located.withColumn("__upto", F.col("__before") + F.sum("__c").over(in_bucket))
-    at = {
-        name: F.max(F.when((rank >= F.col("__upto") - F.col("__c")) & (rank < F.col("__upto")), F.col("__v")))
-        for name, rank in targets.items()
-    }
-    return located.groupBy(*keys).agg(
-        F.max("__n").alias("n"), *[expr.alias(name) for name, expr in at.items()]
+    fine = fine.withColumn("__start", F.col("__start") + F.sum("__size").over(in_coarse) - F.col("__size"))
+    fine = fine.filter(holds_a_rank(F.col("__start"), F.col("__size"))).select(
+        *keys, "__b1", "__b2", F.col("__start").alias("__before")
+    )
+    rows = join_on(rows, fine, [*keys, "__b1", "__b2"], "inner")
+
+    # the values of the slices that hold a rank
+    in_slice = (
+        Window.partitionBy(*keys, "__b1", "__b2")
+        .orderBy("__v")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    rows = rows.withColumn("__upto", F.col("__before") + F.sum("__c").over(in_slice))
+    out = []
+    for name, rank in ranks.items():
+        target = rank(F.col("__n"))
+        hit = (target >= F.col("__upto") - F.col("__c")) & (target < F.col("__upto"))
+        out.append(F.max(F.when(hit, F.col("__v"))).alias(name))
+    return rows.groupBy(*keys).agg(F.max("__n").alias("n"), *out)
 
 
 # --- prefix aggregates -----------------------------------------------------------------

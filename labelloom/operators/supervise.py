@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from .. import fixed_values as fv
 from ..functions.text import reply_lines
 from ..sources.records import append_records
-from .datasets import cap_per_class, pending, stratified_sample
+from .datasets import pending, stratified_sample
+from .scale import checked_broadcast, cutoffs, join_on
 
 
 def _fill(template: str, **values: Column) -> Column:
@@ -119,9 +120,22 @@ def reply_examples(completions: DataFrame, keys: list[str], order: str) -> DataF
 def ingest_completions(
     completions: DataFrame, need: DataFrame, keys: list[str] | None = None, order: str = "completion_id"
 ) -> DataFrame:
-    """The first ``need`` example lines per class, in completion order."""
+    """The first ``need`` example lines per class, in completion order (an integer, unique per class).
+
+    The cut is found from the number of lines per reply; replies beyond it are dropped
+    before their lines become rows.
+    """
     keys = keys or ["label"]
-    return cap_per_class(reply_examples(completions, keys, order), need, keys, [order, "line_no"])
+    kept = completions.filter(F.col("reply").isNotNull())
+    lines = reply_lines(F.col("reply"))
+    quotas = need.select(*keys, F.col("need").alias("quota"))
+    cuts = cutoffs(kept, keys, [F.col(order)], quotas=quotas, weight=F.size(lines))
+    joined = join_on(kept, checked_broadcast(cuts), keys, "inner").filter(
+        F.col("take_all") | (F.col(order) <= F.col("cut.o0"))
+    )
+    last = ~F.col("take_all") & (F.col(order) == F.col("cut.o0"))
+    taken = F.when(last, F.slice(lines, F.lit(1), F.col("part").cast("int"))).otherwise(lines)
+    return joined.select(*keys, order, F.posexplode(taken).alias("line_no", "text"))
 
 
 def rephrase(

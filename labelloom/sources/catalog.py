@@ -227,32 +227,34 @@ def build_catalog(raw: DataFrame, languages: list[str] | None = None) -> Catalog
 
 
 def catalog_summary(raw: DataFrame) -> DataFrame:
-    """Per catalogue: templates per class and language, slot entries per class, bridges per language."""
+    """Per catalogue: templates per class and language, slot entries per class, bridges per language.
+
+    The standard languages are always listed, with 0 where a catalogue has nothing.
+    """
+    standard = F.array(*[F.lit(x) for x in fv.CATALOG_LANGS])
+    top, cls, lang = F.col("top"), F.col("cls"), F.col("lang")
     class_rows = _class_rows(raw)
-    templates = _lang_rows(class_rows).select(
-        "catalog_id", F.lit("templates").alias("kind"), "label", "lang", F.size("flat").alias("n")
+    templates = class_rows.withColumn(
+        "lang", F.explode(F.array_union(standard, F.map_keys(_object(cls["templates"]))))
+    ).select(
+        "catalog_id", F.lit("templates").alias("kind"), "label", "lang",
+        F.size(_flat(F.element_at(_object(cls["templates"]), lang))).alias("n"),
     )
-    slots = class_rows.select(
-        "catalog_id", "label", F.explode(_object(F.col("cls")["slot_lists"])).alias("slot", "list")
+    entries = F.aggregate(
+        F.map_values(_object(cls["slot_lists"])), F.lit(0), lambda acc, values: acc + _size(_list(values))
     )
-    slots = slots.groupBy("catalog_id", "label").agg(F.sum(_size(_list(F.col("list")))).alias("n"))
-    bridges = raw.select(
-        "catalog_id",
-        F.explode(_object(_object(F.col("body"))["compound_bridges"])).alias("lang", "list"),
+    slots = class_rows.select(
+        "catalog_id", F.lit("slot_entries").alias("kind"), "label", F.lit("").alias("lang"), entries.alias("n")
     )
-    none = F.lit("")
-    return (
-        templates.unionByName(
-            slots.select("catalog_id", F.lit("slot_entries").alias("kind"), "label", none.alias("lang"), "n")
-        )
-        .unionByName(
-            bridges.select(
-                "catalog_id", F.lit("bridges").alias("kind"), none.alias("label"), "lang",
-                _size(_list(F.col("list"))).alias("n"),
-            )
+    bridges = (
+        raw.select("catalog_id", _object(_object(F.col("body"))["compound_bridges"]).alias("top"))
+        .withColumn("lang", F.explode(F.array_union(standard, F.map_keys(top))))
+        .select(
+            "catalog_id", F.lit("bridges").alias("kind"), F.lit("").alias("label"), "lang",
+            _size(_list(F.element_at(top, lang))).alias("n"),
         )
-        .withColumn("n", F.col("n").cast("bigint"))
     )
+    return templates.unionByName(slots).unionByName(bridges).withColumn("n", F.col("n").cast("bigint"))
 
 
 def validate_catalog(raw: DataFrame, classes: list[str]) -> DataFrame:

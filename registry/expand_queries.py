@@ -280,11 +280,14 @@ ORACLES = {
         SELECT record_id, text, label, lang FROM trans""",
     "augment_noise": f"""WITH {RECORDS_SQL}, {TABLES_SQL}, {_noise_sql('records', 'noisy')}
         SELECT record_id, text, label, lang, noised FROM noisy""",
-    "catalog_summary": f"""
-        SELECT CAST(doc_id AS VARCHAR) AS catalog_id, 'templates' AS kind, {_MAIN} AS label, {_LANG} AS lang,
-          len(string_split(text, chr(10))) + 1 AS n FROM documents
-        UNION ALL SELECT CAST(doc_id AS VARCHAR), 'slot_entries', {_MAIN}, '', len(string_split(text, ' ')) + 1 FROM documents
-        UNION ALL SELECT CAST(doc_id AS VARCHAR), 'bridges', '', lang, 2 FROM documents""",
+    "catalog_summary": f"""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS catalog_id, {_MAIN} AS label, {_LANG} AS tl, lang, text FROM documents),
+        standard(l) AS (VALUES ('en'), ('ko'), ('mixed'))
+        SELECT catalog_id, 'templates' AS kind, label, l AS lang,
+          CASE WHEN l = tl THEN len(string_split(text, chr(10))) + 1 ELSE 0 END AS n
+        FROM (SELECT d.*, l FROM d, standard UNION SELECT *, tl FROM d)
+        UNION ALL SELECT catalog_id, 'slot_entries', label, '', len(string_split(text, ' ')) + 1 FROM d
+        UNION ALL SELECT catalog_id, 'bridges', '', l, CASE WHEN l = lang THEN 2 ELSE 0 END
+        FROM (SELECT d.*, l FROM d, standard UNION SELECT *, lang FROM d)""",
     "catalog_validation": f"""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS catalog_id, doc_id % 4 AS kind, {_LANG} AS tl FROM documents),
         langs(l) AS (VALUES ('en'), ('ko'), ('mixed')),
         regs(r) AS (VALUES ('imperative'), ('casual'), ('frustrated'), ('uncertain'), ('indirect'), ('implicit'), ('fragment'))
