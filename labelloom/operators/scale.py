@@ -82,13 +82,13 @@ def cutoffs(
     quotas: DataFrame | None = None,
     span: tuple[int, int] | None = None,
     weight: Column | None = None,
-    edge_rows: int = EDGE_ROWS,
+    edge_rows: int | None = None,
 ) -> DataFrame:
     """One row per group: the sort key at which its first k rows end.
 
-    ``order[0]`` is an integer, within ``span`` if that is given. Counts in 65,536 buckets
-    of it give the bucket that holds the k-th row; a bucket of more than ``edge_rows``
-    rows is cut again, and only the rows of the last bucket are put in order. ``k`` is
+    ``order[0]`` is an integer, within ``span`` if that is given. While a group has more
+    than ``edge_rows`` candidate rows, counts in 65,536 buckets of ``order[0]`` narrow it
+    to the bucket that holds the k-th row; only those rows are put in order. ``k`` is
     ``quota(n)`` of the group size, or the ``quota`` column of ``quotas`` (missing: 0).
     With ``weight`` (a count per row) k counts weight instead of rows.
 
@@ -102,7 +102,8 @@ def cutoffs(
         F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("__order"),
         one.alias("__weight"),
     )
-    sums = [F.sum("__weight").alias("__total")]
+    edge_rows = EDGE_ROWS if edge_rows is None else edge_rows
+    sums = [F.sum("__weight").alias("__total"), F.count(F.lit(1)).alias("__rows")]
     if span is None:
         sums += [F.min("__at").alias("__low"), F.max("__at").alias("__high")]
     groups = keyed.groupBy(*keys).agg(*sums)
@@ -114,18 +115,23 @@ def cutoffs(
     else:
         groups = groups.withColumn("__left", quota(F.col("__total")).cast("bigint"))
     groups = groups.withColumn("take_all", F.col("__total") <= F.col("__left")).drop("__total")
-    groups = checked_broadcast(groups)
-    open_groups = groups.filter(~F.col("take_all") & (F.col("__left") > 0)).drop("take_all")
+    small = local_copy(groups)
+    groups = groups if small is None else F.broadcast(small)
+
+    def crowded(known: DataFrame) -> bool:
+        large = (F.col("__rows") > edge_rows) & (F.col("__low") < F.col("__high"))
+        return not known.filter(large & (F.col("__left") > 0)).isEmpty()
 
+    open_groups = groups.filter(~F.col("take_all") & (F.col("__left") > 0)).drop("take_all")
     for level in range(MAX_LEVELS):
-        edge = _edge_bucket(keyed, open_groups, keys)
-        small = local_copy(edge)
-        open_groups = edge.drop("__rows") if small is None else F.broadcast(small.drop("__rows"))
-        if small is None:
-            if level == 1:  # too many groups to look at: two levels for all of them
-                break
-        elif small.filter((F.col("__rows") > edge_rows) & (F.col("__low") < F.col("__high"))).isEmpty():
+        if small is None and level == 2:  # too many groups to look at: two levels for all of them
             break
+        if small is not None and not crowded(small):
+            break
+        edge = _edge_bucket(keyed, open_groups.drop("__rows"), keys)
+        small = local_copy(edge)
+        open_groups = edge if small is None else F.broadcast(small)
+    open_groups = open_groups.drop("__rows")
 
     at_edge = join_on(keyed, open_groups, keys, "inner").filter(F.col("__at").between(F.col("__low"), F.col("__high")))
     running = (
@@ -183,64 +189,67 @@ def _value_bucket(value: Column) -> Column:
 
 
 def order_statistics(
-    df: DataFrame, keys: list[str], value: str, ranks: dict[str, Callable[[Column], Column]]
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    ranks: dict[str, Callable[[Column], Column]],
+    edge_rows: int | None = None,
 ) -> DataFrame:
     """Exact values at 0-based ``ranks`` (functions of the group size) and ``n``, per group.
 
-    Rows are first reduced to counts per distinct value. Bucket totals locate each rank: at
-    first logarithmic buckets, then equal-width ones inside those. Only the values of the
-    last buckets are put in order.
+    Counts per logarithmic bucket locate each rank; if one of those buckets has more than
+    ``edge_rows`` rows, it is cut into equal-width slices. Only the rows of the last buckets
+    are shuffled by value and put in order.
     """
-    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
-    counts = values.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    edge_rows = EDGE_ROWS if edge_rows is None else edge_rows
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    rows = rows.withColumn("__b1", _value_bucket(F.col("__v")))
+    sizes = [F.count(F.lit(1)).alias("__size"), F.min("__v").alias("__min"), F.max("__v").alias("__max")]
 
-    def holds_a_rank(start: Column, size: Column) -> Column:
-        out = F.lit(False)
+    def holding_ranks(buckets: DataFrame) -> DataFrame:
+        wanted = F.lit(False)
         for rank in ranks.values():
             target = rank(F.col("__n"))
-            out = out | ((target >= start) & (target < start + size))
-        return out
-
-    # level 1: buckets of the whole group
-    rows = counts.withColumn("__b1", _value_bucket(F.col("__v")))
-    coarse = rows.groupBy(*keys, "__b1").agg(
-        F.sum("__c").alias("__size"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
-    )
-    by_group = Window.partitionBy(*(keys or [F.lit(0)]))
-    running = by_group.orderBy("__b1").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    coarse = coarse.withColumns(
-        {"__start": F.sum("__size").over(running) - F.col("__size"), "__n": F.sum("__size").over(by_group)}
-    ).filter(holds_a_rank(F.col("__start"), F.col("__size")))
-    rows = join_on(rows, coarse.drop("__size"), [*keys, "__b1"], "inner")
-
-    # level 2: 65,536 slices of each bucket that holds a rank
-    share = F.try_divide(F.col("__v") - F.col("__min"), F.col("__max") - F.col("__min"))
-    rows = rows.withColumn("__b2", F.floor(F.coalesce(share, F.lit(0.0)) * F.lit(65535.0)))
-    fine = rows.groupBy(*keys, "__b1", "__b2").agg(
-        F.sum("__c").alias("__size"), F.first("__start").alias("__start"), F.first("__n").alias("__n")
-    )
-    in_coarse = (
-        Window.partitionBy(*keys, "__b1").orderBy("__b2").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    fine = fine.withColumn("__start", F.col("__start") + F.sum("__size").over(in_coarse) - F.col("__size"))
-    fine = fine.filter(holds_a_rank(F.col("__start"), F.col("__size"))).select(
-        *keys, "__b1", "__b2", F.col("__start").alias("__before")
-    )
-    rows = join_on(rows, fine, [*keys, "__b1", "__b2"], "inner")
-
-    # the values of the slices that hold a rank
-    in_slice = (
-        Window.partitionBy(*keys, "__b1", "__b2")
-        .orderBy("__v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            wanted = wanted | ((target >= F.col("__start")) & (target < F.col("__start") + F.col("__size")))
+        return buckets.filter(wanted)
+
+    def started(buckets: DataFrame, path: list[str], order: str) -> Column:
+        before = Window.partitionBy(*(path or [F.lit(0)])).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__size").over(before), F.lit(0))
+
+    path = [*keys, "__b1"]
+    coarse = rows.groupBy(*path).agg(*sizes)
+    total = F.sum("__size").over(Window.partitionBy(*(keys or [F.lit(0)])))
+    coarse = coarse.withColumns({"__start": started(coarse, keys, "__b1"), "__n": total})
+    coarse = holding_ranks(coarse)
+    small = local_copy(coarse)
+    coarse = coarse if small is None else F.broadcast(small)
+    rows = join_on(rows, coarse, path, "inner")
+
+    crowded = (F.col("__size") > edge_rows) & (F.col("__min") < F.col("__max"))
+    if small is None or not small.filter(crowded).isEmpty():
+        share = F.try_divide(F.col("__v") - F.col("__min"), F.col("__max") - F.col("__min"))
+        rows = rows.withColumn("__b2", F.floor(F.coalesce(share, F.lit(0.0)) * F.lit(65535.0)))
+        fine = rows.groupBy(*path, "__b2").agg(
+            F.count(F.lit(1)).alias("__size"), F.first("__start").alias("__from"), F.first("__n").alias("__n")
+        )
+        fine = fine.withColumn("__start", F.col("__from") + started(fine, path, "__b2"))
+        path = [*path, "__b2"]
+        fine = holding_ranks(fine).select(*path, "__start", "__n")
+        rows = join_on(rows.drop("__start", "__n"), checked_broadcast(fine), path, "inner")
+
+    # one row per distinct value of the remaining buckets
+    counts = rows.groupBy(*path, "__v").agg(
+        F.count(F.lit(1)).alias("__c"), F.first("__start").alias("__start"), F.first("__n").alias("__n")
     )
-    rows = rows.withColumn("__upto", F.col("__before") + F.sum("__c").over(in_slice))
+    inside = Window.partitionBy(*path).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("__upto", F.col("__start") + F.sum("__c").over(inside))
     out = []
     for name, rank in ranks.items():
         target = rank(F.col("__n"))
         hit = (target >= F.col("__upto") - F.col("__c")) & (target < F.col("__upto"))
         out.append(F.max(F.when(hit, F.col("__v"))).alias(name))
-    return rows.groupBy(*keys).agg(F.max("__n").alias("n"), *out)
+    return counts.groupBy(*keys).agg(F.max("__n").alias("n"), *out)
 
 
 # --- prefix aggregates -----------------------------------------------------------------
@@ -257,6 +266,7 @@ def running_before(
 
     ``specs`` maps an output name to (``min`` | ``max`` | ``sum``, expression). A group is cut
     into blocks; totals of earlier blocks are carried in, so no task sees a whole group.
+    Keys must not be NULL: the plain equi join and the window then share one partitioning.
     """
     blocked = df.withColumn("__block", block)
     fold = {"min": (F.min, F.least), "max": (F.max, F.greatest), "sum": (F.sum, None)}
@@ -269,7 +279,7 @@ def running_before(
         "__block",
         *[fold[kind][0](F.col(name)).over(earlier).alias("__carry_" + name) for name, (kind, _) in specs.items()],
     )
-    joined = join_on(blocked, carried, [*keys, "__block"])
+    joined = blocked.join(carried, [*keys, "__block"], "left")
     inside = Window.partitionBy(*keys, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     out = {}
     for name, (kind, expr) in specs.items():

@@ -18,6 +18,7 @@ from .kit import (
     predictions,
     quote,
     records,
+    spread,
     sql_draw,
     sql_weighted,
     sql_unit,
@@ -28,7 +29,7 @@ N_PER_CELL = 30  # rows wanted per (source, lang)
 
 
 def _by_priority(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
     return orders.select(F.col("o_orderkey").alias("record_id"), F.col("o_orderpriority").alias("label"))
 
 

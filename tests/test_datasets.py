@@ -31,7 +31,9 @@ def test_split_sizes(spark):
     }
 
 
-def test_split_equals_window_form(spark):
+@pytest.mark.parametrize("edge_rows", [10, 1000, 1_000_000])
+def test_split_equals_window_form(spark, monkeypatch, edge_rows):
+    monkeypatch.setattr(scale, "EDGE_ROWS", edge_rows)
     # one label holds most of the rows
     df = spark.range(30_000).select(
         F.col("id").alias("record_id"), F.when(F.col("id") % 10 < 9, "big").otherwise("small").alias("label")
@@ -139,7 +141,32 @@ def test_cutoffs_beyond_the_broadcast_limit(spark, monkeypatch):
 def test_order_statistics_with_ties_and_outliers(spark):
     data = [("a", float(v)) for v in range(1000)] + [("b", 5.0)] * 500 + [("b", 1e12), ("c", 7.0), ("d", -3.5), ("d", 2.0)]
     df = spark.createDataFrame(data, "k string, v double")
-    got = scale.order_statistics(
-        df, ["k"], "v", {"p50": lambda n: F.floor(n / 2), "p95": lambda n: F.floor(n * F.lit(0.95))}
-    )
-    assert rows(got) == [("a", 1000, 500.0, 950.0), ("b", 501, 5.0, 5.0), ("c", 1, 7.0, 7.0), ("d", 2, 2.0, 2.0)]
+    ranks = {"p50": lambda n: F.floor(n / 2), "p95": lambda n: F.floor(n * F.lit(0.95))}
+    want = [("a", 1000, 500.0, 950.0), ("b", 501, 5.0, 5.0), ("c", 1, 7.0, 7.0), ("d", 2, 2.0, 2.0)]
+    assert rows(scale.order_statistics(df, ["k"], "v", ranks)) == want
+    assert rows(scale.order_statistics(df, ["k"], "v", ranks, edge_rows=1)) == want
+    everything = sorted(v for _, v in data)
+    row = scale.order_statistics(df, [], "v", ranks, edge_rows=1).first()
+    assert tuple(row) == (len(data), everything[len(data) // 2], everything[int(len(data) * 0.95)])
+
+
+@pytest.mark.parametrize("edge_rows", [1, 5, 1_000_000])
+def test_cutoffs_with_crowded_buckets(spark, edge_rows):
+    """Sort keys crowd together far from an outlier; the edge bucket is cut again."""
+    keys = [10**15, *range(0, 3000, 3)]
+    df = spark.createDataFrame([("g", k, k % 5) for k in keys] + [("h", 4, 2)], "label string, at long, w long")
+    got = scale.cutoffs(df, ["label"], [F.col("at")], quota=lambda n: F.floor(n * F.lit(0.37)), edge_rows=edge_rows)
+    assert {r["label"]: r["cut"]["o0"] if r["cut"] else None for r in got.collect()} == {
+        "g": sorted(keys)[int(1001 * 0.37) - 1], "h": None,
+    }
+    quotas = spark.createDataFrame([("g", 777), ("h", 9)], "label string, quota long")
+    got = scale.cutoffs(df, ["label"], [F.col("at")], quotas=quotas, weight=F.col("w"), edge_rows=edge_rows)
+    total, at = 0, None
+    for k in sorted(keys):
+        if total + k % 5 >= 777:
+            at, part = k, 777 - total
+            break
+        total += k % 5
+    result = {r["label"]: r for r in got.collect()}
+    assert (result["g"]["cut"]["o0"], result["g"]["part"], result["g"]["take_all"]) == (at, part, False)
+    assert result["h"]["take_all"]
