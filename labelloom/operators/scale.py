@@ -69,8 +69,12 @@ MAX_LEVELS = 4
 
 
 def dense_bucket(value: Column, low: Column, high: Column, buckets: int = BUCKETS) -> Column:
-    """Equal-width bucket of an integer key, for ``low <= value <= high``."""
-    width = F.greatest(F.floor((high - low) / F.lit(buckets)) + 1, F.lit(1))
+    """Equal-width bucket of a BIGINT key, for ``low <= value <= high``.
+
+    Computed on halved values, so that the full 64-bit range does not overflow.
+    """
+    value, low, high = (F.shiftright(c, 1) for c in (value, low, high))
+    width = F.floor((high - low) / F.lit(buckets)) + 1
     return F.floor((value - low) / width)
 
 

@@ -138,6 +138,14 @@ def test_cutoffs_beyond_the_broadcast_limit(spark, monkeypatch):
     assert all(counts[(f"l{i}", "val")] == max(1, int((i + 1) * 0.2)) for i in range(9))
 
 
+def test_cutoffs_over_the_whole_bigint_range(spark):
+    keys = [-(2**63), -5, 0, 1, 2, 7, 2**63 - 1]
+    df = spark.createDataFrame([("g", k) for k in keys], "label string, at long")
+    for k in range(1, 7):
+        got = scale.cutoffs(df, ["label"], [F.col("at")], quota=lambda n: F.lit(k), edge_rows=1)
+        assert got.first()["cut"]["o0"] == keys[k - 1]
+
+
 def test_order_statistics_with_ties_and_outliers(spark):
     data = [("a", float(v)) for v in range(1000)] + [("b", 5.0)] * 500 + [("b", 1e12), ("c", 7.0), ("d", -3.5), ("d", 2.0)]
     df = spark.createDataFrame(data, "k string, v double")
