@@ -41,6 +41,12 @@ def _found(method: str, label, text: Column, confidence=1.0) -> Column:
     )
 
 
+def _checked(method: str, rules: list) -> None:
+    """Mistakes in a step show up when the route is built, not when it runs."""
+    if not rules:
+        raise ValueError(f"{method} step without rules")
+
+
 def _first(cases: list[tuple[Column, Column]]) -> Column:
     (cond, value), *rest = cases
     out = F.when(cond, value)
@@ -72,6 +78,7 @@ def substring_pattern(words: list[str]) -> str:
 
 def prefix(rules: list[tuple[str, str]], strip_prefix: bool = True) -> Step:
     """Rules (prefix, label) in order; the prefix and the white space after it are removed."""
+    _checked("prefix", rules)
 
     def match(text: Column) -> Column:
         def rest(p: str) -> Column:
@@ -109,6 +116,7 @@ def question(label: str = "chat") -> Step:
 
 def regex(rules: list[tuple[str, str]]) -> Step:
     """Rules (pattern, label) in order, searched in the whole text; flags go inside the pattern."""
+    _checked("regex", rules)
 
     def match(text: Column) -> Column:
         return _first([(text.rlike(pattern), _found("regex", label, text)) for pattern, label in rules])
@@ -123,6 +131,11 @@ def keyword(
     match_mode: str = "word",
 ) -> Step:
     """Rules (words, label) in order. ``match``: any | all; ``match_mode``: word | substring."""
+    _checked("keyword", rules)
+    for words, label in rules:
+        _checked(f"keyword ({label})", words)
+        if "" in words:
+            raise ValueError(f"keyword ({label}): empty word")
     if match not in ("any", "all") or match_mode not in ("word", "substring"):
         raise ValueError(f"keyword step: match={match}, match_mode={match_mode}")
 
@@ -185,6 +198,9 @@ def language(
 
 def length(rules: list[dict], unit: str = "chars") -> Step:
     """Rules {min, max, label} in order, inclusive; ``unit``: chars | tokens."""
+    _checked("length", rules)
+    if any("min" not in r and "max" not in r for r in rules):
+        raise ValueError("length rule without min or max")
     if unit not in ("chars", "tokens"):
         raise ValueError(f"length unit: {unit}")
 
@@ -261,6 +277,8 @@ def route(df: DataFrame, steps: list[Step], strict: bool = False) -> DataFrame:
     fail the query with ``strict=True``. Classifier steps only see the rows the steps before
     them left unmatched: those rows are split off, scored and put back by a union.
     """
+    if not steps:
+        raise ValueError("a route needs at least one step")
     at = next((i for i, s in enumerate(steps) if s.score is not None), None)
     native = steps if at is None else steps[:at]
     decided = df.withColumn("__decision", _decide(native, F.col("text")))

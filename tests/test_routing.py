@@ -66,6 +66,19 @@ def test_keyword_modes(spark):
         rt.keyword(rules, match="some")
 
 
+def test_bad_steps_fail_when_built(spark):
+    for make in (
+        lambda: rt.prefix([]),
+        lambda: rt.regex([]),
+        lambda: rt.keyword([([], "x")]),
+        lambda: rt.length([{"label": "x"}]),
+        lambda: rt.length([{"max": 1, "label": "x"}], unit="lines"),
+        lambda: rt.route(spark.range(1), []),
+    ):
+        with pytest.raises(ValueError):
+            make()
+
+
 def test_length(spark):
     rules = [{"max": 80, "label": "1"}, {"max": 500, "label": "2"}, {"min": 501, "label": "3"}]
     assert labels(spark, ["x" * n for n in (80, 81, 500, 501)], rt.length(rules)) == ["1", "2", "2", "3"]
