@@ -8,9 +8,11 @@ Method: a sparse product of the document by n-gram incidence matrix with its tra
    first ``size - ceil(share * size) + 1``. N-grams of a single set are left out.
 3. ``families``  the set that fits an n-gram's other sets best becomes its pivot; all sets that share an
    n-gram with the same pivot form a family, so every pair in question is inside a family.
-4. ``tile_links``  a family is cut in blocks of bounded size. A block's product accumulates overlap
-   counts; cells below the bound from the two sizes are discarded, and of the rest a spanning forest is emitted.
-5. Sets of a family that are still apart meet in tiles of two blocks. Links join to components.
+4. ``survivors``  a family is cut in blocks of bounded size. The product of short count vectors (n-grams by
+   hash bucket) bounds the overlaps from above; sets whose every cell is below the bound from the two sizes leave.
+5. ``_tile_links``  for the rest the product of whole n-gram sets accumulates overlap counts; cells below the bound are
+   discarded, and of the others a spanning forest is emitted.
+6. Sets of a family that are still apart meet in tiles of two blocks. Links join to components.
 
 Equal sets are one row throughout, whatever their number of copies.
 
@@ -40,6 +42,7 @@ HOT = 60_000  # postings of one n-gram that a bucket may hold
 BUCKET_POSTINGS = 1_500_000
 TILE_TOKENS = 300_000  # n-grams of the sets of one block
 DENSE_CELLS = 4_000_000  # of a dense slice of the incidence matrix
+WANTED_BITS = 1 << 24  # of the bitmap that tells whose sets are read again; more bits only save work
 
 
 def set_fingerprint(tokens: np.ndarray) -> int:
@@ -52,6 +55,12 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def bucket_counts(tokens: np.ndarray) -> bytes:
+    """Numbers of n-grams by hash bucket, 255 at most; a quarter to a half as many buckets as n-grams."""
+    buckets = max(16, 1 << max(0, len(tokens).bit_length() - 2))
+    return np.minimum(np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
 # --- 1. profiles ---------------------------------------------------------------------------
 
 
@@ -59,21 +68,22 @@ def _profiles(words: int, cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(cells, np.uint32), set()
         for batch in batches:
-            out = ([], [], [])
+            out = ([], [], [], [])
             ids = batch.column(0).to_pylist()
             for row, tokens in text_shingles(batch.column(1), words):
                 mark = set_fingerprint(tokens)
                 out[0].append(ids[row])
                 out[1].append(len(tokens))
                 out[2].append(mark)
+                out[3].append(bucket_counts(tokens) if mark not in seen else None)
                 if mark not in seen:  # copies in one task count once
                     seen.add(mark)
                     np.add.at(counts, (tokens & np.uint64(cells - 1)).astype(np.int64), 1)
             n = len(out[0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                ["doc_id", "n", "mark", "block", "counts"],
+                 pa.array(out[3], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                ["doc_id", "n", "mark", "shape", "block", "counts"],
             )
         blocks = [b for b in range(0, cells, SKETCH_BLOCK) if counts[b : b + SKETCH_BLOCK].any()]
         packed = [
@@ -81,22 +91,25 @@ def _profiles(words: int, cells: int):
         ]
         n = len(blocks)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
              pa.array([b // SKETCH_BLOCK for b in blocks], pa.int32()), pa.array(packed, pa.binary())],
-            ["doc_id", "n", "mark", "block", "counts"],
+            ["doc_id", "n", "mark", "shape", "block", "counts"],
         )
 
     return run
 
 
 def profiles(docs: DataFrame, words: int, cells: int = CELLS) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, mark) of every document, and the sketch as (block, counts) per task."""
+    """(doc_id, n, mark, shape) of every document, and the sketch as (block, counts) per task.
+
+    ``shape`` (bucket counts) is there once for each set and task.
+    """
     made = docs.select("doc_id", "text").mapInArrow(
-        _profiles(words, cells), "doc_id long, n long, mark long, block int, counts binary"
+        _profiles(words, cells), "doc_id long, n long, mark long, shape binary, block int, counts binary"
     )
     made = materialize(made, "profiles")
     return (
-        made.filter("block IS NULL").select("doc_id", "n", "mark"),
+        made.filter("block IS NULL").select("doc_id", "n", "mark", "shape"),
         made.filter("block IS NOT NULL").select("block", "counts"),
     )
 
@@ -240,10 +253,17 @@ def families(post: DataFrame, percent: int) -> DataFrame:
 # --- 4. tiles ------------------------------------------------------------------------------
 
 
-def _sets(words: int):
+def _sets(words: int, wanted, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, seen = wanted.value, set()
         for batch in batches:
-            out = [(set_fingerprint(t), t.tobytes()) for _, t in text_shingles(batch.column(0), words)]
+            places = batch.column(0).to_numpy()
+            batch = batch.filter(pa.array((table[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1))
+            out = []
+            for _, tokens in text_shingles(batch.column(1), words):
+                if len(tokens) and (mark := set_fingerprint(tokens)) not in seen:
+                    seen.add(mark)
+                    out.append((mark, tokens.tobytes()))
             for a in range(0, len(out), 500):
                 part = out[a : a + 500]
                 yield pa.RecordBatch.from_arrays(
@@ -254,6 +274,27 @@ def _sets(words: int):
     return run
 
 
+def _place(bits: int):
+    return F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+
+
+def read_sets(docs: DataFrame, wanted: DataFrame, words: int, bits: int = WANTED_BITS) -> DataFrame:
+    """(node, tokens) of the documents in ``wanted`` (doc_id), and of few others.
+
+    A bitmap of fixed size picks the documents, so no text is shuffled. A node comes once for each task at most.
+    """
+    place = _place(bits)
+    rows = wanted.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+    )
+    table = np.zeros(bits // 8 + 8192, np.uint8)
+    for row in rows.collect():  # bits / 32768 + 1 rows of 4 KB at most
+        table[row.part * 4096 : (row.part + 1) * 4096] = np.frombuffer(row.bits, np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    position = F.bitmap_bucket_number(place) * 32768 + F.bitmap_bit_position(place)
+    return docs.select(position.alias("place"), "text").mapInArrow(_sets(words, shared, bits), "node long, tokens binary")
+
+
 def overlap_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Numbers of common n-grams, all of ``left`` by all of ``right``: a product in dense slices."""
     sizes = [len(t) for t in (*left, *right)]
@@ -302,6 +343,7 @@ def _tiles(percent: int):
     """Links of each tile; rows arrive sorted by tile. side 0: rows, 1: columns, null: both."""
 
     def links(rows: list[tuple]) -> list[tuple[int, int]]:
+        rows = list({(r[0], r[1]): r for r in rows}.values())  # a set may come from several tasks
         if len(rows) < 2:
             return []
         sides = [[r for r in rows if r[0] in (None, s)] for s in (0, 1)]
@@ -344,7 +386,89 @@ def _tiles(percent: int):
     return run
 
 
+def overlap_bounds(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sums of the smaller counts over the buckets, all rows by all rows: at least the numbers of common n-grams."""
+    out, level = np.zeros((len(left), len(right)), np.float32), 1
+    full = (left == 255).any() or (right == 255).any()  # such a count may stand for more
+    while True:
+        used = (left >= level).any(0) & (right >= level).any(0)
+        if not used.any():
+            break
+        out += (left[:, used] >= level).astype(np.float32) @ (right[:, used] >= level).astype(np.float32).T
+        level += 1
+    return np.where(full, np.inf, out)
+
+
+def _fold(shapes: list[np.ndarray], buckets: int) -> np.ndarray:
+    return np.stack([s.reshape(-1, buckets).sum(0, dtype=np.int32) for s in shapes])
+
+
+def _survivors(percent: int):
+    """Rows of each tile that some row of the other side may be linked with."""
+
+    def keep(rows: list[tuple]) -> list[tuple]:
+        both = rows[0][3] is None
+        shapes = [np.frombuffer(r[6], np.uint8) for r in rows]
+        size = np.array([r[5] for r in rows])
+        width = np.array([len(s) for s in shapes])
+        side = np.array([0 if both else r[3] for r in rows])
+        alive = np.zeros(len(rows), bool)
+        for w in np.unique(width):  # sizes of linked sets differ by a third at most, widths by one step
+            mine, near = np.flatnonzero(width == w), np.flatnonzero((width == w) | (width == 2 * w))
+            if not both:
+                pairs = [(mine[side[mine] == s], near[side[near] == 1 - s]) for s in (0, 1)]
+            else:
+                pairs = [(mine, near)]
+            for a, b in pairs:
+                for c in range(0, len(b), 2_000 if w < 1_000 else 100):
+                    part = b[c : c + (2_000 if w < 1_000 else 100)]
+                    for d in range(0, len(a), 500):
+                        own = a[d : d + 500]
+                        bound = overlap_bounds(_fold([shapes[i] for i in own], w), _fold([shapes[i] for i in part], w))
+                        bound = np.minimum(bound, np.minimum(size[own][:, None], size[part][None, :]))
+                        ok = linked(bound, size[own], size[part], percent) & (own[:, None] != part[None, :])
+                        alive[own] |= ok.any(1)
+                        alive[part] |= ok.any(0)
+        return [rows[i] for i in np.flatnonzero(alive)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, rows, found = None, [], []
+
+        def made():
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            names = [*_TILE, "side", "node", "group"]
+            columns = [pa.array([r[k] for r in found], kind) for k, kind in zip((0, 1, 2, 3, 4, 7), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        def close():
+            distinct = list({(r[3], r[4]): r for r in rows}.values())
+            return keep(distinct) if len(distinct) > 1 else []
+
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if row[:3] != tile:
+                    found += close()
+                    tile, rows = row[:3], []
+                rows.append(row)
+            if len(found) > 10_000:
+                yield made()
+                found = []
+        found += close()
+        yield made()
+
+    return run
+
+
 _TILE = ["pivot", "row_block", "column_block"]
+_MEMBER = ", ".join(["pivot long, row_block int, column_block int, side int, node long, group long"])
+
+
+def survivors(members: DataFrame, shapes: DataFrame, percent: int, label: str) -> DataFrame:
+    rows = members.join(shapes, "node").select(*_TILE, "side", "node", "n", "shape", "group")
+    dealt = rows.repartition(*_TILE).sortWithinPartitions(*_TILE)
+    return materialize(dealt.mapInArrow(_survivors(percent), _MEMBER), label)
+
+
 
 
 def _tile_links(members: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
@@ -372,22 +496,22 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, cells
     usable = docs.filter("doc_id IS NOT NULL")
     post = postings(usable, words, percent, levels, expected)
     family = materialize(families(post, percent), "families")
-
     sizes = family.groupBy("pivot").agg(F.ceil(F.sum("n") / TILE_TOKENS).cast("int").alias("blocks"))
     family = family.join(sizes, "pivot")
-
-    wanted = family.select("node").distinct().join(distinct.select(F.col("mark").alias("node"), "doc_id"), "node")
-    texts = usable.select("doc_id", "text").join(wanted.select("doc_id"), "doc_id", "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(words), "node long, tokens binary").join(wanted.select("node"), "node", "left_semi")
-    sets = materialize(sets.dropDuplicates(["node"]), "sets")
+    shapes = profile.filter("shape IS NOT NULL").select(F.col("mark").alias("node"), "n", "shape")
+    shapes = materialize(shapes.join(family.select("node").distinct(), "node", "left_semi"), "shapes")
 
     # all pairs inside a block, and the pivot with every block
-    pivots = family.filter("node = pivot").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("row_block"))
+    turn = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pivots = family.filter("node = pivot").select("*", turn.alias("row_block"))
     others = family.filter("node <> pivot").withColumn("row_block", _blocks("blocks"))
     inside = pivots.unionByName(others).select(
         "pivot", "row_block", F.lit(0).alias("column_block"), F.lit(None).cast("int").alias("side"),
         "node", F.lit(None).cast("long").alias("group"),
     )
+    inside = survivors(inside, shapes, percent, "inside")
+    wanted = distinct.withColumnRenamed("mark", "node")
+    sets = materialize(read_sets(usable, wanted.join(inside.select("node").distinct(), "node"), words), "sets")
     links = _tile_links(inside, sets, percent, "links")
 
     # sets that are not yet with their pivot, with the other blocks of their family
@@ -398,7 +522,6 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, cells
         named = named.withColumn("group", F.coalesce("group", "node")).withColumn("own", _blocks("blocks"))
         heart = named.filter("node = pivot").select("pivot", F.col("group").alias("heart"))
         named = materialize(named.join(heart, "pivot"), "named")
-        turn = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         rows = named.filter("group <> heart").select(
             "pivot", F.col("own").alias("row_block"), turn.alias("column_block"), F.lit(0).alias("side"), "node", "group"
         )
@@ -407,6 +530,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, cells
             "pivot", "row_block", F.col("own").alias("column_block"), F.lit(1).alias("side"), "node", "group"
         )
         apart = rows.filter("row_block <> column_block").unionByName(columns.filter("row_block <> column_block"))
+        apart = survivors(apart, shapes, percent, "apart")
+        more = wanted.join(apart.select("node").distinct(), "node").join(inside.select("node"), "node", "left_anti")
+        sets = sets.unionAll(materialize(read_sets(usable, more, words), "sets"))
         links = links.unionAll(_tile_links(apart, sets, percent, "far"))
 
     # classes carry the least doc_id of their sets
