@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
+from .ball_tree import top_inner_products
+from .neighbours import nearest
 from .ngram_join import jaccard_components
 from .packing import pack_documents
 
@@ -21,10 +23,18 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER, decoded=True)
     return coded.select(
@@ -37,7 +47,33 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_nearest": op2_nearest,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_ball_tree": op5_ball_tree,
     "op7_bpe": op7_bpe,
 }
-ORACLES: dict[str, str] = {}
+_VECTORS = """v AS (
+  SELECT vec_id, min({value}) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0{more}
+  GROUP BY vec_id)"""
+_PRODUCT = "list_reduce(list_transform(generate_series(1, len(q.x)), lambda i: q.x[i] * c.x[i]), lambda a, b: a + b)"
+
+
+def _search_sql(vectors: str, every: int, k: int, kind: str) -> str:
+    return f"""WITH {vectors}, pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, {_PRODUCT} AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % {every} = 0), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS {kind}) AS score FROM ranked WHERE rank <= {k}"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_nearest": _search_sql(
+        _VECTORS.format(
+            value="CAST(embedding AS DOUBLE[])", more=" AND len(list_filter(embedding, lambda c: c <> 0)) > 0"
+        ), 20, 20, "DOUBLE"),
+    "op5_ball_tree": _search_sql(
+        _VECTORS.format(
+            value="list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT))", more=""
+        ), 50, 5, "BIGINT"),
+}
