@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, quality
 from .ball_tree import top_inner_products
 from .neighbours import nearest
 from .ngram_join import jaccard_components
@@ -45,12 +45,29 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels").filter(~held_out()), "quality", ("n_chars",))
+    scored = quality.score(docs, model, ("n_chars",))
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_nearest": op2_nearest,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_ball_tree": op5_ball_tree,
     "op7_bpe": op7_bpe,
+    "op9_quality": op9_quality,
 }
 _VECTORS = """v AS (
   SELECT vec_id, min({value}) AS x FROM embeddings
