@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, quality
 from .ball_tree import top_inner_products
+from .line_dedup import repeated_lines
 from .neighbours import nearest
 from .ngram_join import jaccard_components
 from .packing import pack_documents
@@ -45,6 +46,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_ball_tree": op5_ball_tree,
     "op7_bpe": op7_bpe,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
 }
 _VECTORS = """v AS (
