@@ -12,6 +12,8 @@ from .line_dedup import repeated_lines
 from .neighbours import nearest
 from .ngram_join import jaccard_components
 from .packing import pack_documents
+from .secret_scan import per_row, secret_spans
+from .spans import span_text
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -36,6 +38,25 @@ def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
 
 
+def _span_columns(kinds: list[str]) -> list[Column]:
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return [
+        "doc_id",
+        *[count(kind) for kind in kinds],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    ]
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return per_row(docs, secret_spans(docs)).select(*_span_columns(["assign", "access", "hex"]))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER, decoded=True)
     return coded.select(
@@ -71,6 +92,7 @@ QUERIES = {
     "op2_nearest": op2_nearest,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_ball_tree": op5_ball_tree,
+    "op6_secret_scan": op6_secret_scan,
     "op7_bpe": op7_bpe,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
