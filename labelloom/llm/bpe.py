@@ -30,7 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 
 END = "Ā"  # stands for the end of a word; other letters of a word are its UTF-8 bytes
-KEPT_PARTS = 400_000  # parts of texts whose tokens a worker keeps
+KEPT_PARTS = 300_000  # parts of texts whose tokens a worker keeps
+KEPT_WORDS = 700_000  # words whose tokens a worker keeps
 KEPT_BYTES = 40  # no longer parts are kept
 #: Fixed values of the format: white space and the pieces between which no merge happens.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -65,7 +66,12 @@ class Bpe:
             pair = (vocab[a], vocab[b])
             self.joined[pair] = made = vocab[a + b]
             self.split.setdefault(made, pair)
-        self.size = {i: len(t) for t, i in self.ids.items()}
+        top = max(*vocab.values(), *self.special.values()) + 1
+        self.size = [0] * top
+        for t, i in self.ids.items():
+            self.size[i] = len(t)
+        self.back = [n - 1 for n in self.size]
+        self.packed = [i.to_bytes(4, "little") for i in range(top)]
         self.pairs: dict[int, bool] = {}
         self._usable_tokens()
         self.pieces = regex.compile(PIECES)
@@ -84,8 +90,9 @@ class Bpe:
         usable = {}
         for text, i in sorted(self.ids.items(), key=lambda x: x[1]):  # parts come before the whole
             parts = self.split.get(i)
-            if parts is None or (parts[0] in self.size and self.may_follow(*parts, below=i)):
+            if parts is None or self.may_follow(*parts, below=i):
                 usable[text] = i
+        self.usable = usable
         self.machine = ahocorasick.Automaton()
         for text, i in usable.items():
             self.machine.add_word(text, i)
@@ -120,26 +127,39 @@ class Bpe:
             self.pairs[known] = answer
         return answer
 
-    def word(self, text: str) -> list[int]:
+    def word(self, text: str) -> bytes:
         """Tokens of one word, given as letters of its UTF-8 bytes without the end."""
         text += END
-        whole = self.ids.get(text)
-        longest: list[int | None] = [None] * len(text)
-        size, shorter, follows = self.size, self.shorter, self.may_follow
-        for end, i in self.machine.iter(text):
-            start = end - size[i] + 1
-            if (old := longest[start]) is None or size[old] < size[i]:
-                longest[start] = i
-        if whole is not None and longest[0] == whole:
-            return [whole]
-        dead = [False] * (len(text) + 1)
-        out: list[int] = []
-        at, token, n = 0, longest[0], len(text)
+        if (whole := self.usable.get(text)) is not None:
+            return self.packed[whole]
+        n = len(text)
+        back, size, shorter, pairs, follows = self.back, self.size, self.shorter, self.pairs, self.may_follow
+        packed = self.packed
+        # the longest tokens one after the other are often right; tokens that may all follow each other are the encoding
+        left, out = n, []
+        for _, token in self.machine.iter_long(text):
+            if out:
+                fits = pairs.get((out[-1] << 32) | token)
+                if not (follows(out[-1], token) if fits is None else fits):
+                    break
+            left -= size[token]
+            out.append(token)
+        if not left:
+            return b"".join([packed[i] for i in out])
+        longest: list[int | None] = [None] * (n + 1)
+        for end, i in self.machine.iter(text):  # ends come in order: the last token noted at a place is the longest
+            longest[end - back[i]] = i
+        dead, out = [False] * (n + 1), []
+        at, token = 0, longest[0]
         while at < n:
             while token is not None:
                 after = at + size[token]
-                if not dead[after] and (after == n or longest[after] is not None) and (not out or follows(out[-1], token)):
-                    break
+                if not dead[after] and (after == n or longest[after] is not None):
+                    if not out:
+                        break
+                    fits = pairs.get((out[-1] << 32) | token)
+                    if follows(out[-1], token) if fits is None else fits:
+                        break
                 token = shorter.get(token)
             if token is None:
                 dead[at] = True
@@ -148,21 +168,22 @@ class Bpe:
                 token = shorter.get(token)
                 continue
             out.append(token)
-            at += size[token]
-            token = longest[at] if at < n else None
-        return out
+            at = after
+            token = longest[at]
+        return b"".join([packed[i] for i in out])
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
+        words = (text,) if text.isalpha() else self.pieces.findall(text)  # letters only: one piece
         out = []
-        for piece in self.pieces.findall(text.lower()):
+        for piece in words:
             got = self.words.get(piece)
             if got is None:
-                ids = self.word(piece if piece.isascii() else piece.encode().decode("latin-1"))
-                got = np.array(ids, "<u4").tobytes()
+                got = self.word(piece if piece.isascii() else piece.encode().decode("latin-1"))
                 if len(piece) <= KEPT_BYTES:
-                    if len(self.words) >= KEPT_PARTS:
+                    if len(self.words) >= KEPT_WORDS:
                         self.words.clear()
                     self.words[piece] = got
             out.append(got)
@@ -173,7 +194,7 @@ class Bpe:
         text = raw.decode()
         if self.cut is not None and "<" in text and (found := self.cut.split(text)):
             got = b"".join(
-                np.array([self.special[x]], "<u4").tobytes() if k % 2 else self._plain(x) for k, x in enumerate(found)
+                self.packed[self.special[x]] if k % 2 else self._plain(x) for k, x in enumerate(found)
             )
         else:
             got = self._plain(text)
