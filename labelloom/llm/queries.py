@@ -12,6 +12,7 @@ from .line_dedup import repeated_lines
 from .neighbours import nearest
 from .ngram_join import jaccard_components
 from .packing import pack_documents
+from .pii import pii_spans
 from .secret_scan import per_row, secret_spans
 from .spans import span_text
 
@@ -87,6 +88,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return per_row(docs, pii_spans(docs)).select(*_span_columns(["email", "ip", "card", "phone"]))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_nearest": op2_nearest,
@@ -96,6 +102,7 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
+    "op10_pii": op10_pii,
 }
 _VECTORS = """v AS (
   SELECT vec_id, min({value}) AS x FROM embeddings

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re._constants as sre
 import re._parser as sre_parser
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,8 @@ from .spans import Rule, kind_names, located, row_key, span_text
 MAX_STRINGS = 64  # literal strings of a pattern that are followed at once
 
 
-def _length(least: int) -> Column:
-    return F.length("value") >= least
+def _length(least: int) -> Callable[[], Column]:
+    return lambda: F.length("value") >= least
 
 
 #: The base rules, then further well-known formats.
@@ -160,7 +161,7 @@ def secret_spans(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     return spans.select("key", "rule", kind_names(rules).alias("kind"), "start", "end", base.alias("base"))
 
 
-def per_row(docs: DataFrame, spans: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+def per_row(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Every row of ``docs`` (doc_id and ``spans``: array of start, rule, end, kind, base; empty without secrets)."""
     one = F.struct("start", "rule", "end", "kind", "base")
     grouped = spans.groupBy("key").agg(F.array_sort(F.collect_list(one)).alias("spans"))

@@ -6,6 +6,7 @@ a match is the sum of the lengths before it: one running sum per text and rule,
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +19,7 @@ class Rule(NamedTuple):
     kind: str
     pattern: str
     group: int = 0
-    valid: Column | None = None
+    valid: Callable[[], Column] | None = None
     base: bool = False
 
 
@@ -27,31 +28,37 @@ def row_key() -> Column:
     return F.xxhash64(F.lit("row"), "doc_id", "text")
 
 
-def _matches(text: Column, number: int, rule: Rule, wanted: Column) -> Column:
+def _matches(text: Column, number: int, rule: Rule, wanted: Column, around: int) -> Column:
     pattern = F.lit(rule.pattern)
+    gaps = F.split(text, rule.pattern, -1)
     zipped = F.arrays_zip(
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"),
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("value"),
-        F.split(text, rule.pattern, -1).alias("gap"),
+        gaps.alias("gap"),
+        *([F.slice(gaps, 2, F.size(gaps)).alias("after")] if around else []),
     )
     found = F.transform(
         F.filter(zipped, lambda x: x["match"].isNotNull()),
         lambda x, i: F.struct(
             F.lit(number).alias("rule"), i.alias("i"), x["match"].alias("match"), x["value"].alias("value"),
             F.length(x["gap"]).alias("gap"),
+            *([F.right(x["gap"], F.lit(around)).alias("before"), F.left(x["after"], F.lit(around)).alias("after")] if around else []),
         ),
     )
-    kind = "array<struct<rule:int,i:int,match:string,value:string,gap:int>>"
+    kind = f"array<struct<rule:int,i:int,match:string,value:string,gap:int{',before:string,after:string' if around else ''}>>"
     return F.when(wanted & text.rlike(rule.pattern), found).otherwise(F.array().cast(kind))
 
 
-def located(rows: DataFrame, rules: dict[int, Rule], wanted: dict[int, Column] | None = None) -> DataFrame:
+def located(
+    rows: DataFrame, rules: dict[int, Rule], wanted: dict[int, Column] | None = None, around: int = 0
+) -> DataFrame:
     """(key, rule, start, end, match, value) of every valid match in ``rows`` (key, text).
 
     Matches of a rule do not overlap and are taken from the left; invalid ones are dropped. Places are code points.
+    ``around``: add so many characters ``before`` and ``after`` each match, up to the next match of the rule.
     """
     text = F.col("text")
-    lists = [_matches(text, n, r, F.lit(True) if wanted is None else wanted[n]) for n, r in rules.items()]
+    lists = [_matches(text, n, r, F.lit(True) if wanted is None else wanted[n], around) for n, r in rules.items()]
     found = rows.select("key", F.explode(F.concat(*lists)).alias("m")).select("key", "m.*")
     order = Window.partitionBy("key", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.length("match")).over(order)
@@ -59,8 +66,9 @@ def located(rows: DataFrame, rules: dict[int, Rule], wanted: dict[int, Column] |
     ok = F.lit(True)
     for n, rule in rules.items():
         if rule.valid is not None:
-            ok = F.when(F.col("rule") == n, rule.valid).otherwise(ok)
-    return placed.filter(ok).select("key", "rule", "start", "end", "match", "value")
+            ok = F.when(F.col("rule") == n, rule.valid()).otherwise(ok)
+    more = ["before", "after"] if around else []
+    return placed.filter(ok).select("key", "rule", "start", "end", "match", "value", *more)
 
 
 def span_text(spans: Column) -> Column:
