@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality
+from . import bpe, quality, toxicity
 from .ball_tree import top_inner_products
 from .line_dedup import repeated_lines
 from .neighbours import nearest
@@ -31,6 +31,12 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out()))
+    return toxicity.score(docs, model).withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -96,6 +102,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_nearest": op2_nearest,
+    "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_ball_tree": op5_ball_tree,
     "op6_secret_scan": op6_secret_scan,
