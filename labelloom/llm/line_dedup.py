@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .bitmaps import bitmap, holds
 from .scratch import materialize
@@ -277,6 +278,6 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     changed = marked.mapInArrow(touched, marked.schema).drop("__mark").join(gone, F.col("doc_id") == F.col("__doc"), "left")
     changed = changed.drop("__doc")
     at = changed.columns.index("text")
-    schema = changed.schema.add("__left", "boolean")
+    schema = StructType([*changed.schema.fields, StructField("__left", BooleanType())])
     rewritten = changed.mapInArrow(_rewrite(at, len(changed.columns) - 1), schema).filter("__left").drop("__left", "__gone")
     return marked.mapInArrow(untouched, marked.schema).drop("__mark").unionByName(rewritten)

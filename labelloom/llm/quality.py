@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .features import STATISTICS, hashed, statistics, text_chunks
 
@@ -169,32 +170,28 @@ def train(docs: DataFrame, labels: DataFrame, label: str, metadata: tuple[str, .
     return [bytes(x) for x in model.first()]
 
 
-def _score(model, ids: int, metadata: int):
+def _score(model, text: int, metadata: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Machine.opened(model.value)
-
         for batch in batches:
-            scores = np.zeros(batch.num_rows)
-            held: list = []
+            scores, held = np.zeros(batch.num_rows), []
 
-            def flush():
+            def flush(scores=scores):
                 sizes = np.array([len(h[1]) for h in held])
                 logit = machine.score(
                     np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held]),
                     np.cumsum(sizes) - sizes, np.stack([h[3] for h in held]),
                 )
                 scores[[h[0] for h in held]] = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
+                held.clear()
 
-            for row in _rows(batch, ids, list(range(ids + 1, ids + 1 + metadata))):
+            for row in _rows(batch, text, metadata):
                 held.append(row)
                 if len(held) == 200:
                     flush()
-                    held = []
             if held:
                 flush()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores)], [*batch.schema.names, "__score"]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "__score"])
 
     return run
 
@@ -202,7 +199,8 @@ def _score(model, ids: int, metadata: int):
 def score(docs: DataFrame, model: list[bytes], metadata: tuple[str, ...] = (), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns, and ``__score``: probability that the label is 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    inputs = docs.select(*keep, F.col("text").alias("__text"), *[F.col(m).alias(f"__m_{m}") for m in metadata])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema) + ", __score double"
-    scored = inputs.mapInArrow(_score(shared, len(keep), len(metadata)), schema)
-    return scored.drop("__text", *[f"__m_{m}" for m in metadata])
+    inputs = docs.select(*dict.fromkeys([*keep, "text", *metadata]))
+    at = inputs.columns.index
+    schema = StructType([*inputs.schema.fields, StructField("__score", DoubleType())])
+    scored = inputs.mapInArrow(_score(shared, at("text"), [at(m) for m in metadata]), schema)
+    return scored.select(*keep, "__score")

@@ -29,11 +29,11 @@ def _length(least: int) -> Callable[[], Column]:
     return lambda: F.length("value") >= least
 
 
-#: The base rules, then further well-known formats.
+#: The base rules, then further well-known formats. A run of 32 or more hex digits is the run as a whole.
 RULES = [
     Rule("assign", "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, _length(8), True),
     Rule("access", "AKIA[A-Z0-9]+", 0, _length(16), True),
-    Rule("hex", "[0-9a-f]+", 0, _length(32), True),
+    Rule("hex", "[0-9a-f]{32,}", 0, None, True),
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
