@@ -189,9 +189,10 @@ def strip_fence(text: Column) -> Column:
 # --- encoding -------------------------------------------------------------------
 
 
-def byte_values(text: Column, max_bytes: int = fv.MAX_BYTES) -> Column:
-    """ARRAY<BIGINT> of the first ``max_bytes`` UTF-8 bytes."""
-    one_char_per_byte = F.decode(F.substring(F.encode(text, "UTF-8"), 1, max_bytes), "ISO-8859-1")
+def byte_values(text: Column, max_bytes: int | None = None) -> Column:
+    """ARRAY<BIGINT> of the UTF-8 bytes, of the first ``max_bytes`` if that is given."""
+    data = F.encode(text, "UTF-8")
+    one_char_per_byte = F.decode(data if max_bytes is None else F.substring(data, 1, max_bytes), "ISO-8859-1")
     chars = F.array_remove(F.split(one_char_per_byte, ""), "")
     return F.transform(chars, lambda c: F.ascii(c).cast("bigint"))
 
@@ -206,9 +207,9 @@ def byte_encode(text: Column, max_bytes: int = fv.MAX_BYTES) -> Column:
 
 
 def ngram_buckets(
-    text: Column, sizes: list[int] | None = None, buckets: int = 65_536, max_bytes: int = fv.MAX_BYTES
+    text: Column, sizes: list[int] | None = None, buckets: int = 65_536, max_bytes: int | None = None
 ) -> Column:
-    """Distinct hash buckets (ARRAY<BIGINT>) of the byte n-grams that occur.
+    """Distinct hash buckets (ARRAY<BIGINT>) of the byte n-grams that occur in the whole text.
 
     An n-gram is the big-endian number of its bytes (at most 6 bytes), its bucket that
     number modulo ``buckets``; the i-th size uses the range starting at ``i * buckets``.

@@ -43,7 +43,7 @@ class NaiveBayes:
     classes: list[str]
     sizes: list[int]
     buckets: int
-    max_bytes: int
+    max_bytes: int | None
     weights: DataFrame
     rows: list[int]
     features: list[int]
@@ -78,7 +78,7 @@ def train_naive_bayes(
     classes: list[str],
     sizes: list[int] | None = None,
     buckets: int = 65_536,
-    max_bytes: int = fv.MAX_BYTES,
+    max_bytes: int | None = None,
 ) -> NaiveBayes:
     """Counts of present features per class, add-one smoothing over all buckets.
 

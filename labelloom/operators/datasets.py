@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.draws import draw
 from ..functions.text import strip
-from .scale import DRAW_SPAN, checked_broadcast, cutoffs, seeded_order, within_cutoff
+from .scale import DRAW_SPAN, checked_broadcast, cutoffs, row_hash, seeded_order, within_cutoff
 
 CLASSES_SCHEMA = T.StructType(
     [
@@ -42,6 +42,17 @@ def with_correct(df: DataFrame) -> DataFrame:
     return df.withColumn("correct", (F.col("pred") == F.col("label")).cast("int"))
 
 
+def with_record_id(df: DataFrame, col: str = "record_id") -> DataFrame:
+    """Add a key made of the row's own content, for tables without one; equal rows share it."""
+    return df.withColumn(col, F.md5(F.to_json(F.struct(*df.columns))))
+
+
+def _known_id() -> Column:
+    """``record_id``; a NULL is an error, because every seeded choice depends on it."""
+    missing = F.raise_error(F.lit("record_id is NULL: see with_record_id"))
+    return F.when(F.col("record_id").isNull(), missing.cast("string")).otherwise(F.col("record_id").cast("string"))
+
+
 # --- joins -------------------------------------------------------------------------
 
 
@@ -66,8 +77,11 @@ def class_deficit(
 
 
 def attach_predictions(records: DataFrame, preds: DataFrame) -> DataFrame:
-    """Add ``pred`` by ``record_id``; a record without a prediction is an error."""
-    joined = records.join(preds.select("record_id", "pred"), "record_id", "left")
+    """Add ``pred`` by ``record_id``; a record with no prediction, or with several, is an error."""
+    several = F.raise_error(F.concat(F.lit("several predictions for record "), F.col("record_id").cast("string")))
+    single = preds.groupBy("record_id").agg(F.first("pred").alias("pred"), F.count(F.lit(1)).alias("__n"))
+    single = single.select("record_id", F.when(F.col("__n") > 1, several.cast("string")).otherwise(F.col("pred")).alias("pred"))
+    joined = records.join(single, "record_id", "left")
     missing = F.raise_error(F.concat(F.lit("no prediction for record "), F.col("record_id").cast("string")))
     return joined.withColumn("pred", F.when(F.col("pred").isNull(), missing).otherwise(F.col("pred")))
 
@@ -118,12 +132,11 @@ def stratified_split(
         marked = df.withColumn("__unit", unit)
         units = marked.groupBy("label", "__unit").agg(F.count(F.lit(1)).alias("__rows"))
         number = draw(seed, F.col("__unit"), "split")
-        order = [number, F.col("__unit")]
+        order = [number, F.col("__unit")]  # units are distinct
         cuts = cutoffs(units, ["label"], order, quota=val_rows, span=DRAW_SPAN)
         chosen = within_cutoff(marked, cuts, ["label"], order, "__val").drop("__unit")
     else:
-        number = draw(seed, F.col("record_id"), "split")
-        order = [number, F.col("record_id")]
+        order = [draw(seed, _known_id(), "split"), F.col("record_id"), row_hash(df)]
         cuts = cutoffs(df, ["label"], order, quota=val_rows, span=DRAW_SPAN)
         chosen = within_cutoff(df, cuts, ["label"], order, "__val")
     return chosen.withColumn("split", F.when(F.col("__val"), "val").otherwise("train")).drop("__val")
@@ -146,8 +159,7 @@ def sample_quotas(df: DataFrame, n: int) -> DataFrame:
 
 def stratified_sample(df: DataFrame, n: int, seed: int = 99) -> DataFrame:
     """Seeded sample of ``n`` rows over the labels; short labels are not refilled."""
-    number = draw(seed, F.col("record_id"), "sample")
-    order = [number, F.col("record_id")]
+    order = [draw(seed, _known_id(), "sample"), F.col("record_id"), row_hash(df)]
     quotas = sample_quotas(df, n).select("label", "quota")
     cuts = cutoffs(df, ["label"], order, quotas=quotas, span=DRAW_SPAN)
     return within_cutoff(df, cuts, ["label"], order, "__in").filter("__in").drop("__in")
@@ -162,7 +174,7 @@ def cap_per_class(
     """
     keys = keys or ["label"]
     order = order or ["line_no"]
-    columns = [F.col(c) for c in order]
+    columns = [*[F.col(c) for c in order], row_hash(df)]
     quotas = need.select(*keys, F.col("need").alias("quota"))
     cuts = cutoffs(df, keys, columns, quotas=quotas)
     return within_cutoff(df, cuts, keys, columns, "__in").filter("__in").drop("__in")

@@ -13,9 +13,10 @@ from .. import fixed_values as fv
 from ..functions.text import argmax, log_sum_exp
 from ..session import ensure_checkpoint_dir
 from .datasets import classes_table
-from .scale import MAX_BROADCAST_ROWS, checked_broadcast, local_copy, order_statistics, running_before
+from .scale import MAX_BROADCAST_ROWS, checked_broadcast, join_on, local_copy, order_statistics, running_before
 
 BUCKETS = ["short", "medium", "long"]
+SIGNAL_ROWS, SIGNAL_BYTES = 50_000, 4_000_000  # signals that are looked up in every row's task
 
 
 def _rows(weight: str | None) -> Column:
@@ -40,8 +41,32 @@ def scored_cells(scored: DataFrame) -> DataFrame:
     )
 
 
-def confusion_matrix(df: DataFrame, classes: list[str], weight: str | None = None) -> DataFrame:
-    """Counts for every (label, pred) of the classes, zero cells included."""
+def unknown_labels(df: DataFrame, classes: list[str]) -> DataFrame:
+    """Rows whose label or prediction is not a class: what the metrics below refuse."""
+    known = F.col("label").isin(*classes) & F.col("pred").isin(*classes)
+    return df.filter(~F.coalesce(known, F.lit(False)))
+
+
+def _only_known(df: DataFrame, classes: list[str], on_unknown: str) -> DataFrame:
+    """Rows of known labels and predictions; others fail the query, or are left to ``unknown_labels``."""
+    known = F.coalesce(F.col("label").isin(*classes) & F.col("pred").isin(*classes), F.lit(False))
+    if on_unknown == "drop":
+        return df.filter(known)
+    if on_unknown != "raise":
+        raise ValueError(f"on_unknown: {on_unknown}")
+    shown = F.concat_ws(", ", F.lit("unknown label or prediction"), "label", "pred")
+    return df.withColumn("label", F.when(known, F.col("label")).otherwise(F.raise_error(shown).cast("string")))
+
+
+def confusion_matrix(
+    df: DataFrame, classes: list[str], weight: str | None = None, on_unknown: str = "raise"
+) -> DataFrame:
+    """Counts for every (label, pred) of the classes, zero cells included.
+
+    A label or prediction outside the classes fails the query; with ``on_unknown="drop"`` such rows are
+    left out here and are the rows of ``unknown_labels``.
+    """
+    df = _only_known(df, classes, on_unknown)
     counts = df.groupBy("label", "pred").agg(F.sum(_rows(weight)).cast("bigint").alias("n"))
     names = F.array(*[F.lit(c) for c in classes])
     grid = classes_table(df.sparkSession, classes).select("label", F.explode(names).alias("pred"))
@@ -50,8 +75,14 @@ def confusion_matrix(df: DataFrame, classes: list[str], weight: str | None = Non
     )
 
 
-def per_class_metrics(df: DataFrame, classes: list[str], weight: str | None = None) -> DataFrame:
-    """Precision, recall, F1 and support of every class; 0.0 where a denominator is 0."""
+def per_class_metrics(
+    df: DataFrame, classes: list[str], weight: str | None = None, on_unknown: str = "raise"
+) -> DataFrame:
+    """Precision, recall, F1 and support of every class; 0.0 where a denominator is 0.
+
+    ``on_unknown`` as in ``confusion_matrix``.
+    """
+    df = _only_known(df, classes, on_unknown)
     cells = df.groupBy("label", "pred").agg(F.sum(_rows(weight)).alias("n"))
     sides = cells.select(
         "n",
@@ -181,16 +212,19 @@ def usable_signals(signals: DataFrame) -> DataFrame:
 
 
 def hard_negatives(df: DataFrame, signals: DataFrame) -> DataFrame:
-    """Rows labelled A whose text contains a signal of B against A: one row per (row, A, B)."""
-    pairs = (
-        usable_signals(signals)
-        .filter(F.col("label_a") != F.col("label_b"))
-        .groupBy("label_a", "label_b")
-        .agg(F.collect_set("signal").alias("signals"))
-    )
+    """Rows labelled A whose text contains a signal of B against A: one row per (row, A, B).
+
+    The signals of a class are looked up together while all signals are few and short; beyond that they stay
+    rows, and a row's hits are made distinct afterwards. Equal rows of ``df`` give as many rows either way.
+    """
+    usable = usable_signals(signals).filter(F.col("label_a") != F.col("label_b"))
+    size = usable.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("signal")).alias("bytes")).first()
+    if size.n > SIGNAL_ROWS or (size.bytes or 0) > SIGNAL_BYTES:
+        return _hard_negatives_by_row(df, usable)
+    pairs = usable.groupBy("label_a", "label_b").agg(F.collect_set("signal").alias("signals"))
     by_label = pairs.groupBy("label_a").agg(F.collect_list(F.struct("label_b", "signals")).alias("__pairs"))
     lowered = df.withColumn("__low", F.lower("text"))
-    joined = lowered.join(checked_broadcast(by_label), F.col("label") == F.col("label_a"), "inner")
+    joined = lowered.join(F.broadcast(by_label), F.col("label") == F.col("label_a"), "inner")
     found = F.transform(
         "__pairs",
         lambda p: F.when(F.exists(p["signals"], lambda s: F.contains(F.col("__low"), s)), p["label_b"]),
@@ -203,6 +237,16 @@ def hard_negatives(df: DataFrame, signals: DataFrame) -> DataFrame:
     )
 
 
+def _hard_negatives_by_row(df: DataFrame, usable: DataFrame) -> DataFrame:
+    """One joined row per record and signal of its class, spread by the signals."""
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    rows = rows.withColumn("__low", F.lower("text"))
+    signals = usable.select("label_a", "label_b", "signal").distinct()
+    hits = rows.join(signals, (F.col("label") == F.col("label_a")) & F.contains(F.col("__low"), F.col("signal")))
+    found = hits.select(*df.columns, "label_a", "label_b", "__copies").distinct()
+    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))).drop("__copies", "__copy")
+
+
 def hard_negative_accuracy(
     df: DataFrame, signals: DataFrame, floor: float = fv.HARD_NEGATIVE_FLOOR
 ) -> DataFrame:
@@ -251,7 +295,7 @@ def rate_stats(
     middle = latency_stats(rated, keys, "__rate", median="midpoint").select(
         *keys, "n", F.col("p50").alias("median_rate")
     )
-    return plain.join(middle, keys, "inner")
+    return join_on(plain, middle, keys, "inner")
 
 
 # --- training history --------------------------------------------------------------------

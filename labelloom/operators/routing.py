@@ -10,7 +10,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -28,6 +28,8 @@ class Step:
     match: Matcher | None = None
     score: Callable[[DataFrame], DataFrame] | None = None
     label_map: DataFrame | None = None
+    labels: tuple[str, ...] = ()  # what the step can answer, where that is known
+    patterns: tuple[str, ...] = ()  # regular expressions given by the user
 
 
 def _found(method: str, label, text: Column, confidence=1.0) -> Column:
@@ -121,7 +123,7 @@ def regex(rules: list[tuple[str, str]]) -> Step:
     def match(text: Column) -> Column:
         return _first([(text.rlike(pattern), _found("regex", label, text)) for pattern, label in rules])
 
-    return Step("regex", match)
+    return Step("regex", match, labels=tuple(label for _, label in rules), patterns=tuple(p for p, _ in rules))
 
 
 def keyword(
@@ -155,7 +157,7 @@ def keyword(
     def matcher(text: Column) -> Column:
         return _first([(hit(text, words), _found("keyword", label, text)) for words, label in rules])
 
-    return Step("keyword", matcher)
+    return Step("keyword", matcher, labels=tuple(label for _, label in rules))
 
 
 def ascii_share(text: Column) -> Column:
@@ -239,9 +241,10 @@ def custom(method: str, match: Matcher) -> Step:
 def classifier(
     score: Callable[[DataFrame], DataFrame], label_map: DataFrame | None = None, method: str = "classifier"
 ) -> Step:
-    """``score`` adds ``label`` and ``confidence`` to the rows no earlier step matched.
+    """``score`` adds ``label`` and ``confidence`` and keeps every row and other column.
 
-    A NULL label falls through to the next step.
+    It sees each row once, whatever the number of classifier steps; rows that an earlier step matched come with
+    a NULL text. A NULL label falls through to the next step.
     """
     return Step(method, score=score, label_map=label_map)
 
@@ -274,46 +277,76 @@ def route(df: DataFrame, steps: list[Step], strict: bool = False) -> DataFrame:
     """Add ``label, method, confidence, error`` and the (possibly stripped) ``text``.
 
     Other columns pass through. Rows no step matches get ``error = pipeline_exhausted``, or
-    fail the query with ``strict=True``. Classifier steps only see the rows the steps before
-    them left unmatched: those rows are split off, scored and put back by a union.
+    fail the query with ``strict=True``. One pass: the decision so far travels with the row through every
+    classifier step, so a random or remote scorer is asked once for a row and its answer is used once.
     """
     if not steps:
         raise ValueError("a route needs at least one step")
-    at = next((i for i, s in enumerate(steps) if s.score is not None), None)
-    native = steps if at is None else steps[:at]
-    decided = df.withColumn("__decision", _decide(native, F.col("text")))
-    if at is None:
-        out = _spread(decided)
-    else:
-        matched = _spread(decided.filter(F.col("__decision").isNotNull()))
-        open_rows = decided.filter(F.col("__decision").isNull()).drop("__decision")
-        out = matched.unionByName(_route_scored(open_rows, steps[at], steps[at + 1 :]))
-    error = F.when(F.col("method").isNull(), F.lit("pipeline_exhausted"))
-    if strict:
-        error = F.when(F.col("method").isNull(), F.raise_error(F.lit("pipeline_exhausted")))
-    return out if "error" in out.columns else out.withColumn("error", error)
-
-
-def _route_scored(df: DataFrame, step: Step, later: list[Step]) -> DataFrame:
-    scored = step.score(df)
+    own = [c for c in df.columns if c not in ("label", "method", "confidence", "error")]
+    decided, native = df.select(*own), []
+    decided = decided.withColumn("__decision", F.lit(None).cast(DECISION))
+    for step in [*steps, None]:
+        if step is not None and step.score is None:
+            native.append(step)
+            continue
+        if native:
+            now = F.coalesce(F.col("__decision"), _decide(native, F.col("text")))
+            decided, native = decided.withColumn("__decision", now), []
+        if step is not None:
+            decided = _scored(decided, step)
+    out = _spread(decided)
+    error = F.lit("pipeline_exhausted")
+    return out.withColumn("error", F.when(F.col("method").isNull(), F.raise_error(error) if strict else error))
+
+
+def _scored(df: DataFrame, step: Step) -> DataFrame:
+    """``df`` with the decisions of one classifier step for the rows that have none."""
+    open_rows = F.col("__decision").isNull()
+    asked = df.withColumns({"__text": F.col("text"), "text": F.when(open_rows, F.col("text"))})
+    scored = step.score(asked)
     if step.label_map is not None:
         scored = remap_labels(scored, step.label_map)
-    own = F.when(
-        F.col("label").isNotNull(),
-        _found(step.method, F.col("label"), F.col("text"), F.col("confidence")),
-    )
-    if any(s.score is not None for s in later):
-        matched = _spread(scored.filter(F.col("label").isNotNull()).withColumn("__decision", own))
-        rest = scored.filter(F.col("label").isNull()).select(*df.columns)
-        return matched.unionByName(route(rest, later).drop("error"))
-    tries = [own] + ([_decide(later, F.col("text"))] if later else [])
-    return _spread(scored.withColumn("__decision", F.coalesce(*tries)))
+    found = _found(step.method, F.col("label"), F.col("__text"), F.col("confidence"))
+    now = F.when(open_rows & F.col("label").isNotNull(), found).otherwise(F.col("__decision"))
+    return scored.withColumns({"__decision": now, "text": F.col("__text")}).select(*df.columns)
+
+
+def validate_route(steps: list[Step], routes: list[str] | None = None) -> list[str]:
+    """Faults of a route, in words: empty, patterns that do not compile, steps that are never reached, labels without a chain."""
+    from pyspark.errors import PySparkException
+
+    faults = [] if steps else ["a route needs at least one step"]
+    for at, step in enumerate(steps):
+        if step.method == "always" and at + 1 < len(steps):
+            faults.append(f"step {at + 1}: steps after always are never reached")
+        for pattern in step.patterns:
+            try:
+                SparkSession.active().range(1).select(F.lit("").rlike(pattern)).collect()
+            except PySparkException:
+                faults.append(f"step {at + 1} ({step.method}): pattern does not compile: {pattern}")
+        for label in step.labels:
+            if routes is not None and label not in routes:
+                faults.append(f"step {at + 1} ({step.method}): no chain for label {label}")
+    return faults
 
 
 def explain(df: DataFrame, steps: list[Step], key: str = "request_id") -> DataFrame:
-    """One row per request and native step: did it match, with which label, was it reached."""
+    """One row per request and step: did it match, with which label, was it reached.
+
+    A classifier step is asked for every row, once; its answer tells what it would have said.
+    """
+    rows = df.select(key, "text")
+    for i, step in enumerate(steps):
+        if step.score is not None:
+            scored = step.score(rows)
+            if step.label_map is not None:
+                scored = remap_labels(scored, step.label_map)
+            rows = scored.select(*rows.columns, F.col("label").alias(f"__label_{i}"))
+    labels = [
+        s.match(F.col("text"))["label"] if s.score is None else F.col(f"__label_{i}") for i, s in enumerate(steps)
+    ]
     tries = F.array(
-        *[F.struct(F.lit(s.method).alias("method"), s.match(F.col("text"))["label"].alias("label")) for s in steps]
+        *[F.struct(F.lit(s.method).alias("method"), label.alias("label")) for s, label in zip(steps, labels, strict=True)]
     )
 
     def traced(trace: Column) -> Column:
@@ -332,7 +365,7 @@ def explain(df: DataFrame, steps: list[Step], key: str = "request_id") -> DataFr
             ),
         )
 
-    return df.select(key, F.explode(let(tries, traced)).alias("t")).select(key, "t.*")
+    return rows.select(key, F.explode(let(tries, traced)).alias("t")).select(key, "t.*")
 
 
 def decision_mix(decisions: DataFrame) -> DataFrame:
@@ -341,7 +374,6 @@ def decision_mix(decisions: DataFrame) -> DataFrame:
     cells = decisions.groupBy("method", "label").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(fallback, F.lit(False)).cast("bigint")).alias("fallbacks")
     )
-    # the grand total of the cells as a grouping set, joined back on a constant-size table
     # one row per method and label, so the total needs no second pass over the decisions
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))
     return cells.withColumn("total", total).select(
@@ -355,5 +387,5 @@ def decision_mix(decisions: DataFrame) -> DataFrame:
 
 __all__ = [
     "Step", "always", "ascii_share", "classifier", "code_block", "custom", "decision_mix", "explain",
-    "keyword", "language", "length", "prefix", "question", "regex", "route",
+    "keyword", "language", "length", "prefix", "question", "regex", "route", "validate_route",
 ]

@@ -96,8 +96,12 @@ def cutoffs(
     ``quota(n)`` of the group size, or the ``quota`` column of ``quotas`` (missing: 0).
     With ``weight`` (a count per row) k counts weight instead of rows.
 
+    Rows that are equal in all of ``order`` are one candidate with a number, so ties are not put
+    in order. A bucket whose first key is one value is narrowed by the next integer keys.
+
     Output: keys, ``take_all`` BOOLEAN (the group has at most k), ``cut`` STRUCT (NULL when
-    nothing is taken), ``part`` BIGINT: how much of the weight of the row at ``cut`` is taken.
+    nothing is taken), ``part`` BIGINT: how much of the weight at ``cut`` is taken, ``at_cut``
+    BIGINT: the weight there.
     """
     one = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
     keyed = df.select(
@@ -127,28 +131,58 @@ def cutoffs(
         return not known.filter(large & (F.col("__left") > 0)).isEmpty()
 
     open_groups = groups.filter(~F.col("take_all") & (F.col("__left") > 0)).drop("take_all")
-    for level in range(MAX_LEVELS):
-        if small is None and level == 2:  # too many groups to look at: two levels for all of them
-            break
-        if small is not None and not crowded(small):
+    edges = []
+    integers = [f.dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") for f in keyed.schema["__order"].dataType]
+    for position in range(len(order)):
+        for level in range(MAX_LEVELS):
+            if small is None and level == 2:  # too many groups to look at: two levels for all of them
+                break
+            if small is not None and not crowded(small):
+                break
+            edge = _edge_bucket(keyed, open_groups.drop("__rows"), keys)
+            small = local_copy(edge)
+            open_groups = edge if small is None else F.broadcast(small)
+        tied = (F.col("__rows") > edge_rows) & (F.col("__low") == F.col("__high")) & (F.col("__left") > 0)
+        further = position + 1 < len(order) and integers[position + 1]
+        if not further or (small is not None and small.filter(tied).isEmpty()):
+            edges.append(_inside(keyed, open_groups.drop("__rows"), keys))
             break
-        edge = _edge_bucket(keyed, open_groups.drop("__rows"), keys)
-        small = local_copy(edge)
-        open_groups = edge if small is None else F.broadcast(small)
-    open_groups = open_groups.drop("__rows")
-
-    at_edge = join_on(keyed, open_groups, keys, "inner").filter(F.col("__at").between(F.col("__low"), F.col("__high")))
+        # groups whose k-th row lies among equal first keys go on with the next key
+        edges.append(_inside(keyed, open_groups.filter(~tied).drop("__rows"), keys))
+        closer = open_groups.filter(tied).select(*keys, "__low", "__high", "__left")
+        keyed = _inside(keyed, closer, keys).withColumn("__at", F.col(f"__order.o{position + 1}").cast("bigint"))
+        keyed = keyed.select(*keys, "__at", "__order", "__weight", F.col("__left").alias("__quota"))
+        open_groups = keyed.groupBy(*keys).agg(
+            F.first("__quota").alias("__left"), F.count(F.lit(1)).alias("__rows"),
+            F.min("__at").alias("__low"), F.max("__at").alias("__high"),
+        )
+        keyed = keyed.drop("__quota")
+        small = local_copy(open_groups)
+        open_groups = open_groups if small is None else F.broadcast(small)
+
+    at_edge = edges[0]
+    for other in edges[1:]:
+        at_edge = at_edge.unionByName(other)
+    distinct = at_edge.groupBy(*keys, "__order").agg(
+        F.sum("__weight").alias("__weight"), F.first("__left").alias("__left")  # the same in every row of a group
+    )
     running = (
         Window.partitionBy(*keys).orderBy("__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = at_edge.withColumn("__upto", F.sum("__weight").over(running))
+    ranked = distinct.withColumn("__upto", F.sum("__weight").over(running))
     before = F.col("__upto") - F.col("__weight")
     cut = ranked.filter((F.col("__upto") >= F.col("__left")) & (before < F.col("__left"))).select(
-        *keys, F.col("__order").alias("cut"), (F.col("__left") - before).alias("part")
+        *keys, F.col("__order").alias("cut"), (F.col("__left") - before).alias("part"), F.col("__weight").alias("at_cut")
     )
     return join_on(groups.select(*keys, "take_all"), cut, keys)
 
 
+def _inside(keyed: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in their group's range ``__low..__high``, with the group's ``__left``."""
+    found = join_on(keyed, groups, keys, "inner").filter(F.col("__at").between(F.col("__low"), F.col("__high")))
+    return found.select(*keys, "__at", "__order", "__weight", "__left")
+
+
 def _edge_bucket(keyed: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Narrow each group's range ``__low..__high`` to the bucket where ``__left`` is reached."""
     inside = join_on(keyed, groups, keys, "inner").filter(F.col("__at").between(F.col("__low"), F.col("__high")))
@@ -172,12 +206,32 @@ def _edge_bucket(keyed: DataFrame, groups: DataFrame, keys: list[str]) -> DataFr
 def within_cutoff(
     df: DataFrame, cuts: DataFrame, keys: list[str], order: list[Column], name: str
 ) -> DataFrame:
-    """Add BOOLEAN ``name``: the row is among the first k of its group. No shuffle of ``df``."""
+    """Add BOOLEAN ``name``: the row is among the first k of its group.
+
+    ``order`` ends with ``row_hash``, so rows at the cut that tie are equal in every column: which of them are
+    chosen makes no difference, only how many. They are counted, not ordered. Rows not at such a
+    cut are decided in place, without a shuffle.
+    """
     cuts = checked_broadcast(cuts)
     joined = join_on(df, cuts, keys)
     key = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    shared = F.coalesce((key == F.col("cut")) & (F.col("part") < F.col("at_cut")), F.lit(False))
     chosen = F.coalesce(F.col("take_all"), F.lit(False)) | F.coalesce(key <= F.col("cut"), F.lit(False))
-    return joined.withColumn(name, chosen).drop("take_all", "cut", "part")
+    extra = ["take_all", "cut", "part", "at_cut"]
+    clear = joined.filter(~shared).withColumn(name, chosen).drop(*extra)
+    if cuts.filter("part < at_cut").isEmpty():
+        return clear
+    counted = joined.filter(shared).groupBy(*df.columns).agg(
+        F.first("part").alias("__part"), F.count(F.lit(1)).alias("__copies")
+    )
+    numbered = counted.withColumn("__number", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
+    tied = numbered.withColumn(name, F.col("__number") <= F.col("__part")).drop("__part", "__copies", "__number")
+    return clear.unionByName(tied)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """BIGINT of all columns of a row: the last key of an order, so that only equal rows tie."""
+    return F.try_add(F.xxhash64(*df.columns), F.lit(0).cast("bigint"))  # nullable, like the other keys
 
 
 def draw_bucket(number: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -26,14 +24,9 @@ def build_session(app: str = "labelloom", master: str | None = None, **conf: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; only a local session gets one of its own."""
+    """Use the folder the cluster names; a session without one uses its warehouse, which is shared too."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        sc.setCheckpointDir(named)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="labelloom-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")

@@ -64,6 +64,24 @@ def sql_words(text: str) -> str:
     return f"list_filter(regexp_split_to_array({text}, '{SPACE}+'), lambda w: w <> '')"
 
 
+def sql_byte_grams(source: str, out: str, sizes: list[int], columns: str) -> str:
+    """CTE ``out``: ``columns`` (a key of ``source``), n and v, the number of every n-gram of the text's bytes."""
+    bytes_of = "regexp_extract_all(hex(encode(text)), '..')"
+    ahead = ", ".join(f"lead(b0, {k}) OVER p AS b{k}" for k in range(1, max(sizes)))
+
+    def number(n: int) -> str:
+        value = "b0"
+        for k in range(1, n):
+            value = f"({value} * 256 + b{k})"
+        return value
+
+    return f"""{out}_x AS (SELECT {columns}, unnest({bytes_of}) AS x, generate_subscripts({bytes_of}, 1) AS i FROM {source}),
+{out}_b AS (SELECT {columns}, i, CAST('0x' || x AS BIGINT) AS b0 FROM {out}_x),
+{out}_w AS (SELECT {columns}, b0, {ahead} FROM {out}_b WINDOW p AS (PARTITION BY {columns} ORDER BY i)),
+{out}_n AS (SELECT {columns}, unnest([{', '.join(map(str, sizes))}]) AS n, unnest([{', '.join(map(number, sizes))}]) AS v FROM {out}_w),
+{out} AS (SELECT * FROM {out}_n WHERE v IS NOT NULL)"""
+
+
 def sql_weighted(pairs: list[tuple[str, float]], u: str) -> str:
     total, cases = 0.0, []
     for _, w in pairs:

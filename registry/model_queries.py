@@ -10,7 +10,7 @@ from labelloom.operators import supervise as sv
 from labelloom.operators.datasets import classes_table, class_deficit, stratified_split
 
 from .dataset_queries import DEFICIT_SQL, N_PER_CELL, task_records, wanted
-from .kit import LANGS, REQUESTS_SQL, quote, requests, spread, sql_draw, sql_strip, table, values
+from .kit import LANGS, REQUESTS_SQL, quote, requests, spread, sql_byte_grams, sql_draw, sql_strip, table, values
 from .route_queries import LABELS, PREFIXES, _REST
 from .text_queries import REPLY_SQL, _replies, sql_lines
 
@@ -170,11 +170,8 @@ val AS (SELECT * FROM k WHERE rn <= greatest(1, CAST(floor(n * CAST(0.2 AS DOUBL
 
 
 def _features_sql(source: str, out: str, sizes: list[int], columns: str) -> str:
-    return f"""{out}_h AS (SELECT {columns}, substr(hex(encode(text)), 1, 1024) AS h FROM {source}),
-{out}_g AS (SELECT {columns}, n, unnest(CASE WHEN length(h) < 2 * n THEN [] ELSE
-    list_transform(range(CAST(length(h) / 2 AS BIGINT) - n + 1), lambda i: substr(h, CAST(2 * i + 1 AS BIGINT), 2 * n)) END) AS g
-  FROM {out}_h, {values([(n,) for n in sizes])} s(n)),
-{out} AS (SELECT DISTINCT {columns}, n, CAST('0x' || g AS BIGINT) % {BUCKETS} AS b FROM {out}_g)"""
+    return f"""{sql_byte_grams(source, out + '_g', sizes, columns)},
+{out} AS (SELECT DISTINCT {columns}, n, v % {BUCKETS} AS b FROM {out}_g)"""
 
 
 def nb_sql(train: str, test: str, key: str, sizes: list[int]) -> str:

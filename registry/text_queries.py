@@ -17,6 +17,7 @@ from .kit import (
     SLOT,
     SPACE,
     quote,
+    sql_byte_grams,
     sql_draw,
     sql_pick,
     sql_strip,
@@ -214,14 +215,8 @@ def byte_ngrams(spark, sf_dir):
     )
 
 
-NGRAM_SQL = """
-WITH d AS (SELECT doc_id, substr(hex(encode(text)), 1, 1024) AS h FROM documents),
-n(n) AS (VALUES (3), (4), (5), (6)),
-g AS (SELECT doc_id, n, unnest(CASE WHEN length(h) < 2 * n THEN [] ELSE
-        list_transform(range(CAST(length(h) / 2 AS BIGINT) - n + 1),
-          lambda i: substr(h, CAST(2 * i + 1 AS BIGINT), 2 * n)) END) AS gram FROM d, n)
-SELECT doc_id, CAST(n AS BIGINT) AS n, count(DISTINCT CAST('0x' || gram AS BIGINT) % 4096) AS buckets,
-  max(CAST('0x' || gram AS BIGINT) % 4096) AS top FROM g GROUP BY ALL
+NGRAM_SQL = f"""WITH {sql_byte_grams('documents', 'g', [3, 4, 5, 6], 'doc_id')}
+SELECT doc_id, CAST(n AS BIGINT) AS n, count(DISTINCT v % 4096) AS buckets, max(v % 4096) AS top FROM g GROUP BY ALL
 """
 
 

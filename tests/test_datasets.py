@@ -178,3 +178,44 @@ def test_cutoffs_with_crowded_buckets(spark, edge_rows):
     result = {r["label"]: r for r in got.collect()}
     assert (result["g"]["cut"]["o0"], result["g"]["part"], result["g"]["take_all"]) == (at, part, False)
     assert result["h"]["take_all"]
+
+
+@pytest.mark.parametrize("edge_rows", [1_000_000, 3])
+def test_exact_counts_with_ties(spark, edge_rows, monkeypatch):
+    """Ties in every column and ties in the order only: exactly the quota is taken."""
+    monkeypatch.setattr(scale, "EDGE_ROWS", edge_rows)
+    data = [(7, "same", "a")] * 9 + [(7, f"t{i}", "a") for i in range(4)] + [(8, "x", "b"), (8, "x", "b"), (9, "y", "b")]
+    df = spark.createDataFrame(data, "line_no long, text string, label string")
+    need = spark.createDataFrame([("a", 5), ("b", 2)], "label string, need long")
+    got = [(r.label, r.n) for r in ds.cap_per_class(df, need).groupBy("label").count().withColumnRenamed("count", "n").orderBy("label").collect()]
+    assert got == [("a", 5), ("b", 2)]
+    keyed = ds.with_record_id(df.select("text", "label"))
+    split = ds.stratified_split(keyed, 0.2)
+    assert split.count() == len(data)
+    assert {(r.label, r.split): r["count"] for r in split.groupBy("label", "split").count().collect()} == {
+        ("a", "val"): 2, ("a", "train"): 11, ("b", "val"): 1, ("b", "train"): 2,
+    }
+    assert ds.stratified_sample(keyed, 6).count() == 6
+
+
+def test_many_groups_branch(spark, monkeypatch):
+    """The branch for more groups than are looked at gives the same rows as the other."""
+    df = spark.range(900).selectExpr("id AS record_id", "cast(id % 9 AS string) AS label", "'t' || id % 50 AS text")
+    want = rows(ds.stratified_sample(df, 100))
+    monkeypatch.setattr(scale.local_copy, "__defaults__", (3,))
+    monkeypatch.setattr(scale.checked_broadcast, "__defaults__", (3,))
+    monkeypatch.setattr(scale, "EDGE_ROWS", 5)
+    assert rows(ds.stratified_sample(df, 100)) == want
+
+
+def test_null_ids_are_an_error(spark):
+    df = spark.createDataFrame([(None, "a", "x"), ("1", "a", "y")], "record_id string, label string, text string")
+    with pytest.raises(Exception, match="record_id is NULL"):
+        ds.stratified_split(df).collect()
+
+
+def test_two_predictions_are_an_error(spark):
+    df = spark.createDataFrame([("1", "a")], "record_id string, label string")
+    preds = spark.createDataFrame([("1", "a"), ("1", "b")], "record_id string, pred string")
+    with pytest.raises(Exception, match="several predictions"):
+        ds.attach_predictions(df, preds).collect()

@@ -134,3 +134,32 @@ def test_evaluate_and_release_gates(spark):
     assert verdicts["per_class_f1"] is False and verdicts["overall"] is False
     gates = ev.release_gates(ev.per_class_metrics(df, ["a", "b"]), ev.latency_stats(latency, []), recall_class="zz")
     assert {r["gate"] for r in gates.collect()} == {"f1:a", "f1:b", "latency_p50", "overall"}
+
+
+def test_unknown_labels_are_an_error(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "zz"), (None, "a")], "label string, pred string")
+    for metric in (ev.confusion_matrix, ev.per_class_metrics):
+        with pytest.raises(Exception, match="unknown label"):
+            metric(df, ["a", "b"]).collect()
+    assert ev.unknown_labels(df, ["a", "b"]).count() == 2
+    assert ev.confusion_matrix(df, ["a", "b"], on_unknown="drop").agg({"n": "sum"}).first()[0] == 1
+
+
+def test_rate_stats_keep_the_null_group(spark):
+    df = spark.createDataFrame([(None, 10, 2.0), ("m", 20, 2.0)], "backend string, out_tokens int, elapsed_s double")
+    assert rows(ev.rate_stats(df, ["backend"]).select("backend", "median_rate")) == [(None, 5.0), ("m", 10.0)]
+
+
+def test_many_signals_stay_rows(spark, monkeypatch):
+    df = spark.createDataFrame(
+        [(1, "a", "alpha beta", "a"), (1, "a", "alpha beta", "a"), (2, "b", "gamma", "b")],
+        "record_id int, label string, text string, pred string",
+    )
+    signals = spark.createDataFrame(
+        [("a", "b", "alpha"), ("a", "b", "beta"), ("a", "c", "none"), ("b", "a", "GAMMA")],
+        "label_a string, label_b string, signal string",
+    )
+    want = rows(ev.hard_negatives(df, signals).select("record_id", "label_a", "label_b"))
+    monkeypatch.setattr(ev, "SIGNAL_ROWS", 1)
+    assert rows(ev.hard_negatives(df, signals).select("record_id", "label_a", "label_b")) == want
+    assert len(want) == 3

@@ -112,7 +112,7 @@ def test_classifier_sees_only_open_rows(spark):
     seen = []
 
     def score(df):
-        seen.append(sorted(r["text"] for r in df.collect()))
+        seen.append(sorted(r["text"] for r in df.filter("text IS NOT NULL").collect()))
         label = F.when(F.col("text") == "b", "from model")
         return df.withColumns({"label": label, "confidence": F.lit(0.7)})
 
@@ -125,6 +125,58 @@ def test_classifier_sees_only_open_rows(spark):
     ]
 
 
+def test_random_classifiers_keep_every_row_once(spark):
+    """Two batch scorers that answer at random: one pass, no row lost or doubled, no row asked twice by a step."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def score(df):
+        def run(frames):
+            import random
+
+            for pdf in frames:
+                asked.add(len(pdf))
+                pdf["label"] = [random.choice(["x", None]) if t is not None else None for t in pdf["text"]]
+                pdf["confidence"] = 0.5
+                yield pdf
+
+        return df.mapInPandas(run, "request_id long, __decision struct<label:string,confidence:double,text:string,"
+                              "method:string>, text string, __text string, label string, confidence double")
+
+    df = spark.range(2000).selectExpr("id AS request_id", "'t' || id AS text", "'e' AS error")
+
+    def scorer(frame):
+        return score(frame.select("request_id", "__decision", "text", "__text"))
+
+    out = rt.route(df, [rt.prefix([("t1", "one")]), rt.classifier(scorer), rt.classifier(scorer, method="second"), rt.always()])
+    got = out.select("request_id", "label", "method").collect()
+    assert sorted(r.request_id for r in got) == list(range(2000))
+    assert asked.value == 4000
+    assert {r.method for r in got} == {"prefix", "classifier", "second", "always"}
+    assert out.columns == ["request_id", "text", "label", "method", "confidence", "error"]
+
+
+def test_explain_with_a_classifier_step(spark):
+    def score(df):
+        return df.withColumns({"label": F.when(F.col("text") == "b", "mine"), "confidence": F.lit(0.9)})
+
+    df = spark.createDataFrame([(1, "is a"), (2, "b"), (3, "c")], "request_id int, text string")
+    got = rt.explain(df, [rt.question(), rt.classifier(score), rt.always()]).orderBy("request_id", "step").collect()
+    assert [(r.request_id, r.method, r.label, r.reached) for r in got] == [
+        (1, "question", "chat", True), (1, "classifier", None, False), (1, "always", "default", False),
+        (2, "question", None, True), (2, "classifier", "mine", True), (2, "always", "default", False),
+        (3, "question", None, True), (3, "classifier", None, True), (3, "always", "default", True),
+    ]
+
+
+def test_validate_route(spark):
+    steps = [rt.regex([("(", "a"), ("ok", "b")]), rt.always(), rt.question()]
+    faults = rt.validate_route(steps, ["b"])
+    assert len(faults) == 3
+    assert "never reached" in " ".join(faults) and "does not compile: (" in " ".join(faults) and "label a" in " ".join(faults)
+    assert rt.validate_route([rt.regex([("ok", "b")]), rt.always()], ["b"]) == []
+    assert rt.validate_route([]) == ["a route needs at least one step"]
+
+
 def test_route_is_one_projection(spark):
     df = spark.createDataFrame([("x",)], "text string")
     steps = [rt.prefix([("/a", "a")]), rt.code_block(), rt.question(), rt.keyword([(["k"], "k")]), rt.always()]
