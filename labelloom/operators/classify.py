@@ -131,7 +131,8 @@ class Logistic:
 
 def _vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataFrame:
     grams = ngram_buckets(F.col("text"), sizes, num_features)
-    tf = HashingTF(inputCol="__grams", outputCol="features", numFeatures=num_features, binary=True)
+    # a slot space per size, so that n-grams of different sizes do not share slots by design
+    tf = HashingTF(inputCol="__grams", outputCol="features", numFeatures=num_features * len(sizes), binary=True)
     return tf.transform(df.withColumn("__grams", grams))
 
 

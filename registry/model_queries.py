@@ -68,6 +68,43 @@ def route_classifier(spark, sf_dir):
     return out.select("request_id", "label", "method", F.round("confidence", 6).alias("confidence"), "text", "error")
 
 
+def _by_length(least: int, label: str):
+    def score(df):
+        return df.withColumns({"label": F.when(F.length("text") > least, label), "confidence": F.lit(0.5)})
+
+    return score
+
+
+def _two_classifiers():
+    return [
+        rt.prefix(PREFIXES),
+        rt.question(),
+        rt.classifier(_by_length(5000, "book"), method="first"),
+        rt.classifier(_by_length(1000, "article"), method="second"),
+        rt.always(),
+    ]
+
+
+def route_two_classifiers(spark, sf_dir):
+    """Two classifier steps in a row: every request once, one scan."""
+    out = rt.route(requests(spark, sf_dir), _two_classifiers())
+    return out.select("request_id", "label", "method", "confidence", "error")
+
+
+def route_explain_classifier(spark, sf_dir):
+    rows = rt.explain(requests(spark, sf_dir), _two_classifiers())
+    return rows.withColumn("step", F.col("step").cast("bigint"))
+
+
+def logistic_facts(spark, sf_dir):
+    """Validation rows per label, and whether every prediction is a class and the model is right in 9 of 10 rows."""
+    out = logistic(spark, sf_dir)
+    right = F.avg((F.col("pred") == F.col("label")).cast("double"))
+    good = out.agg((right >= 0.9).alias("good")).scalar()
+    known = out.agg(F.min(F.col("pred").isin(*LANGS)).alias("known")).scalar()
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumns({"good": good, "known": known})
+
+
 # --- prompts and user functions -----------------------------------------------------------
 
 DESCRIPTIONS = {"en": "English prose", "fr": "French prose", "de": "German prose"}
@@ -152,6 +189,9 @@ QUERIES = {
     "logistic": logistic,
     "predict_batches": predict_batches,
     "route_classifier": route_classifier,
+    "route_two_classifiers": route_two_classifiers,
+    "route_explain_classifier": route_explain_classifier,
+    "logistic_facts": logistic_facts,
     "gen_prompt": lambda s, d: _prompts(s, d),
     "catalog_prompt": catalog_prompt,
     "complete_stub": complete_stub,
@@ -230,7 +270,22 @@ _REPHRASED = f"""CASE WHEN {_FIRST} IN ('E', 'É', 'D', 'A') THEN text ELSE {sql
   text AS original_text, CASE WHEN {_FIRST} IN ('E', 'É') THEN 'ValueError: bad text'
     WHEN {_FIRST} = 'D' THEN 'empty reply' WHEN {_FIRST} = 'A' THEN 'rate limit' END AS error"""
 
+_TWO = f"""t AS (SELECT *, {LABELS['prefix']} AS l0, {LABELS['question']} AS l1, CASE WHEN length(text) > 5000 THEN 'book' END AS l2,
+  CASE WHEN length(text) > 1000 THEN 'article' END AS l3, 'default' AS l4 FROM requests)"""
+_METHODS = ["prefix", "question", "first", "second", "always"]
+
 ORACLES = {
+    "route_two_classifiers": f"""WITH {REQUESTS_SQL}, {_TWO}
+        SELECT request_id, coalesce(l0, l1, l2, l3, l4) AS label,
+          CASE {' '.join(f"WHEN l{i} IS NOT NULL THEN '{m}'" for i, m in enumerate(_METHODS))} END AS method,
+          CASE WHEN coalesce(l0, l1) IS NULL AND coalesce(l2, l3) IS NOT NULL THEN CAST(0.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS confidence,
+          CAST(NULL AS VARCHAR) AS error FROM t""",
+    "route_explain_classifier": f"""WITH {REQUESTS_SQL}, {_TWO},
+        s AS (SELECT request_id, unnest(range(5)) AS step, unnest([{', '.join(quote(m) for m in _METHODS)}]) AS method,
+          unnest([l0, l1, l2, l3, l4]) AS label FROM t),
+        f AS (SELECT *, min(CASE WHEN label IS NOT NULL THEN step END) OVER (PARTITION BY request_id) AS first FROM s)
+        SELECT request_id, step, method, label IS NOT NULL AS matched, label, first IS NULL OR step <= first AS reached FROM f""",
+    "logistic_facts": f"""WITH {SPLIT_SQL} SELECT label, count(*) AS n, true AS good, true AS known FROM val GROUP BY label""",
     "naive_bayes": f"""WITH {SPLIT_SQL}, {nb_sql('train', 'val', 'record_id', SIZES)}
         SELECT val.record_id, val.label, nb.label AS pred, round(nb.score, 6) AS score
         FROM val JOIN nb ON nb.record_id = val.record_id""",
