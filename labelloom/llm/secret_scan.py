@@ -152,10 +152,10 @@ def secret_spans(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
         index = materialize(postings(texts, trigrams), "index")
         hits = materialize(candidates(index, trigrams, queries), "candidates")
         # small candidate sets are broadcast by Spark, which knows the size of a written table
-        rows = texts.join(hits, "key").dropDuplicates(["key"])
+        rows = texts.join(hits, "key")
         found.append(located(rows, {n: rules[n] for n in queries}, {n: F.array_contains("rules", n) for n in queries}))
     if scanned:
-        found.append(located(texts, scanned).distinct())
+        found.append(located(texts, scanned))
     spans = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     base = F.array_contains(F.array(*[F.lit(n) for n, r in enumerate(rules) if r.base] or [F.lit(-1)]), F.col("rule"))
     return spans.select("key", "rule", kind_names(rules).alias("kind"), "start", "end", base.alias("base"))

@@ -59,7 +59,7 @@ def located(
     """
     text = F.col("text")
     lists = [_matches(text, n, r, F.lit(True) if wanted is None else wanted[n], around) for n, r in rules.items()]
-    found = rows.select("key", F.explode(F.concat(*lists)).alias("m")).select("key", "m.*")
+    found = rows.select("key", F.explode(F.concat(*lists)).alias("m")).select("key", "m.*").distinct()  # of equal rows
     order = Window.partitionBy("key", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.length("match")).over(order)
     placed = found.withColumn("end", end).withColumn("start", F.col("end") - F.length("match"))
