@@ -1,3 +1,4 @@
+import bisect
 import random
 import zlib
 
@@ -82,9 +83,13 @@ def test_plans_are_whole_and_tight(seed):
         for length in content:
             got[length] = got.get(length, 0) + times
     assert got == counts
-    bins, volume = sum(t for _, t in plan), -(-sum(k * v for k, v in counts.items()) // capacity)
-    alone = sum(v for k, v in counts.items() if 2 * k > capacity)
-    assert bins <= 1.05 * max(volume, alone) + 2
+    bins = sum(t for _, t in plan)
+    rooms: list[int] = []  # best fit, longest first, piece by piece
+    for length in sorted((k for k, n in counts.items() for _ in range(n)), reverse=True):
+        at = bisect.bisect_left(rooms, length)
+        room = rooms.pop(at) if at < len(rooms) else capacity
+        bisect.insort(rooms, room - length)
+    assert -(-sum(k * v for k, v in counts.items()) // capacity) <= bins <= len(rooms)
     for length, n in counts.items():
         ranks = sorted((a, b) for k, a, b, *_ in packing.runs_of(plan) if k == length)
         assert ranks[0][0] == 0 and ranks[-1][1] == n - 1 and all(x[1] + 1 == y[0] for x, y in zip(ranks, ranks[1:], strict=False))
