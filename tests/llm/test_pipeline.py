@@ -1,5 +1,6 @@
 import corpus_pipeline
 import duckdb
+import pytest
 
 import __spark_entry__ as entry
 from labelloom.llm import queries
@@ -15,6 +16,16 @@ def test_registered_queries(spark):
     assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_equal_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    got = queries.QUERIES[name](spark, SF)
+    cursor = con.execute(queries.ORACLES[name])
+    at = [got.columns.index(d[0]) for d in cursor.description]
+    assert sorted(tuple(r[i] for i in at) for r in got.collect()) == sorted(cursor.fetchall())
+
+
 def test_stages_against_plain_versions(spark):
     """Each stage on what its predecessor kept; the last against the tokens it packs."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
