@@ -25,6 +25,7 @@ from ..functions.text import (
     to_passive,
     to_question,
     typo,
+    words,
 )
 from ..sources.catalog import Catalog
 from .datasets import shuffle
@@ -54,7 +55,7 @@ def with_language(df: DataFrame, catalog: Catalog, seed: int = 42) -> DataFrame:
     """Add ``lang``: weighted pick among the languages the class has templates for."""
     joined = _lookup(
         df, catalog.classes, {"label": "label"},
-        __langs="langs", __edges="edges", __first="first_lang", __others="others",
+        __langs="langs", __edges="edges", __first="first_lang", __idx="idx", __n_classes="n_classes",
     )
     x = unit(seed, F.col(KEY), "lang") * F.element_at("__edges", -1)
     place = let(x, lambda at: F.size(F.filter("__edges", lambda edge: edge <= at)))
@@ -108,9 +109,12 @@ def with_base_text(df: DataFrame, catalog: Catalog, seed: int = 42) -> DataFrame
             "__sit_pos": F.when(uses_situation, pick_index(number("situation"), F.col("__n_situations"))),
             "__wrap_pos": F.when(kind == "C", pick_index(number("wrapper"), F.col("__n_wrappers"))),
             "__bridge_pos": F.when(kind == "E", pick_index(number("bridge"), F.col("__n_bridges"))),
-            "__second": F.when(kind == "E", pick(F.col("__others"), number("second"))),
+            "__other": F.when(kind == "E", pick_index(number("second"), F.col("__n_classes") - 1)),
         }
     )
+    # the classes without the own one, counted in their order
+    df = df.withColumn("__second_idx", F.col("__other") + (F.col("__other") >= F.col("__idx")).cast("int"))
+    df = _lookup(df, catalog.classes, {"__second_idx": "idx"}, __second="label")
     own = {"label": "label", "lang": "lang"}
     df = _lookup(df, catalog.templates, {**own, "__pos": "pos"}, __template="text", __register="register")
     df = _lookup(df, catalog.situations, {**own, "__sit_pos": "pos"}, __situation="text")
@@ -192,15 +196,45 @@ def with_noise(df: DataFrame, catalog: Catalog, seed: int = 42) -> DataFrame:
     key, text = F.col(KEY), F.col("text")
     df = _with_filler(df, catalog, seed, "noise_filler")
     abbreviations = catalog.abbreviation_map
+    joined = abbreviations is None and catalog.has_abbreviations
     has_filler = F.coalesce("__n_fillers", F.lit(0)) > 0
-    ways = F.lit(1 if abbreviations is None else 2) + has_filler.cast("int")
+    ways = F.lit(2 if joined or abbreviations is not None else 1) + has_filler.cast("int")
     way = pick_index(draw(seed, key, "noise"), ways)
     noisy = F.when(way == 0, typo(text, seed, key))
     if abbreviations is not None:
         noisy = noisy.when(way == 1, abbreviate(text, abbreviations, seed, key))
+    if joined:
+        chosen = (way == 1) & (unit(seed, key, "noise_use") < F.lit(fv.NOISE_PROB))
+        df = _with_abbreviated(df, catalog.abbreviations, chosen, seed)
+        noisy = noisy.when(way == 1, F.coalesce("__short", text))
     noisy = noisy.otherwise(filler_insert(text, F.col("__filler"), seed, key))
     df = df.withColumn("noised", unit(seed, key, "noise_use") < F.lit(fv.NOISE_PROB))
-    return df.withColumn("text", F.when(F.col("noised"), noisy).otherwise(text)).drop("__filler")
+    return df.withColumn("text", F.when(F.col("noised"), noisy).otherwise(text)).drop("__filler", *["__short"] * joined)
+
+
+def _with_abbreviated(df: DataFrame, table: DataFrame, chosen: Column, seed: int) -> DataFrame:
+    """Add ``__short``: the text of the chosen rows with abbreviations, by a join on the lower-cased word.
+
+    Only words that are drawn for replacement are joined; equal (record, text) rows are looked up once.
+    """
+    key = F.col(KEY)
+    drawn = df.filter(chosen).select(KEY, "text").distinct()
+    each = drawn.select(KEY, "text", F.posexplode(words(F.col("text"))).alias("i", "word"))
+    index = F.col("i").cast("string")
+    hit = unit(seed, key, F.concat(F.lit("abbr#"), index)) < F.lit(fv.ABBREVIATE_PROB)
+    number = draw(seed, key, F.concat(F.lit("abbr_pick#"), index))
+    other = table.select(F.col("word").alias("__word"), "alternatives")
+    found = each.filter(hit).join(other, F.lower("word") == F.col("__word"))
+    found = found.withColumn("new", pick(F.col("alternatives"), number)).filter(F.col("new").isNotNull())
+    changes = found.groupBy(KEY, "text").agg(F.map_from_entries(F.collect_list(F.struct("i", "new"))).alias("changes"))
+    replaced = F.transform(
+        words(F.col("text")), lambda w, i: F.coalesce(F.try_element_at(F.col("changes"), i.cast("int")), w)
+    )
+    short = drawn.join(changes, [KEY, "text"], "left").select(
+        F.col(KEY).alias("__k"), F.col("text").alias("__t"),
+        F.array_join(F.when(F.col("changes").isNull(), words(F.col("text"))).otherwise(replaced), " ").alias("__short"),
+    )
+    return df.join(short, (key == F.col("__k")) & (F.col("text") == F.col("__t")), "left").drop("__k", "__t")
 
 
 def _finish(df: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def _size(col: Column) -> Column:
     return F.greatest(F.coalesce(F.size(col), F.lit(0)), F.lit(0))
 
 
-MAX_ABBREVIATIONS = 10_000
+MAP_ABBREVIATIONS = 1_000  # up to so many are a literal in the plan; more are joined
 
 
 class Catalog:
@@ -61,13 +61,17 @@ class Catalog:
 
     @cached_property
     def abbreviation_map(self) -> Column | None:
-        """MAP<STRING, ARRAY<STRING>> literal of the abbreviation list, None when it is empty."""
-        rows = self._tables["abbreviations"].limit(MAX_ABBREVIATIONS + 1).collect()
-        if len(rows) > MAX_ABBREVIATIONS:
-            raise ValueError(f"more than {MAX_ABBREVIATIONS} abbreviations")
+        """MAP<STRING, ARRAY<STRING>> literal of a short abbreviation list, None when it is empty or long."""
+        rows = self._tables["abbreviations"].limit(MAP_ABBREVIATIONS + 1).collect()
+        if len(rows) > MAP_ABBREVIATIONS:
+            return None
         pairs = [x for r in rows if r["alternatives"] for x in (F.lit(r["word"]), F.lit(list(r["alternatives"])))]
         return F.create_map(*pairs) if pairs else None
 
+    @cached_property
+    def has_abbreviations(self) -> bool:
+        return not self._tables["abbreviations"].filter("alternatives IS NOT NULL").isEmpty()
+
 
 def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``catalog_id`` (the path) and ``body`` (the JSON text)."""
@@ -133,7 +137,7 @@ def build_catalog(raw: DataFrame, languages: list[str] | None = None) -> Catalog
         "label",
         "idx",
         langs.alias("langs"),
-        F.filter(F.map_keys(_object(top["classes"])), lambda name: name != F.col("label")).alias("others"),
+        F.size(F.map_keys(_object(top["classes"]))).alias("n_classes"),
         F.lit(languages[0]).alias("first_lang"),
     ).withColumn(
         "edges",

@@ -112,3 +112,21 @@ def test_validation(spark):
     assert "a.templates: missing language 'ko'" in errors and "a.templates.en: missing register 'casual'" in errors
     assert not any("templates.ko" in e for e in errors)
     assert "a: missing key 'slot_lists'" in errors
+
+
+def test_long_abbreviation_list_is_joined(spark, monkeypatch):
+    """20,000 abbreviations: no literal; and the join gives the rows of the literal."""
+    world = {**DEMO, "noise_patterns": {**DEMO["noise_patterns"]}}
+    data = spark.range(400).selectExpr(
+        "id AS record_id", "concat_ws(' ', transform(sequence(1, 40), i -> 'W' || (id * 7 + i) % 300)) AS text", "'simple' AS label", "'en' AS lang"
+    )
+    data = data.unionAll(data.limit(5))
+    short = {f"w{i}": [f"a{i}", f"b{i}"] for i in range(250)} | {"w299": []}
+    world["noise_patterns"]["abbreviations"] = short
+    want = rows(ex.augment(data, cl.catalog_from_dict(spark, world, LANGUAGES), 3, transform=False))
+    monkeypatch.setattr(cl, "MAP_ABBREVIATIONS", 10)
+    assert rows(ex.augment(data, cl.catalog_from_dict(spark, world, LANGUAGES), 3, transform=False)) == want
+    assert any("a1" in r or "b1" in r for t in want for r in str(t).split())
+    monkeypatch.undo()
+    world["noise_patterns"]["abbreviations"] = short | {f"other{i}": ["x"] for i in range(20_000)}
+    assert rows(ex.augment(data, cl.catalog_from_dict(spark, world, LANGUAGES), 3, transform=False)) == want
