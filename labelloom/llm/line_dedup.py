@@ -103,7 +103,7 @@ class Lines:
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, Lines]]:
     data, ends = text_bytes(batch.column(1))
-    for lo, hi in chunks(ends, 1_000_000):
+    for lo, hi in chunks(ends):
         part = data[ends[lo] : ends[hi]]
         yield lo, hi, part, Lines(part, ends[lo : hi + 1] - ends[lo])
 
@@ -191,7 +191,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rewrite(text: int, drops: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(a, 200) for b in batches for a in range(0, b.num_rows, 200)):
             texts, left = [], []
             for x, gone in zip(batch.column(text).to_pylist(), batch.column(drops).to_pylist(), strict=True):
                 if x is not None and gone:

@@ -11,6 +11,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"  # rows with whole texts: small batches bound the memory
+
+
 def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
@@ -20,5 +23,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to a new folder and read it again."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    given = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(int(given), 1_000) if int(given) > 0 else 1_000))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, given)
     return spark.read.schema(df.schema).parquet(path)

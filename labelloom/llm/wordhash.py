@@ -18,7 +18,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 MASK = 2**64 - 1
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000  # of texts that are taken apart at a time
 
 
 def mix(x: np.ndarray) -> np.ndarray:
