@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .scale import checked_broadcast, hot_salts
+from .scale import checked_broadcast, hot_salts, join_on
 
 ROWS_PER_TASK = 1_000_000
 
@@ -109,10 +109,10 @@ def health_asof(
 
     hot = checked_broadcast(hot_salts(asked, ["backend", "__block"], rows_per_task))
     salts = F.coalesce("__salts", F.lit(1))
-    asked = asked.join(hot, ["backend", "__block"], "left").withColumn(
+    asked = join_on(asked, hot, ["backend", "__block"]).withColumn(  # null-safe: requests without a backend or time are salted too
         "__salt", F.pmod(F.xxhash64(*keys), salts).cast("int")
     )
-    checks = checks.join(hot, ["backend", "__block"], "left").withColumn(
+    checks = join_on(checks, hot, ["backend", "__block"]).withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
     timeline = (

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from .. import fixed_values as fv
 from ..functions.text import reply_lines
 from ..sources.records import append_records
+from ..session import ensure_checkpoint_dir
 from .datasets import pending, stratified_sample
 from .scale import checked_broadcast, cutoffs, join_on
 
@@ -220,6 +221,9 @@ def naturalize(
     """
     sample = stratified_sample(df, n, seed)
     todo = pending(sample, done) if done is not None else sample
+    if chunks > 1:  # sampled once; the chunks read the written rows
+        ensure_checkpoint_dir(df.sparkSession)
+        todo = todo.checkpoint()
     part = F.pmod(F.xxhash64("record_id"), F.lit(chunks))
     for i in range(chunks):
         append_records(rephrase(todo.filter(part == i) if chunks > 1 else todo, fn, **options), path)
