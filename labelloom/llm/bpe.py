@@ -8,7 +8,7 @@ given up once at most, so a word takes time in proportion to its length, and the
 merges in their order give. Decoding copies token texts by a table of offsets.
 
 A text is taken apart at ASCII white space first; a part's tokens do not depend on its neighbours. The tokens of
-parts seen before are kept in a table of bounded size per worker.
+parts seen before are kept in a table of bounded size during a task.
 
 Nulls: a null text is encoded as an empty one, which has no token. A row with a null id is encoded like any
 other; repeated rows are returned as often as given; other columns are ignored.
@@ -30,8 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 
 END = "Ā"  # stands for the end of a word; other letters of a word are its UTF-8 bytes
-KEPT_PARTS = 300_000  # parts of texts whose tokens a worker keeps
-KEPT_WORDS = 700_000  # words whose tokens a worker keeps
+KEPT_PARTS = 150_000  # parts of texts whose tokens a task keeps
+KEPT_WORDS = 300_000  # words whose tokens a task keeps
 KEPT_BYTES = 40  # no longer parts are kept
 #: Fixed values of the format: white space and the pieces between which no merge happens.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -204,6 +204,13 @@ class Bpe:
             self.kept[raw] = got
         return got
 
+    def forget(self) -> None:
+        """Drop what a task has kept: the worker may go on with other work."""
+        self.kept.clear()
+        self.words.clear()
+        if len(self.pairs) > KEPT_WORDS:
+            self.pairs.clear()
+
     def encode(self, raw: bytes) -> bytes:
         """Tokens of a UTF-8 text as little-endian unsigned 32-bit ids."""
         known, part = self.kept.get, self.part
@@ -246,6 +253,7 @@ def _encode(source, with_text: bool):
                 if with_text:
                     columns.append(pa.array([bpe.decode(np.frombuffer(x, "<u4").astype(np.int64)) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names)
+        bpe.forget()
 
     return run
 

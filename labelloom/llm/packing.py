@@ -56,6 +56,7 @@ def _pieces(source, capacity: int, end_id: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"]
             )
+        bpe.forget()
 
     return run
 
