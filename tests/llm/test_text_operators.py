@@ -135,3 +135,28 @@ def test_private_data(spark):
         assert r.base == brute.spans(TEXTS[9 if r.doc_id is None else r.doc_id], brute.PRIVATE)[0]
     empty = table(spark, [])
     assert pii.pii_spans(empty).collect() == []
+
+
+def test_private_data_beyond_the_base_rules(spark):
+    """Obfuscated addresses, handles and numbers without '+' come out, also without base matches; plain numbers do not."""
+    planted = [
+        "some words jane (at) example and more", "write to bob[at]acme [dot] org now", "thanks to @lena_m for this", "we met at (202) 555-0182 yesterday",
+        "it was 202-555-0182 again", "ssn 555-12-3456 here", "she gave 555-12-3456 to them", "call 2025550182 now",
+    ]
+    plain = [
+        "order 1234567 shipped", "about 12345678 people", "the number 20250182 again", "on 2021-05-12 we left", "12/05/2021 was fine", "1 234 567 items",
+        "pi is 3.14159265 roughly", "x 1 2 3 4 5 6 7 8 9", "serial 202-555-0182", "meet (at) noon", "\n@Override\npublic void run() {}", "isbn 978-3-16-148410-0",
+    ]
+    docs = list(enumerate(planted + plain))
+    df = table(spark, docs)
+    got = secret_scan.per_row(df, pii.pii_spans(df)).select("doc_id", F.expr("transform(spans, s -> struct(s.kind, s.start, s.end))").alias("s")).collect()
+    shown = {r.doc_id: [(s.kind, docs[r.doc_id][1][s.start : s.end]) for s in r.s] for r in got}
+    want = [
+        ("contact", "jane (at) example"), ("contact", "bob[at]acme [dot] org"), ("handle", "@lena_m"), ("number", "(202) 555-0182"),
+        ("number", "202-555-0182"), ("number", "555-12-3456"), ("number", "555-12-3456"), ("number", "2025550182"),
+    ]
+    for n, one in enumerate(want):
+        assert one in shown[n], (n, shown[n])
+    assert {n: s for n, s in shown.items() if n >= len(planted) and s} == {}
+    thresholds = pii.train(pii.labelled(pii.candidates(df)))[1].collect()
+    assert sorted(r.rule for r in thresholds) == list(range(len(pii.RULES))) and all(0 < r.threshold <= 1 for r in thresholds)
