@@ -16,7 +16,7 @@ from labelloom.llm.line_dedup import dedup_lines
 from labelloom.llm.ngram_join import jaccard_components
 from labelloom.llm.packing import pack_documents
 from labelloom.llm.scratch import materialize
-from labelloom.llm.secret_scan import redact, secret_spans
+from labelloom.llm.secret_scan import PRIVATE_KEY, redact, secret_spans
 
 METADATA = ("n_chars",)
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,8 +36,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat earlier ones."""
-    return _counted(dedup_lines(docs))
+    """Documents without lines that repeat earlier ones.
+
+    Private keys are masked first: their BEGIN and END lines are common lines, without which the secret scan would not know the rest.
+    """
+    return _counted(dedup_lines(docs.withColumn("text", F.regexp_replace("text", PRIVATE_KEY, "[SECRET]"))))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,12 +29,22 @@ def _length(least: int) -> Callable[[], Column]:
     return lambda: F.length("value") >= least
 
 
+_BREAK = "(?:[\\x20\t]*+(?:\r\n?+|\n|\\\\r\\\\n|\\\\n))"  # an end of line, also as an escape
+_BEGIN = "-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_TO_END = "(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+#: Without an END line: header fields, then lines of base64, or a long run of base64 on the same line.
+_LINES = (
+    f"(?:{_BREAK}[A-Za-z-]++:\\x20[^\r\n\\\\]*+)*+(?:{_BREAK}++[\\x20\t>|]*+[A-Za-z0-9+/]++=*+(?=[\\x20\t]*+(?:[\r\n\\\\\"',]|$)))*+"
+    "(?:\\x20++[A-Za-z0-9+/]{40,}+=*+(?![^\\s\\\\\"',]))*+"
+)
+#: A private key from its BEGIN line to its END line.
+PRIVATE_KEY = f"{_BEGIN}(?:{_TO_END}|{_LINES})"
 #: The base rules, then further well-known formats. A run of 32 or more hex digits is the run as a whole.
 RULES = [
     Rule("assign", "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, _length(8), True),
     Rule("access", "AKIA[A-Z0-9]+", 0, _length(16), True),
     Rule("hex", "[0-9a-f]{32,}", 0, None, True),
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", "AIza[A-Za-z0-9_-]{35}"),

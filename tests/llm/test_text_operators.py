@@ -160,3 +160,28 @@ def test_private_data_beyond_the_base_rules(spark):
     assert {n: s for n, s in shown.items() if n >= len(planted) and s} == {}
     thresholds = pii.train(pii.labelled(pii.candidates(df)))[1].collect()
     assert sorted(r.rule for r in thresholds) == list(range(len(pii.RULES))) and all(0 < r.threshold <= 1 for r in thresholds)
+
+
+def test_whole_private_keys_are_masked(spark):
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3/" * 12] * 20_000 + ["Zz9+Q=="])
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    cut = f"-----BEGIN PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{body}\nand so on"
+    escaped = pem[:120].replace("\n", "\\n") + "\\nZz9+Q=="
+    texts = [
+        f"a\n{pem}\nb {pem} c", f"x {cut}", f'{{"k": "{escaped}", "n": 1}}', "-----BEGIN PRIVATE KEY----- is a header", "-----BEGIN RSA PRIVATE KEY-----\n" + pem,
+    ]
+    df = table(spark, list(enumerate(texts)))
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df, secret_scan.secret_spans(df)).collect()}
+    assert clean == {
+        0: "a\n[SECRET]\nb [SECRET] c", 1: "x [SECRET]\nand so on", 2: '{"k": "[SECRET]", "n": 1}', 3: "[SECRET] is a header",
+        4: "[SECRET]\n[SECRET]",
+    }
+
+
+def test_line_dedup_leaves_no_bodies_of_private_keys(spark):
+    import corpus_pipeline
+
+    docs = [(n, f"text {n}\n-----BEGIN PRIVATE KEY-----\nkey{n}AAAAB3\n-----END PRIVATE KEY-----\nend {n}", 1) for n in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, n_chars long")
+    out = corpus_pipeline.mask_secrets(spark, corpus_pipeline.drop_lines(spark, df, ""), "").collect()
+    assert len(out) == 3 and not any("AAAAB3" in r.text for r in out) and all(f"end {r.doc_id}" in r.text for r in out)
