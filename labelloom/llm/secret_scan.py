@@ -49,7 +49,8 @@ RULES = [
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", "AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]+"),
-    Rule("url_login", "[a-z][a-z0-9+.-]{0,20}://[^\\s/:@]{1,64}:[^\\s/:@]{3,64}@"),
+    Rule("url_login", "[a-z][a-z0-9+.-]{0,20}://[^\\s/:@]*+:[^\\s/@]{3,}+@"),
+    Rule("github", "github_pat_[A-Za-z0-9_]{22,}"),
 ]
 
 

@@ -185,3 +185,11 @@ def test_line_dedup_leaves_no_bodies_of_private_keys(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, n_chars long")
     out = corpus_pipeline.mask_secrets(spark, corpus_pipeline.drop_lines(spark, df, ""), "").collect()
     assert len(out) == 3 and not any("AAAAB3" in r.text for r in out) and all(f"end {r.doc_id}" in r.text for r in out)
+
+
+def test_long_and_userless_logins_are_masked(spark):
+    token = "github_pat_" + "aB3_" * 20 + "xy"
+    texts = [f"https://x-access-token:{token}@host/a", "redis://:hunter2@cache", f"use {token} now", "http://host:80/x@y", "https://a:b:cde@h"]
+    df = table(spark, list(enumerate(texts)))
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df, secret_scan.secret_spans(df)).collect()}
+    assert clean == {0: "[SECRET]host/a", 1: "[SECRET]cache", 2: "use [SECRET] now", 3: texts[3], 4: "[SECRET]h"}
