@@ -57,7 +57,7 @@ class BallTree:
 
 
 def search_tree(tree: BallTree, points: np.ndarray, ids: np.ndarray, state, queries: np.ndarray, own: np.ndarray, k: int):
-    """Merge the best of one shard into ``state`` (ids, scores), whose last scores are the bounds to beat."""
+    """Merge the best of one shard into ``state`` (ids, scores, real), whose last scores are the bounds to beat."""
     state = merged(state, len(queries), k, *(np.zeros(0, np.int64),) * 3)
     bound = tree.bounds(queries)
     alive = np.zeros(bound.shape, bool)
@@ -97,13 +97,13 @@ def _search(k: int, factor: int, first: dict):
         start = first.value.get(query["width"])
         if state is None and start is not None and start["block"] != vector["block"]:
             # scores over the shared shard are only bounds here: the shard is searched in its own tile
-            _, scores = search_tree(BallTree(s := np.floor(factor * opened(start)[1])), s, opened(start)[0], None, x, own, k)
-            state = (np.full(scores.shape, -1, np.int64), np.full(scores.shape, -np.inf))
+            _, scores, _ = search_tree(BallTree(s := np.floor(factor * opened(start)[1])), s, opened(start)[0], None, x, own, k)
+            state = (np.full(scores.shape, -1, np.int64), np.full(scores.shape, -np.inf), np.zeros(scores.shape, bool))
             floor = scores[:, -1]
         else:
             floor = np.full(len(x), -np.inf)
         held = merged(state, len(x), k, *(np.zeros(0, np.int64),) * 3)
-        padded = (held[0], np.where(held[0] < 0, np.maximum(held[1], floor[:, None]), held[1]))
+        padded = (held[0], np.where(held[2], held[1], np.maximum(held[1], floor[:, None])), held[2])
         return search_tree(BallTree(y), y, ids, padded, x, own, k)
 
     return search

@@ -60,7 +60,8 @@ def opened(row: dict) -> tuple[np.ndarray, np.ndarray]:
 def tile_join(queries: DataFrame, vectors: DataFrame, search: Callable, k: int) -> DataFrame:
     """Every query block with every vector block of its width; (query_id, vec_id, score) of each query's best.
 
-    ``search(state, query row, vector row)`` returns the new state of a query block: (ids, scores) arrays of k columns.
+    ``search(state, query row, vector row)`` returns the new state of a query block: (ids, scores, real) arrays of k columns;
+    slots that are not ``real`` are empty, whatever their id and score.
     A task streams over its tiles and holds one at a time; the vector blocks of a query block are dealt over many
     tasks. The best of the tasks are then merged by query.
     """
@@ -76,8 +77,7 @@ def tile_join(queries: DataFrame, vectors: DataFrame, search: Callable, k: int)
         at, state, ids = None, None, None
 
         def best():
-            found, scores = state
-            real = found >= 0
+            found, scores, real = state
             query = np.repeat(ids, real.sum(1))
             return pa.RecordBatch.from_arrays(
                 [pa.array(query), pa.array(found[real]), pa.array(scores[real])], ["query_id", "vec_id", "score"]
@@ -103,22 +103,24 @@ def tile_join(queries: DataFrame, vectors: DataFrame, search: Callable, k: int)
 def merged(state, n: int, k: int, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray):
     """Best k per row of the state and of new entries (row, id, score): by score, then by smaller id."""
     if state is None:
-        state = (np.full((n, k), -1, np.int64), np.full((n, k), -np.inf))
+        state = (np.full((n, k), -1, np.int64), np.full((n, k), -np.inf), np.zeros((n, k), bool))
     if not len(rows):
         return state
-    old, known = state
+    old, known, real = state
     touched = np.unique(rows)
     place = np.full(n, -1)
     place[touched] = np.arange(len(touched))
     a = np.concatenate([np.repeat(touched, k), rows])
     b = np.concatenate([old[touched].ravel(), ids])
     c = np.concatenate([known[touched].ravel(), scores])
-    order = np.lexsort((np.where(b < 0, np.iinfo(np.int64).max, b), -c, a))
-    a, b, c = a[order], b[order], c[order]
+    d = np.concatenate([real[touched].ravel(), np.ones(len(rows), bool)])
+    order = np.lexsort((b, ~d, -c, a))
+    a, b, c, d = a[order], b[order], c[order], d[order]
     first = np.searchsorted(a, touched)
     at = np.arange(len(a)) - first[place[a]]
     keep = at < k
-    old, known = old.copy(), known.copy()
+    old, known, real = old.copy(), known.copy(), real.copy()
     old[a[keep], at[keep]] = b[keep]
     known[a[keep], at[keep]] = c[keep]
-    return old, known
+    real[a[keep], at[keep]] = d[keep]
+    return old, known, real

@@ -77,3 +77,13 @@ def test_small_and_empty(spark):
     assert found(ball_tree.top_inner_products(table(spark, two), F.col("id") % 50 == 0, 5)) == {0: [(1, 128 * 256)]}
     assert found(neighbours.nearest(table(spark, []), F.col("id") % 20 == 0, 20)) == {}
     assert found(ball_tree.top_inner_products(table(spark, []), F.col("id") % 50 == 0, 5)) == {}
+
+
+@pytest.mark.parametrize("block", [4096, 64])
+def test_negative_ids(spark, monkeypatch, block):
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", block)
+    data = [(None if i is None else i - 350, v) for i, v in rows(2)]
+    got = found(neighbours.nearest(table(spark, data), F.col("id") % 20 == 0, 20))
+    assert got == wanted(data, 20, 20, lambda x: x, False, plain)
+    got = found(ball_tree.top_inner_products(table(spark, data), F.col("id") % 50 == 0, 5))
+    assert got == wanted(data, 50, 5, lambda x: np.floor(256 * x).astype(int), True, lambda x, y: int(x @ y))
