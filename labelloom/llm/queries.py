@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import bpe, quality, toxicity
 from .ball_tree import top_inner_products
 from .line_dedup import repeated_lines
+from .mixing import mix
 from .neighbours import nearest
 from .ngram_join import jaccard_components
 from .packing import pack_documents
@@ -99,6 +100,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_row(docs, pii_spans(docs)).select(*_span_columns(["email", "ip", "card", "phone"]))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("times")
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_nearest": op2_nearest,
@@ -110,6 +115,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_mixing": op11_mixing,
 }
 _VECTORS = """v AS (
   SELECT vec_id, min({value}) AS x FROM embeddings
