@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, quality, toxicity
 from .ball_tree import top_inner_products
+from .lexical import search
 from .line_dedup import repeated_lines
 from .mixing import mix
 from .neighbours import nearest
@@ -104,6 +105,10 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("times")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_nearest": op2_nearest,
@@ -116,6 +121,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
     "op11_mixing": op11_mixing,
+    "op13_lexical_search": op13_lexical_search,
 }
 _VECTORS = """v AS (
   SELECT vec_id, min({value}) AS x FROM embeddings
@@ -132,7 +138,26 @@ def _search_sql(vectors: str, every: int, k: int, kind: str) -> str:
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS {kind}) AS score FROM ranked WHERE rank <= {k}"""
 
 
+_TERMS = (
+    "unnest(regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term"
+)
+_LEXICAL_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, {_TERMS.format(text="text")} FROM d) GROUP BY r, term),
+sizes AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY r),
+whole AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+m AS (SELECT r, 100 - 75 + (75 * n * documents) // terms AS m FROM sizes, whole),
+b AS (SELECT row_number() OVER () AS i, item_id, text FROM benchmark),
+q AS (SELECT i, term, count(*) AS times FROM (SELECT i, {_TERMS.format(text="text")} FROM b) GROUP BY i, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM t WHERE term IN (SELECT term FROM q) GROUP BY term), whole),
+s AS (SELECT i, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY i, r),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM s JOIN b USING (i) JOIN d USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
 ORACLES: dict[str, str] = {
+    "op13_lexical_search": _LEXICAL_SQL,
     "op2_nearest": _search_sql(
         _VECTORS.format(
             value="CAST(embedding AS DOUBLE[])", more=" AND len(list_filter(embedding, lambda c: c <> 0)) > 0"

@@ -60,9 +60,9 @@ def chunks(ends: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
-def word_spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and length in bytes of every word; no word reaches over a text's end."""
-    solid = ~SPACE[data]
+def word_spans(data: np.ndarray, ends: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length in bytes of every word; no word reaches over a text's end. ``blank``: the bytes between words."""
+    solid = ~blank[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[ends] = True
     first = solid.copy()
