@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, quality, toxicity
 from .ball_tree import top_inner_products
+from .collocations import collocations
 from .lexical import search
 from .line_dedup import repeated_lines
 from .mixing import mix
@@ -105,6 +106,10 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("times")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -121,6 +126,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
     "op11_mixing": op11_mixing,
+    "op12_collocations": op12_collocations,
     "op13_lexical_search": op13_lexical_search,
 }
 _VECTORS = """v AS (
@@ -156,7 +162,29 @@ s AS (SELECT i, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m
 ranked AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
   FROM s JOIN b USING (i) JOIN d USING (r) WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+_COLLOCATION_SQL = """WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang HAVING sum(len(ws)) > 0),
+g AS (SELECT lang, k, unnest(list_transform(generate_series(1, len(ws) - k + 1), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS p
+  FROM w, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(ws) >= k),
+f AS (SELECT lang || chr(10) || p AS key, any_value(lang) AS lang, any_value(k) AS k, any_value(p) AS p, count(*) AS f FROM g GROUP BY key),
+c AS (SELECT key, lang, k, p, string_split(p, ' ') AS ws, f AS a FROM f WHERE k > 1 AND f >= 30),
+parts AS (SELECT key, a, cut, lang || chr(10) || array_to_string(ws[1:cut], ' ') AS head,
+  lang || chr(10) || array_to_string(ws[cut + 1:], ' ') AS tail FROM c, (VALUES (1), (2), (3)) AS places(cut) WHERE cut < k),
+cuts AS (SELECT parts.key, a, cut, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (x.f + y.f) AS BIGINT) AS score
+  FROM parts JOIN f x ON x.key = head JOIN f y ON y.key = tail),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY key ORDER BY score, cut) = 1),
+inside AS (SELECT lang || chr(10) || array_to_string(ws[i:i + m - 1], ' ') AS key, max(a) AS longer
+  FROM c, (VALUES (2), (3)) AS sizes(m), (VALUES (1), (2), (3)) AS places(i) WHERE m < k AND i + m - 1 <= k GROUP BY 1),
+kept AS (SELECT c.lang, c.p AS phrase, lowest.a, l, r, score FROM lowest JOIN c USING (key) LEFT JOIN inside USING (key)
+  WHERE longer IS NULL OR 100 * longer < 80 * lowest.a),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM kept JOIN n USING (lang))
+SELECT * FROM ranked WHERE rank <= 2000"""
 ORACLES: dict[str, str] = {
+    "op12_collocations": _COLLOCATION_SQL,
     "op13_lexical_search": _LEXICAL_SQL,
     "op2_nearest": _search_sql(
         _VECTORS.format(
