@@ -7,8 +7,8 @@ their border would have come before the merges inside them; answers are kept in
 given up once at most, so a word takes time in proportion to its length, and the tokens are the ones the
 merges in their order give. Decoding copies token texts by a table of offsets.
 
-A text is taken apart at ASCII white space first; a part's tokens do not depend on its neighbours. The tokens of
-parts seen before are kept in a table of bounded size during a task.
+A text is taken apart at ASCII white space first; a part's tokens do not depend on its neighbours. The tokens of parts and words
+seen before are kept in tables of bounded size, for as long as a worker goes on encoding. Equal texts of a batch are encoded once.
 
 Nulls: a null text is encoded as an empty one, which has no token. A row with a null id is encoded like any
 other; repeated rows are returned as often as given; other columns are ignored.
@@ -18,8 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import sys
-import types
 import unicodedata
 from collections.abc import Iterator
 
@@ -29,9 +27,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .workers import kept, task
+
 END = "Ā"  # stands for the end of a word; other letters of a word are its UTF-8 bytes
-KEPT_PARTS = 150_000  # parts of texts whose tokens a task keeps
-KEPT_WORDS = 300_000  # words whose tokens a task keeps
+KEPT_PARTS = 60_000  # parts of texts in each of two generations whose tokens a worker keeps (10 MB each)
+KEPT_WORDS = 120_000  # words, in the same way (23 MB each)
+KEPT_PAIRS = 200_000  # answers of the pair table (25 MB)
 KEPT_BYTES = 40  # no longer parts are kept
 #: Fixed values of the format: white space and the pieces between which no merge happens.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -45,6 +46,25 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Generations:
+    """Values of keys used lately: when the young generation is full it becomes the old one, and the old one goes."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def older(self, key):
+        """The value of a key that is not young; it is young from now on."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class Bpe:
     """Encoder and decoder of one vocabulary file (JSON of the ``tokenizers`` library)."""
 
@@ -70,7 +90,6 @@ class Bpe:
         self.size = [0] * top
         for t, i in self.ids.items():
             self.size[i] = len(t)
-        self.back = [n - 1 for n in self.size]
         self.packed = [i.to_bytes(4, "little") for i in range(top)]
         self.pairs: dict[int, bool] = {}
         self._usable_tokens()
@@ -79,8 +98,7 @@ class Bpe:
         texts = [self.shown.get(i, "").encode() for i in range(max(self.shown) + 1)]
         self.offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
         self.letters = np.frombuffer(b"".join(t + b" " for t in texts), np.uint8)
-        self.kept: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.parts, self.words = Generations(KEPT_PARTS), Generations(KEPT_WORDS)
 
     def _usable_tokens(self) -> None:
         """The automaton, and each token's longest proper prefix that is a token.
@@ -124,6 +142,8 @@ class Bpe:
             else:
                 limit, b = b + 1, inside_b[0]
         if below is None:
+            if len(self.pairs) >= KEPT_PAIRS:
+                self.pairs.clear()
             self.pairs[known] = answer
         return answer
 
@@ -132,45 +152,46 @@ class Bpe:
         text += END
         if (whole := self.usable.get(text)) is not None:
             return self.packed[whole]
-        n = len(text)
-        back, size, shorter, pairs, follows = self.back, self.size, self.shorter, self.pairs, self.may_follow
-        packed = self.packed
-        # the longest tokens one after the other are often right; tokens that may all follow each other are the encoding
-        left, out = n, []
-        for _, token in self.machine.iter_long(text):
-            if out:
-                fits = pairs.get((out[-1] << 32) | token)
-                if not (follows(out[-1], token) if fits is None else fits):
+        n, at, previous = len(text), 0, -1
+        size, shorter, pairs, follows = self.size, self.shorter, self.pairs, self.may_follow
+        out: list[int] = []
+        dead: set[int] = set()  # places from which no encoding goes on
+        while True:
+            token = None
+            for end, longest in self.machine.iter_long(text, at):  # the longest tokens one after the other, as long as they fit
+                after = at + size[longest]
+                if end + 1 != after:
+                    break  # no token starts here
+                if previous >= 0:
+                    fits = pairs.get((previous << 32) | longest)
+                    if after in dead or not (follows(previous, longest) if fits is None else fits):
+                        token = longest
+                        break
+                elif after in dead:
+                    token = longest
                     break
-            left -= size[token]
-            out.append(token)
-        if not left:
-            return b"".join([packed[i] for i in out])
-        longest: list[int | None] = [None] * (n + 1)
-        for end, i in self.machine.iter(text):  # ends come in order: the last token noted at a place is the longest
-            longest[end - back[i]] = i
-        dead, out = [False] * (n + 1), []
-        at, token = 0, longest[0]
-        while at < n:
-            while token is not None:
+                out.append(longest)
+                previous, at = longest, after
+            if at == n:
+                packed = self.packed
+                return b"".join([packed[i] for i in out])
+            while True:  # a shorter token here, or else in the place of the previous one
+                token = None if token is None else shorter.get(token)
+                if token is None:
+                    dead.add(at)
+                    token = out.pop()
+                    at -= size[token]
+                    previous = out[-1] if out else -1
+                    continue
                 after = at + size[token]
-                if not dead[after] and (after == n or longest[after] is not None):
-                    if not out:
+                if after not in dead:
+                    if previous < 0:
                         break
-                    fits = pairs.get((out[-1] << 32) | token)
-                    if follows(out[-1], token) if fits is None else fits:
+                    fits = pairs.get((previous << 32) | token)
+                    if follows(previous, token) if fits is None else fits:
                         break
-                token = shorter.get(token)
-            if token is None:
-                dead[at] = True
-                token = out.pop()
-                at -= size[token]
-                token = shorter.get(token)
-                continue
             out.append(token)
-            at = after
-            token = longest[at]
-        return b"".join([packed[i] for i in out])
+            previous, at = token, after
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
@@ -179,18 +200,18 @@ class Bpe:
         words = (text,) if text.isalpha() else self.pieces.findall(text)  # letters only: one piece
         out = []
         for piece in words:
-            got = self.words.get(piece)
-            if got is None:
+            got = self.words.young.get(piece)
+            if got is None and (got := self.words.older(piece)) is None:
                 got = self.word(piece if piece.isascii() else piece.encode().decode("latin-1"))
                 if len(piece) <= KEPT_BYTES:
-                    if len(self.words) >= KEPT_WORDS:
-                        self.words.clear()
-                    self.words[piece] = got
+                    self.words.put(piece, got)
             out.append(got)
         return b"".join(out)
 
     def part(self, raw: bytes) -> bytes:
         """Tokens of a part of a text without ASCII white space, as little-endian unsigned 32-bit ids."""
+        if (got := self.parts.older(raw)) is not None:
+            return got
         text = raw.decode()
         if self.cut is not None and "<" in text and (found := self.cut.split(text)):
             got = b"".join(
@@ -199,22 +220,21 @@ class Bpe:
         else:
             got = self._plain(text)
         if len(raw) <= KEPT_BYTES:
-            if len(self.kept) >= KEPT_PARTS:
-                self.kept.clear()
-            self.kept[raw] = got
+            self.parts.put(raw, got)
         return got
 
-    def forget(self) -> None:
-        """Drop what a task has kept: the worker may go on with other work."""
-        self.kept.clear()
-        self.words.clear()
-        if len(self.pairs) > KEPT_WORDS:
-            self.pairs.clear()
-
     def encode(self, raw: bytes) -> bytes:
         """Tokens of a UTF-8 text as little-endian unsigned 32-bit ids."""
-        known, part = self.kept.get, self.part
-        return b"".join([got if (got := known(x)) is not None else part(x) for x in raw.split()])
+        parts, part = self.parts, self.part
+        return b"".join([got if (got := parts.young.get(x)) is not None else part(x) for x in raw.split()])
+
+    def encode_all(self, raws: Iterator[bytes]) -> Iterator[bytes]:
+        """Tokens of the texts of a batch; equal texts are encoded once."""
+        known: dict[bytes, bytes] = {}
+        for raw in raws:
+            if (got := known.get(raw)) is None:
+                got = known[raw] = self.encode(raw)
+            yield got
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Token texts with a space between each two, as UTF-8."""
@@ -228,11 +248,7 @@ class Bpe:
 
 def encoder(source: bytes) -> Bpe:
     """The encoder of a vocabulary file; a worker builds each once."""
-    held = sys.modules.setdefault("labelloom_worker_tables", types.ModuleType("labelloom_worker_tables"))
-    key = "bpe_" + hashlib.sha256(source).hexdigest()
-    if not hasattr(held, key):
-        setattr(held, key, Bpe(source))
-    return getattr(held, key)
+    return kept("bpe_" + hashlib.sha256(source).hexdigest(), lambda: Bpe(source))
 
 
 def raw_texts(column: pa.Array) -> Iterator[bytes]:
@@ -248,14 +264,13 @@ def _encode(source, with_text: bool):
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
-                ids = [bpe.encode(x) for x in raw_texts(part.column(1))]
+                ids = list(bpe.encode_all(raw_texts(part.column(1))))
                 columns = [part.column(0), pa.array(ids, pa.binary())]
                 if with_text:
                     columns.append(pa.array([bpe.decode(np.frombuffer(x, "<u4").astype(np.int64)) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names)
-        bpe.forget()
 
-    return run
+    return task(run, "bpe")
 
 
 def encode(docs: DataFrame, tokenizer_path: str, decoded: bool = False) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .bitmaps import bitmap, holds
 from .scratch import materialize
 from .wordhash import LOWER, chunks, mix, span_hashes, text_bytes, word_spans
+from .workers import task
 
 LONGEST = 4
 BREAK = np.zeros(256, bool)  # bytes between pieces
@@ -235,7 +236,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, word, w0, f) of all words of ``texts`` (lang, text)."""
-    runs = texts.mapInArrow(_words, "lang string, word binary, w0 long, f long")
+    runs = texts.mapInArrow(task(_words), "lang string, word binary, w0 long, f long")
     return runs.groupBy("lang", "word", "w0").agg(F.sum("f").alias("f"))
 
 
@@ -243,7 +244,7 @@ def phrase_counts(texts: DataFrame, size: int, frequent, least: int) -> DataFram
     """(w0, ..., hash, f) of the phrases of ``size`` words with ``least`` occurrences or more."""
     words = [f"w{k}" for k in range(size)]
     schema = ", ".join([*[f"{w} long" for w in words], "hash long", "f long"])
-    runs = texts.mapInArrow(_counted(size, frequent), schema)
+    runs = texts.mapInArrow(task(_counted(size, frequent)), schema)
     merged = runs.repartition(*words[:2]).groupBy(*words).agg(F.first("hash").alias("hash"), F.sum("f").alias("f"))
     return merged.filter(F.col("f") >= least)
 

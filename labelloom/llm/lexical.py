@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .scratch import materialize
 from .wordhash import LOWER, chunks, span_hashes, text_bytes, word_spans
+from .workers import task
 
 BLANK = np.ones(256, bool)  # bytes between terms
 BLANK[48:58] = BLANK[65:91] = BLANK[97:123] = BLANK[128:] = False
@@ -93,7 +94,7 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame) -> DataFrame:
     """Written (row, doc_id, n, sketch, terms, tfs) of the documents of ``docs`` (doc_id, text) that have terms."""
-    indexed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_indexed, INDEX)
+    indexed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task(_indexed), INDEX)
     return materialize(indexed.withColumn("row", F.monotonically_increasing_id()), "index")
 
 
@@ -286,24 +287,24 @@ def search_block(index: DataFrame, block: list[Row], documents: int, total: int,
     vocabulary = np.unique(np.concatenate([p[0] for p in pairs]))
     df = np.zeros(len(vocabulary), np.int64)
     if len(df):
-        counted = index.select("terms").mapInArrow(_frequencies(sc.broadcast(vocabulary)), "term long, df long")
+        counted = index.select("terms").mapInArrow(task(_frequencies(sc.broadcast(vocabulary))), "term long, df long")
         for row in counted.groupBy("term").agg(F.sum("df").alias("df")).collect():  # the terms of a block at most
             df[row.term] = row.df
     weights = np.array([term_weight(int(x), documents) for x in df], np.int64)
     weighed = [(terms, weights[np.searchsorted(vocabulary, terms)] * repeats) for terms, repeats in pairs]
     shared = sc.broadcast(([t[w > 0] for t, w in weighed], [w[w > 0] for _, w in weighed], documents, total))
 
-    bounds = index.select("n", "row", "sketch").mapInArrow(_highest_bounds(shared, k), "item long, row long, bound double")
+    bounds = index.select("n", "row", "sketch").mapInArrow(task(_highest_bounds(shared, k)), "item long, row long, bound double")
     seeds = materialize(_ranked(bounds, k, F.desc("bound"), "row").select("item", "row"), "seeds")  # k for each item
     first = index.select("row", "n", "terms", "tfs").join(F.broadcast(seeds), "row").select("item", "n", "terms", "tfs")
-    scores = first.mapInArrow(_rescored(shared), "item long, score long").groupBy("item")
+    scores = first.mapInArrow(task(_rescored(shared)), "item long, score long").groupBy("item")
     floors = [1] * len(block)
     for row in scores.agg(F.count("*").alias("n"), F.min("score").alias("least")).collect():  # one for each item
         if row.n == k:
             floors[row.item] = max(1, row.least)
 
     found = index.select("doc_id", "n", "sketch", "terms", "tfs").mapInArrow(
-        _descended(shared, floors, k), "item long, doc_id long, score long"
+        task(_descended(shared, floors, k)), "item long, doc_id long, score long"
     )
     return _ranked(found, k, F.desc("score"), F.asc_nulls_last("doc_id"))
 

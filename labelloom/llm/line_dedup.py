@@ -1,15 +1,15 @@
 """Line dedup: drop every line that repeats an earlier one, or is one word edit away from an earlier one.
 
 Lines are sequences of words (white space between them, A-Z as a-z); lines without words are left alone. Two lines
-are duplicates when they are equal, or when both have ``MIN_WORDS`` words or more and one inserted, deleted or replaced word
-makes them equal. Of duplicates the earliest by (doc_id, line number) stays: a line goes when there is an earlier duplicate,
+are duplicates when they are equal, or when both have ``min_words`` words or more and one inserted, deleted or replaced word
+or any change of white space makes them equal. Of duplicates the earliest by (doc_id, line number) stays: a line goes when there is an earlier duplicate,
 whether that one stays or not.
 
 Method: deletion neighbourhoods. A line's variants are the line without one of its words, as hashed keys with the place of
-the word. Equal variants of one place: a word is replaced; a variant that equals a whole line: a word is deleted or
-inserted. Minima per key find each line's earliest neighbour, so no pairs are listed and a key with many
-lines is an aggregate. The edit distance of every line and its neighbour is then verified on the words.
-An edit leaves one half of a line alone: only lines that share a half with another line emit variants.
+the word, and the line without its white space. Equal variants of one place: a word is replaced, or words are joined or parted; a
+variant that equals a whole line: a word is deleted or inserted. Minima per key find each line's earliest neighbour, so no pairs are listed and a key with many
+lines is an aggregate; a task emits the variants of equal lines once, unless it comes upon an earlier one. The edit distance of every line and its neighbour is then verified on the words.
+An edit of a word leaves one half of a line alone: only lines that share a half, or their letters, with another line emit variants.
 Keys travel back to the texts as bitmaps of fixed size; a wrong bit costs work, not results.
 
 Nulls and ties: a null text stays null; rows with a null id stay as they are and count for nobody. Rows with equal ids are one
@@ -28,9 +28,12 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .bitmaps import bitmap, holds
 from .scratch import materialize
-from .wordhash import MASK, SPACE, chunks, mix, text_bytes, word_hashes
+from .wordhash import LOWER, MASK, SPACE, chunks, mix, span_hashes, text_bytes, word_hashes
+from .workers import task
 
-MIN_WORDS = 8
+MIN_WORDS = 8  # of lines that near copies are sought of, where nothing else is asked for
+SQUEEZED = -2  # place of the variant without white space
+SEEN = 100_000  # lines whose places a task keeps, to emit them once
 _P = 0xC6BC279692B5C323
 _P_BACK = pow(_P, -1, 2**64)
 
@@ -68,6 +71,17 @@ class Lines:
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.words * self.powers[0][self.at], dtype=np.uint64)])
         self.whole = self._span(self.first, self.first + self.n)
         self.key = self._key(self.whole, self.n)
+        self.squeezed = self._letters(data, edges)
+
+    @staticmethod
+    def _letters(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Hash of each line's bytes without white space."""
+        solid = np.flatnonzero(~SPACE[data])
+        at = np.searchsorted(solid, edges)
+        out = np.zeros(len(edges) - 1, np.uint64)
+        some = np.flatnonzero(np.diff(at))
+        out[some] = span_hashes(LOWER[data[solid]], at[some], np.diff(at)[some])
+        return mix(out + np.uint64(0xB5297A4D3F84D5A5))
 
     def _span(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Sum over words a to b, weighted by their places in the line."""
@@ -87,7 +101,7 @@ class Lines:
         return [mix(head + tag * np.uint64(0xD1342543DE82EF95)), mix(tail + tag * np.uint64(0xAF251AF3B0F025B5))]
 
     def variants(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(line, place, key) of the lines without one word, and of the whole lines at place -1."""
+        """(line, place, key) of the lines without one word, of the whole lines at place -1, and without white space at ``SQUEEZED``."""
         n = self.n[lines]
         word = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[lines], n)
         line = np.repeat(lines, n)
@@ -95,9 +109,9 @@ class Lines:
         after = self._span(word + 1, self.first[line] + self.n[line]) * np.uint64(_P_BACK)
         rest = self._key(before + after, self.n[line] - 1)
         return (
-            np.concatenate([lines, line]),
-            np.concatenate([np.full(len(lines), -1), self.at[word]]),
-            np.concatenate([self.key[lines], rest]),
+            np.concatenate([lines, lines, line]),
+            np.concatenate([np.full(len(lines), -1), np.full(len(lines), SQUEEZED), self.at[word]]),
+            np.concatenate([self.key[lines], self.squeezed[lines], rest]),
         )
 
 
@@ -112,39 +126,59 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0).to_numpy()
-        for lo, _, _, lines in _chunks(batch):
-            keep = lines.n > 0
-            keys = [*lines.halves(lines.n), *lines.halves(np.maximum(lines.n - 1, 0))]
-            long = lines.n >= MIN_WORDS
-            columns = [_signed(lines.key[keep]), pa.array(ids[lo + lines.row[keep]]), pa.array(lines.number[keep].astype(np.int32))]
-            for k, key in enumerate(keys):
-                real = (long if k < 2 else lines.n > MIN_WORDS)[keep]
-                columns.append(pa.array(key[keep].view(np.int64), mask=~real))
-            yield pa.RecordBatch.from_arrays(columns, ["line", "doc_id", "number", "h0", "h1", "h2", "h3"])
-
-
-def _variants(half_table, key_table):
+def _occurrences(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for lo, _, _, lines in _chunks(batch):
+                keep = lines.n > 0
+                keys = [*lines.halves(lines.n), lines.squeezed, *lines.halves(np.maximum(lines.n - 1, 0))]
+                long = lines.n >= min_words
+                columns = [_signed(lines.key[keep]), pa.array(ids[lo + lines.row[keep]]), pa.array(lines.number[keep].astype(np.int32))]
+                for k, key in enumerate(keys):
+                    real = (long if k < 3 else lines.n > min_words)[keep]
+                    columns.append(pa.array(key[keep].view(np.int64), mask=~real))
+                yield pa.RecordBatch.from_arrays(columns, ["line", "doc_id", "number", "h0", "h1", "h2", "h3", "h4"])
+
+    return task(run)
+
+
+def _earlier(seen: dict[int, tuple[int, int]], lines: Lines, chosen: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Those of the ``chosen`` lines of which the task has not yet seen an equal one at the same or an earlier place."""
+    out = []
+    for i, key, place in zip(
+        chosen.tolist(), lines.key[chosen].tolist(), zip(docs.tolist(), lines.number[chosen].tolist(), strict=True), strict=True
+    ):
+        known = seen.get(key)
+        if known is None or place < known:
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen[key] = place
+            out.append(i)
+    return np.array(out, np.int64)
+
+
+def _variants(half_table, key_table, min_words: int):
     """Variants of lines that share a half; with a table of keys, only variants in it, and the texts of their lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         halves = half_table.value
         wanted = key_table.value if key_table is not None else None
+        seen: dict[int, tuple[int, int]] = {}
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, _, data, lines in _chunks(batch):
-                hit = np.zeros(len(lines.n), bool)
+                hit = holds(halves, lines.squeezed) & (lines.n >= min_words)
                 for k, keys in enumerate((lines.halves(lines.n), lines.halves(np.maximum(lines.n - 1, 0)))):
                     for key in keys:
-                        hit |= holds(halves, key) & (lines.n >= MIN_WORDS + k)
+                        hit |= holds(halves, key) & (lines.n >= min_words + k)
                 chosen = np.flatnonzero(hit)
                 _, once = np.unique(lines.key[chosen], return_index=True)  # the earlier of equal lines of a text
                 order = np.lexsort((lines.number[chosen], ids[lo + lines.row[chosen]], lines.key[chosen]))
                 once = order[np.concatenate([[True], np.diff(lines.key[chosen][order]) != 0])] if len(order) else once
-                line, place, key = lines.variants(chosen[once])
-                real = (place < 0) | (lines.n[line] >= MIN_WORDS)
+                own = chosen[once]
+                line, place, key = lines.variants(_earlier(seen, lines, own, ids[lo + lines.row[own]]))
+                real = (place < 0) | (lines.n[line] >= min_words)
                 if wanted is not None:
                     real &= holds(wanted, key)
                 line, place, key = line[real], place[real], key[real]
@@ -162,14 +196,16 @@ def _variants(half_table, key_table):
                         [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), _signed(lines.key[used]), pa.nulls(n, pa.int64()),
                          pa.nulls(n, pa.int32()), pa.array(texts, pa.binary())], names)
 
-    return run
+    return task(run)
 
 
 _VARIANT = "key long, place int, line long, doc_id long, number int, words binary"
 
 
 def within_one_edit(a: list[bytes], b: list[bytes]) -> bool:
-    """Whether one inserted, deleted or replaced word at most makes the word lists equal."""
+    """Whether one inserted, deleted or replaced word at most, or other white space, makes the word lists equal."""
+    if b"".join(a) == b"".join(b):
+        return True
     if abs(len(a) - len(b)) > 1:
         return False
     if len(a) > len(b):
@@ -207,22 +243,28 @@ def _rewrite(text: int, drops: int):
     return run
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, number, near) of every line that goes. ``near``: an earlier line is one word edit away."""
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, number, near) of every line that goes. ``near``: an earlier line is one edit away.
+
+    Edits are sought in lines of ``min_words`` words or more; lines with fewer go when they are equal.
+    """
+    if min_words < 2:
+        raise ValueError("min_words: 2 or more, as half a line must be left by an edit")
     usable = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     found = materialize(
-        usable.mapInArrow(_occurrences, "line long, doc_id long, number int, h0 long, h1 long, h2 long, h3 long"), "lines"
+        usable.mapInArrow(_occurrences(min_words), "line long, doc_id long, number int, h0 long, h1 long, h2 long, h3 long, h4 long"),
+        "lines",
     )
     place = F.struct("doc_id", "number")
     sc = docs.sparkSession.sparkContext
 
-    halves = found.select("line", F.explode(F.array("h0", "h1", "h2", "h3")).alias("half")).filter("half IS NOT NULL")
+    halves = found.select("line", F.explode(F.array("h0", "h1", "h2", "h3", "h4")).alias("half")).filter("half IS NOT NULL")
     shared = halves.groupBy("half").agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a <> b")
     half_table = sc.broadcast(bitmap(shared, F.col("half")))
 
     # earliest line per key and place, per key over all places, and of whole lines
-    variants = usable.mapInArrow(_variants(half_table, None), _VARIANT).repartition("key")
-    whole, cut = F.col("place") < 0, F.col("place") >= 0
+    variants = usable.mapInArrow(_variants(half_table, None, min_words), _VARIANT).repartition("key")
+    whole, cut = F.col("place") == -1, F.col("place") != -1
     least = F.min(F.struct("doc_id", "number", "line")).alias("least")
     by_place = variants.groupBy("key", "place").agg(least, F.max("line").alias("top"), F.min("line").alias("low"))
     by_place = by_place.withColumn("several", F.col("top") != F.col("low"))
@@ -235,7 +277,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     useful = materialize(useful, "keys")
     key_table = sc.broadcast(bitmap(useful, F.col("key")))
 
-    again = materialize(usable.mapInArrow(_variants(half_table, key_table), _VARIANT), "variants")
+    again = materialize(usable.mapInArrow(_variants(half_table, key_table, min_words), _VARIANT), "variants")
     own = again.filter("key IS NOT NULL").select("key", "place", "line", "doc_id", "number").join(useful, "key")
     same_place = F.filter("places", lambda p: p["place"] == F.col("place"))
     beside = F.when(cut, F.least(F.try_element_at(same_place, F.lit(1))["least"], F.col("whole"))).otherwise(F.col("cut"))
@@ -246,7 +288,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     near = near.select("line", F.col("beside.line").alias("other"))
     words = again.filter("key IS NULL").groupBy("line").agg(F.first("words").alias("words"))
     pairs = near.join(words, "line").join(words.select(F.col("line").alias("other"), F.col("words").alias("others")), "other")
-    checked = pairs.select("line", "words", "others").mapInArrow(_verified, "line long").select("line", F.lit(True).alias("near"))
+    checked = pairs.select("line", "words", "others").mapInArrow(task(_verified), "line long").select("line", F.lit(True).alias("near"))
 
     firsts = found.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("times"))
     fate = firsts.join(checked, "line", "left").filter("near OR times > 1")
@@ -255,12 +297,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return gone.select("doc_id", "number", F.coalesce("near", F.lit(False)).alias("near")).distinct()
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) without the repeated lines.
 
     Documents that had words and lose all of them go; documents that were blank before stay.
     """
-    gone = repeated_lines(docs).groupBy("doc_id").agg(F.collect_list("number").alias("__gone"))
+    gone = repeated_lines(docs, min_words).groupBy("doc_id").agg(F.collect_list("number").alias("__gone"))
     gone = materialize(gone.withColumnRenamed("doc_id", "__doc"), "gone")
     table = docs.sparkSession.sparkContext.broadcast(bitmap(gone, F.xxhash64("__doc")))
 
@@ -275,9 +317,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         return touched(batches, False)
 
     marked = docs.withColumn("__mark", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")))
-    changed = marked.mapInArrow(touched, marked.schema).drop("__mark").join(gone, F.col("doc_id") == F.col("__doc"), "left")
+    changed = marked.mapInArrow(task(touched), marked.schema).drop("__mark").join(gone, F.col("doc_id") == F.col("__doc"), "left")
     changed = changed.drop("__doc")
     at = changed.columns.index("text")
     schema = StructType([*changed.schema.fields, StructField("__left", BooleanType())])
-    rewritten = changed.mapInArrow(_rewrite(at, len(changed.columns) - 1), schema).filter("__left").drop("__left", "__gone")
-    return marked.mapInArrow(untouched, marked.schema).drop("__mark").unionByName(rewritten)
+    rewritten = changed.mapInArrow(task(_rewrite(at, len(changed.columns) - 1)), schema).filter("__left").drop("__left", "__gone")
+    return marked.mapInArrow(task(untouched), marked.schema).drop("__mark").unionByName(rewritten)

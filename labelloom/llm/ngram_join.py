@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import materialize
 from .wordhash import mix, text_shingles
+from .workers import task
 
 CELLS = 1 << 22  # cells of the count sketch
 SKETCH_BLOCK = 1 << 16  # cells summed and sent together
@@ -105,7 +106,7 @@ def profiles(docs: DataFrame, words: int, cells: int = CELLS) -> tuple[DataFrame
     ``shape`` (bucket counts) is there once for each set and task.
     """
     made = docs.select("doc_id", "text").mapInArrow(
-        _profiles(words, cells), "doc_id long, n long, mark long, shape binary, block int, counts binary"
+        task(_profiles(words, cells)), "doc_id long, n long, mark long, shape binary, block int, counts binary"
     )
     made = materialize(made, "profiles")
     return (
@@ -129,7 +130,7 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequency_levels(sketch: DataFrame, cells: int = CELLS) -> np.ndarray:
     """Level per cell of the sketch: log2 of the count, 31 from ``HOT`` on. ``cells`` bytes, for any input."""
     blocks = cells // SKETCH_BLOCK
-    rows = sketch.repartition(max(1, blocks // 4), "block").mapInArrow(_sum_blocks, "block int, level binary").collect()
+    rows = sketch.repartition(max(1, blocks // 4), "block").mapInArrow(task(_sum_blocks), "block int, level binary").collect()
     levels = np.zeros(cells, np.uint8)
     for row in rows:  # at most cells / SKETCH_BLOCK rows
         levels[row.block * SKETCH_BLOCK : (row.block + 1) * SKETCH_BLOCK] = np.frombuffer(row.level, np.uint8)
@@ -228,10 +229,10 @@ def postings(docs: DataFrame, words: int, percent: int, levels: np.ndarray, expe
     buckets = max(8, math.ceil(expected / BUCKET_POSTINGS))
     shared = spark.sparkContext.broadcast(levels)
     made = docs.select("text").mapInArrow(
-        _prefixes(words, percent, shared, buckets), "bucket int, keys binary, marks binary, sizes binary"
+        task(_prefixes(words, percent, shared, buckets)), "bucket int, keys binary, marks binary, sizes binary"
     )
     dealt = made.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket")
-    return materialize(dealt.mapInArrow(_repeated(buckets), "token long, node long, n int"), "postings")
+    return materialize(dealt.mapInArrow(task(_repeated(buckets)), "token long, node long, n int"), "postings")
 
 
 # --- 3. families ---------------------------------------------------------------------------
@@ -292,7 +293,7 @@ def read_sets(docs: DataFrame, wanted: DataFrame, words: int, bits: int = WANTED
         table[row.part * 4096 : (row.part + 1) * 4096] = np.frombuffer(row.bits, np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(table)
     position = F.bitmap_bucket_number(place) * 32768 + F.bitmap_bit_position(place)
-    return docs.select(position.alias("place"), "text").mapInArrow(_sets(words, shared, bits), "node long, tokens binary")
+    return docs.select(position.alias("place"), "text").mapInArrow(task(_sets(words, shared, bits)), "node long, tokens binary")
 
 
 def overlap_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -405,6 +406,9 @@ def _fold(shapes: list[np.ndarray], buckets: int) -> np.ndarray:
 
 def _survivors(percent: int):
     """Rows of each tile that some row of the other side may be linked with."""
+    steps = 1  # between the widths, powers of two, of linked sets
+    while steps * percent < 100:
+        steps *= 2
 
     def keep(rows: list[tuple]) -> list[tuple]:
         both = rows[0][3] is None
@@ -413,8 +417,8 @@ def _survivors(percent: int):
         width = np.array([len(s) for s in shapes])
         side = np.array([0 if both else r[3] for r in rows])
         alive = np.zeros(len(rows), bool)
-        for w in np.unique(width):  # sizes of linked sets differ by a third at most, widths by one step
-            mine, near = np.flatnonzero(width == w), np.flatnonzero((width == w) | (width == 2 * w))
+        for w in np.unique(width):  # the larger of two linked sets has 100 / percent times as many n-grams at most
+            mine, near = np.flatnonzero(width == w), np.flatnonzero((width >= w) & (width <= w * steps))
             if not both:
                 pairs = [(mine[side[mine] == s], near[side[near] == 1 - s]) for s in (0, 1)]
             else:
@@ -466,7 +470,7 @@ _MEMBER = ", ".join(["pivot long, row_block int, column_block int, side int, nod
 def survivors(members: DataFrame, shapes: DataFrame, percent: int, label: str) -> DataFrame:
     rows = members.join(shapes, "node").select(*_TILE, "side", "node", "n", "shape", "group")
     dealt = rows.repartition(*_TILE).sortWithinPartitions(*_TILE)
-    return materialize(dealt.mapInArrow(_survivors(percent), _MEMBER), label)
+    return materialize(dealt.mapInArrow(task(_survivors(percent)), _MEMBER), label)
 
 
 
@@ -474,7 +478,7 @@ def survivors(members: DataFrame, shapes: DataFrame, percent: int, label: str) -
 def _tile_links(members: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
     rows = members.join(sets, "node").select(*_TILE, "side", "node", "group", "tokens")
     dealt = rows.repartition(*_TILE).sortWithinPartitions(*_TILE)
-    return materialize(dealt.mapInArrow(_tiles(percent), "a long, b long"), label)
+    return materialize(dealt.mapInArrow(task(_tiles(percent)), "a long, b long"), label)
 
 
 def _blocks(count: str, node: str = "node"):

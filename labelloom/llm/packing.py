@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encoder, raw_texts
 from .scratch import materialize
+from .workers import task
 
 CAPACITY = 2048
 #: (groups, divisor): sizes that large lengths are rounded up to, and lengths up to capacity / divisor are small.
@@ -46,8 +47,8 @@ def _pieces(source, capacity: int, end_id: int):
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = ([], [], [], [], [])
-            for doc, raw in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), strict=True):
-                ids = bpe.encode(raw) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode_all(raw_texts(batch.column(1))), strict=True):
+                ids += end
                 for k, start in enumerate(range(0, len(ids), 4 * capacity)):
                     one = ids[start : start + 4 * capacity]
                     for column, value in zip(out, (doc, k, start // 4, len(one) // 4, zlib.crc32(one)), strict=True):
@@ -56,9 +57,8 @@ def _pieces(source, capacity: int, end_id: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"]
             )
-        bpe.forget()
 
-    return run
+    return task(run, "bpe")
 
 
 def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:

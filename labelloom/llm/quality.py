@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .features import STATISTICS, hashed, statistics, text_chunks
+from .workers import task
 
 WORD_SLOTS = 1 << 16
 RANK = 8
@@ -165,8 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, metadata: tuple[str, .
     known = hashed_sample(known.select("doc_id", F.col(label).alias("__label")), F.col("doc_id"), sample)
     rows = docs.select("doc_id", "text", *metadata).join(F.broadcast(known), "doc_id")  # ``sample`` rows bound it
     rows = rows.select("text", "__label", *metadata)
-    made = rows.mapInArrow(_featurise(len(metadata)), "label double, slots binary, counts binary, dense binary")
-    model = made.repartition(1).mapInArrow(_train(STATISTICS + len(metadata)), "a binary, b binary, c binary, d binary, e binary")
+    made = rows.mapInArrow(task(_featurise(len(metadata))), "label double, slots binary, counts binary, dense binary")
+    model = made.repartition(1).mapInArrow(task(_train(STATISTICS + len(metadata))), "a binary, b binary, c binary, d binary, e binary")
     return [bytes(x) for x in model.first()]
 
 
@@ -202,5 +203,5 @@ def score(docs: DataFrame, model: list[bytes], metadata: tuple[str, ...] = (), k
     inputs = docs.select(*dict.fromkeys([*keep, "text", *metadata]))
     at = inputs.columns.index
     schema = StructType([*inputs.schema.fields, StructField("__score", DoubleType())])
-    scored = inputs.mapInArrow(_score(shared, at("text"), [at(m) for m in metadata]), schema)
+    scored = inputs.mapInArrow(task(_score(shared, at("text"), [at(m) for m in metadata])), schema)
     return scored.select(*keep, "__score")
