@@ -8,8 +8,8 @@ Candidates that lie inside a longer one with ``share`` percent of their count or
 Method: a word's id is a 64-bit hash of it and its language. Every task counts phrases in a trie over the bytes of their word ids, most
 significant first: hash containers hold the counts below a prefix, and a container with too many phrases bursts into a node with a container
 for each next byte. When the trie is full, the largest subtrees at its root are spilled as sorted runs; Spark deals the runs by the prefix of
-two words and merges them there. Lengths are counted one after the other: a phrase is counted only where the two
-shorter phrases inside it are frequent, for which the tasks hold a bitmap of bounded size (a wrong bit costs work, not results).
+two words and merges them there. Words are counted first, then pairs of frequent words, and in a third pass the longer phrases whose
+pairs are all frequent; the tasks hold bitmaps of bounded size of what is frequent (a wrong bit costs work, not results).
 So every count that is needed is exact, and runs hold few rare phrases. Scores are computed in 38-digit decimals.
 
 Nulls and odd rows: a null text is empty; rows count as often as they are given and their ids are not looked at; other columns are ignored.
@@ -135,26 +135,29 @@ def phrase_hashes(ids: np.ndarray, size: int) -> np.ndarray:
     return joined_hash([ids[k : k + n] for k in range(size)])
 
 
-def phrases(ids: np.ndarray, text: np.ndarray, piece: np.ndarray, size: int, frequent: np.ndarray | None) -> np.ndarray:
-    """Places where a phrase of ``size`` words starts whose two shorter phrases may be frequent."""
-    n = max(len(ids) - size + 1, 0)
+def phrases(text: np.ndarray, piece: np.ndarray, size: int, known: np.ndarray, inner: int) -> np.ndarray:
+    """Places where a phrase of ``size`` words starts whose phrases of ``inner`` words are all ``known`` (by place)."""
+    n = max(len(text) - size + 1, 0)
     last = slice(size - 1, size - 1 + n)
     same = (text[:n] == text[last]) & (piece[:n] == piece[last])
-    if frequent is not None and n:
-        known = holds(frequent, phrase_hashes(ids, size - 1), len(frequent) * 8)
-        same &= known[:n] & known[1 : n + 1]
+    for k in range(size - inner + 1):
+        same &= known[k : k + n]
     return np.flatnonzero(same)
 
 
-def _runs(found: Iterator[tuple[bytes, int]], size: int) -> Iterator[pa.RecordBatch]:
-    names = [*[f"w{k}" for k in range(size)], "hash", "f"]
+def _names(sizes: tuple[int, ...]) -> list[str]:
+    return [f"w{k}" for k in range(max(sizes))]
+
+
+def _runs(found: Iterator[tuple[bytes, int]], size: int, longest: int) -> Iterator[pa.RecordBatch]:
+    names = [*_names((longest,)), "f"]
     held: list[tuple[bytes, int]] = []
 
     def batch() -> pa.RecordBatch:
         words = np.frombuffer(b"".join([key for key, _ in held]), ">u8").reshape(-1, size).astype(np.uint64)
-        columns = [words[:, k].copy() for k in range(size)]
-        longs = [pa.array(c.view(np.int64)) for c in (*columns, joined_hash(columns))]
-        return pa.RecordBatch.from_arrays([*longs, pa.array([n for _, n in held], pa.int64())], names)
+        columns = [pa.array(words[:, k].copy().view(np.int64)) for k in range(size)]
+        columns += [pa.nulls(len(held), pa.int64())] * (longest - size)
+        return pa.RecordBatch.from_arrays([*columns, pa.array([n for _, n in held], pa.int64())], names)
 
     for entry in found:
         held.append(entry)
@@ -165,23 +168,27 @@ def _runs(found: Iterator[tuple[bytes, int]], size: int) -> Iterator[pa.RecordBa
         yield batch()
 
 
-def _counted(size: int, frequent):
-    """Sorted runs (w0, ..., hash, f) of the phrases of ``size`` words in a task."""
+def _counted(sizes: tuple[int, ...], frequent, inner: int):
+    """Sorted runs (w0, ..., f) of the phrases of ``sizes`` words in a task whose phrases of ``inner`` words are in the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie()
+        tries = {size: Trie() for size in sizes}
+        table = frequent.value
         for batch in batches:
             for *_, text, piece, ids in text_words(batch.column(0), batch.column(1)):
-                places = phrases(ids, text, piece, size, frequent.value)
-                if not len(places):
-                    continue
-                _, first, counts = np.unique(phrase_hashes(ids, size)[places], return_index=True, return_counts=True)
-                raw = ids[places[first][:, None] + np.arange(size)].astype(">u8").tobytes()
-                width = 8 * size
-                trie.add([raw[i : i + width] for i in range(0, len(raw), width)], counts.tolist())
-                if trie.held > HELD:
-                    yield from _runs(trie.spill(HELD // 2), size)
-        yield from _runs(trie.spill(0), size)
+                known = holds(table, phrase_hashes(ids, inner), len(table) * 8)
+                for size, trie in tries.items():
+                    places = phrases(text, piece, size, known, inner)
+                    if not len(places):
+                        continue
+                    _, first, counts = np.unique(phrase_hashes(ids, size)[places], return_index=True, return_counts=True)
+                    raw = ids[places[first][:, None] + np.arange(size)].astype(">u8").tobytes()
+                    width = 8 * size
+                    trie.add([raw[i : i + width] for i in range(0, len(raw), width)], counts.tolist())
+                    if trie.held > HELD // len(sizes):
+                        yield from _runs(trie.spill(HELD // len(sizes) // 2), size, max(sizes))
+        for size, trie in tries.items():
+            yield from _runs(trie.spill(0), size, max(sizes))
 
     return run
 
@@ -218,20 +225,25 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- the operator ----------------------------------------------------------------------------------
 
 
-def _frequent_bitmap(phrases_: DataFrame):
-    """Broadcast bitmap of the phrases' hashes; its size follows their number up to ``MOST_BITS``."""
+def _hashed(size: int):
+    """The hash of the phrases in the first ``size`` columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [batch.column(k).to_numpy().view(np.uint64) for k in range(size)]
+            yield pa.RecordBatch.from_arrays([pa.array(joined_hash(ids).view(np.int64))], ["hash"])
+
+    return run
+
+
+def _frequent_bitmap(frequent: DataFrame, size: int):
+    """Broadcast bitmap of the frequent phrases of ``size`` words; its size follows their number up to ``MOST_BITS``."""
     bits = FEWEST_BITS
-    number = phrases_.count()
+    number = frequent.count()
     while bits < MOST_BITS and bits < number * BITS_EACH:
         bits *= 2
-    return phrases_.sparkSession.sparkContext.broadcast(bitmap(phrases_, F.col("hash"), bits))
-
-
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the phrase hash of single words."""
-    for batch in batches:
-        ids = batch.column(2).to_numpy().view(np.uint64)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(phrase_hashes(ids, 1).view(np.int64))], [*batch.schema.names, "hash"])
+    hashes = frequent.select(*_names((size,))).mapInArrow(_hashed(size), "hash long")
+    return frequent.sparkSession.sparkContext.broadcast(bitmap(hashes, F.col("hash"), bits))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -240,17 +252,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return runs.groupBy("lang", "word", "w0").agg(F.sum("f").alias("f"))
 
 
-def phrase_counts(texts: DataFrame, size: int, frequent, least: int) -> DataFrame:
-    """(w0, ..., hash, f) of the phrases of ``size`` words with ``least`` occurrences or more."""
-    words = [f"w{k}" for k in range(size)]
-    schema = ", ".join([*[f"{w} long" for w in words], "hash long", "f long"])
-    runs = texts.mapInArrow(task(_counted(size, frequent)), schema)
-    merged = runs.repartition(*words[:2]).groupBy(*words).agg(F.first("hash").alias("hash"), F.sum("f").alias("f"))
+def phrase_counts(texts: DataFrame, sizes: tuple[int, ...], frequent, inner: int, least: int) -> DataFrame:
+    """(w0, ..., f) of the phrases of ``sizes`` words with ``least`` occurrences or more; the last words of shorter ones are null."""
+    words = _names(sizes)
+    runs = texts.mapInArrow(task(_counted(sizes, frequent, inner)), ", ".join(f"{name} long" for name in [*words, "f"]))
+    merged = runs.repartition(*words[:2]).groupBy(*words).agg(F.sum("f").alias("f"))
     return merged.filter(F.col("f") >= least)
 
 
 def _phrase(size: int) -> Column:
-    return F.array(*[f"w{k}" for k in range(size)]).alias("p")
+    return F.array_compact(F.array(*_names((size,)))).alias("p")
 
 
 def _scored(candidates: DataFrame, counts: DataFrame) -> DataFrame:
@@ -279,15 +290,13 @@ def collocations(docs: DataFrame, least: int = 30, share: int = 80, best: int =
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     every = materialize(word_counts(texts), "words")
     totals = every.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = materialize(every.filter(F.col("f") >= least).mapInArrow(_hashed, "lang string, word binary, w0 long, f long, hash long"), "frequent")
-
-    counts, candidates, frequent = words.select(_phrase(1), "f"), None, words
-    for size in range(2, LONGEST + 1):
-        frequent = materialize(phrase_counts(texts, size, _frequent_bitmap(frequent), least), f"phrases{size}")
-        found = frequent.select(_phrase(size), F.col("f"))
-        counts = counts.unionByName(found)
-        candidates = found if candidates is None else candidates.unionByName(found)
-    candidates = candidates.withColumnRenamed("f", "a")
+    words = materialize(every.filter(F.col("f") >= least), "frequent")
+    pairs = materialize(phrase_counts(texts, (2,), _frequent_bitmap(words, 1), 1, least), "pairs")
+    longer = phrase_counts(texts, tuple(range(3, LONGEST + 1)), _frequent_bitmap(pairs, 2), 2, least)
+    longer = materialize(longer, "longer")
+    phrases_ = pairs.select(_phrase(2), "f").unionByName(longer.select(_phrase(LONGEST), "f"))
+    counts = words.select(_phrase(1), "f").unionByName(phrases_)
+    candidates = phrases_.withColumnRenamed("f", "a")
 
     scored = _scored(candidates, counts).join(_inside(candidates), "p", "left")
     kept = scored.filter(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a"))).drop("longer")
