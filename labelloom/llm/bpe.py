@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame
 from .workers import kept, task
 
 END = "Ā"  # stands for the end of a word; other letters of a word are its UTF-8 bytes
-KEPT_PARTS = 60_000  # parts of texts in each of two generations whose tokens a worker keeps (10 MB each)
+KEPT_PARTS = 100_000  # parts of texts in each of two generations whose tokens a worker keeps (17 MB each)
 KEPT_WORDS = 120_000  # words, in the same way (23 MB each)
 KEPT_PAIRS = 200_000  # answers of the pair table (25 MB)
 KEPT_BYTES = 40  # no longer parts are kept
 #: Fixed values of the format: white space and the pieces between which no merge happens.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+MARKS = ".,;:!?"  # the commonest ends of a part; a mark alone is a piece
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + BLANK + r"\p{L}\p{N}]+"
 
 
@@ -197,7 +198,12 @@ class Bpe:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
-        words = (text,) if text.isalpha() else self.pieces.findall(text)  # letters only: one piece
+        if text.isalpha():  # letters only: one piece
+            words = (text,)
+        elif text[-1:] in MARKS and text[:-1].isalpha():  # and a mark: two
+            words = (text[:-1], text[-1])
+        else:
+            words = self.pieces.findall(text)
         out = []
         for piece in words:
             got = self.words.young.get(piece)
