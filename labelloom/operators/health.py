@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .scale import checked_broadcast, hot_salts, join_on
 
 ROWS_PER_TASK = 1_000_000
@@ -39,7 +40,7 @@ def resolve_routes(routes: DataFrame, status: DataFrame, unknown: str = "up") ->
     return best.select("label", F.col("best.backend").alias("backend"), (F.col("best.pos") > 0).alias("fallback_used"))
 
 
-def _with_error(df: DataFrame, known: Column) -> DataFrame:
+def with_error(df: DataFrame, known: Column) -> DataFrame:
     error = (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(~known, "unknown_route")
@@ -72,7 +73,22 @@ def resolve_backends(
     else:
         joined = joined.withColumn("__want", F.col("label"))
     joined = joined.join(resolved, F.col("__want") == F.col("__route"), "left")
-    return _with_error(joined, F.col("__route").isNotNull()).drop("__want", "__route")
+    return with_error(joined, F.col("__route").isNotNull()).drop("__want", "__route")
+
+
+def recent_checks(health: DataFrame, ttl_s: int) -> DataFrame:
+    """(backend, __ts, up, __block): one check per instant, in the TTL-long block of its time; the last one of a block is there again
+    in the next block."""
+    checks = (
+        health.groupBy("backend", F.col("checked_at").cast("timestamp").alias("__ts"))
+        .agg(F.bool_or("up").alias("up"))
+        .withColumn("__block", F.floor(F.unix_micros("__ts") / (int(ttl_s) * 1_000_000)))
+    )
+    last = checks.groupBy("backend", "__block").agg(F.max(F.struct("__ts", "up")).alias("last"))
+    carried = last.select(
+        "backend", F.col("last.__ts").alias("__ts"), F.col("last.up").alias("up"), (F.col("__block") + 1).alias("__block")
+    )
+    return checks.unionByName(carried)
 
 
 def health_asof(
@@ -96,16 +112,7 @@ def health_asof(
     micros = F.unix_micros("__ts")
     asked = requests.select(*keys, "backend", F.col("ts").cast("timestamp").alias("__ts"))
     asked = asked.withColumn("__block", F.floor(micros / width))
-    checks = (
-        health.groupBy("backend", F.col("checked_at").cast("timestamp").alias("__ts"))
-        .agg(F.bool_or("up").alias("up"))
-        .withColumn("__block", F.floor(micros / width))
-    )
-    last = checks.groupBy("backend", "__block").agg(F.max(F.struct("__ts", "up")).alias("last"))
-    carried = last.select(
-        "backend", F.col("last.__ts").alias("__ts"), F.col("last.up").alias("up"), (F.col("__block") + 1).alias("__block")
-    )
-    checks = checks.unionByName(carried)
+    checks = recent_checks(health, ttl_s)
 
     hot = checked_broadcast(hot_salts(asked, ["backend", "__block"], rows_per_task))
     salts = F.coalesce("__salts", F.lit(1))
@@ -136,22 +143,58 @@ def health_asof(
     )
 
 
+def first_trusted(states: list[Column], at: Column, ttl_s: int, unknown: str) -> Column:
+    """(pos, backend) of the first backend of ``__chain`` that is up; ``states`` are the latest checks (__ts, up) by position."""
+    found = []
+    for pos, check in enumerate(states):
+        fresh = F.unix_micros(check["__ts"]) >= F.unix_micros(at) - int(ttl_s) * 1_000_000
+        up = _trusted(F.when(fresh, check["up"]), unknown)
+        backend = F.struct(F.lit(pos).alias("pos"), F.get("__chain", F.lit(pos)).alias("backend"))
+        found.append(F.when((F.size("__chain") > pos) & up, backend))
+    none = F.lit(None).cast("struct<pos:int,backend:string>")
+    return F.coalesce(*found, none)
+
+
 def resolve_backends_asof(
     decisions: DataFrame,
     routes: DataFrame,
     health: DataFrame,
     ttl_s: int = 60,
     unknown: str = "up",
-    key: str = "request_id",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Like ``resolve_backends``, with the health each backend had at the request's time."""
-    chains = checked_broadcast(routes.select(F.col("label").alias("__route"), "backends"))
-    joined = decisions.join(chains, F.col("label") == F.col("__route"), "left")
-    tried = joined.select(key, "ts", F.posexplode("backends").alias("pos", "backend"))
-    states = health_asof(tried, health, ttl_s, unknown, keys=(key, "pos"))
-    best = states.groupBy(key).agg(F.min(F.when(F.col("up"), F.struct("pos", "backend"))).alias("best"))
-    best = best.select(
-        key, F.col("best.backend").alias("backend"), (F.col("best.pos") > 0).alias("fallback_used")
+    """Like ``resolve_backends``, with the health each backend had at the request's time (``ts``).
+
+    Every row is resolved for itself, whatever its id: a row meets the checks of all backends of its route in one timeline per
+    route and TTL-long block, in which the latest check of each position is carried along. The rows are written once
+    (checkpoint), as they are counted first to salt the timelines that many rows share.
+    """
+    ensure_checkpoint_dir(decisions.sparkSession)
+    written = decisions.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
+    chains = checked_broadcast(routes.select(F.col("label").alias("__route"), F.col("backends").alias("__chain")))
+    longest = routes.agg(F.max(F.size("backends"))).first()[0] or 0
+    asked = written.join(chains, F.col("label") == F.col("__route"), "left").withColumn("__ts", F.col("ts").cast("timestamp"))
+    asked = asked.withColumn("__block", F.floor(F.unix_micros("__ts") / (int(ttl_s) * 1_000_000)))
+
+    tried = chains.select("__route", F.posexplode("__chain").alias("__pos", "backend"))
+    checks = recent_checks(health, ttl_s).join(checked_broadcast(tried), "backend")
+    checks = checks.select("__route", "__block", "__ts", "__pos", F.struct("__ts", "up").alias("__check"))
+
+    timeline = ["__route", "__block"]
+    hot = checked_broadcast(hot_salts(asked, timeline, rows_per_task))
+    salts = F.coalesce("__salts", F.lit(1))
+    asked = join_on(asked, hot, timeline).withColumn("__salt", F.pmod(F.xxhash64("__row"), salts).cast("int")).drop("__salts")
+    checks = join_on(checks, hot, timeline).withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
+    both = asked.withColumn("__kind", F.lit(1)).unionByName(checks.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
+    order = Window.partitionBy(*timeline, "__salt").orderBy("__ts", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = {
+        f"__state{pos}": F.last(F.when(F.col("__pos") == pos, F.col("__check")), ignorenulls=True).over(order) for pos in range(longest)
+    }
+    seen = both.withColumns(states).filter("__kind = 1") if states else asked
+    best = seen.withColumn("__best", first_trusted([F.col(name) for name in states], F.col("__ts"), ttl_s, unknown))
+    resolved = best.withColumns(
+        {"backend": F.col("__best.backend"), "fallback_used": F.col("__best.pos") > 0, "__known": F.col("__route").isNotNull()}
+    )
+    return with_error(resolved, F.col("__known")).select(
+        *[c for c in decisions.columns if c not in ("backend", "fallback_used")], "backend", "fallback_used"
     )
-    resolved = joined.join(best, key, "left")
-    return _with_error(resolved, F.col("__route").isNotNull()).drop("__route", "backends")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+#: What streams with timers need.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app: str = "labelloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution and skew handling on; sizes are left to the cluster."""
@@ -16,6 +19,7 @@ def build_session(app: str = "labelloom", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         **conf,
     }
     for name, value in settings.items():

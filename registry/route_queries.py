@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from labelloom.operators import health as hl
 from labelloom.operators import routing as rt
+from labelloom.session import STATE_STORE, ensure_checkpoint_dir
+from labelloom.streaming import streams
 
 from .kit import REQUESTS_SQL, SPACE, quote, requests, sql_words, table, values
 
@@ -21,6 +25,7 @@ ROUTES = [
     ("default", ["b0", "b2"]), ("english", ["b2"]),
 ]
 TTL_S = 600
+DELAY_S = 10
 
 
 def native_steps():
@@ -74,21 +79,26 @@ def _custom_step():
 # Errors and sign-ups are checks (down, up); every other event is a request.
 
 
+def _backend():
+    return F.concat(F.lit("b"), (F.col("user_id") % 3).cast("string")).alias("backend")
+
+
+def _checks_of(events):
+    checks = events.filter(F.col("event_type").isin("error", "signup"))
+    return checks.select(_backend(), F.col("ts").alias("checked_at"), (F.col("event_type") == "signup").alias("up"))
+
+
+def _requests_of(events):
+    asked = events.filter(~F.col("event_type").isin("error", "signup"))
+    return asked.select(F.col("event_id").alias("request_id"), F.col("ts"), "event_type", _backend())
+
+
 def _health(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return events.filter(F.col("event_type").isin("error", "signup")).select(
-        F.concat(F.lit("b"), (F.col("user_id") % 3).cast("string")).alias("backend"),
-        F.col("ts").alias("checked_at"),
-        (F.col("event_type") == "signup").alias("up"),
-    )
+    return _checks_of(table(spark, sf_dir, "events"))
 
 
 def _asked(spark, sf_dir):
-    events = table(spark, sf_dir, "events").filter(~F.col("event_type").isin("error", "signup"))
-    return events.select(
-        F.col("event_id").alias("request_id"), F.col("ts"), "event_type",
-        F.concat(F.lit("b"), (F.col("user_id") % 3).cast("string")).alias("backend"),
-    )
+    return _requests_of(table(spark, sf_dir, "events"))
 
 
 def _now(spark, sf_dir):
@@ -122,10 +132,14 @@ def route_fallback(spark, sf_dir):
     return out.select("request_id", "label", "backend", "fallback_used", "error")
 
 
-def _asof_decisions(spark, sf_dir):
+def _decided(asked):
     labels = {"view": "chat", "click": "code", "purchase": "nowhere"}
     label = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])[F.col("event_type")]
-    return _asked(spark, sf_dir).select("request_id", "ts", label.alias("label"), F.lit(None).cast("string").alias("error"))
+    return asked.select("request_id", "ts", label.alias("label"), F.lit(None).cast("string").alias("error"))
+
+
+def _asof_decisions(spark, sf_dir):
+    return _decided(_asked(spark, sf_dir))
 
 
 def route_fallback_asof(spark, sf_dir):
@@ -133,6 +147,39 @@ def route_fallback_asof(spark, sf_dir):
     return out.select("request_id", "label", "backend", "fallback_used", "error")
 
 
+def _asof_by_row(spark, sf_dir, request_id):
+    decisions = _asof_decisions(spark, sf_dir).withColumn("request_id", request_id)
+    out = hl.resolve_backends_asof(decisions, _routes(spark), _health(spark, sf_dir), TTL_S, rows_per_task=50)
+    return out.select("request_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "label", "backend", "fallback_used", "error")
+
+
+def route_fallback_asof_repeated(spark, sf_dir):
+    """Many requests share an id; each is resolved at its own time."""
+    return _asof_by_row(spark, sf_dir, F.col("request_id") % 50)
+
+
+def route_fallback_asof_null_ids(spark, sf_dir):
+    return _asof_by_row(spark, sf_dir, F.when(F.col("request_id") % 3 != 0, F.col("request_id")))
+
+
+def route_stream_asof(spark, sf_dir):
+    """The same decisions from streams of requests and checks: all whose times the watermark has passed at the end."""
+    own = spark.newSession()  # the state store is a setting of the session
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/route_stream_asof-{uuid.uuid4().hex}"
+    schema = table(spark, sf_dir, "events").schema
+    events = own.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")  # a pattern: the table may be one file
+    found = streams.resolve_stream_asof(
+        _decided(_requests_of(events)), _checks_of(events), own.createDataFrame(ROUTES, "label string, backends array<string>"), TTL_S, DELAY_S
+    )
+    found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    out = spark.read.schema(found.schema).parquet(f"{folder}/out")
+    return out.select("request_id", "label", "backend", "fallback_used", "error")
+
+
 def route_default(spark, sf_dir):
     """Labels without a route use the default one."""
     status = hl.backend_status(_health(spark, sf_dir), _now(spark, sf_dir), 24 * 3600)
@@ -162,6 +209,9 @@ QUERIES = {
     "route_explain": route_explain,
     "route_fallback": route_fallback,
     "route_fallback_asof": route_fallback_asof,
+    "route_fallback_asof_repeated": route_fallback_asof_repeated,
+    "route_fallback_asof_null_ids": route_fallback_asof_null_ids,
+    "route_stream_asof": route_stream_asof,
     "route_default": route_default,
     "decision_mix": decision_mix,
     "health_asof": health_asof,
@@ -246,6 +296,16 @@ _KNOWN = "CASE WHEN r.label IN (SELECT label FROM routes) THEN r.label ELSE 'def
 _DAY = 24 * 3600
 _ASOF_FRESH = f"h.checked_at >= a.ts - INTERVAL {TTL_S} SECOND"
 
+_ASOF_SQL = f"""{HEALTH_SQL}, {ROUTES_SQL}, {_CHAIN},
+d AS (SELECT request_id, ts, CASE event_type WHEN 'view' THEN 'chat' WHEN 'click' THEN 'code' ELSE 'nowhere' END AS label FROM asked),
+t AS (SELECT d.request_id, d.ts, c.pos, c.backend FROM d JOIN chain c ON c.label = d.label),
+a AS (SELECT a.request_id, a.pos, a.backend, CASE WHEN {_ASOF_FRESH} THEN h.up ELSE true END AS up
+  FROM t a ASOF LEFT JOIN health h ON h.backend = a.backend AND a.ts >= h.checked_at),
+b AS (SELECT request_id, arg_min(backend, pos) FILTER (up) AS backend, min(pos) FILTER (up) AS pos FROM a GROUP BY request_id),
+resolved AS (SELECT d.request_id, d.ts, d.label, b.backend, coalesce(b.pos > 0, false) AS fallback_used,
+  CASE WHEN d.label NOT IN (SELECT label FROM routes) THEN 'unknown_route' WHEN b.backend IS NULL THEN 'no_backends_available' END AS error
+  FROM d LEFT JOIN b ON b.request_id = d.request_id)"""
+
 ORACLES = {
     "route_prefix": _single_sql("prefix", LABELS["prefix"], text=_REST),
     "route_code_block": _single_sql("code_block", LABELS["code_block"]),
@@ -289,16 +349,18 @@ ORACLES = {
         SELECT request_id, label, backend, fallback_used, error FROM resolved""",
     "route_default": f"""WITH {ROUTED_SQL}, {_status_sql(_DAY)}, {_RESOLVED}, {_fallback_sql(_KNOWN)}
         SELECT request_id, label, backend, fallback_used, error FROM resolved""",
-    "route_fallback_asof": f"""WITH {HEALTH_SQL}, {ROUTES_SQL}, {_CHAIN},
-        d AS (SELECT request_id, ts, CASE event_type WHEN 'view' THEN 'chat' WHEN 'click' THEN 'code' ELSE 'nowhere' END AS label FROM asked),
-        t AS (SELECT d.request_id, d.ts, c.pos, c.backend FROM d JOIN chain c ON c.label = d.label),
-        a AS (SELECT a.request_id, a.pos, a.backend, CASE WHEN {_ASOF_FRESH} THEN h.up ELSE true END AS up
-              FROM t a ASOF LEFT JOIN health h ON h.backend = a.backend AND a.ts >= h.checked_at),
-        b AS (SELECT request_id, arg_min(backend, pos) FILTER (up) AS backend, min(pos) FILTER (up) AS pos FROM a GROUP BY request_id)
-        SELECT d.request_id, d.label, b.backend, coalesce(b.pos > 0, false) AS fallback_used,
-          CASE WHEN d.label NOT IN (SELECT label FROM routes) THEN 'unknown_route'
-               WHEN b.backend IS NULL THEN 'no_backends_available' END AS error
-        FROM d LEFT JOIN b ON b.request_id = d.request_id""",
+    "route_fallback_asof": f"""WITH {_ASOF_SQL}
+        SELECT request_id, label, backend, fallback_used, error FROM resolved""",
+    "route_fallback_asof_repeated": f"""WITH {_ASOF_SQL}
+        SELECT request_id % 50 AS request_id, epoch_us(ts) AS ts_us, label, backend, fallback_used, error FROM resolved""",
+    "route_fallback_asof_null_ids": f"""WITH {_ASOF_SQL}
+        SELECT CASE WHEN request_id % 3 <> 0 THEN request_id END AS request_id, epoch_us(ts) AS ts_us, label, backend, fallback_used, error
+        FROM resolved""",
+    "route_stream_asof": f"""WITH {_ASOF_SQL}, seen AS (SELECT ts AS moment FROM d UNION ALL
+          SELECT checked_at FROM health WHERE backend IN (SELECT backend FROM chain)),
+        passed AS (SELECT epoch_us(max(moment)) // 1000 - {DELAY_S * 1000} AS ms FROM seen)
+        SELECT request_id, label, backend, fallback_used, error FROM resolved, passed
+        WHERE error = 'unknown_route' OR (epoch_us(ts) + 999) // 1000 <= ms""",
     "decision_mix": f"""WITH {ROUTED_SQL}, {_status_sql(_DAY)}, {_RESOLVED}, {_fallback_sql('r.label')}
         SELECT method, label, count(*) AS n, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share,
           CAST(sum(CAST(fallback_used AS BIGINT)) AS DOUBLE) / count(*) AS fallback_rate
