@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.text import argmax, let, ngram_buckets, softmax
+from ..functions.ngrams import distinct_buckets, ngram_lists
+from ..functions.text import argmax, softmax
 from ..session import ensure_checkpoint_dir
 from .datasets import encode_labels
 from .evaluate import log_loss
@@ -32,80 +36,219 @@ def score_labels(df: DataFrame, classes: list[str], scores: str = "scores") -> D
 
 # --- naive Bayes ----------------------------------------------------------------------------
 
+MODEL_BYTES = 64_000_000  # of a weight matrix that one task holds; larger ones are cut into shards of buckets
+SHARES = 16  # of the rows that meet a shard
+
 
 @dataclass(frozen=True)
 class NaiveBayes:
-    """``weights``: one row, ``w`` = per class the array of log(count + 1) by bucket.
+    """``counts``: (class, bucket, n), the rows of each class with the bucket. A weight is log(n + 1), so what is not there weighs nothing.
 
-    Its size is fixed by the parameters: classes x sizes x buckets doubles.
+    ``matrix``: the weights as classes x buckets, broadcast, where they have ``MODEL_BYTES`` at most.
     """
 
     classes: list[str]
     sizes: list[int]
     buckets: int
     max_bytes: int | None
-    weights: DataFrame
+    counts: DataFrame
     rows: list[int]
     features: list[int]
+    matrix: Broadcast | None
+    shard_bytes: int
 
-    def scores(self, df: DataFrame) -> DataFrame:
-        """Add ``scores``: ARRAY<DOUBLE> of log likelihood plus log prior, in class order.
+    @property
+    def width(self) -> int:
+        return self.buckets * len(self.sizes)
 
-        A projection over a scalar subquery: no join and no shuffle, also on streams.
-        """
+    def _constants(self) -> tuple[np.ndarray, np.ndarray]:
+        """Log of the prior, and of the denominator, of each class."""
         total = sum(self.rows)
-        width = self.buckets * len(self.sizes)
+        prior = [math.log(n / total) if n else float("-inf") for n in self.rows]
+        return np.array(prior), np.log(np.array(self.features, np.float64) + self.width)
 
-        def one(i: int, w: Column, f: Column) -> Column:
-            prior = math.log(self.rows[i] / total) if self.rows[i] else float("-inf")
-            norm = math.log(self.features[i] + width)
-            seen = let(F.get(w, F.lit(i)), lambda wi: F.aggregate(f, F.lit(0.0), lambda acc, b: acc + F.get(wi, b)))
-            return seen - F.size(f) * F.lit(norm) + F.lit(prior)
+    def scores(self, df: DataFrame) -> DataFrame:
+        """Add ``scores``: ARRAY<DOUBLE> of log likelihood plus log prior, in class order; null for a null text.
 
-        feats = ngram_buckets(F.col("text"), self.sizes, self.buckets, self.max_bytes).cast("array<int>")
-        scored = let(
-            F.col("__w"),
-            lambda w: let(feats, lambda f: F.array(*[one(i, w, f) for i in range(len(self.classes))])),
-        )
-        return df.withColumn("__w", self.weights.select("w").scalar()).withColumn("scores", scored).drop("__w")
+        A projection without a shuffle, also on streams, as long as the matrix is broadcast. A larger model meets the rows in shards of
+        buckets: the rows are written once (checkpoint), their buckets and the weights dealt by shard and partial sums added.
+        """
+        return self._in_place(df) if self.matrix is not None else self._by_shard(df)
+
+    def _in_place(self, df: DataFrame) -> DataFrame:
+        sizes, buckets, max_bytes, matrix = self.sizes, self.buckets, self.max_bytes, self.matrix
+        prior, norm = self._constants()
+
+        @F.arrow_udf("array<double>")
+        def run(column: pa.Array) -> pa.Array:
+            out = np.zeros((len(column), len(prior)))
+            for lo, hi, found, n in distinct_buckets(column, sizes, buckets, max_bytes):
+                row = np.repeat(np.arange(hi - lo), n)
+                for i, weights in enumerate(matrix.value):
+                    out[lo:hi, i] = np.bincount(row, weights[found], hi - lo) - n * norm[i] + prior[i]
+            return _score_lists(out, column.is_null().to_numpy(zero_copy_only=False))
+
+        return df.withColumn("scores", run(F.col("text")))
+
+    def _by_shard(self, df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+        ensure_checkpoint_dir(spark)
+        written = df.withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+        classes, sizes, buckets, max_bytes = len(self.classes), self.sizes, self.buckets, self.max_bytes
+        span = max(1, self.shard_bytes // (8 * classes))  # buckets of a shard
+        schema = "shard long, share int, kind int, id long, class int, bucket int, n long, buckets binary"
+
+        def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """The buckets of each text, cut by shard."""
+            for batch in batches:
+                ids = batch.column(0).to_numpy()
+                for lo, hi, found, n in distinct_buckets(batch.column(1), sizes, buckets, max_bytes):
+                    key = np.repeat(np.arange(lo, hi), n) * (2**32) + found // span  # texts and shards come in order
+                    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+                    raw, bounds = found.astype(np.int32).tobytes(), 4 * np.append(first, len(found))
+                    own = ids[key[first] >> 32]
+                    size = len(first)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(key[first] & 0xFFFFFFFF), pa.array((own % SHARES).astype(np.int32)), pa.array(np.ones(size, np.int32)),
+                            pa.array(own), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int64()),
+                            pa.array([raw[bounds[k] : bounds[k + 1]] for k in range(size)], pa.binary()),
+                        ],
+                        ["shard", "share", "kind", "id", "class", "bucket", "n", "buckets"],
+                    )
+
+        def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Partial sums of the texts of a share; the weights of their shard come before them."""
+            weights, now = np.zeros((classes, span)), None
+            for batch in batches:
+                shard, share, kind = (batch.column(k).to_numpy() for k in range(3))
+                at = np.flatnonzero(np.append(True, (np.diff(shard) != 0) | (np.diff(share) != 0) | (np.diff(kind) != 0)))
+                for lo, hi in zip(at, np.append(at[1:], batch.num_rows), strict=True):
+                    if (shard[lo], share[lo]) != now:
+                        now = (shard[lo], share[lo])
+                        weights[:] = 0
+                    part = batch.slice(lo, hi - lo)
+                    if kind[lo] == 0:
+                        weights[part.column(4).to_numpy(), part.column(5).to_numpy() - now[0] * span] = np.log(part.column(6).to_numpy() + 1.0)
+                        continue
+                    sums, seen = [], []
+                    for raw in part.column(7).to_pylist():
+                        found = np.frombuffer(raw, np.int32) - now[0] * span
+                        sums.append(weights[:, found].sum(axis=1).tobytes())
+                        seen.append(len(found))
+                    yield pa.RecordBatch.from_arrays([part.column(3), pa.array(seen, pa.int64()), pa.array(sums, pa.binary())], ["id", "n", "sums"])
+
+        prior, norm = self._constants()
+
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Scores of the ids of a partition, whose partial sums come one after the other."""
+            now, total, seen = None, np.zeros(classes), 0
+
+            def done() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), _score_lists((total - seen * norm + prior)[None])], ["id", "scores"])
+
+            for batch in batches:
+                for i, n, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    if i != now:
+                        if now is not None:
+                            yield done()
+                        now, total, seen = i, np.zeros(classes), 0
+                    total = total + np.frombuffer(raw)
+                    seen += n
+            if now is not None:
+                yield done()
+
+        asked = written.select("__id", "text").mapInArrow(dealt, schema)
+        shares = F.explode(F.array(*[F.lit(k) for k in range(SHARES)]))
+        model = self.counts.select(
+            F.floor(F.col("bucket") / span).alias("shard"), shares.alias("share"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"),
+            "class", "bucket", "n", F.lit(None).cast("binary").alias("buckets"),
+        )
+        order = ["shard", "share", "kind"]
+        sums = asked.unionByName(model).repartition("shard", "share").sortWithinPartitions(*order).mapInArrow(met, "id long, n long, sums binary")
+        scores = sums.repartition("id").sortWithinPartitions("id").mapInArrow(added, "id long, scores array<double>")
+        empty = F.when(F.col("text").isNotNull(), F.array(*[F.lit(float(x)) for x in prior]))  # texts without n-grams
+        joined = written.join(scores, F.col("__id") == F.col("id"), "left").drop("id", "__id")
+        return joined.withColumn("scores", F.coalesce("scores", empty))
 
     def predict(self, df: DataFrame) -> DataFrame:
         return score_labels(self.scores(df), self.classes)
 
 
+def _score_lists(rows: np.ndarray, nulls: np.ndarray | None = None) -> pa.Array:
+    """A list for each row; null and without values where ``nulls`` says so."""
+    if nulls is None or not nulls.any():
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+    bounds = np.concatenate([[0], np.cumsum(~nulls * rows.shape[1])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds, mask=np.append(nulls, False)), pa.array(rows[~nulls].ravel()))
+
+
+def _class_counts(classes: list[str], sizes: list[int], buckets: int, max_bytes: int | None):
+    """(class, bucket, n) of the rows of a task; bucket -1 counts the rows of the class."""
+    index, width = {c: i for i, c in enumerate(classes)}, buckets * len(sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, amount = [], 0
+
+        def counted() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            sums = np.bincount(n, np.concatenate([n for _, n in held]).astype(np.float64), len(keys)).astype(np.int64)
+            columns = [(keys // (width + 1)).astype(np.int32), (keys % (width + 1) - 1).astype(np.int32), sums]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["class", "bucket", "n"])
+
+        for batch in batches:
+            label = np.array([index[x] for x in batch.column(0).to_pylist()], np.int64) * (width + 1)
+            held.append(np.unique(label, return_counts=True))
+            for lo, hi, found, n in distinct_buckets(batch.column(1), sizes, buckets, max_bytes):
+                held.append(np.unique(np.repeat(label[lo:hi], n) + found + 1, return_counts=True))
+                amount += len(held[-1][0])
+            if amount > COUNTS_HELD:
+                one = counted()
+                keys = one.column(0).to_numpy().astype(np.int64) * (width + 1) + one.column(1).to_numpy() + 1
+                held, amount = [(keys, one.column(2).to_numpy())], 0
+                if len(keys) > COUNTS_HELD // 2:
+                    yield one
+                    held = []
+        if held:
+            yield counted()
+
+    return run
+
+
+COUNTS_HELD = 4_000_000  # counts of a task before they are added up
+
+
 def train_naive_bayes(
     df: DataFrame,
     classes: list[str],
     sizes: list[int] | None = None,
     buckets: int = 65_536,
     max_bytes: int | None = None,
+    model_bytes: int = MODEL_BYTES,
 ) -> NaiveBayes:
-    """Counts of present features per class, add-one smoothing over all buckets.
+    """Counts of present features per class, add-one smoothing over all buckets, in one pass over ``df``.
 
-    The counts are checkpointed, so scoring never repeats the training.
+    The counts are checkpointed, so scoring never repeats the training. No row and no task holds the whole model
+    when it has more than ``model_bytes``.
     """
-    sizes = list(sizes or fv.NGRAM_SIZES)
-    width = buckets * len(sizes)
+    sizes, classes = list(sizes or fv.NGRAM_SIZES), list(classes)
     ensure_checkpoint_dir(df.sparkSession)
-    feats = df.filter(F.col("label").isin(*classes)).select(
-        "label", F.explode(ngram_buckets(F.col("text"), sizes, buckets, max_bytes)).alias("bucket")
-    )
-    counts = (
-        feats.groupBy("bucket")
-        .agg(*[F.count(F.when(F.col("label") == F.lit(c), 1)).alias(f"c_{i}") for i, c in enumerate(classes)])
-        .checkpoint()  # at most ``width`` rows
-    )
-    rows = {r["label"]: r["n"] for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter(
-        F.col("label").isin(*classes)).collect()}  # one row per class
-    features = counts.agg(*[F.coalesce(F.sum(f"c_{i}"), F.lit(0)).alias(f"c_{i}") for i in range(len(classes))]).first()
-    logs = [F.log(F.coalesce(F.col(f"c_{i}"), F.lit(0)) + F.lit(1.0)).alias(f"c_{i}") for i in range(len(classes))]
-    every = df.sparkSession.range(width).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
-    packed = every.select(F.struct("bucket", *logs).alias("s")).agg(F.sort_array(F.collect_list("s")).alias("s"))
-    weights = packed.select(F.array(*[F.col(f"s.c_{i}") for i in range(len(classes))]).alias("w")).checkpoint()
-    return NaiveBayes(
-        list(classes), sizes, buckets, max_bytes, weights,
-        [rows.get(c, 0) for c in classes], [features[f"c_{i}"] for i in range(len(classes))],
-    )
+    known = df.filter(F.col("label").isin(*classes)).select("label", "text")
+    counts = known.mapInArrow(_class_counts(classes, sizes, buckets, max_bytes), "class int, bucket int, n long")
+    counts = counts.groupBy("class", "bucket").agg(F.sum("n").alias("n")).checkpoint()  # at most classes x (buckets + 1) rows
+    rows, features = [0] * len(classes), [0] * len(classes)
+    is_row = F.col("bucket") < 0
+    totals = counts.groupBy("class").agg(F.sum(F.when(is_row, F.col("n"))).alias("rows"), F.sum(F.when(~is_row, F.col("n"))).alias("features"))
+    for r in totals.collect():  # one row per class
+        rows[r["class"]], features[r["class"]] = r["rows"] or 0, r["features"] or 0
+    counts, matrix = counts.filter(~is_row), None
+    width = buckets * len(sizes)
+    if 8 * width * len(classes) <= model_bytes:
+        weights = np.zeros((len(classes), width))
+        found = counts.toArrow()
+        weights[found.column("class").to_numpy(), found.column("bucket").to_numpy()] = np.log(found.column("n").to_numpy() + 1.0)
+        matrix = df.sparkSession.sparkContext.broadcast(weights)
+    return NaiveBayes(classes, sizes, buckets, max_bytes, counts, rows, features, matrix, model_bytes)
 
 
 # --- logistic regression --------------------------------------------------------------------
@@ -130,7 +273,7 @@ class Logistic:
 
 
 def _vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataFrame:
-    grams = ngram_buckets(F.col("text"), sizes, num_features)
+    grams = ngram_lists(F.col("text"), sizes, num_features)
     # a slot space per size, so that n-grams of different sizes do not share slots by design
     tf = HashingTF(inputCol="__grams", outputCol="features", numFeatures=num_features * len(sizes), binary=True)
     return tf.transform(df.withColumn("__grams", grams))

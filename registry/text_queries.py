@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from labelloom import fixed_values as fv
 from labelloom.functions import text as tx
 from labelloom.functions.draws import draw, pick_literal
+from labelloom.functions.ngrams import ngram_lists
 from labelloom.operators.datasets import non_blank, with_text
 from labelloom.operators.supervise import reply_examples
 
@@ -208,7 +209,7 @@ SELECT doc_id, array_to_string(list_transform(range(512),
 def byte_ngrams(spark, sf_dir):
     """Number of distinct n-gram buckets and the largest, for every document and size."""
     docs = spread(spark, sf_dir, "documents")
-    feats = docs.select("doc_id", F.explode(tx.ngram_buckets(F.col("text"), fv.NGRAM_SIZES, 4096)).alias("bucket"))
+    feats = docs.select("doc_id", F.explode(ngram_lists(F.col("text"), fv.NGRAM_SIZES, 4096)).alias("bucket"))
     size = F.floor(F.col("bucket") / 4096) + 3
     return feats.groupBy("doc_id", size.cast("bigint").alias("n")).agg(
         F.count(F.lit(1)).alias("buckets"), F.max(F.col("bucket") % 4096).alias("top")
