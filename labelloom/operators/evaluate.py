@@ -6,17 +6,25 @@ accept the reduced table of ``scored_cells`` as well (``weight="n"``).
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import fixed_values as fv
 from ..functions.text import argmax, log_sum_exp
 from ..session import ensure_checkpoint_dir
+from . import stopping
 from .datasets import classes_table
 from .scale import MAX_BROADCAST_ROWS, checked_broadcast, join_on, local_copy, order_statistics, running_before
 
 BUCKETS = ["short", "medium", "long"]
 SIGNAL_ROWS, SIGNAL_BYTES = 50_000, 4_000_000  # signals that are looked up in every row's task
+AUTOMATON_BYTES = 2_000_000  # of signals in one automaton (some 100 MB in a task)
 
 
 def _rows(weight: str | None) -> Column:
@@ -211,16 +219,16 @@ def usable_signals(signals: DataFrame) -> DataFrame:
     return kept.withColumn("signal", F.lower("signal"))
 
 
-def hard_negatives(df: DataFrame, signals: DataFrame) -> DataFrame:
-    """Rows labelled A whose text contains a signal of B against A: one row per (row, A, B).
+def hard_negatives(df: DataFrame, signals: DataFrame, signal_rows: int | None = None) -> DataFrame:
+    """Rows labelled A whose text contains a signal of B against A: one row per (row, A, B), and as many for equal rows of ``df``.
 
-    The signals of a class are looked up together while all signals are few and short; beyond that they stay
-    rows, and a row's hits are made distinct afterwards. Equal rows of ``df`` give as many rows either way.
+    Up to ``signal_rows`` (``SIGNAL_ROWS``) short signals are looked up as arrays by class. More of them become automata, that find all
+    signals in one walk over a text: the texts stay where they are, whatever the number of signals and rows of a class.
     """
     usable = usable_signals(signals).filter(F.col("label_a") != F.col("label_b"))
     size = usable.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("signal")).alias("bytes")).first()
-    if size.n > SIGNAL_ROWS or (size.bytes or 0) > SIGNAL_BYTES:
-        return _hard_negatives_by_row(df, usable)
+    if size.n > (SIGNAL_ROWS if signal_rows is None else signal_rows) or (size.bytes or 0) > SIGNAL_BYTES:
+        return _by_automata(df, usable, size.bytes or 0)
     pairs = usable.groupBy("label_a", "label_b").agg(F.collect_set("signal").alias("signals"))
     by_label = pairs.groupBy("label_a").agg(F.collect_list(F.struct("label_b", "signals")).alias("__pairs"))
     lowered = df.withColumn("__low", F.lower("text"))
@@ -237,14 +245,64 @@ def hard_negatives(df: DataFrame, signals: DataFrame) -> DataFrame:
     )
 
 
-def _hard_negatives_by_row(df: DataFrame, usable: DataFrame) -> DataFrame:
-    """One joined row per record and signal of its class, spread by the signals."""
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    rows = rows.withColumn("__low", F.lower("text"))
-    signals = usable.select("label_a", "label_b", "signal").distinct()
-    hits = rows.join(signals, (F.col("label") == F.col("label_a")) & F.contains(F.col("__low"), F.col("signal")))
-    found = hits.select(*df.columns, "label_a", "label_b", "__copies").distinct()
-    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))).drop("__copies", "__copy")
+def _by_automata(df: DataFrame, usable: DataFrame, size: int) -> DataFrame:
+    """Hard negatives by automata of ``AUTOMATON_BYTES`` of signals each, sent to the tasks one after the other.
+
+    With several automata the rows are written once, under an id, and a pair that several automata find counts once.
+    """
+    pairs = F.collect_set(F.struct("label_a", "label_b"))
+    signals = usable.groupBy("signal").agg(pairs.alias("pairs"))  # a signal has classes x classes pairs at most
+    number = -(-size // AUTOMATON_BYTES)
+    schema = StructType([*df.schema.fields, StructField("label_a", StringType()), StructField("label_b", StringType())])
+    if number <= 1:
+        return df.withColumn("__low", F.lower("text")).mapInArrow(_found_by(signals, df.columns.index("label")), schema)
+    ensure_checkpoint_dir(df.sparkSession)
+    written = df.withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+    texts = written.select("__id", "label", F.lower("text").alias("__low"))
+    signals = signals.withColumn("__part", F.pmod(F.xxhash64("signal"), F.lit(number))).checkpoint()
+    found = None
+    for part in range(number):
+        own = signals.filter(F.col("__part") == part)
+        hits = texts.mapInArrow(_found_by(own, 1), "__id long, label string, label_a string, label_b string").select("__id", "label_b")
+        found = hits if found is None else found.unionByName(hits)
+    named = written.join(found.distinct(), "__id").withColumn("label_a", F.col("label"))
+    return named.select(*df.columns, "label_a", "label_b")
+
+
+def _found_by(signals: DataFrame, label: int):
+    """Rows repeated for each class whose signal they contain; the last column is the lower-cased text."""
+    table = [(r["signal"], [tuple(p) for p in r["pairs"]]) for r in signals.select("signal", "pairs").toLocalIterator()]
+    shared = signals.sparkSession.sparkContext.broadcast(table)  # ``AUTOMATON_BYTES`` of signals, about
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, against = ahocorasick.Automaton(), defaultdict(set)
+        for signal, pairs in shared.value:
+            of = defaultdict(set)
+            for a, b in pairs:
+                of[a].add(b)
+                against[a].add(b)
+            machine.add_word(signal, dict(of))
+        if against:
+            machine.make_automaton()
+        for batch in batches:
+            rows, found = [], []
+            for i, (a, low) in enumerate(zip(batch.column(label).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True)):
+                if not low or a not in against:
+                    continue
+                hits: set[str] = set()
+                for _, of in machine.iter(low):
+                    if a in of:
+                        hits |= of[a]
+                        if len(hits) == len(against[a]):
+                            break
+                rows += [i] * len(hits)
+                found += sorted(hits)
+            own = pa.array(rows, pa.int64())
+            columns = [c.take(own) for c in batch.columns[:-1]]
+            names = [*batch.schema.names[:-1], "label_a", "label_b"]
+            yield pa.RecordBatch.from_arrays([*columns, columns[label].cast(pa.string()), pa.array(found, pa.string())], names)
+
+    return run
 
 
 def hard_negative_accuracy(
@@ -317,40 +375,28 @@ def early_stopping(
 ) -> DataFrame:
     """Per run: best epoch (first strict minimum of ``val_loss``), stop epoch and whether it stopped.
 
-    ``order`` is an integer that rises within a run. Epochs after the stop are not counted.
+    ``order`` is an integer that rises within a run. Epochs after the stop are not counted. The history is read once:
+    blocks of epochs are summed up apart (see ``stopping``), and the summaries of a run, of fixed size, are combined in order.
     """
-    block = F.floor(F.col(order) / F.lit(block_rows))
-    loss = F.col("val_loss")
-    seen = running_before(
-        history.select("run_id", order, "val_loss"), ["run_id"], order, block,
-        {"__best": ("min", loss), "__rows": ("sum", F.lit(1))},
-    )
-    infinity = F.lit(float("inf"))
-    seen = seen.withColumns(
-        {
-            "pos": F.col("__rows") + 1,
-            "improved": F.coalesce(loss < F.coalesce("__best", infinity), F.lit(False)),
-        }
-    )
-    # the row of the last improvement travels along, so the best epoch needs no second pass
-    here = F.struct(F.col("pos").alias("pos"), F.col(order).alias("epoch"), loss.alias("loss"))
-    seen = seen.withColumn("hit", F.when(F.col("improved"), here))
-    runs = running_before(seen, ["run_id"], order, block, {"__last": ("max", F.col("hit"))})
-    runs = runs.withColumn("best", F.when(F.col("improved"), here).otherwise(F.col("__last")))
-    streak = F.col("pos") - F.coalesce("best.pos", F.lit(0))
-    state = F.struct(F.col("pos"), F.col(order).alias("epoch"), F.col("best"))
-    ends = runs.groupBy("run_id").agg(
-        F.min(F.when(streak >= patience, state)).alias("stop"), F.max(state).alias("end")
+    if patience < 1:
+        raise ValueError("patience: 1 or more")
+    run, epoch = history.schema["run_id"].dataType.simpleString(), history.schema[order].dataType.simpleString()
+    rows = history.select(
+        "run_id", F.floor(F.col(order) / F.lit(block_rows)).alias("block"), F.col(order).cast("long").alias("epoch"),
+        F.col("val_loss").cast("double").alias("loss"),
+    )
+    dealt = rows.repartition("run_id", "block").sortWithinPartitions("run_id", "block", "epoch")
+    blocks = dealt.mapInArrow(
+        stopping.blocks(patience),
+        f"run_id {run}, block long, n long, epochs array<long>, places array<long>, losses array<double>, "
+        "stop_at long, stop_epoch long, stop_best_epoch long, stop_best_loss double, best_at long, best_epoch long, best_loss double, last_epoch long",
     )
-    last = F.coalesce("stop", "end")
-    return ends.select(
-        "run_id",
-        last["best"]["epoch"].alias("best_epoch"),
-        last["best"]["loss"].alias("best_val_loss"),
-        last["epoch"].alias("last_epoch"),
-        last["pos"].cast("bigint").alias("epochs_run"),
-        F.col("stop").isNotNull().alias("stopped_early"),
+    ordered = blocks.repartition("run_id").sortWithinPartitions("run_id", "block")
+    ends = ordered.mapInArrow(
+        stopping.runs(patience),
+        f"run_id {run}, best_epoch long, best_val_loss double, last_epoch long, epochs_run long, stopped_early boolean",
     )
+    return ends.withColumns({name: F.col(name).cast(epoch) for name in ("best_epoch", "last_epoch")})
 
 
 # --- gates ----------------------------------------------------------------------------------
