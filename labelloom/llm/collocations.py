@@ -36,7 +36,7 @@ BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 BLANK = BREAK.copy()
 BLANK[[9, 32]] = True
 BURST = 4_096  # phrases of a container
-HELD = 300_000  # phrases of a trie
+HELD = 600_000  # phrases of a trie
 RUN_ROWS = 20_000  # of a batch of a spilled run
 FEWEST_BITS, MOST_BITS = 1 << 20, 1 << 26
 BITS_EACH = 16

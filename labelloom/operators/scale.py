@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw
+from ..session import ensure_checkpoint_dir
 
 MAX_BROADCAST_ROWS = 50_000
 BUCKET_SHIFT = 16  # a draw has 32 bits: 65,536 buckets
@@ -92,7 +93,8 @@ def cutoffs(
 
     ``order[0]`` is an integer, within ``span`` if that is given. While a group has more
     than ``edge_rows`` candidate rows, counts in 65,536 buckets of ``order[0]`` narrow it
-    to the bucket that holds the k-th row; only those rows are put in order. ``k`` is
+    to the bucket that holds the k-th row; only those rows are put in order. Beyond
+    ``MAX_BROADCAST_ROWS`` groups, the groups with more rows are a table of their own that is narrowed on. ``k`` is
     ``quota(n)`` of the group size, or the ``quota`` column of ``quotas`` (missing: 0).
     With ``weight`` (a count per row) k counts weight instead of rows.
 
@@ -133,10 +135,16 @@ def cutoffs(
     open_groups = groups.filter(~F.col("take_all") & (F.col("__left") > 0)).drop("take_all")
     edges = []
     integers = [f.dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") for f in keyed.schema["__order"].dataType]
+    big = (F.col("__rows") > edge_rows) & (F.col("__left") > 0)
     for position in range(len(order)):
-        for level in range(MAX_LEVELS):
-            if small is None and level == 2:  # too many groups to look at: two levels for all of them
-                break
+        for _ in range(MAX_LEVELS):
+            if small is None:  # many groups: those with few rows are done
+                ensure_checkpoint_dir(df.sparkSession)
+                open_groups = open_groups.checkpoint()
+                edges.append(_inside(keyed, open_groups.filter(~big).drop("__rows"), keys))
+                open_groups = open_groups.filter(big)
+                small = local_copy(open_groups)
+                open_groups = open_groups if small is None else F.broadcast(small)
             if small is not None and not crowded(small):
                 break
             edge = _edge_bucket(keyed, open_groups.drop("__rows"), keys)

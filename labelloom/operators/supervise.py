@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,22 +121,26 @@ def reply_examples(completions: DataFrame, keys: list[str], order: str) -> DataF
 def ingest_completions(
     completions: DataFrame, need: DataFrame, keys: list[str] | None = None, order: str = "completion_id"
 ) -> DataFrame:
-    """The first ``need`` example lines per class, in completion order (an integer, unique per class).
+    """The first ``need`` example lines per class, in completion order (an integer).
 
-    The cut is found from the number of lines per reply; replies beyond it are dropped
-    before their lines become rows.
+    Replies with the same number come in the order of a hash of their text; replies that are equal in both are interchangeable.
+    The cut is found from the number of lines per reply; replies beyond it are dropped before their lines become rows, and
+    the replies at the cut share what is left.
     """
     keys = keys or ["label"]
-    kept = completions.filter(F.col("reply").isNotNull())
+    kept = completions.filter(F.col("reply").isNotNull()).withColumn("__hash", F.try_add(F.xxhash64("reply"), F.lit(0).cast("bigint")))  # nullable, like the other keys
     lines = reply_lines(F.col("reply"))
     quotas = need.select(*keys, F.col("need").alias("quota"))
-    cuts = cutoffs(kept, keys, [F.col(order)], quotas=quotas, weight=F.size(lines))
-    joined = join_on(kept, checked_broadcast(cuts), keys, "inner").filter(
-        F.col("take_all") | (F.col(order) <= F.col("cut.o0"))
-    )
-    last = ~F.col("take_all") & (F.col(order) == F.col("cut.o0"))
-    taken = F.when(last, F.slice(lines, F.lit(1), F.col("part").cast("int"))).otherwise(lines)
-    return joined.select(*keys, order, F.posexplode(taken).alias("line_no", "text"))
+    cuts = cutoffs(kept, keys, [F.col(order), F.col("__hash")], quotas=quotas, weight=F.size(lines))
+    place = F.struct(F.col(order).alias("o0"), F.col("__hash").alias("o1"))
+    joined = join_on(kept, checked_broadcast(cuts), keys, "inner").filter(F.col("take_all") | (place <= F.col("cut")))
+    last = ~F.col("take_all") & (place == F.col("cut"))
+    whole = joined.filter(~last).select(*keys, order, lines.alias("__lines"))
+    equal = Window.partitionBy(*keys).orderBy("__hash").rowsBetween(Window.unboundedPreceding, -1)  # the equal replies at a cut
+    shared = joined.filter(last).withColumn("__left", F.col("part") - F.coalesce(F.sum(F.size(lines)).over(equal), F.lit(0)))
+    taken = F.slice(lines, F.lit(1), F.greatest(F.col("__left"), F.lit(0)).cast("int"))
+    every = whole.unionByName(shared.select(*keys, order, taken.alias("__lines")))
+    return every.select(*keys, order, F.posexplode("__lines").alias("line_no", "text"))
 
 
 def rephrase(
