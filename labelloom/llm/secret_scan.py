@@ -116,9 +116,10 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
 
 def postings(texts: DataFrame, trigrams: list[str]) -> DataFrame:
     """The inverted index (trigram number, key) over ``texts`` (key, text) for some trigrams."""
-    lower = F.lower("text")
-    held = F.array_compact(F.array(*[F.when(F.contains(lower, F.lit(t)), F.lit(n)) for n, t in enumerate(trigrams)]))
-    return texts.select("key", F.explode(held).alias("trigram"))
+    lower = texts.select("key", F.lower("text").alias("low"))  # a column of its own: made once for all trigrams
+    flags = lower.select("key", *[F.contains("low", F.lit(t)).alias(f"t{n}") for n, t in enumerate(trigrams)])
+    held = F.array_compact(F.array(*[F.when(F.col(f"t{n}"), F.lit(n)) for n in range(len(trigrams))]))
+    return flags.select("key", F.explode(held).alias("trigram"))
 
 
 def candidates(index: DataFrame, trigrams: list[str], queries: dict[int, list[frozenset[str]]]) -> DataFrame:
