@@ -13,13 +13,14 @@ SF = "/root/testdata/sf0.001"
 def test_registered_queries(spark):
     names = set(entry.queries())
     assert {q for q in queries.QUERIES} | {"pipeline"} <= names
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    for table in ("embeddings", "documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     cursor = con.execute(queries.ORACLES[name])
     at = [got.columns.index(d[0]) for d in cursor.description]
@@ -64,3 +65,41 @@ def test_stages_against_plain_versions(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_near_copies_are_taken_by_row(spark):
+    words = [f"v{i}" for i in range(90)]
+    w, x = " ".join(words[:40]), " ".join(words[40:80])
+    rows = [(5, w, 1, "a"), (5, x, 2, "b"), (3, x + " more", 3, "c"), (7, w, 4, "d"), (5, w, 5, "e"), (None, x, 6, "f"), (9, None, 7, "g"),
+            (9, None, 8, "h"), (8, " ", 9, "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id int, mark string").coalesce(1)
+    got = corpus_pipeline.keep_one_of_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(r.mark for r in got.collect()) == ["a", "c", "f", "g", "h", "i"]
+    assert corpus_pipeline.keep_one_of_near_copies(spark, docs.limit(0), "").collect() == []
+
+
+def test_stages_of_odd_tables(spark):
+    rows = [(1, None, 0, 5), (1, None, 0, 5), (2, "", 0, 6), (None, "some words here", 15, 7), (3, "word " * 5_000, 25_000, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, length int")
+    good = corpus_pipeline.keep_good(spark, docs, SF)
+    assert good.columns == docs.columns and good.count() <= 5
+    assert corpus_pipeline.keep_good(spark, docs.limit(0), SF).collect() == []
+    packed = corpus_pipeline.pack_sequences(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.length) for r in packed if r.doc_id != 3) == [(0, 4), (1, 1), (1, 1), (2, 1)]
+    assert sum(r.length for r in packed if r.doc_id == 3) == 5_001 and corpus_pipeline.pack_sequences(spark, docs.limit(0), SF).collect() == []
+
+
+def test_entry_without_what_the_part_needs(monkeypatch):
+    """The other queries load when an import of the training-data part fails."""
+    import importlib
+
+    real = importlib.import_module
+
+    def failing(name, *rest):
+        if name.startswith(("labelloom.llm", "corpus_pipeline")):
+            raise ModuleNotFoundError("No module named 'public_tokenizers'", name="public_tokenizers")
+        return real(name, *rest)
+
+    monkeypatch.setattr(importlib, "import_module", failing)
+    assert "route_prefix" in entry.queries() and "pipeline" not in entry.queries() and "op2_nearest" not in entry.oracle_sql()
