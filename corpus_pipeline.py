@@ -44,11 +44,19 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class of the n-gram Jaccard join."""
-    classes = jaccard_components(docs)
-    kept = materialize(classes.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
-    chosen = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return chosen.unionByName(docs.filter("doc_id IS NULL"))
+    """The document with the least doc_id of each class of the n-gram Jaccard join.
+
+    Every row is compared for itself, whatever its doc_id: of rows with equal ids in a class one stays, the first as written; rows
+    with equal ids in several classes may all stay. Rows without words are in no class with others and stay, and so do rows with a null doc_id.
+    """
+    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    known = keyed.filter("doc_id IS NOT NULL")
+    classes = jaccard_components(known.select(F.col("__row").alias("doc_id"), "text"))
+    named = classes.select(F.col("doc_id").alias("__row"), "component_id").join(known.select("__row", "doc_id"), "__row")
+    least = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("least"))
+    kept = materialize(least.select(F.col("least.__row").alias("__row")), "kept")
+    chosen = keyed.join(kept, "__row", "left_semi").select(*docs.columns)
+    return chosen.unionByName(keyed.filter("doc_id IS NULL").select(*docs.columns))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
