@@ -450,6 +450,52 @@ def evaluate(
     return _with_overall(axes)
 
 
+def evaluation_report(
+    scored: DataFrame,
+    classes: list[str],
+    signals: DataFrame | None = None,
+    latency: DataFrame | None = None,
+    f1_floor: float = fv.F1_FLOOR,
+    mixed_lang: str = fv.MIXED_LANG,
+) -> DataFrame:
+    """The figures behind ``evaluate``: axis, key, metric, n, value, bound and passed of every class, language gap, length,
+    pair of hard negatives and latency group. A value is NULL where there are no rows; such an axis passes."""
+    cells = small_copy(scored_cells(scored))
+
+    def figures(df: DataFrame, axis: str, key: Column, metric: str, n: Column, value: Column, bound: float, passed: Column) -> DataFrame:
+        return df.select(
+            F.lit(axis).alias("axis"), key.alias("key"), F.lit(metric).alias("metric"), n.cast("bigint").alias("n"),
+            value.cast("double").alias("value"), F.lit(float(bound)).alias("bound"), passed.alias("passed"),
+        )
+
+    f1 = F.col("f1")
+    rows = [
+        figures(per_class_metrics(cells, classes, "n"), "per_class_f1", F.col("label"), "f1", F.col("support"), f1, f1_floor, f1 >= F.lit(float(f1_floor))),
+        figures(
+            crosslingual(cells, weight="n"), "crosslingual", F.col("label"), "gap_pp", F.col("n_langs"), F.col("gap"), fv.LANGUAGE_GAP_PP, ~F.col("flagged")
+        ),
+        figures(
+            codeswitch(cells, mixed_lang, weight="n"), "codeswitch", F.lit(mixed_lang), "gap_pp", F.col("n_mixed"), F.col("gap"), fv.CODESWITCH_GAP_PP,
+            F.col("passed"),
+        ),
+        figures(
+            length_buckets(cells, weight="n"), "length_buckets", F.col("bucket"), "accuracy", F.col("n"), F.col("accuracy"), fv.LENGTH_FLOOR, F.col("passed")
+        ),
+    ]
+    if signals is not None:
+        pair = F.concat_ws("|", "label_a", "label_b")
+        hard = hard_negative_accuracy(scored, signals)
+        rows.append(figures(hard, "hard_negatives", pair, "accuracy", F.col("n"), F.col("accuracy"), fv.HARD_NEGATIVE_FLOOR, F.col("passed")))
+    if latency is not None:
+        rows.append(
+            figures(latency_stats(latency, []), "latency", F.lit("all"), "p50_ms", F.col("n"), F.col("p50"), fv.LATENCY_MS, F.col("passed"))
+        )
+    out = rows[0]
+    for other in rows[1:]:
+        out = out.unionByName(other)
+    return out
+
+
 def release_gates(
     metrics: DataFrame,
     latency: DataFrame,

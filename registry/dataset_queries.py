@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from labelloom import fixed_values as fv
 from labelloom.functions.draws import unit
 from labelloom.operators import datasets as ds
 from labelloom.operators.expand import with_conv_type
@@ -190,7 +191,7 @@ def languages(spark, sf_dir):
     return ds.languages(table(spark, sf_dir, "documents"))
 
 
-CONV = [("A", 0.25), ("B", 0.20), ("C", 0.20), ("D", 0.15), ("E", 0.10), ("F", 0.10)]
+CONV = fv.CONV_TYPES
 
 
 def dataset_summary(spark, sf_dir):

@@ -57,7 +57,7 @@ DEMO = {
     },
     "compound_bridges": {"en": ["[INTENT_A], then [INTENT_B]", "and after that", "[INTENT_B] but first [INTENT_A]"], "mixed": ["[INTENT_A] und [INTENT_B]"]},
     "noise_patterns": {
-        "abbreviations": {"variable": ["var"], "database": ["db"], "function": ["fn", "func"], "request": ["req"], "the": ["th"]},
+        "abbreviations": {"capital": ["cap"], "compare": ["cmp"], "error": ["err", "bug"], "tests": ["specs"], "the": ["th"]},
         "filler_words": {"en": ["um", "you know", "so"], "de": ["also", "halt"]},
     },
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from labelloom.functions.text import argmax, softmax
 from labelloom.operators import evaluate as ev
 
-from .kit import CLASSES, CLASSES_SQL, SCORED_SQL, scored, table, values
+from .kit import CLASSES, CLASSES_SQL, SCORED_SQL, quote, scored, table, values
 
 # (class B, class A, signal): words of the documents, with unusable signals among them
 SIGNALS = [
@@ -73,6 +73,22 @@ def hard_negatives(spark, sf_dir):
     return ev.hard_negatives(scored(spark, sf_dir), _signals(spark)).select("record_id", "label_a", "label_b")
 
 
+def hard_negatives_many(spark, sf_dir):
+    """Every word of the benchmark texts is a signal, looked up by automata."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("signal")).distinct()
+    names = F.array(*[F.lit(c) for c in CLASSES])
+    at = F.length("signal") % len(CLASSES)
+    signals = words.select(
+        "signal", F.get(names, at).alias("label_a"), F.get(names, (at + 1 + F.length("signal") % 2) % len(CLASSES)).alias("label_b")
+    )
+    return ev.hard_negatives(scored(spark, sf_dir), signals, signal_rows=0).select("record_id", "label_a", "label_b")
+
+
+def evaluation_report(spark, sf_dir):
+    out = ev.evaluation_report(scored(spark, sf_dir), CLASSES, _signals(spark), _latency(spark, sf_dir), 0.75, MIXED)
+    return out.withColumn("value", F.round("value", 9))
+
+
 def rate_stats(spark, sf_dir):
     stats = ev.rate_stats(_token_log(spark, sf_dir), ["group_key"])
     return stats.select(
@@ -123,6 +139,8 @@ QUERIES = {
     "log_loss": log_loss,
     "early_stopping": early_stopping,
     "gate_rollup": gate_rollup,
+    "evaluation_report": evaluation_report,
+    "hard_negatives_many": hard_negatives_many,
     "release_gates": release_gates,
     "argmax_scores": argmax_scores,
     "softmax_confidence": softmax_confidence,
@@ -145,6 +163,7 @@ metrics AS (SELECT label, idx, precision, recall,
   coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1, support FROM pr)"""
 
 
+_CLASS_LIST = "[" + ", ".join(quote(c) for c in CLASSES) + "]"
 _CELLS = f"""cells AS (SELECT label, lang, {_HIT} AS correct, count(*) AS n,
   {_HIT} / CAST(count(*) AS DOUBLE) AS accuracy FROM scored GROUP BY label, lang)"""
 _CROSS = """crossl AS (SELECT label, count(*) AS n_langs, min(accuracy) AS min_acc, max(accuracy) AS max_acc,
@@ -234,6 +253,21 @@ ORACLES = {
           UNION ALL SELECT 'hard_negatives', coalesce(bool_and(passed), true) FROM hard_acc
           UNION ALL SELECT 'latency', bool_and(passed) FROM latency)
         SELECT * FROM axes UNION ALL SELECT 'overall', bool_and(passed) FROM axes""",
+    "hard_negatives_many": f"""WITH {SCORED_SQL}, words AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS signal FROM benchmark),
+        pairs AS (SELECT signal, {_CLASS_LIST}[length(signal) % {len(CLASSES)} + 1] AS label_a,
+          {_CLASS_LIST}[(length(signal) % {len(CLASSES)} + 1 + length(signal) % 2) % {len(CLASSES)} + 1] AS label_b FROM words)
+        SELECT DISTINCT s.record_id, g.label_a, g.label_b FROM scored s JOIN pairs g ON g.label_a = s.label AND g.label_a <> g.label_b
+          AND NOT starts_with(g.signal, 'no ') AND length(g.signal) >= 3 AND contains(lower(s.text), lower(g.signal))""",
+    "evaluation_report": f"""WITH {SCORED_SQL}, {CLASSES_SQL}, {_metrics('classes')}, {_CELLS}, {_CROSS}, {_SWITCH}, {_LENGTHS},
+        {_HARD}, {_latency_sql("'all'", _UPPER)},
+        r(axis, key, metric, n, value, bound, passed) AS (
+          SELECT 'per_class_f1', label, 'f1', support, f1, 0.75, f1 >= CAST(0.75 AS DOUBLE) FROM metrics
+          UNION ALL SELECT 'crosslingual', label, 'gap_pp', n_langs, gap, 10, NOT flagged FROM crossl
+          UNION ALL SELECT 'codeswitch', '{MIXED}', 'gap_pp', n_mixed, gap, 5, passed FROM switch
+          UNION ALL SELECT 'length_buckets', bucket, 'accuracy', n, accuracy, 0.7, passed FROM lengths
+          UNION ALL SELECT 'hard_negatives', label_a || '|' || label_b, 'accuracy', n, accuracy, 0.75, passed FROM hard_acc
+          UNION ALL SELECT 'latency', 'all', 'p50_ms', n, p50, 50, passed FROM latency)
+        SELECT axis, key, metric, CAST(n AS BIGINT) AS n, round(CAST(value AS DOUBLE), 9) AS value, CAST(bound AS DOUBLE) AS bound, passed FROM r""",
     "release_gates": f"""WITH {SCORED_SQL}, {CLASSES_SQL}, {_metrics('classes')}, {_latency_sql("'all'", _UPPER)},
         gates AS (SELECT 'f1:' || label AS gate, f1 >= CAST(0.8 AS DOUBLE) AS passed FROM metrics
           UNION ALL SELECT 'latency_p50', passed FROM latency

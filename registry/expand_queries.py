@@ -6,6 +6,7 @@ from functools import lru_cache, reduce
 
 from pyspark.sql import functions as F
 
+from labelloom import fixed_values as fv
 from labelloom.functions.draws import draw
 from labelloom.operators import expand as ex
 from labelloom.operators.scale import spread_scan
@@ -28,7 +29,7 @@ from .kit import (
     values,
 )
 
-TYPES = [("A", 0.25), ("B", 0.20), ("C", 0.20), ("D", 0.15), ("E", 0.10), ("F", 0.10)]
+TYPES = fv.CONV_TYPES
 
 
 @lru_cache(maxsize=2)
@@ -228,11 +229,11 @@ def _transform_sql(source: str, out: str, when: str = "true") -> str:
   LEFT JOIN fillers fl ON fl.lang = n.lang AND fl.pos = {sql_draw('b.record_id', 'prefix_filler')} % n.n),
 {out} AS (SELECT b.* REPLACE (CASE WHEN NOT ({when}) OR {sql_unit('b.record_id', 'transform_use')} >= CAST(0.3 AS DOUBLE) THEN b.text
   ELSE CASE way
-    WHEN 0 THEN {sql_pick(['can you ', 'could you ', ''], 'b.record_id', 'question')} || {bare} || '?'
+    WHEN 0 THEN {sql_pick(fv.QUESTION_PREFIXES, 'b.record_id', 'question')} || {bare} || '?'
     WHEN 1 THEN CASE WHEN {sql_unit('b.record_id', 'passive')} < CAST(0.5 AS DOUBLE)
-      THEN 'this needs to be ' || b.text ELSE b.text || ' — can someone handle this' END
-    WHEN 2 THEN b.text || ' ' || {sql_pick(['for me', 'if possible', 'when you get a chance', 'asap'], 'b.record_id', 'suffix')}
-    WHEN 3 THEN {sql_pick(['please ', 'would you mind '], 'b.record_id', 'formal')} || b.text
+      THEN {quote(fv.PASSIVE_BEFORE)} || b.text ELSE b.text || {quote(fv.PASSIVE_AFTER)} END
+    WHEN 2 THEN b.text || ' ' || {sql_pick(fv.SUFFIXES, 'b.record_id', 'suffix')}
+    WHEN 3 THEN {sql_pick(fv.FORMAL_PREFIXES, 'b.record_id', 'formal')} || b.text
     ELSE b.filler || ' ' || b.text END END AS text)
   FROM {out}_f b)"""
 

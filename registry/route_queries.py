@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from labelloom import fixed_values as fv
 from labelloom.operators import health as hl
 from labelloom.operators import routing as rt
 from labelloom.session import STATE_STORE, ensure_checkpoint_dir
@@ -232,7 +233,7 @@ def _case(rules: list[tuple[str, str]]) -> str:
     return "CASE " + " ".join(f"WHEN {cond} THEN {quote(label)}" for cond, label in rules) + " END"
 
 
-_QUESTION = "what|why|how|when|where|who|is|are|can|could|should|would|do|does|did"
+_QUESTION = "|".join(fv.QUESTION_WORDS)
 _LETTERS = r"regexp_replace(text, '\P{L}+', '', 'g')"
 _SHARE = (
     rf"(CAST(length(regexp_replace({_LETTERS}, '[^A-Za-z]+', '', 'g')) AS DOUBLE) / nullif(length({_LETTERS}), 0))"

@@ -270,18 +270,18 @@ ORACLES = {
     "marker_replace": _sql_on_docs(
         "replace(replace('[INTENT_A], then [INTENT_B] and [INTENT_A]', '[INTENT_A]', text), '[INTENT_B]', source)"
     ),
-    "to_question": _sql_on_docs(f"{sql_pick(['can you ', 'could you ', ''], KEY, 'question')} || {_T} || '?'"),
+    "to_question": _sql_on_docs(f"{sql_pick(fv.QUESTION_PREFIXES, KEY, 'question')} || {_T} || '?'"),
     "to_passive": _sql_on_docs(
-        f"CASE WHEN {sql_unit(KEY, 'passive')} < CAST(0.5 AS DOUBLE) THEN 'this needs to be ' || text "
-        "ELSE text || ' — can someone handle this' END"
+        f"CASE WHEN {sql_unit(KEY, 'passive')} < CAST(0.5 AS DOUBLE) THEN {quote(fv.PASSIVE_BEFORE)} || text "
+        f"ELSE text || {quote(fv.PASSIVE_AFTER)} END"
     ),
     "filler_prefix": _sql_on_docs(
         f"CASE WHEN lang = 'en' THEN {sql_pick(FILLERS, KEY, 'prefix_filler')} || ' ' || text ELSE text END"
     ),
     "add_suffix": _sql_on_docs(
-        f"text || ' ' || {sql_pick(['for me', 'if possible', 'when you get a chance', 'asap'], KEY, 'suffix')}"
+        f"text || ' ' || {sql_pick(fv.SUFFIXES, KEY, 'suffix')}"
     ),
-    "to_formal": _sql_on_docs(f"{sql_pick(['please ', 'would you mind '], KEY, 'formal')} || text"),
+    "to_formal": _sql_on_docs(f"{sql_pick(fv.FORMAL_PREFIXES, KEY, 'formal')} || text"),
     "abbreviate": ABBREVIATE_SQL,
     "typo": TYPO_SQL,
     "filler_insert": FILLER_INSERT_SQL,
