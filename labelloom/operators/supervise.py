@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 from ..functions.text import reply_lines
+from ..sources.ledger import Ledger
 from ..sources.records import append_records
 from ..session import ensure_checkpoint_dir
 from .datasets import pending, stratified_sample
@@ -89,9 +90,13 @@ def catalog_prompt(
 
 
 def complete(
-    prompts: DataFrame, fn: Callable[[str], str], partitions: int | None = None, col: str = "prompt"
+    prompts: DataFrame, fn: Callable[[str], str], partitions: int | None = None, col: str = "prompt", ledger: Ledger | None = None
 ) -> DataFrame:
-    """Call ``fn`` once per prompt. Adds ``reply`` and ``error``; a failure never stops the others."""
+    """Call ``fn`` once per prompt. Adds ``reply`` and ``error``; a failure never stops the others.
+
+    With a ``ledger`` tasks that are tried again, and later runs, ask only what has no reply yet.
+    """
+    fn = fn if ledger is None else ledger.through(fn)
     schema = T.StructType(
         prompts.schema.fields + [T.StructField("reply", T.StringType()), T.StructField("error", T.StringType())]
     )
@@ -131,8 +136,9 @@ def ingest_completions(
     kept = completions.filter(F.col("reply").isNotNull()).withColumn("__hash", F.try_add(F.xxhash64("reply"), F.lit(0).cast("bigint")))  # nullable, like the other keys
     lines = reply_lines(F.col("reply"))
     quotas = need.select(*keys, F.col("need").alias("quota"))
-    cuts = cutoffs(kept, keys, [F.col(order), F.col("__hash")], quotas=quotas, weight=F.size(lines))
-    place = F.struct(F.col(order).alias("o0"), F.col("__hash").alias("o1"))
+    number = F.try_add(F.col(order).cast("bigint"), F.lit(0).cast("bigint"))
+    cuts = cutoffs(kept, keys, [number, F.col("__hash")], quotas=quotas, weight=F.size(lines))
+    place = F.struct(number.alias("o0"), F.col("__hash").alias("o1"))
     joined = join_on(kept, checked_broadcast(cuts), keys, "inner").filter(F.col("take_all") | (place <= F.col("cut")))
     last = ~F.col("take_all") & (place == F.col("cut"))
     whole = joined.filter(~last).select(*keys, order, lines.alias("__lines"))
@@ -151,13 +157,16 @@ def rephrase(
     attempts: int = fv.REPHRASE_ATTEMPTS,
     wait_s: float = fv.REPHRASE_WAIT_S,
     is_rate_limit: Callable[[Exception], bool] | None = None,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Replace ``text`` by ``fn(text)``; every input row comes out, with ``original_text``.
 
     A rate limit (an error named ``RateLimit...`` or with ``status_code`` 429) is retried
     after ``wait_s`` times the attempt; any other error, an empty reply, or running out of
-    attempts keeps the original. ``threads`` calls run at a time in each task.
+    attempts keeps the original. ``threads`` calls run at a time in each task. With a ``ledger``
+    tasks that are tried again, and later runs, ask only what has no reply yet.
     """
+    fn = fn if ledger is None else ledger.through(fn)
     fields = [f for f in df.schema.fields if f.name not in ("original_text", "error")]
     schema = T.StructType(
         fields + [T.StructField("original_text", T.StringType()), T.StructField("error", T.StringType())]
