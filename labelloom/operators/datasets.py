@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.draws import draw
 from ..functions.text import strip
+from .digests import not_among
 from .scale import DRAW_SPAN, checked_broadcast, cutoffs, row_hash, seeded_order, within_cutoff
 
 CLASSES_SCHEMA = T.StructType(
@@ -57,9 +58,8 @@ def _known_id() -> Column:
 
 
 def pending(samples: DataFrame, done: DataFrame) -> DataFrame:
-    """Rows whose text is not among the finished ``original_text``."""
-    finished = done.select(F.col("original_text").alias("__done")).distinct()
-    return samples.join(finished, samples["text"] == finished["__done"], "left_anti")
+    """Rows whose text is not among the finished ``original_text``; texts are compared by 128-bit digests and are not shuffled."""
+    return not_among(samples, "text", done, "original_text")
 
 
 def class_deficit(
