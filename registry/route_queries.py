@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from labelloom import fixed_values as fv
 from labelloom.operators import health as hl
+from labelloom.operators import language as lg
 from labelloom.operators import routing as rt
 from labelloom.session import STATE_STORE, ensure_checkpoint_dir
 from labelloom.streaming import streams
@@ -76,6 +77,41 @@ def _custom_step():
     return rt.custom("shouting", shouting)
 
 
+def _parts(spark, sf_dir):
+    """Documents to learn from, and held-out ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return docs.filter("doc_id % 3 <> 1"), docs.filter("doc_id % 3 = 1")
+
+
+def language_profiles(spark, sf_dir):
+    return lg.gram_ranks(_parts(spark, sf_dir)[0])
+
+
+def _languages_found(spark, sf_dir):
+    learn, rest = _parts(spark, sf_dir)
+    return lg.train_profiles(learn).scores(rest)
+
+
+def language_scores(spark, sf_dir):
+    found = _languages_found(spark, sf_dir)
+    return found.select("doc_id", "lang_pred", F.round("lang_confidence", 9).alias("confidence"))
+
+
+def language_accuracy(spark, sf_dir):
+    """Held-out documents per language, and how many of them are recognised."""
+    found = _languages_found(spark, sf_dir)
+    right = F.sum(F.coalesce(F.col("lang_pred") == F.col("lang"), F.lit(False)).cast("bigint"))
+    return found.groupBy("lang").agg(F.count("*").alias("n"), right.alias("correct"), (right >= 0.95 * F.count("*")).alias("good"))
+
+
+def route_language_profiles(spark, sf_dir):
+    """Spanish, French and German texts by profiles, which no share of letters could tell from English."""
+    profiles = lg.train_profiles(_parts(spark, sf_dir)[0])
+    steps = [rt.prefix(PREFIXES), lg.language_by_profiles(profiles, "translate", None, 0.05), rt.always()]
+    out = rt.route(requests(spark, sf_dir), steps)
+    return out.select("request_id", "label", "method", F.round("confidence", 9).alias("confidence"), "error")
+
+
 # --- health ---------------------------------------------------------------------------
 # Errors and sign-ups are checks (down, up); every other event is a request.
 
@@ -210,6 +246,10 @@ QUERIES = {
     "route_explain": route_explain,
     "route_fallback": route_fallback,
     "route_fallback_asof": route_fallback_asof,
+    "language_profiles": language_profiles,
+    "language_scores": language_scores,
+    "language_accuracy": language_accuracy,
+    "route_language_profiles": route_language_profiles,
     "route_fallback_asof_repeated": route_fallback_asof_repeated,
     "route_fallback_asof_null_ids": route_fallback_asof_null_ids,
     "route_stream_asof": route_stream_asof,
@@ -307,7 +347,38 @@ resolved AS (SELECT d.request_id, d.ts, d.label, b.backend, coalesce(b.pos > 0,
   CASE WHEN d.label NOT IN (SELECT label FROM routes) THEN 'unknown_route' WHEN b.backend IS NULL THEN 'no_backends_available' END AS error
   FROM d LEFT JOIN b ON b.request_id = d.request_id)"""
 
+def _grams_sql(source: str, columns: str) -> str:
+    return f"""SELECT {columns}, unnest(list_transform(generate_series(1, len(c) - k + 1), lambda i:
+    CASE k WHEN 1 THEN c[i] WHEN 2 THEN c[i] || c[i + 1] ELSE c[i] || c[i + 1] || c[i + 2] END)) AS gram
+  FROM (SELECT *, regexp_extract_all(lower(text), '(?s).') AS c FROM {source}), (VALUES (1), (2), (3)) AS sizes(k) WHERE len(c) >= k"""
+
+
+_PROFILES_SQL = f"""learn AS (SELECT * FROM documents WHERE doc_id % 3 <> 1),
+counted AS (SELECT lang, gram, count(*) AS n FROM ({_grams_sql('learn', 'lang')}) GROUP BY lang, gram),
+profiles AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) - 1 AS rank, gram, n FROM counted QUALIFY rank < 300)"""
+
+
+def _language_sql(source: str, key: str) -> str:
+    return f"""{_PROFILES_SQL}, asked AS (SELECT DISTINCT {key}, gram FROM ({_grams_sql(source, key)})),
+points AS (SELECT {key}, p.lang, sum(300 - rank) AS points FROM asked JOIN profiles p USING (gram) GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY points DESC, lang) AS place FROM points),
+best AS (SELECT {key}, max(lang) FILTER (place = 1) AS lang_pred, coalesce((max(points) FILTER (place = 1)
+  - coalesce(max(points) FILTER (place = 2), 0)) / CAST(max(points) FILTER (place = 1) AS DOUBLE), 0) AS confidence FROM placed GROUP BY {key}),
+found AS (SELECT s.*, b.lang_pred, coalesce(b.confidence, 0) AS margin FROM {source} s LEFT JOIN best b USING ({key}))"""
+
+
 ORACLES = {
+    "language_profiles": f"WITH {_PROFILES_SQL} SELECT lang, CAST(rank AS BIGINT) AS rank, gram, n FROM profiles",
+    "language_scores": f"""WITH rest AS (SELECT * FROM documents WHERE doc_id % 3 = 1), {_language_sql('rest', 'doc_id')}
+        SELECT doc_id, lang_pred, round(margin, 9) AS confidence FROM found""",
+    "language_accuracy": f"""WITH rest AS (SELECT * FROM documents WHERE doc_id % 3 = 1), {_language_sql('rest', 'doc_id')},
+        c AS (SELECT lang, count(*) AS n, CAST(coalesce(sum(CAST(lang_pred = lang AS BIGINT)), 0) AS BIGINT) AS correct FROM found GROUP BY lang)
+        SELECT *, correct >= CAST(0.95 AS DOUBLE) * n AS good FROM c""",
+    "route_language_profiles": f"""WITH {REQUESTS_SQL}, {_language_sql('requests', 'request_id')},
+        r AS (SELECT *, {LABELS["prefix"]} AS pre, margin >= CAST(0.05 AS DOUBLE) AND lang_pred <> 'en' AS foreign_text FROM found)
+        SELECT request_id, CASE WHEN pre IS NOT NULL THEN pre WHEN foreign_text THEN 'translate' ELSE 'default' END AS label,
+          CASE WHEN pre IS NOT NULL THEN 'prefix' WHEN foreign_text THEN 'language' ELSE 'always' END AS method,
+          CASE WHEN pre IS NULL AND foreign_text THEN round(margin, 9) ELSE CAST(1 AS DOUBLE) END AS confidence, CAST(NULL AS VARCHAR) AS error FROM r""",
     "route_prefix": _single_sql("prefix", LABELS["prefix"], text=_REST),
     "route_code_block": _single_sql("code_block", LABELS["code_block"]),
     "route_question": _single_sql("question", LABELS["question"]),
