@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from ..functions.draws import draw
 from ..session import ensure_checkpoint_dir
 
-MAX_BROADCAST_ROWS = 50_000
+MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 50_000, 64_000_000
 BUCKET_SHIFT = 16  # a draw has 32 bits: 65,536 buckets
 DRAW_SPAN = (0, 2**32 - 1)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it without a hint.
+    """Broadcast ``df`` if it has at most ``max_rows`` rows and ``MAX_BROADCAST_BYTES``, else return it without a hint.
 
     At most ``max_rows + 1`` rows are read; the small table then becomes a local
     relation, so it is computed once however often it is joined.
@@ -33,9 +33,10 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 
 def local_copy(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` as a local relation, or None when it has more than ``max_rows`` rows."""
+    """``df`` as a local relation, or None when it has more than ``max_rows`` rows or ``MAX_BROADCAST_BYTES``."""
     rows = df.limit(max_rows + 1).toArrow()
-    return None if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
+    large = rows.num_rows > max_rows or rows.nbytes > MAX_BROADCAST_BYTES
+    return None if large else df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def spread_scan(df: DataFrame) -> DataFrame:

@@ -59,3 +59,10 @@ def test_tied_completions_give_what_is_needed(spark):
         assert got == Counter({c: min(n, most) for c, most in (("a", 9), ("b", 6), ("c", 3), (None, 2)) if n})
     again = {tuple(r) for r in sv.ingest_completions(df.repartition(4), need.withColumn("need", F.lit(4))).collect()}
     assert again == {tuple(r) for r in sv.ingest_completions(df, need.withColumn("need", F.lit(4))).collect()}
+
+
+def test_wide_rows_are_not_broadcast(spark, monkeypatch):
+    df = spark.range(20).select("id", F.lit("x" * 1_000).alias("wide"))
+    assert scale.local_copy(df).count() == 20
+    monkeypatch.setattr(scale, "MAX_BROADCAST_BYTES", 10_000)
+    assert scale.local_copy(df) is None and scale.checked_broadcast(df).count() == 20
