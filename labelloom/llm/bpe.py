@@ -67,9 +67,9 @@ class Generations:
 
 
 class Bpe:
-    """Encoder and decoder of one vocabulary file (JSON of the ``tokenizers`` library)."""
+    """Encoder and decoder of one vocabulary file (JSON of the ``tokenizers`` library). ``kept``: times the usual size of its tables."""
 
-    def __init__(self, source: bytes):
+    def __init__(self, source: bytes, kept: int = 1):
         spec = json.loads(source)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         suffix, letters = spec["model"]["end_of_word_suffix"], _byte_letters()
@@ -99,7 +99,7 @@ class Bpe:
         texts = [self.shown.get(i, "").encode() for i in range(max(self.shown) + 1)]
         self.offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
         self.letters = np.frombuffer(b"".join(t + b" " for t in texts), np.uint8)
-        self.parts, self.words = Generations(KEPT_PARTS), Generations(KEPT_WORDS)
+        self.parts, self.words = Generations(KEPT_PARTS * kept), Generations(KEPT_WORDS * kept)
 
     def _usable_tokens(self) -> None:
         """The automaton, and each token's longest proper prefix that is a token.
@@ -252,9 +252,9 @@ class Bpe:
         return self.letters[at].tobytes()[:-1]
 
 
-def encoder(source: bytes) -> Bpe:
+def encoder(source: bytes, tables: int = 1) -> Bpe:
     """The encoder of a vocabulary file; a worker builds each once."""
-    return kept("bpe_" + hashlib.sha256(source).hexdigest(), lambda: Bpe(source))
+    return kept(f"bpe_{tables}_" + hashlib.sha256(source).hexdigest(), lambda: Bpe(source, tables))
 
 
 def raw_texts(column: pa.Array) -> Iterator[bytes]:
@@ -263,9 +263,9 @@ def raw_texts(column: pa.Array) -> Iterator[bytes]:
         yield x.as_py() or b""
 
 
-def _encode(source, with_text: bool):
+def _encode(source, with_text: bool, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(source.value)
+        bpe = encoder(source.value, tables)
         names = ["doc_id", "ids", "decoded"] if with_text else ["doc_id", "ids"]
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
@@ -276,16 +276,17 @@ def _encode(source, with_text: bool):
                     columns.append(pa.array([bpe.decode(np.frombuffer(x, "<u4").astype(np.int64)) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return task(run, "bpe")
+    return task(run, f"bpe_{tables}_")
 
 
-def encode(docs: DataFrame, tokenizer_path: str, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, decoded: bool = False, tables: int = 1) -> DataFrame:
     """(doc_id, ids) of each row: ids as little-endian unsigned 32-bit integers in a binary.
 
     ``decoded`` adds the decoded text as UTF-8. The vocabulary file is read by the driver
-    (its size does not depend on the input) and sent to the executors.
+    (its size does not depend on the input) and sent to the executors. ``tables``: times the usual size (100 MB in a worker)
+    of the tables of words seen before; larger ones save time where there is memory.
     """
     with open(tokenizer_path, "rb") as f:
         source = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = "doc_id long, ids binary" + (", decoded binary" if decoded else "")
-    return docs.select("doc_id", "text").mapInArrow(_encode(source, decoded), schema)
+    return docs.select("doc_id", "text").mapInArrow(_encode(source, decoded, tables), schema)

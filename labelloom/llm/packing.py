@@ -41,9 +41,9 @@ SLICES = 4096  # slices of the ids for ranks
 # --- pieces ----------------------------------------------------------------------------------
 
 
-def _pieces(source, capacity: int, end_id: int):
+def _pieces(source, capacity: int, end_id: int, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(source.value)
+        bpe = encoder(source.value, tables)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = ([], [], [], [], [])
@@ -58,15 +58,15 @@ def _pieces(source, capacity: int, end_id: int):
                 [pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"]
             )
 
-    return task(run, "bpe")
+    return task(run, f"bpe_{tables}_")
 
 
-def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, tables: int = 1) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the tokens of each text and ``end_id``, cut into pieces."""
     with open(tokenizer_path, "rb") as f:
         source = docs.sparkSession.sparkContext.broadcast(f.read())
     return docs.select("doc_id", "text").mapInArrow(
-        _pieces(source, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long"
+        _pieces(source, capacity, end_id, tables), "doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 
 
@@ -265,7 +265,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, tries=TRIES) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, tries=TRIES
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, tries=TRIES, tables: int = 1
 ) -> DataFrame:
-    """Pieces of all documents with their sequence and place there: tokenized once, packed by length counts."""
-    return pack(materialize(cut(docs, tokenizer_path, capacity, end_id), "pieces"), capacity, tries)
+    """Pieces of all documents with their sequence and place there: tokenized once (``tables``: see ``bpe.encode``), packed by length counts."""
+    return pack(materialize(cut(docs, tokenizer_path, capacity, end_id, tables), "pieces"), capacity, tries)

@@ -41,7 +41,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, tables=2)
 
 
 def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER, decoded=True)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER, decoded=True, tables=2)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
