@@ -28,7 +28,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .bitmaps import bitmap, holds
 from .scratch import materialize
-from .wordhash import LOWER, MASK, SPACE, chunks, mix, span_hashes, text_bytes, word_hashes
+from .wordhash import LOWER, MASK, SPACE, chunks, mix, text_bytes, word_hashes
 from .workers import task
 
 MIN_WORDS = 8  # of lines that near copies are sought of, where nothing else is asked for
@@ -36,6 +36,10 @@ SQUEEZED = -2  # place of the variant without white space
 SEEN = 100_000  # lines whose places a task keeps, to emit them once
 _P = 0xC6BC279692B5C323
 _P_BACK = pow(_P, -1, 2**64)
+_LETTER = 0x9FB21C651E98DF25
+_LETTER_BACK = pow(_LETTER, -1, 2**64)
+_RISING, _FALLING = [np.ones(1, np.uint64)], [np.ones(1, np.uint64)]
+_BYTE = np.random.default_rng(20_012).integers(1, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -78,10 +82,13 @@ class Lines:
         """Hash of each line's bytes without white space."""
         solid = np.flatnonzero(~SPACE[data])
         at = np.searchsorted(solid, edges)
-        out = np.zeros(len(edges) - 1, np.uint64)
-        some = np.flatnonzero(np.diff(at))
-        out[some] = span_hashes(LOWER[data[solid]], at[some], np.diff(at)[some])
-        return mix(out + np.uint64(0xB5297A4D3F84D5A5))
+        while len(_RISING[0]) < len(solid):  # powers by place in the chunk; those before a line are divided out
+            for table, base in ((_RISING, _LETTER), (_FALLING, _LETTER_BACK)):
+                table[0] = np.concatenate([table[0], table[0] * np.uint64(pow(base, len(table[0]), 2**64))])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[LOWER[data[solid]]] * _RISING[0][: len(solid)], dtype=np.uint64)])
+        first, last = at[:-1], at[1:]
+        own = (sums[last] - sums[first]) * _FALLING[0][np.minimum(first, len(_FALLING[0]) - 1)]
+        return mix(own + (last - first).astype(np.uint64) * np.uint64(0xB5297A4D3F84D5A5))
 
     def _span(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Sum over words a to b, weighted by their places in the line."""
