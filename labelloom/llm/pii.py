@@ -5,8 +5,8 @@
    number is part of, the domain of an obfuscated address. Most candidates have none.
 3. Every candidate gets features that the evidence of its kind does not use: shape for numbers, form and hint words for addresses,
    code or prose around handles.
-4. Gradient boosted trees learn from candidates with evidence, a sample of about ``SAMPLE`` at most, and from ``examples``: fixed texts of
-   every generator, labelled as they were made, so that model and thresholds exist on any input.
+4. Gradient boosted trees learn from all candidates with evidence, and from ``examples``: fixed texts of every generator, labelled as
+   they were made, so that model and thresholds exist on any input.
 5. On the other half of these rows a threshold is set for each generator: the lowest probability from which at least
    ``PRECISION`` of the candidates are positive, or ``STRICT`` where no probability is.
 6. Candidates of the base kinds that pass their check always stay. Of the others, those that overlap none of them are added
@@ -27,11 +27,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .quality import hashed_sample
 from .scratch import materialize
 from .spans import Rule, kind_names, located, row_key
 
-SAMPLE = 20_000
 PRECISION = 0.98
 STRICT = 0.95  # threshold of a generator that reaches PRECISION nowhere
 TREES, DEPTH, BINS = 16, 4, 200
@@ -236,13 +234,13 @@ def _example_rows(spark: SparkSession) -> DataFrame:
     return found.filter(~F.col("ok") & plausible()).withColumn("positive", own.cast("double")).drop("kind", "label")
 
 
-def train(marked: DataFrame, sample: int = SAMPLE) -> tuple[GBTClassificationModel, DataFrame]:
-    """The trees and the threshold of every generator (rule, threshold), from a sample of bounded size and the examples."""
+def train(marked: DataFrame) -> tuple[GBTClassificationModel, DataFrame]:
+    """The trees and the threshold of every generator (rule, threshold), from all candidates with evidence and the examples."""
     rows = marked.filter(F.col("evidence").isNotNull() & ~F.col("touched") & plausible())
-    rows = hashed_sample(rows, F.struct("key", "rule", "start"), sample).withColumn("positive", F.col("evidence").cast("double"))
+    rows = rows.withColumn("positive", F.col("evidence").cast("double"))
     rows = rows.drop("touched", "evidence").unionByName(_example_rows(marked.sparkSession))
     half = F.pmod(F.xxhash64(F.lit("half"), "key"), F.lit(2))
-    rows = materialize(_assembled(features(rows)).withColumn("half", half), "sample")
+    rows = materialize(_assembled(features(rows)).withColumn("half", half), "learned")
     trees = GBTClassifier(
         labelCol="positive", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, seed=7, cacheNodeIds=False
     ).fit(rows.filter("half = 0"))
@@ -265,12 +263,12 @@ def _probability(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
     return trees.transform(rows).withColumn("probable", F.element_at(vector_to_array("probability"), 2))
 
 
-def pii_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def pii_spans(docs: DataFrame) -> DataFrame:
     """(key, rule, kind, start, end, base) of all redactions; ``key`` is ``row_key()`` of the row."""
     found = materialize(labelled(candidates(docs)), "candidates")
     columns = ["key", "rule", "start", "end"]
     kept = found.filter("ok").select(*columns, F.lit(True).alias("base"))
-    trees, thresholds = train(found, sample)
+    trees, thresholds = train(found)
     others = found.filter(~F.col("touched") & plausible())
     told = others.filter("evidence = 1")
     scored = _probability(trees, _assembled(features(others.filter("evidence IS NULL"))))
