@@ -7,9 +7,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .scale import checked_broadcast, hot_salts, join_on
+from .scale import checked_broadcast, hot_salts, join_on, local_copy
 
 ROWS_PER_TASK = 1_000_000
+CUT_ROUNDS = 4
+SALTED = 4  # times ``rows_per_task`` in one cell, after it was cut by time
 
 
 def _trusted(up: Column, unknown: str) -> Column:
@@ -91,6 +93,67 @@ def recent_checks(health: DataFrame, ttl_s: int) -> DataFrame:
     return checks.unionByName(carried)
 
 
+def cut_by_time(df: DataFrame, keys: list[str], ttl_s: int, rounds: list[DataFrame]) -> DataFrame:
+    """Add ``__lo`` and ``__span``: start and width, in microseconds, of the cell of ``__at``. Cells are TTL-long blocks, cut as ``rounds`` say."""
+    width = int(ttl_s) * 1_000_000
+    out = df.withColumns({"__lo": F.floor(F.col("__at") / width) * width, "__span": F.lit(width).cast("long")})
+    for cuts in rounds:
+        step = F.coalesce("__step", "__span")
+        out = join_on(out, cuts, [*keys, "__lo"]).withColumn("__span", step).drop("__step")
+        out = out.withColumn("__lo", F.col("__lo") + F.floor((F.col("__at") - F.col("__lo")) / F.col("__span")) * F.col("__span"))
+    return out
+
+
+def crowded_cells(asked: DataFrame, keys: list[str], ttl_s: int, rows_per_task: int) -> list[DataFrame]:
+    """(keys, __lo, __step) by round: cells with too many requests and the width of the parts that they are cut into."""
+    ensure_checkpoint_dir(asked.sparkSession)
+    rounds: list[DataFrame] = []
+    for n in range(CUT_ROUNDS):
+        sizes = cut_by_time(asked.select(*keys, "__at"), keys, ttl_s, rounds).groupBy(*keys, "__lo", "__span").agg(F.count("*").alias("__size"))
+        crowded = sizes.filter((F.col("__size") > rows_per_task * (SALTED if n else 1)) & (F.col("__span") > 1) & F.col("__lo").isNotNull())
+        step = F.ceil(F.col("__span") / F.ceil(F.col("__size") / F.lit(rows_per_task))).cast("long")
+        crowded = crowded.select(*keys, "__lo", step.alias("__step")).checkpoint()  # read for requests and checks
+        small = local_copy(crowded)
+        if small is not None and small.isEmpty():
+            break
+        rounds.append(crowded if small is None else F.broadcast(small))
+    return rounds
+
+
+def in_cells(
+    asked: DataFrame, checks: DataFrame, keys: list[str], series: list[str], marks, ttl_s: int, rows_per_task: int
+) -> tuple[DataFrame, DataFrame]:
+    """Requests and checks with the cell (``keys``, ``__lo``, ``__salt``) in which they meet.
+
+    ``checks`` has ``series`` (of which the keys are a part), ``__block`` and ``__check``. A cell with too many requests is cut by time, so that a check
+    stays in one part; a part that has requests takes over the last check of each series from the parts before it. Only a part that
+    cannot be cut down, as its requests share an instant, is salted, and its checks are copied. ``marks`` gives cells of requests their series.
+    """
+    width = int(ttl_s) * 1_000_000
+    rounds = crowded_cells(asked, keys, ttl_s, rows_per_task)
+    asked = cut_by_time(asked, keys, ttl_s, rounds)
+    start = F.greatest(F.unix_micros("__check.__ts"), F.col("__block") * width)  # what a block took over lies at its start
+    checks = cut_by_time(checks.withColumn("__at", start), keys, ttl_s, rounds)
+    if rounds:
+        cut, cell = F.col("__span") < width, [*series, "__block", "__lo"]
+        last = checks.filter(cut).groupBy(*cell).agg(F.max("__check").alias("__check")).withColumn("__asked", F.lit(False))
+        block = F.floor(F.col("__lo") / width).alias("__block")
+        parts = marks(asked.filter(cut).select(*keys, block, "__lo").distinct()).withColumn("__asked", F.lit(True))
+        before = Window.partitionBy(*series, "__block").orderBy("__lo").rangeBetween(Window.unboundedPreceding, -1)
+        known = last.unionByName(parts, allowMissingColumns=True).withColumn("__check", F.last("__check", ignorenulls=True).over(before))
+        taken = known.filter("__asked AND __check IS NOT NULL").select(*cell, "__check")
+        checks = checks.select(*cell, "__check").unionByName(taken)
+    cell = [*keys, "__lo"]
+    hot = checked_broadcast(hot_salts(asked, cell, rows_per_task * SALTED))
+    salts = F.coalesce("__salts", F.lit(1))
+    drop = ["__salts", "__span", "__at", "__block"]
+    asked = join_on(asked, hot, cell).withColumn(  # null-safe: requests without a backend or time are salted too
+        "__salt", F.pmod(F.xxhash64("__row"), salts).cast("int")
+    )
+    checks = join_on(checks, hot, cell).withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return asked.drop(*drop, "__row"), checks.withColumn("__ts", F.col("__check.__ts")).drop(*drop)
+
+
 def health_asof(
     requests: DataFrame,
     health: DataFrame,
@@ -103,42 +166,30 @@ def health_asof(
 
     Time is cut into TTL-long blocks: a fresh check lies in the block of the request or in
     the one before, so each block only takes over the last check of its predecessor.
-    Blocks with very many requests are salted; their checks, first reduced to one per
-    instant, go to every salt.
+    Blocks with very many requests are cut finer by time (``in_cells``), so the work grows with
+    the rows, however many requests and checks a block has.
 
     Adds ``checked_at`` (NULL when unknown or expired) and ``up``.
     """
     width = int(ttl_s) * 1_000_000
     micros = F.unix_micros("__ts")
     asked = requests.select(*keys, "backend", F.col("ts").cast("timestamp").alias("__ts"))
-    asked = asked.withColumn("__block", F.floor(micros / width))
-    checks = recent_checks(health, ttl_s)
-
-    hot = checked_broadcast(hot_salts(asked, ["backend", "__block"], rows_per_task))
-    salts = F.coalesce("__salts", F.lit(1))
-    asked = join_on(asked, hot, ["backend", "__block"]).withColumn(  # null-safe: requests without a backend or time are salted too
-        "__salt", F.pmod(F.xxhash64(*keys), salts).cast("int")
-    )
-    checks = join_on(checks, hot, ["backend", "__block"]).withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    timeline = (
-        asked.withColumn("__kind", F.lit(1))
-        .unionByName(checks.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
-        .withColumn("__check", F.when(F.col("__kind") == 0, F.struct(F.col("__ts").alias("at"), "up")))
-    )
+    asked = asked.withColumns({"__at": micros, "__row": F.struct(*keys)})
+    checks = recent_checks(health, ttl_s).select("backend", "__block", F.struct("__ts", "up").alias("__check"))
+    asked, checks = in_cells(asked, checks, ["backend"], ["backend"], lambda parts: parts, ttl_s, rows_per_task)
+    timeline = asked.withColumn("__kind", F.lit(1)).unionByName(checks.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
     order = (
-        Window.partitionBy("backend", "__block", "__salt")
+        Window.partitionBy("backend", "__lo", "__salt")
         .orderBy("__ts", "__kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     seen = timeline.withColumn("__check", F.last("__check", ignorenulls=True).over(order)).filter("__kind = 1")
-    fresh = F.unix_micros("__check.at") >= micros - width
+    fresh = F.unix_micros("__check.__ts") >= micros - width
     return seen.select(
         *keys,
         "backend",
         F.col("__ts").alias("ts"),
-        F.when(fresh, F.col("__check.at")).alias("checked_at"),
+        F.when(fresh, F.col("__check.__ts")).alias("checked_at"),
         _trusted(F.when(fresh, F.col("__check.up")), unknown).alias("up"),
     )
 
@@ -167,26 +218,25 @@ def resolve_backends_asof(
 
     Every row is resolved for itself, whatever its id: a row meets the checks of all backends of its route in one timeline per
     route and TTL-long block, in which the latest check of each position is carried along. The rows are written once
-    (checkpoint), as they are counted first to salt the timelines that many rows share.
+    (checkpoint), as they are counted first to cut the timelines that many rows share by time.
     """
     ensure_checkpoint_dir(decisions.sparkSession)
     written = decisions.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
     chains = checked_broadcast(routes.select(F.col("label").alias("__route"), F.col("backends").alias("__chain")))
     longest = routes.agg(F.max(F.size("backends"))).first()[0] or 0
     asked = written.join(chains, F.col("label") == F.col("__route"), "left").withColumn("__ts", F.col("ts").cast("timestamp"))
-    asked = asked.withColumn("__block", F.floor(F.unix_micros("__ts") / (int(ttl_s) * 1_000_000)))
+    asked = asked.withColumn("__at", F.unix_micros("__ts"))
 
-    tried = chains.select("__route", F.posexplode("__chain").alias("__pos", "backend"))
-    checks = recent_checks(health, ttl_s).join(checked_broadcast(tried), "backend")
-    checks = checks.select("__route", "__block", "__ts", "__pos", F.struct("__ts", "up").alias("__check"))
+    tried = checked_broadcast(chains.select("__route", F.posexplode("__chain").alias("__pos", "backend")))
+    checks = recent_checks(health, ttl_s).join(tried, "backend")
+    checks = checks.select("__route", "__pos", "__block", F.struct("__ts", "up").alias("__check"))
 
-    timeline = ["__route", "__block"]
-    hot = checked_broadcast(hot_salts(asked, timeline, rows_per_task))
-    salts = F.coalesce("__salts", F.lit(1))
-    asked = join_on(asked, hot, timeline).withColumn("__salt", F.pmod(F.xxhash64("__row"), salts).cast("int")).drop("__salts")
-    checks = join_on(checks, hot, timeline).withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
+    def marks(parts: DataFrame) -> DataFrame:
+        return parts.join(tried.select("__route", "__pos"), "__route")
+
+    asked, checks = in_cells(asked, checks, ["__route"], ["__route", "__pos"], marks, ttl_s, rows_per_task)
     both = asked.withColumn("__kind", F.lit(1)).unionByName(checks.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
-    order = Window.partitionBy(*timeline, "__salt").orderBy("__ts", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("__route", "__lo", "__salt").orderBy("__ts", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     states = {
         f"__state{pos}": F.last(F.when(F.col("__pos") == pos, F.col("__check")), ignorenulls=True).over(order) for pos in range(longest)
     }

@@ -174,3 +174,25 @@ def test_stream_needs_its_state_store(spark):
             streams.resolve_stream_asof(decisions_table(spark, []), checks_table(spark, []), routes_table(spark))
     finally:
         spark.conf.set(name, given)
+
+
+def test_crowded_blocks_are_cut_by_time_without_copies_of_checks(spark, monkeypatch):
+    """The checks of a block meet every request once, whatever the number of both; only one instant is salted."""
+    copies, salted = [], hl.hot_salts
+
+    def counting(df, keys, rows_per_task):
+        out = salted(df, keys, rows_per_task)
+        copies.append(out.agg(F.sum("__salts")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(hl, "hot_salts", counting)
+    checks = [("x", k / 8 + 0.0625, k % 3 == 0) for k in range(900)] + [("z", 3, False)]
+    rows = [(k, k / 16, "chat", None) for k in range(1900)] + [(k, 5.5, "chat", None) for k in range(40)]
+    asked = decisions_table(spark, rows).withColumn("backend", F.lit("x"))
+    seen = {(r.request_id, r.ts): (r.checked_at, r.up) for r in hl.health_asof(asked, checks_table(spark, checks), 60, rows_per_task=2).collect()}
+    for i, second, _, _ in rows:
+        last = max(((s, up) for b, s, up in checks if b == "x" and second - 60 <= s <= second), default=(None, True))
+        assert seen[i, at(second)] == (at(last[0]), last[1])
+    out = hl.resolve_backends_asof(decisions_table(spark, rows), routes_table(spark), checks_table(spark, checks), 60, "up", 2)
+    assert Counter(map(tuple, out.collect())) == brute(rows, checks)
+    assert len(copies) == 2 and max(copies) < 50
