@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
@@ -29,10 +30,122 @@ HELD = 200_000  # n-grams that a task counts before it passes them on
 MAX_ENTRIES = 1_000_000  # of all profiles, which every task holds
 
 
-def _grams(text: str, sizes: tuple[int, ...]) -> Iterator[str]:
+SLAB = 1 << 20  # characters that are looked at together; a longer text is a slab of its own
+DENSE = 1 << 22  # entries of a table by number
+
+
+def _slabs(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """(from, to) of texts with about ``SLAB`` characters together."""
+    lo, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > lo and size + len(text) > SLAB:
+            yield lo, i
+            lo, size = i, 0
+        size += len(text)
+    if texts:
+        yield lo, len(texts)
+
+
+def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts with a mark after each, and the places of the marks."""
+    marks = np.cumsum([len(t) + 1 for t in texts]) - 1
+    return np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le"), np.uint32).astype(np.int64), marks
+
+
+def _gram_counts(texts: list[str], sizes: tuple[int, ...]) -> Iterator[tuple[str, int]]:
+    """(n-gram, times) of a slab."""
+    points, marks = _points(texts)
+    seen = np.bincount(points)
+    seen[0] -= len(marks)
+    letters = np.flatnonzero(seen)
+    code = np.zeros(len(seen), np.int64)
+    code[letters] = np.arange(1, len(letters) + 1)
+    codes, base = code[points], len(letters) + 1
+    codes[marks] = 0
     for n in sizes:
-        for i in range(len(text) - n + 1):
-            yield text[i : i + n]
+        if base**n >= 2**62:  # too many for numbers
+            yield from Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1)).items()
+            continue
+        keys = np.zeros(max(0, len(codes) - n + 1), np.int64)
+        for k in range(n):
+            keys = keys * base + codes[k : k + len(keys)]
+        if base**n <= DENSE:
+            times = np.bincount(keys)
+            keys = np.flatnonzero(times)
+            times = times[keys]
+        else:
+            keys, times = np.unique(keys, return_counts=True)
+        digits = np.stack([keys // base ** (n - 1 - k) % base for k in range(n)], 1)
+        whole = (digits > 0).all(1)
+        grams = letters[digits[whole] - 1].astype(np.uint32).tobytes().decode("utf-32-le")
+        yield from zip((grams[i : i + n] for i in range(0, len(grams), n)), times[whole].tolist(), strict=True)
+
+
+class _Finder:
+    """Points by language of the texts of a slab: the n-grams of the profiles as a tree that is walked from every character at once."""
+
+    def __init__(self, entries: dict[str, list[tuple[str, int]]]):
+        grams = sorted(entries)
+        self.langs = sorted({lang for gram in grams for lang, _ in entries[gram]})
+        letters = sorted({ord(c) for gram in grams for c in gram})
+        self.letters, self.base = np.array(letters, np.int64), len(letters) + 1
+        number = {chr(c): k + 1 for k, c in enumerate(letters)}
+        tree: dict[int, int] = {}  # node and letter to node; 0 leads nowhere, 1 is the root
+        ends, place = [], {lang: k for k, lang in enumerate(self.langs)}
+        for gram in grams:
+            node = 1
+            for c in gram:
+                node = tree.setdefault(node * self.base + number[c], len(tree) + 2)
+            ends.append(node)
+        self.depth = max(map(len, grams), default=0)
+        self.gram = np.full(len(tree) + 2, -1, np.int64)
+        self.gram[ends] = np.arange(len(grams))
+        self.steps = np.array(sorted(tree), np.int64)
+        self.nodes = np.array([tree[k] for k in self.steps.tolist()], np.int64)
+        self.table = None
+        if len(self.gram) * self.base <= DENSE:
+            self.table = np.zeros(len(self.gram) * self.base, np.int64)
+            self.table[self.steps] = self.nodes
+        self.first = np.cumsum([0, *(len(entries[gram]) for gram in grams)])
+        self.lang = np.array([place[lang] for gram in grams for lang, _ in entries[gram]], np.int64)
+        self.worth = np.array([n for gram in grams for _, n in entries[gram]], np.float64)
+
+    def _step(self, keys: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[keys]
+        at = np.minimum(np.searchsorted(self.steps, keys), len(self.steps) - 1)
+        return np.where(self.steps[at] == keys, self.nodes[at], 0)
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Points, texts by languages."""
+        out = np.zeros((len(texts), len(self.langs)))
+        grams = len(self.first) - 1
+        if not grams:
+            return out
+        points, marks = _points(texts)
+        at = np.minimum(np.searchsorted(self.letters, points), len(self.letters) - 1)
+        codes = np.where(self.letters[at] == points, at + 1, 0)
+        codes[marks] = 0
+        lo = 0
+        rows = max(1, DENSE // grams)
+        for first in range(0, len(texts), rows):
+            some = marks[first : first + rows]
+            part = codes[lo : some[-1] + 1]
+            row = np.repeat(np.arange(len(some)), np.diff(some, prepend=lo - 1))
+            held, nodes = np.zeros(len(some) * grams, bool), np.ones(len(part), np.int64)
+            for k in range(self.depth):
+                nodes = self._step(nodes[: len(part) - k] * self.base + part[k:])
+                gram = self.gram[nodes]
+                known = np.flatnonzero(gram >= 0)
+                held[row[known] * grams + gram[known]] = True
+            found = np.flatnonzero(held)
+            gram, times = found % grams, np.diff(self.first)[found % grams]
+            entry = np.repeat(self.first[gram] - np.cumsum(times) + times, times) + np.arange(times.sum())
+            place = np.repeat(found // grams, times) * len(self.langs) + self.lang[entry]
+            sums = np.bincount(place, self.worth[entry], len(some) * len(self.langs))
+            out[first : first + len(some)] = sums.reshape(len(some), -1)
+            lo = some[-1] + 1
+        return out
 
 
 @dataclass(frozen=True)
@@ -44,21 +157,18 @@ class Profiles:
 
     def scores(self, df: DataFrame) -> DataFrame:
         """Add ``lang_pred`` and ``lang_confidence``: a projection, also on streams."""
-        shared = df.sparkSession.sparkContext.broadcast((self.entries, self.sizes))
+        shared = df.sparkSession.sparkContext.broadcast(self.entries)
 
         @F.arrow_udf("struct<lang:string,confidence:double>")
         def run(texts: pa.Array) -> pa.Array:
-            entries, sizes = shared.value
+            found = _Finder(shared.value)
+            texts = [t or "" for t in texts.to_pylist()]
             names, sure = [], []
-            for text in texts.to_pylist():
-                points: dict[str, int] = defaultdict(int)
-                for gram in set(_grams(text or "", sizes)):
-                    for lang, n in entries.get(gram, ()):
-                        points[lang] += n
-                order = sorted(points.items(), key=lambda x: (-x[1], x[0]))[:2]
-                best = order[0][1] if order else 0
-                names.append(order[0][0] if best else None)
-                sure.append((best - (order[1][1] if len(order) > 1 else 0)) / best if best else 0.0)
+            for lo, hi in _slabs(texts):
+                for points in found.scores(texts[lo:hi]):
+                    best, second = ([*np.sort(points)[::-1][:2].tolist(), 0.0, 0.0])[:2]
+                    names.append(found.langs[int(points.argmax())] if best else None)  # of equal ones the first name
+                    sure.append((best - second) / best if best else 0.0)
             return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(sure, pa.float64())], ["lang", "confidence"])
 
         found = df.withColumn("__found", run(F.lower("text")))
@@ -79,10 +189,15 @@ def gram_ranks(df: DataFrame, sizes: tuple[int, ...] = SIZES, top: int = TOP) ->
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "gram", "n"])
 
         for batch in batches:
+            own: dict[str, list[str]] = defaultdict(list)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held[lang].update(_grams(text, sizes))
-                if sum(map(len, held.values())) > HELD:
-                    yield rows()
+                own[lang].append(text)
+            for lang, texts in own.items():
+                for lo, hi in _slabs(texts):
+                    for gram, n in _gram_counts(texts[lo:hi], sizes):
+                        held[lang][gram] += n
+                    if sum(map(len, held.values())) > HELD:
+                        yield rows()
         yield rows()
 
     known = df.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.lower("text").alias("text"))
