@@ -1,6 +1,6 @@
 """Model-assisted data: prompts, completions and rephrasings through a user's function.
 
-User functions run in ``mapInPandas`` tasks. They are not deterministic, so write their
+User functions run in ``mapInPandas`` and ``mapInArrow`` tasks. They are not deterministic, so write their
 output before using it twice (``naturalize`` appends chunk by chunk).
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,8 @@ from ..session import ensure_checkpoint_dir
 from .datasets import pending, stratified_sample
 from .scale import checked_broadcast, cutoffs, join_on
 
+CALLED = 256  # rows whose replies a task holds at a time
+
 
 def _fill(template: str, **values: Column) -> Column:
     """Concatenate the pieces of ``template`` with column values for its ``{names}``."""
@@ -172,7 +175,7 @@ def rephrase(
         fields + [T.StructField("original_text", T.StringType()), T.StructField("error", T.StringType())]
     )
 
-    def run(frames):
+    def run(batches):
         import time
         from concurrent.futures import ThreadPoolExecutor
 
@@ -196,17 +199,17 @@ def rephrase(
             return text, "rate limit"
 
         with ThreadPoolExecutor(max_workers=threads) as pool:
-            for pdf in frames:
-                results = list(pool.map(one, pdf["text"]))
-                yield pdf.assign(
-                    original_text=pdf["text"],
-                    text=[r[0] for r in results],
-                    error=[r[1] for r in results],
-                )[[f.name for f in schema.fields]]
+            for batch in batches:
+                for start in range(0, batch.num_rows, CALLED):  # a batch is held once, replies only of some rows
+                    part = batch.slice(start, CALLED)
+                    given = part.column("text")
+                    texts, errors = zip(*pool.map(one, given.to_pylist()), strict=True)
+                    own = {"text": pa.array(texts, given.type), "original_text": given, "error": pa.array(errors, pa.string())}
+                    yield pa.RecordBatch.from_arrays([own[n] if n in own else part.column(n) for n in schema.names], schema.names)
 
     kept = df.select(*[f.name for f in fields])
     spread = kept.repartition(partitions) if partitions else kept
-    return spread.mapInPandas(run, schema)
+    return spread.mapInArrow(run, schema)
 
 
 def naturalize_rows(
