@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators.datasets import non_blank
 from ..operators.health import backend_status, resolve_backends, with_error
 from ..operators.routing import Step, route
-from .asof import AsofRoutes, state_store_ready
+from .asof import NO_TIME, AsofBlocks, state_store_ready
 
 #: JSON that keeps every value of a row.
 _EXACT = {
@@ -21,6 +22,9 @@ _EXACT = {
 }
 
 
+BLOCK_TTLS = 4  # TTLs of a key of the state: a quarter of the checks is in two of them
+
+
 def _sink(df: DataFrame, path: str, checkpoint: str, fmt: str, once: bool) -> StreamingQuery:
     writer = df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -67,6 +71,35 @@ def route_stream_with_health(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def asof_rows(decisions: DataFrame, health: DataFrame, routes: DataFrame, ttl_s: int, salts: int) -> tuple[DataFrame, StructType]:
+    """Requests and checks with the key (``__route, __block, __salt``) in which they meet, and the schema of the payload of a request."""
+    chains = routes.select(F.col("label").alias("__route"), F.col("backends").alias("__chain"))
+    held = decisions.join(chains, F.col("label") == F.col("__route"), "left")
+    payload = F.to_json(F.struct(*held.columns), _EXACT)
+    ttl = int(ttl_s) * 1_000_000
+    width = F.lit(BLOCK_TTLS * max(ttl, 1))
+    at = F.unix_micros("__ts")
+    asked = held.withColumn("__ts", F.col("ts").cast("timestamp")).select(
+        F.coalesce("__route", F.lit("")).alias("__route"),
+        F.coalesce(F.floor(at / width), F.lit(0)).alias("__block"),
+        F.pmod(F.xxhash64(payload), F.lit(salts)).cast("int").alias("__salt"),
+        "__ts",
+        F.lit(True).alias("asked"),
+        F.coalesce(F.size("__chain"), F.lit(0)).alias("size"),
+        F.lit(-1).alias("pos"),
+        F.lit(-1).alias("up"),
+        payload.alias("payload"),
+    )
+    tried = chains.select("__route", F.posexplode("__chain").alias("pos", "backend"))
+    checks = health.select("backend", F.col("checked_at").cast("timestamp").alias("__ts"), "up").join(tried, "backend")
+    blocks = F.sequence(F.floor(at / width), F.floor((at + ttl) / width))
+    checks = checks.withColumn("__block", F.explode(blocks)).select(
+        "__route", "__block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"), "__ts", F.lit(False).alias("asked"),
+        F.lit(0).alias("size"), "pos", F.coalesce(F.col("up").cast("int"), F.lit(-1)).alias("up"), F.lit(None).cast("string").alias("payload"),
+    )
+    return asked.unionByName(checks).withColumn("at", F.coalesce(at, F.lit(NO_TIME))), held.schema
+
+
 def resolve_stream_asof(
     decisions: DataFrame,
     health: DataFrame,
@@ -74,47 +107,32 @@ def resolve_stream_asof(
     ttl_s: int = 60,
     delay_s: int = 10,
     unknown: str = "up",
-    salts: int = 8,
+    salts: int = 1,
 ) -> DataFrame:
     """``resolve_backends_asof`` for streams of decisions (with ``ts``) and checks: the same rows, however the streams are cut.
 
     Both streams are one in event time: a request waits until the watermark, ``delay_s`` behind the latest row, has passed its time, and is
-    then resolved with the checks of its route's backends up to its time. The state of a key (a route and one of ``salts`` shares of its requests) has the
-    requests that wait and the checks of one TTL before the watermark. Rows that come later than ``delay_s`` are dropped, as in every
+    then resolved with the checks of its route's backends up to its time. A key is a route and a block of ``BLOCK_TTLS`` TTLs, so past times are spread over
+    many keys; a check within a TTL of its block's end is in the next block too. The state of a key has the requests that wait and the checks
+    of one TTL before the watermark. With ``salts``, for more requests of a route at a time than one task can take, a key has one of so many shares of them, and
+    every check is copied to each. Rows that come later than ``delay_s`` are dropped, as in every
     watermark. Rows without a known route do not wait. ``routes`` is a static table of labels and backends.
     """
     state_store_ready(decisions.sparkSession)
-    chains = routes.select(F.col("label").alias("__route"), F.col("backends").alias("__chain"))
     columns = [c for c in decisions.columns if c not in ("backend", "fallback_used")]
-    held = decisions.select(*columns).join(chains, F.col("label") == F.col("__route"), "left")
-    payload = F.to_json(F.struct(*held.columns), _EXACT)
-    asked = held.select(
-        F.coalesce("__route", F.lit("")).alias("__route"),
-        F.pmod(F.xxhash64(payload), F.lit(salts)).cast("int").alias("__salt"),
-        F.col("ts").cast("timestamp").alias("__ts"),
-        F.coalesce(F.size("__chain"), F.lit(0)).alias("size"),
-        F.lit(None).cast("int").alias("pos"),
-        F.lit(None).cast("boolean").alias("up"),
-        payload.alias("payload"),
-    )
-    tried = chains.select("__route", F.posexplode("__chain").alias("pos", "backend"))
-    checks = health.select("backend", F.col("checked_at").cast("timestamp").alias("__ts"), "up").join(tried, "backend")
-    checks = checks.select(
-        "__route", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"), "__ts", F.lit(0).alias("size"), "pos", "up",
-        F.lit(None).cast("string").alias("payload"),
-    )
-    rows = asked.unionByName(checks).withColumn("at", F.unix_micros("__ts")).withWatermark("__ts", f"{int(delay_s)} seconds")
-    found = rows.groupBy("__route", "__salt").transformWithState(
-        AsofRoutes(int(ttl_s) * 1_000_000, unknown), "payload string, pos int", "Append", "EventTime"
+    rows, schema = asof_rows(decisions.select(*columns), health, routes, ttl_s, salts)
+    rows = rows.withWatermark("__ts", f"{int(delay_s)} seconds")
+    found = rows.groupBy("__route", "__block", "__salt").transformWithStateInPandas(
+        AsofBlocks(int(ttl_s) * 1_000_000, unknown), "payload string, pos int", "Append", "EventTime"
     )
-    opened = found.select("pos", F.from_json("payload", held.schema, _EXACT).alias("row")).select("pos", "row.*")
+    opened = found.select("pos", F.from_json("payload", schema, _EXACT).alias("row")).select("pos", "row.*")
     resolved = opened.withColumns({"backend": F.get("__chain", F.col("pos")), "fallback_used": F.col("pos") > 0})
     return with_error(resolved, F.col("__route").isNotNull()).select(*columns, "backend", "fallback_used")
 
 
 def route_stream_asof(
     requests: DataFrame, health: DataFrame, steps: list[Step], routes: DataFrame, path: str, checkpoint: str,
-    ttl_s: int = 60, delay_s: int = 10, unknown: str = "up", salts: int = 8, fmt: str = "parquet", once: bool = False,
+    ttl_s: int = 60, delay_s: int = 10, unknown: str = "up", salts: int = 1, fmt: str = "parquet", once: bool = False,
 ) -> StreamingQuery:
     """Route a stream of requests with the health that their backends had at their times, read from a stream of checks."""
     decided = resolve_stream_asof(route(requests, steps), health, routes, ttl_s, delay_s, unknown, salts)

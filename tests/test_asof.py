@@ -196,3 +196,69 @@ def test_crowded_blocks_are_cut_by_time_without_copies_of_checks(spark, monkeypa
     out = hl.resolve_backends_asof(decisions_table(spark, rows), routes_table(spark), checks_table(spark, checks), 60, "up", 2)
     assert Counter(map(tuple, out.collect())) == brute(rows, checks)
     assert len(copies) == 2 and max(copies) < 50
+
+
+def test_keys_of_the_stream_are_blocks_of_time(spark):
+    """A check is in two keys of a route at most, with every request that it is fresh for, and no key has more than a few TTLs."""
+    checks = [(b, k * 7.25, k % 2 == 0) for k in range(400) for b in "xz"] + [("x", None, True)]
+    rows = [(k, k * 3.0, "chat", None) for k in range(1000)] + [(0, None, "chat", None)]
+    keyed, _ = streams.asof_rows(decisions_table(spark, rows), checks_table(spark, checks), routes_table(spark), 60, 1)
+    got = [r for r in keyed.collect() if r["__route"] == "chat"]
+    copies = Counter((r.at, r.pos) for r in got if not r.asked)
+    assert max(copies.values()) == 2 and sum(copies.values()) < 800 * 1.3
+    keys = {}
+    for r in got:
+        keys.setdefault((r["__block"], r["__salt"]), []).append(r)
+    assert len(keys) > 10
+    for members in keys.values():
+        times = [r.at for r in members if r["__ts"] is not None]
+        assert not times or max(times) - min(times) <= (streams.BLOCK_TTLS + 1) * 60_000_000
+    seen = {(r.at, c.at, c.pos) for members in keys.values() for r in members if r.asked for c in members if not c.asked}
+    start = min(r.at for r in got if r.asked and r["__ts"] is not None)
+    for _, second, _, _ in rows[:-1]:
+        for b, when, _ in checks[:-1]:
+            if when <= second <= when + 60:
+                assert (start + int(second * 1e6), start + int(when * 1e6), "zx".index(b)) in seen
+
+
+def test_state_of_blocks_is_bounded_by_the_ttl():
+    """Frames in, frames out: the checks that can still be fresh and the requests that wait, in few entries."""
+    import numpy as np
+    import pandas as pd
+
+    from labelloom.streaming.asof import NO_TIME, AsofBlocks
+
+    class State(list):
+        appendValue = list.append
+        get = list.copy
+
+    class Handle:
+        def __init__(self):
+            self.timers = []
+
+        def getListState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Now:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    handle, router = Handle(), AsofBlocks(60_000_000, "up")
+    router.init(handle)
+    most, out, names = 0, [], ["asked", "at", "size", "pos", "up", "payload"]
+    for second in range(0, 3_600, 5):
+        rows = [(False, (second + k) * 1_000_000, 0, 0, k % 2, None) for k in range(4)]
+        rows += [(True, second * 1_000_000, 1, -1, -1, str(second)), (True, NO_TIME, 1, -1, -1, "timeless")]
+        frames = [pd.DataFrame(rows[:3], columns=names), pd.DataFrame(rows[3:], columns=names)]
+        out += router.handleInputRows(None, iter(frames), Now(0))
+        for timer in sorted(t for t in handle.timers if t <= second * 1000):
+            handle.timers.remove(timer)
+            out += router.handleExpiredTimer(None, Now(second * 1000), None)
+        most = max(most, sum(len(e[0]) // 8 for e in router.checks) + sum(len(e[0]) // 8 for e in router.waiting))
+    got = pd.concat(out)
+    assert most <= 60 + 10 and len(got) == 1440 and set(got[got.payload == "timeless"].pos) == {0}
+    assert list(got[got.payload != "timeless"].pos.unique()) == [-1]  # the check of each request's second says down
+    assert got.pos.dtype == np.int32
