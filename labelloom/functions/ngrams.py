@@ -36,7 +36,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
-def _chunk(data: np.ndarray, ends: np.ndarray, sizes: list[int], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _chunk(data: np.ndarray, ends: np.ndarray, sizes: list[int], buckets: int, slots: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of each text, one text after the other, and their numbers."""
     lengths = np.diff(ends)
     row = np.repeat(np.arange(len(lengths)), lengths)
@@ -49,15 +49,18 @@ def _chunk(data: np.ndarray, ends: np.ndarray, sizes: list[int], buckets: int) -
         if size in sizes:
             inside = np.flatnonzero(left[:n] >= size)
             bucket = (value[inside] % np.uint64(buckets)).astype(np.int64) + sizes.index(size) * buckets
-            keys.append(row[inside] * width + bucket)
+            keys.append(row[inside] * width + (bucket if slots is None else slots[bucket]))
     found = np.unique(np.concatenate(keys))
     return found % width, np.bincount(found // width, minlength=len(lengths))
 
 
 def distinct_buckets(
-    column: pa.Array, sizes: list[int], buckets: int, max_bytes: int | None = None
+    column: pa.Array, sizes: list[int], buckets: int, max_bytes: int | None = None, slots: np.ndarray | None = None
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first text, last text, buckets, numbers of buckets) of groups of texts: sorted distinct buckets of one text after the other."""
+    """(first text, last text, buckets, numbers of buckets) of groups of texts: sorted distinct buckets of one text after the other.
+
+    ``slots`` gives each bucket (of all sizes) another number; the distinct ones of these come instead.
+    """
     if not sizes or min(sizes) < 1 or max(sizes) > LONGEST:
         raise ValueError(f"sizes: from 1 to {LONGEST}")
     data, ends = text_bytes(column)
@@ -68,7 +71,7 @@ def distinct_buckets(
     lo = 0
     while lo < len(ends) - 1:
         hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + CHUNK_BYTES, "right")) - 1)
-        yield lo, hi, *_chunk(data[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo], sizes, buckets)
+        yield lo, hi, *_chunk(data[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo], sizes, buckets, slots)
         lo = hi
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -12,8 +13,10 @@ from pyspark import Broadcast
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 from ..functions.ngrams import distinct_buckets, ngram_lists
@@ -263,9 +266,12 @@ class Logistic:
     history: list[tuple[float, float, float]]  # (reg_param, val_loss, val_accuracy)
 
     def scores(self, df: DataFrame) -> DataFrame:
-        feats = _vectors(df, self.sizes, self.num_features)
-        out = self.model.transform(feats).withColumn("scores", vector_to_array("rawPrediction"))
-        return out.drop("__grams", "features", "rawPrediction", "probability", "prediction")
+        return self.vector_scores(_vectors(df, self.sizes, self.num_features)).drop("__grams")
+
+    def vector_scores(self, df: DataFrame) -> DataFrame:
+        """Scores of rows that have their ``features`` already."""
+        out = self.model.transform(df).withColumn("scores", vector_to_array("rawPrediction"))
+        return out.drop("features", "rawPrediction", "probability", "prediction")
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Stateless: works on a batch table and on a stream."""
@@ -279,6 +285,46 @@ def _vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataFrame:
     return tf.transform(df.withColumn("__grams", grams))
 
 
+def hashing_slots(width: int) -> np.ndarray:
+    """The place that ``HashingTF`` with ``width`` features gives each of the integers below ``width``."""
+    h = np.arange(width, dtype=np.uint32) * np.uint32(0xCC9E2D51)
+    h = ((h << np.uint32(15)) | (h >> np.uint32(17))) * np.uint32(0x1B873593) ^ np.uint32(42)
+    h = ((h << np.uint32(13)) | (h >> np.uint32(19))) * np.uint32(5) + np.uint32(0xE6546B64) ^ np.uint32(4)
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return (h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64) % width
+
+
+_SPARSE = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+
+
+def written_vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataFrame:
+    """``label_idx`` and the ``features`` of ``_vectors``, written to the shared folder and read again: each text is read once, however
+    often the vectors are."""
+    ensure_checkpoint_dir(df.sparkSession)
+    width = num_features * len(sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = hashing_slots(width)
+        for batch in batches:
+            for lo, hi, found, n in distinct_buckets(batch.column(1), sizes, num_features, slots=slots):
+                bounds = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
+                columns = [
+                    pa.array(np.zeros(hi - lo, np.int8)), pa.array(np.full(hi - lo, width, np.int32)),
+                    pa.ListArray.from_arrays(bounds, pa.array(found.astype(np.int32))),
+                    pa.ListArray.from_arrays(bounds, pa.array(np.ones(len(found)))),
+                ]
+                vectors = pa.StructArray.from_arrays(columns, fields=list(_SPARSE))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), vectors], ["label_idx", "features"])
+
+    rows = df.select(F.col("label_idx").cast("int").alias("label_idx"), "text")
+    schema = T.StructType([T.StructField("label_idx", T.IntegerType()), T.StructField("features", VectorUDT())])
+    path = f"{df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()}/vectors-{uuid.uuid4().hex}"
+    # sorted places differ by little: as differences they take a quarter of the space
+    rows.mapInArrow(run, schema).write.option("parquet.writer.version", "PARQUET_2_0").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def train_logistic(
     train: DataFrame,
     val: DataFrame,
@@ -288,18 +334,21 @@ def train_logistic(
     sizes: list[int] | None = None,
     num_features: int = 1 << 16,
 ) -> Logistic:
-    """One model per ``reg_param``; the first with the smallest validation loss is kept."""
+    """One model per ``reg_param``; the first with the smallest validation loss is kept.
+
+    The vectors of both tables are made once and written; the fits read them from there.
+    """
     sizes = list(sizes or fv.NGRAM_SIZES)
     names = [r["label"] for r in classes.orderBy("idx").collect()]  # the class list
-    fit_on = _vectors(encode_labels(train, classes), sizes, num_features)
-    held_out = encode_labels(val, classes)
+    fit_on = written_vectors(encode_labels(train, classes), sizes, num_features)
+    held_out = written_vectors(encode_labels(val, classes), sizes, num_features)
     best, history = None, []
     for reg in reg_params:
         model = LogisticRegression(
             family="multinomial", labelCol="label_idx", featuresCol="features", regParam=reg, maxIter=max_iter
         ).fit(fit_on)
         candidate = Logistic(names, sizes, num_features, model, [])
-        row = log_loss(candidate.scores(held_out), "scores").first()
+        row = log_loss(candidate.vector_scores(held_out), "scores").first()
         history.append((reg, row["loss"], row["accuracy"]))
         if best is None or row["loss"] < best[0]:
             best = (row["loss"], candidate)

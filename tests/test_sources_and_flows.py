@@ -123,6 +123,26 @@ def test_logistic_keeps_the_best_candidate(spark):
     assert model.predict(val).filter("pred = label").count() == val.count()
 
 
+def test_logistic_reads_each_text_once_and_makes_the_vectors_of_hashing_tf(spark):
+    split = ds.stratified_split(toy(spark, 40)).checkpoint()
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    counted = split.mapInArrow(count, split.schema)
+    train, val = counted.filter("split = 'train'"), counted.filter("split = 'val'")
+    classes = ds.classes_table(spark, CLASSES)
+    cf.train_logistic(train, val, classes, (10.0, 0.01), 3, num_features=1 << 8)
+    assert read.value == 2 * split.count()  # once for each of the two tables, whatever the number of models
+    rows = ds.encode_labels(split, classes).unionByName(ds.encode_labels(split, classes).limit(1).withColumn("text", F.lit("")))
+    made = cf.written_vectors(rows, [2, 3], 1 << 8).collect()
+    want = cf._vectors(rows, [2, 3], 1 << 8).select("label_idx", "features").collect()
+    assert sorted(map(str, made)) == sorted(map(str, want))
+
+
 def test_predict_batches_limits_the_batch(spark):
     def fn(texts):
         assert len(texts) <= 7
