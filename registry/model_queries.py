@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from labelloom.operators import classify as cf
@@ -98,11 +99,13 @@ def route_explain_classifier(spark, sf_dir):
 
 def logistic_facts(spark, sf_dir):
     """Validation rows per label, and whether every prediction is a class and the model is right in 9 of 10 rows."""
-    out = logistic(spark, sf_dir)
-    right = F.avg((F.col("pred") == F.col("label")).cast("double"))
-    good = out.agg((right >= 0.9).alias("good")).scalar()
-    known = out.agg(F.min(F.col("pred").isin(*LANGS)).alias("known")).scalar()
-    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumns({"good": good, "known": known})
+    right = (F.col("pred") == F.col("label")).cast("bigint")
+    labels = logistic(spark, sf_dir).groupBy("label").agg(  # one pass over the texts; the rest is over one row per label
+        F.count(F.lit(1)).alias("n"), F.sum(right).alias("right"), F.count(right).alias("seen"), F.min(F.col("pred").isin(*LANGS)).alias("known")
+    )
+    everywhere = Window.partitionBy()
+    good = F.sum("right").over(everywhere) >= 0.9 * F.sum("seen").over(everywhere)
+    return labels.select("label", "n", good.alias("good"), F.min("known").over(everywhere).alias("known"))
 
 
 # --- prompts and user functions -----------------------------------------------------------
