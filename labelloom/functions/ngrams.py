@@ -55,7 +55,8 @@ def _chunk(data: np.ndarray, ends: np.ndarray, sizes: list[int], buckets: int, s
 
 
 def distinct_buckets(
-    column: pa.Array, sizes: list[int], buckets: int, max_bytes: int | None = None, slots: np.ndarray | None = None
+    column: pa.Array, sizes: list[int], buckets: int, max_bytes: int | None = None, slots: np.ndarray | None = None,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, last text, buckets, numbers of buckets) of groups of texts: sorted distinct buckets of one text after the other.
 
@@ -70,7 +71,7 @@ def distinct_buckets(
         data, ends = data[at], np.concatenate([[0], np.cumsum(kept)])
     lo = 0
     while lo < len(ends) - 1:
-        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + CHUNK_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + chunk_bytes, "right")) - 1)
         yield lo, hi, *_chunk(data[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo], sizes, buckets, slots)
         lo = hi
 

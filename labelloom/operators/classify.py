@@ -295,6 +295,7 @@ def hashing_slots(width: int) -> np.ndarray:
     return (h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64) % width
 
 
+VECTOR_BYTES = 100_000  # of texts taken apart at a time: their n-grams stay in a core's cache
 _SPARSE = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
 
 
@@ -307,7 +308,7 @@ def written_vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = hashing_slots(width)
         for batch in batches:
-            for lo, hi, found, n in distinct_buckets(batch.column(1), sizes, num_features, slots=slots):
+            for lo, hi, found, n in distinct_buckets(batch.column(1), sizes, num_features, slots=slots, chunk_bytes=VECTOR_BYTES):
                 bounds = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
                 columns = [
                     pa.array(np.zeros(hi - lo, np.int8)), pa.array(np.full(hi - lo, width, np.int32)),
