@@ -7,16 +7,22 @@ columns are treated as the operator of each stage says; rows with a null doc_id
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import quality
+from labelloom.llm.bitmaps import bitmap, bits_for, holds
 from labelloom.llm.line_dedup import dedup_lines
 from labelloom.llm.ngram_join import jaccard_components
 from labelloom.llm.packing import pack_documents
 from labelloom.llm.scratch import materialize
 from labelloom.llm.secret_scan import PRIVATE_KEY, redact, secret_spans
+from labelloom.llm.workers import task
 
 METADATA = ("n_chars",)
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -43,20 +49,52 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _counted(dedup_lines(docs.withColumn("text", F.regexp_replace("text", PRIVATE_KEY, "[SECRET]"))))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, a number of the row's own: by file, then by place in the file.
+
+    Rows of Parquet files are numbered where they are; of another table, or where rows of a file come several times, a copy is written first.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")
+        placed = docs.withColumns({"__file": place["file_path"], "__row": place["row_index"]})
+        if not placed.groupBy("__file", "__row").count().filter("count > 1").isEmpty():
+            raise ValueError("rows that come several times")
+    except (AnalysisException, ValueError):
+        return _numbered(materialize(docs, "rows"))
+    paths = sorted(r[0] for r in placed.select("__file").distinct().collect())  # as many as the driver lists anyway
+    files = docs.sparkSession.createDataFrame(list(zip(paths, range(len(paths)), strict=True)), "__file string, __part long")
+    return placed.join(F.broadcast(files), "__file").withColumn("__row", F.shiftleft("__part", 36) + F.col("__row")).select(*docs.columns, "__row")
+
+
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each class of the n-gram Jaccard join.
 
     Every row is compared for itself, whatever its doc_id: of rows with equal ids in a class one stays, the first as written; rows
     with equal ids in several classes may all stay. Rows without words are in no class with others and stay, and so do rows with a null doc_id.
+    Texts are not shuffled: a bitmap tells the rows that surely stay, and only the others meet the rows that go.
     """
-    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    keyed = _numbered(docs)
     known = keyed.filter("doc_id IS NOT NULL")
     classes = jaccard_components(known.select(F.col("__row").alias("doc_id"), "text"))
     named = classes.select(F.col("doc_id").alias("__row"), "component_id").join(known.select("__row", "doc_id"), "__row")
-    least = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("least"))
-    kept = materialize(least.select(F.col("least.__row").alias("__row")), "kept")
-    chosen = keyed.join(kept, "__row", "left_semi").select(*docs.columns)
-    return chosen.unionByName(keyed.filter("doc_id IS NULL").select(*docs.columns))
+    named = materialize(named, "named")
+    several = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("least"), F.count("*").alias("rows")).filter("rows > 1")
+    gone = named.join(several, "component_id").filter(F.col("__row") != F.col("least.__row")).select("__row")
+    gone = materialize(gone, "gone")
+    table = spark.sparkContext.broadcast(bitmap(gone, F.xxhash64("__row"), bits_for(gone.count())))
+    marked = keyed.withColumn("__mark", F.xxhash64("__row"))
+    sure, asked = (marked.mapInArrow(task(_marked(table, hit)), marked.schema) for hit in (False, True))
+    return sure.unionByName(asked.join(gone, "__row", "left_anti").select(*marked.columns)).select(*docs.columns)
+
+
+def _marked(table, hit: bool):
+    """Rows whose last column's bit is set in ``table``, or those where it is not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(holds(table.value, batch.column(batch.num_columns - 1).to_numpy()) == hit))
+
+    return run
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Bitmaps of fixed size that tell executors which keys may matter.
 
-A set bit may belong to another key: a bitmap saves work and never decides. More bits save more work.
+A set bit may belong to another key: a bitmap saves work and never decides. More bits save more work, so their number follows the
+keys' up to ``MOST``: the share of wrong bits, and with it the work, is the same for a small and a large table.
 """
 
 from __future__ import annotations
@@ -10,6 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 1 << 24
+MOST = 1 << 27  # 16 MB
+BITS_A_KEY = 256
+
+
+def bits_for(keys: int) -> int:
+    """A power of two: ``BITS_A_KEY`` bits for each key, ``BITS`` at least and ``MOST`` at most."""
+    return min(MOST, max(BITS, 1 << (BITS_A_KEY * max(keys, 1) - 1).bit_length()))
 
 
 def bitmap(keys: DataFrame, key: Column, bits: int = BITS) -> np.ndarray:
@@ -27,6 +35,8 @@ def bitmap(keys: DataFrame, key: Column, bits: int = BITS) -> np.ndarray:
     return table
 
 
-def holds(table: np.ndarray, keys: np.ndarray, bits: int = BITS) -> np.ndarray:
+def holds(table: np.ndarray, keys: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """Whether the bits of the keys are set; ``bits``: as given to ``bitmap``, all of the table where it is None."""
+    bits = len(table) * 8 if bits is None else bits
     place = keys.view(np.uint64) & np.uint64(bits - 1)
     return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -10,7 +10,9 @@ the word, and the line without its white space. Equal variants of one place: a w
 variant that equals a whole line: a word is deleted or inserted. Minima per key find each line's earliest neighbour, so no pairs are listed and a key with many
 lines is an aggregate; a task emits the variants of equal lines once, unless it comes upon an earlier one. The edit distance of every line and its neighbour is then verified on the words.
 An edit of a word leaves one half of a line alone: only lines that share a half, or their letters, with another line emit variants.
-Keys travel back to the texts as bitmaps of fixed size; a wrong bit costs work, not results.
+Halves are of the same length and kind for 4 consecutive numbers of words, so a line has two, and four where its shorter partner is of another kind.
+Keys travel back to the texts as bitmaps of bounded size; a wrong bit costs work, not results. So do the places of the lines that go: a second
+bitmap takes back the wrong bits of the first. Only texts of which it takes back a right one meet their line numbers in a join.
 
 Nulls and ties: a null text stays null; rows with a null id stay as they are and count for nobody. Rows with equal ids are one
 place in the order, so repeated rows keep the same lines. Hashes have 64 bits.
@@ -22,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from .bitmaps import bitmap, holds
+from .bitmaps import bitmap, bits_for, holds
 from .scratch import materialize
 from .wordhash import LOWER, MASK, SPACE, chunks, mix, text_bytes, word_hashes
 from .workers import task
@@ -98,15 +101,21 @@ class Lines:
     def _key(total: np.ndarray, n: np.ndarray) -> np.ndarray:
         return mix(total + n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def halves(self, n: np.ndarray) -> list[np.ndarray]:
-        """Keys of the first and the last half, for lines whose shorter partner has ``n`` words."""
-        k = n // 2
+    def halves(self, kind: np.ndarray) -> list[np.ndarray]:
+        """Keys of the first and the last words, so many for all lines of a ``kind`` (see ``_kind``); half a line at most."""
+        k = np.minimum(np.maximum(2 * kind, 1), self.n)
         back = self.n - k
         head = self._span(self.first, self.first + k)
         tail = self._span(self.first + back, self.first + self.n) * self.powers[1][back]
-        tag = n.astype(np.uint64)
+        tag = kind.astype(np.uint64)
         return [mix(head + tag * np.uint64(0xD1342543DE82EF95)), mix(tail + tag * np.uint64(0xAF251AF3B0F025B5))]
 
+    def shared_keys(self, min_words: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(keys, lines that have them): lines one edit apart have one of these keys in common."""
+        long, kind, shorter = self.n >= min_words, _kind(self.n), _kind(np.maximum(self.n - 1, 0))
+        other = (self.n > min_words) & (shorter != kind)
+        return [(key, long) for key in (*self.halves(kind), self.squeezed)] + [(key, other) for key in self.halves(shorter)]
+
     def variants(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line, place, key) of the lines without one word, of the whole lines at place -1, and without white space at ``SQUEEZED``."""
         n = self.n[lines]
@@ -122,6 +131,10 @@ class Lines:
         )
 
 
+def _kind(n: np.ndarray) -> np.ndarray:
+    return n // 4
+
+
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, Lines]]:
     data, ends = text_bytes(batch.column(1))
     for lo, hi in chunks(ends):
@@ -134,17 +147,18 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _occurrences(min_words: int):
+    """Key and place of every line with words; the keys it shares with near copies, once for the equal lines of a chunk."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, _, _, lines in _chunks(batch):
                 keep = lines.n > 0
-                keys = [*lines.halves(lines.n), lines.squeezed, *lines.halves(np.maximum(lines.n - 1, 0))]
-                long = lines.n >= min_words
+                once = np.zeros(len(keep), bool)
+                once[np.unique(lines.key, return_index=True)[1]] = True
                 columns = [_signed(lines.key[keep]), pa.array(ids[lo + lines.row[keep]]), pa.array(lines.number[keep].astype(np.int32))]
-                for k, key in enumerate(keys):
-                    real = (long if k < 3 else lines.n > min_words)[keep]
-                    columns.append(pa.array(key[keep].view(np.int64), mask=~real))
+                for key, real in lines.shared_keys(min_words):
+                    columns.append(pa.array(key[keep].view(np.int64), mask=~(real & once)[keep]))
                 yield pa.RecordBatch.from_arrays(columns, ["line", "doc_id", "number", "h0", "h1", "h2", "h3", "h4"])
 
     return task(run)
@@ -175,10 +189,9 @@ def _variants(half_table, key_table, min_words: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, _, data, lines in _chunks(batch):
-                hit = holds(halves, lines.squeezed) & (lines.n >= min_words)
-                for k, keys in enumerate((lines.halves(lines.n), lines.halves(np.maximum(lines.n - 1, 0)))):
-                    for key in keys:
-                        hit |= holds(halves, key) & (lines.n >= min_words + k)
+                hit = np.zeros(len(lines.n), bool)
+                for keys, real in lines.shared_keys(min_words):
+                    hit |= holds(halves, keys) & real
                 chosen = np.flatnonzero(hit)
                 _, once = np.unique(lines.key[chosen], return_index=True)  # the earlier of equal lines of a text
                 order = np.lexsort((lines.number[chosen], ids[lo + lines.row[chosen]], lines.key[chosen]))
@@ -232,24 +245,116 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok, pa.bool_()))], ["line"])
 
 
+def _without(text: str, gone) -> tuple[str, bool]:
+    """The text without the lines of these numbers, and whether a word is left."""
+    gone = set(gone)
+    text = "\n".join(line for k, line in enumerate(text.split("\n")) if k not in gone)
+    return text, any(not SPACE[b] for b in text.encode())
+
+
+def _replaced(batch: pa.RecordBatch, text: int, texts: list, left: list[bool]) -> pa.RecordBatch:
+    columns = [*batch.columns[:text], pa.array(texts, pa.string()), *batch.columns[text + 1 :], pa.array(left, pa.bool_())]
+    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "__left"])
+
+
 def _rewrite(text: int, drops: int):
+    """Texts without the lines whose numbers are in column ``drops``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(a, 200) for b in batches for a in range(0, b.num_rows, 200)):
-            texts, left = [], []
-            for x, gone in zip(batch.column(text).to_pylist(), batch.column(drops).to_pylist(), strict=True):
-                if x is not None and gone:
-                    gone = set(gone)
-                    x = "\n".join(line for k, line in enumerate(x.split("\n")) if k not in gone)
-                    left.append(any(not SPACE[b] for b in x.encode()))
-                else:
-                    left.append(True)
-                texts.append(x)
-            columns = [*batch.columns[:text], pa.array(texts, pa.string()), *batch.columns[text + 1 :], pa.array(left, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "__left"])
+            texts, left = batch.column(text).to_pylist(), [True] * batch.num_rows
+            for i, gone in enumerate(batch.column(drops).to_pylist()):
+                if texts[i] is not None and gone:
+                    texts[i], left[i] = _without(texts[i], gone)
+            yield _replaced(batch, text, texts, left)
 
     return run
 
 
+# --- places of lines as bitmaps ------------------------------------------------------------
+
+
+def _place_keys(docs: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The lower half is for the bitmap of lines that go, the upper for that of lines that stay: lines that share a bit in one do not in the other."""
+    return mix(mix(docs.astype(np.int64).view(np.uint64)) + numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _places(ids: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, number, key) of every line of the texts; rows without an id or a text have none."""
+    per = pc.add(pc.count_substring(texts, "\n"), 1).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    per[ids.is_null().to_numpy(zero_copy_only=False)] = 0
+    row = np.repeat(np.arange(len(per)), per)
+    number = np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)
+    return row, number, _place_keys(ids.fill_null(0).to_numpy()[row], number)
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = _place_keys(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _signed(keys)], ["doc_id", "number", "key"])
+
+
+def _hits(table):
+    """Places of all lines whose bits are set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, number, key = _places(batch.column(0), batch.column(1))
+            hit = holds(table.value, key)
+            ids = batch.column(0).fill_null(0).to_numpy()[row[hit]]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(number[hit].astype(np.int32)), _signed(key[hit])], ["doc_id", "number", "key"])
+
+    return task(run)
+
+
+def _holding(table):
+    """Documents of the lines whose bits are set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = pa.array(holds(table.value, batch.column(1).to_numpy().view(np.uint64) >> np.uint64(32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(hit)], ["doc_id"])
+
+    return task(run)
+
+
+def _rewrite_sure(at: int, text: int, doubt, go, stay):
+    """Documents without a bit in ``doubt``, without their lines whose bits are set in ``go`` and not in ``stay``; the last column is the document's mark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(a, 200) for b in batches for a in range(0, b.num_rows, 200)):
+            batch = batch.filter(pa.array(~_marked(batch, doubt)))
+            batch = batch.select(batch.schema.names[:-1])
+            row, number, key = _places(batch.column(at), batch.column(text))
+            gone = holds(go.value, key)
+            gone[gone] = ~holds(stay.value, key[gone] >> np.uint64(32))
+            texts, left = batch.column(text).to_pylist(), [True] * batch.num_rows
+            rows, first = np.unique(row[gone], return_index=True)
+            for i, numbers in zip(rows.tolist(), np.split(number[gone], first)[1:], strict=True):
+                texts[i], left[i] = _without(texts[i], numbers.tolist())
+            yield _replaced(batch, text, texts, left)
+
+    return task(run)
+
+
+def _marked(batch: pa.RecordBatch, doubt) -> np.ndarray:
+    mark = batch.column(batch.num_columns - 1)
+    return holds(doubt.value, mark.fill_null(0).to_numpy()) & ~mark.is_null().to_numpy(zero_copy_only=False)
+
+
+def _doubtful(doubt):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_marked(batch, doubt)))
+
+    return task(run)
+
+
+def _table(keys: DataFrame, key: Column) -> np.ndarray:
+    """Bitmap of a written table's keys, of a size that follows their number."""
+    return bitmap(keys, key, bits_for(keys.count()))
+
+
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, number, near) of every line that goes. ``near``: an earlier line is one edit away.
 
@@ -266,8 +371,8 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     sc = docs.sparkSession.sparkContext
 
     halves = found.select("line", F.explode(F.array("h0", "h1", "h2", "h3", "h4")).alias("half")).filter("half IS NOT NULL")
-    shared = halves.groupBy("half").agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a <> b")
-    half_table = sc.broadcast(bitmap(shared, F.col("half")))
+    shared = halves.groupBy("half").agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a <> b").select("half")
+    half_table = sc.broadcast(_table(materialize(shared, "halves"), F.col("half")))
 
     # earliest line per key and place, per key over all places, and of whole lines
     variants = usable.mapInArrow(_variants(half_table, None, min_words), _VARIANT).repartition("key")
@@ -282,7 +387,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     useful = by_key.filter((F.size("places") > 0) | (F.col("whole").isNotNull() & F.col("cut").isNotNull()))
     useful = materialize(useful, "keys")
-    key_table = sc.broadcast(bitmap(useful, F.col("key")))
+    key_table = sc.broadcast(_table(useful, F.col("key")))
 
     again = materialize(usable.mapInArrow(_variants(half_table, key_table, min_words), _VARIANT), "variants")
     own = again.filter("key IS NOT NULL").select("key", "place", "line", "doc_id", "number").join(useful, "key")
@@ -309,24 +414,29 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Documents that had words and lose all of them go; documents that were blank before stay.
     """
-    gone = repeated_lines(docs, min_words).groupBy("doc_id").agg(F.collect_list("number").alias("__gone"))
-    gone = materialize(gone.withColumnRenamed("doc_id", "__doc"), "gone")
-    table = docs.sparkSession.sparkContext.broadcast(bitmap(gone, F.xxhash64("__doc")))
-
-    # documents that surely lose nothing stay where they are; the others meet their line numbers
-    def touched(batches: Iterator[pa.RecordBatch], want: bool = True) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = holds(table.value, batch.column(batch.num_columns - 1).fill_null(0).to_numpy())
-            known = ~batch.column(batch.num_columns - 1).is_null().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array((hit & known) == want))
-
-    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return touched(batches, False)
-
+    sc = docs.sparkSession.sparkContext
+    kind = "doc_id long, number int, key long"
+    gone = repeated_lines(docs, min_words).select("doc_id", "number")
+    gone = materialize(gone.mapInArrow(task(_keyed), kind), "gone")
+    go = sc.broadcast(_table(gone, F.col("key")))
+
+    # lines that stay and share a bit with one that goes; then documents with lines that go and share a bit with those
+    hits = docs.select("doc_id", "text").mapInArrow(_hits(go), kind)
+    wrong = materialize(hits.join(gone, ["doc_id", "number"], "left_anti"), "wrong")
+    stay = sc.broadcast(_table(wrong, F.shiftrightunsigned("key", 32)))
+    doubtful = materialize(gone.select("doc_id", "key").mapInArrow(_holding(stay), "doc_id long"), "doubtful")
+    doubt = sc.broadcast(_table(doubtful, F.xxhash64("doc_id")))
+
+    # only doubtful documents, and few that share a bit with them, meet their line numbers
     marked = docs.withColumn("__mark", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")))
-    changed = marked.mapInArrow(task(touched), marked.schema).drop("__mark").join(gone, F.col("doc_id") == F.col("__doc"), "left")
-    changed = changed.drop("__doc")
-    at = changed.columns.index("text")
-    schema = StructType([*changed.schema.fields, StructField("__left", BooleanType())])
-    rewritten = changed.mapInArrow(task(_rewrite(at, len(changed.columns) - 1)), schema).filter("__left").drop("__left", "__gone")
-    return marked.mapInArrow(task(untouched), marked.schema).drop("__mark").unionByName(rewritten)
+    left = StructField("__left", BooleanType())
+    at, text = docs.columns.index("doc_id"), docs.columns.index("text")
+    sure = marked.mapInArrow(_rewrite_sure(at, text, doubt, go, stay), StructType([*docs.schema.fields, left]))
+    asked = marked.mapInArrow(_doubtful(doubt), marked.schema).drop("__mark")
+    numbers = gone.select(F.col("doc_id").alias("__doc"), "number", F.xxhash64("doc_id").alias("__mark")).mapInArrow(
+        _doubtful(doubt), "__doc long, number int, __mark long"
+    )
+    numbers = numbers.groupBy("__doc").agg(F.collect_list("number").alias("__gone"))
+    asked = asked.join(numbers, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
+    asked = asked.mapInArrow(task(_rewrite(text, len(docs.columns))), StructType([*asked.schema.fields, left])).drop("__gone")
+    return sure.unionByName(asked).filter("__left").drop("__left")
