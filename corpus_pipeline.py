@@ -21,7 +21,7 @@ from labelloom.llm.line_dedup import dedup_lines
 from labelloom.llm.ngram_join import jaccard_components
 from labelloom.llm.packing import pack_documents
 from labelloom.llm.scratch import materialize
-from labelloom.llm.secret_scan import PRIVATE_KEY, redact, secret_spans
+from labelloom.llm.secret_scan import KEY_BEGIN, PRIVATE_KEY, redact, secret_spans
 from labelloom.llm.workers import task
 
 METADATA = ("n_chars",)
@@ -46,7 +46,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Private keys are masked first: their BEGIN and END lines are common lines, without which the secret scan would not know the rest.
     """
-    return _counted(dedup_lines(docs.withColumn("text", F.regexp_replace("text", PRIVATE_KEY, "[SECRET]"))))
+    text = F.col("text")
+    masked = F.when(text.contains(KEY_BEGIN), F.regexp_replace(text, PRIVATE_KEY, "[SECRET]")).otherwise(text)  # the texts are read several times
+    return _counted(dedup_lines(docs.withColumn("text", masked)))
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -62,7 +64,8 @@ def _numbered(docs: DataFrame) -> DataFrame:
     except (AnalysisException, ValueError):
         return _numbered(materialize(docs, "rows"))
     paths = sorted(r[0] for r in placed.select("__file").distinct().collect())  # as many as the driver lists anyway
-    files = docs.sparkSession.createDataFrame(list(zip(paths, range(len(paths)), strict=True)), "__file string, __part long")
+    # an Arrow table stays in the driver, where a list would go through Python workers of a second kind, which then stay
+    files = docs.sparkSession.createDataFrame(pa.table({"__file": pa.array(paths, pa.string()), "__part": pa.array(range(len(paths)), pa.int64())}))
     return placed.join(F.broadcast(files), "__file").withColumn("__row", F.shiftleft("__part", 36) + F.col("__row")).select(*docs.columns, "__row")
 
 

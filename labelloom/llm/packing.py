@@ -247,11 +247,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, tries=TRIES) -> DataFrame:
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = plan_packing(counts, capacity, tries)
     runs = runs_of(plan)
-    schema = "length long, first long, last long, sequence long, places long, place long"
     last = sum(n for _, n in plan)
     if counts.get(0):
         runs.append((0, 0, counts[0] - 1, last, counts[0], 0))
-    table = spark.createDataFrame(runs, schema)
+    names = ("length", "first", "last", "sequence", "places", "place")
+    # an Arrow table stays in the driver, where a list would go through Python workers of a second kind, which then stay
+    table = spark.createDataFrame(pa.table({name: pa.array([run[k] for run in runs], pa.int64()) for k, name in enumerate(names)}))
     ranked = with_rank(pieces)
     starts = table.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("first", "sequence", "places", "place"))).alias("runs"))
     found = ranked.join(F.broadcast(starts), "length")

@@ -11,7 +11,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"  # rows with whole texts: small batches bound the memory
+#: Rows may hold whole texts: small batches, and small groups of rows in the files, bound the memory of readers and writers.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.parquet.columnarReaderBatchSize": 500}
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+GROUP_BYTES = 8 << 20  # of a Parquet row group, which its writer holds whole
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,10 +26,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to a new folder and read it again."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    given = spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, str(min(int(given), 1_000) if int(given) > 0 else 1_000))
+    given = {name: spark.conf.get(name) for name in (*BATCHES, BATCH_BYTES)}
     try:
-        df.write.parquet(path)
+        for name, most in BATCHES.items():
+            spark.conf.set(name, str(min(int(given[name]), most) if int(given[name]) > 0 else most))
+        spark.conf.set(BATCH_BYTES, "4m")
+        df.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     finally:
-        spark.conf.set(BATCH_ROWS, given)
+        for name, value in given.items():
+            spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)

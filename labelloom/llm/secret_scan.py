@@ -30,7 +30,8 @@ def _length(least: int) -> Callable[[], Column]:
 
 
 _BREAK = "(?:[\\x20\t]*+(?:\r\n?+|\n|\\\\r\\\\n|\\\\n))"  # an end of line, also as an escape
-_BEGIN = "-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+KEY_BEGIN = "-----BEGIN "  # every private key begins with it
+_BEGIN = KEY_BEGIN + "[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
 _TO_END = "(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
 #: Without an END line: header fields, then lines of base64, or a long run of base64 on the same line.
 _LINES = (
