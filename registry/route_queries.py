@@ -71,7 +71,9 @@ def route_explain(spark, sf_dir):
 
 def _custom_step():
     def shouting(text):
-        share = F.length(F.regexp_replace(text, r"\P{Lu}+", "")) / F.length(text)
+        n = F.length(text)
+        share = F.try_divide(F.length(F.regexp_replace(text, r"\P{Lu}+", "")), n)
+        share = F.when(n == 0, F.lit(float("nan"))).otherwise(share)  # as the SQL, in which 0 / 0 is a NaN and more than any number
         return F.when(share > 0.02, F.struct(F.lit("loud").alias("label"), F.lit(0.5).alias("confidence"), text.alias("text")))
 
     return rt.custom("shouting", shouting)
