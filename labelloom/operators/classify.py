@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +19,7 @@ from .. import fixed_values as fv
 from ..functions.ngrams import distinct_buckets, ngram_lists
 from ..functions.text import argmax, softmax
 from ..session import ensure_checkpoint_dir
+from . import logistic as lg
 from .datasets import encode_labels
 from .evaluate import log_loss
 
@@ -259,19 +257,43 @@ def train_naive_bayes(
 
 @dataclass(frozen=True)
 class Logistic:
+    """``weights``: coefficients (classes x places of the n-grams) and intercepts, broadcast."""
+
     classes: list[str]
     sizes: list[int]
     num_features: int
-    model: LogisticRegressionModel
+    weights: Broadcast
     history: list[tuple[float, float, float]]  # (reg_param, val_loss, val_accuracy)
 
+    @property
+    def width(self) -> int:
+        return self.num_features * len(self.sizes)
+
     def scores(self, df: DataFrame) -> DataFrame:
-        return self.vector_scores(_vectors(df, self.sizes, self.num_features)).drop("__grams")
+        """Add ``scores``: ARRAY<DOUBLE> of log odds in class order; null for a null text. The n-grams of a text stay with the worker."""
+        sizes, num_features, width, weights = self.sizes, self.num_features, self.width, self.weights
 
-    def vector_scores(self, df: DataFrame) -> DataFrame:
-        """Scores of rows that have their ``features`` already."""
-        out = self.model.transform(df).withColumn("scores", vector_to_array("rawPrediction"))
-        return out.drop("features", "rawPrediction", "probability", "prediction")
+        @F.arrow_udf("array<double>")
+        def run(column: pa.Array) -> pa.Array:
+            (coefficients, intercepts), slots = weights.value, lg.hashing_slots(width)
+            out = np.zeros((len(column), len(intercepts)))
+            for lo, hi, found, n in distinct_buckets(column, sizes, num_features, slots=slots, chunk_bytes=lg.PACK_BYTES):
+                out[lo:hi] = lg.text_sums(coefficients, n, found).T + intercepts
+            return _score_lists(out, column.is_null().to_numpy(zero_copy_only=False))
+
+        return df.withColumn("scores", run(F.col("text")))
+
+    def pack_scores(self, packs: DataFrame) -> DataFrame:
+        """``label_idx`` and ``scores`` of the texts of ``packs``."""
+        width, weights = self.width, self.weights
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            coefficients, intercepts = weights.value
+            for labels, n, places in lg.blocks(batches, width):
+                scores = lg.text_sums(coefficients, n, places).T + intercepts
+                yield pa.RecordBatch.from_arrays([pa.array(labels.astype(np.int32)), _score_lists(scores)], ["label_idx", "scores"])
+
+        return packs.mapInArrow(run, "label_idx int, scores array<double>")
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Stateless: works on a batch table and on a stream."""
@@ -285,45 +307,27 @@ def _vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataFrame:
     return tf.transform(df.withColumn("__grams", grams))
 
 
-def hashing_slots(width: int) -> np.ndarray:
-    """The place that ``HashingTF`` with ``width`` features gives each of the integers below ``width``."""
-    h = np.arange(width, dtype=np.uint32) * np.uint32(0xCC9E2D51)
-    h = ((h << np.uint32(15)) | (h >> np.uint32(17))) * np.uint32(0x1B873593) ^ np.uint32(42)
-    h = ((h << np.uint32(13)) | (h >> np.uint32(19))) * np.uint32(5) + np.uint32(0xE6546B64) ^ np.uint32(4)
-    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
-    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
-    return (h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64) % width
-
-
-VECTOR_BYTES = 100_000  # of texts taken apart at a time: their n-grams stay in a core's cache
 _SPARSE = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
 
 
 def written_vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataFrame:
-    """``label_idx`` and the ``features`` of ``_vectors``, written to the shared folder and read again: each text is read once, however
+    """``label_idx`` and the ``features`` of ``_vectors``, for estimators of Spark ML: made from written packs, so each text is read once, however
     often the vectors are."""
-    ensure_checkpoint_dir(df.sparkSession)
     width = num_features * len(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = hashing_slots(width)
-        for batch in batches:
-            for lo, hi, found, n in distinct_buckets(batch.column(1), sizes, num_features, slots=slots, chunk_bytes=VECTOR_BYTES):
-                bounds = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
-                columns = [
-                    pa.array(np.zeros(hi - lo, np.int8)), pa.array(np.full(hi - lo, width, np.int32)),
-                    pa.ListArray.from_arrays(bounds, pa.array(found.astype(np.int32))),
-                    pa.ListArray.from_arrays(bounds, pa.array(np.ones(len(found)))),
-                ]
-                vectors = pa.StructArray.from_arrays(columns, fields=list(_SPARSE))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), vectors], ["label_idx", "features"])
-
-    rows = df.select(F.col("label_idx").cast("int").alias("label_idx"), "text")
+        for labels, n, places in lg.blocks(batches, width, 1):
+            bounds, rows = pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), len(n)
+            columns = [
+                pa.array(np.zeros(rows, np.int8)), pa.array(np.full(rows, width, np.int32)),
+                pa.ListArray.from_arrays(bounds, pa.array(places.astype(np.int32))),
+                pa.ListArray.from_arrays(bounds, pa.array(np.ones(len(places)))),
+            ]
+            vectors = pa.StructArray.from_arrays(columns, fields=list(_SPARSE))
+            yield pa.RecordBatch.from_arrays([pa.array(labels.astype(np.int32)), vectors], ["label_idx", "features"])
+
     schema = T.StructType([T.StructField("label_idx", T.IntegerType()), T.StructField("features", VectorUDT())])
-    path = f"{df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()}/vectors-{uuid.uuid4().hex}"
-    # sorted places differ by little: as differences they take a quarter of the space
-    rows.mapInArrow(run, schema).write.option("parquet.writer.version", "PARQUET_2_0").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return lg.written_packs(df, sizes, num_features).mapInArrow(run, schema)
 
 
 def train_logistic(
@@ -337,24 +341,21 @@ def train_logistic(
 ) -> Logistic:
     """One model per ``reg_param``; the first with the smallest validation loss is kept.
 
-    The vectors of both tables are made once and written; the fits read them from there.
+    The n-grams of both tables are made once and written; all models are fitted in the same passes over them.
     """
-    sizes = list(sizes or fv.NGRAM_SIZES)
+    spark, sizes = train.sparkSession, list(sizes or fv.NGRAM_SIZES)
     names = [r["label"] for r in classes.orderBy("idx").collect()]  # the class list
-    fit_on = written_vectors(encode_labels(train, classes), sizes, num_features)
-    held_out = written_vectors(encode_labels(val, classes), sizes, num_features)
+    fit_on = lg.written_packs(encode_labels(train, classes), sizes, num_features)
+    held_out = lg.written_packs(encode_labels(val, classes), sizes, num_features)
     best, history = None, []
-    for reg in reg_params:
-        model = LogisticRegression(
-            family="multinomial", labelCol="label_idx", featuresCol="features", regParam=reg, maxIter=max_iter
-        ).fit(fit_on)
-        candidate = Logistic(names, sizes, num_features, model, [])
-        row = log_loss(candidate.vector_scores(held_out), "scores").first()
+    for reg, found in zip(reg_params, lg.fit(fit_on, len(names), num_features * len(sizes), reg_params, max_iter), strict=True):
+        candidate = Logistic(names, sizes, num_features, spark.sparkContext.broadcast(found), [])
+        with lg.bounded_batches(spark):
+            row = log_loss(candidate.pack_scores(held_out), "scores").first()
         history.append((reg, row["loss"], row["accuracy"]))
         if best is None or row["loss"] < best[0]:
             best = (row["loss"], candidate)
-    kept = best[1]
-    return Logistic(names, sizes, num_features, kept.model, history)
+    return Logistic(names, sizes, num_features, best[1].weights, history)
 
 
 # --- batch prediction with a user's model --------------------------------------------------------
