@@ -20,6 +20,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # a cluster needs n
 
 CHUNK_BYTES = 1_000_000  # of texts whose n-grams are sorted at a time
 LONGEST = 6  # bytes of an n-gram: its number has at most 48 bits
+MARKS, MARKED = 1 << 22, 200  # most buckets that are marked in a table of flags, and buckets for each n-gram of a mean text up to which that pays
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -39,6 +40,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _chunk(data: np.ndarray, ends: np.ndarray, sizes: list[int], buckets: int, slots: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of each text, one text after the other, and their numbers."""
     lengths = np.diff(ends)
+    if buckets * len(sizes) <= min(MARKS, MARKED * len(data) * len(sizes) // len(lengths)):
+        return _marked(data, ends, sizes, buckets, slots)
     row = np.repeat(np.arange(len(lengths)), lengths)
     left = np.repeat(ends[1:], lengths) - np.arange(len(data))  # bytes from a place to the text's end
     width = buckets * len(sizes)
@@ -54,6 +57,28 @@ def _chunk(data: np.ndarray, ends: np.ndarray, sizes: list[int], buckets: int, s
     return found % width, np.bincount(found // width, minlength=len(lengths))
 
 
+def _marked(data: np.ndarray, ends: np.ndarray, sizes: list[int], buckets: int, slots: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """``_chunk`` for long texts: each marks its buckets in a table of flags, which is read in order; nothing is sorted."""
+    value, places = np.zeros(len(data), np.uint64), {}
+    for size in range(1, max(sizes) + 1):
+        n = max(len(data) - size + 1, 0)
+        value = value[:n] * np.uint64(256) + data[size - 1 :][:n]
+        if size in sizes:
+            bucket = value & np.uint64(buckets - 1) if buckets & (buckets - 1) == 0 else value % np.uint64(buckets)
+            bucket = bucket.astype(np.int64) + sizes.index(size) * buckets
+            places[size] = bucket if slots is None else slots[bucket]
+    marks, found = np.zeros(-(-buckets * len(sizes) // 8) * 8, bool), []
+    words, rows = marks.view(np.uint64), marks.reshape(-1, 8)
+    for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        for size, own in places.items():
+            marks[own[lo : max(lo, hi - size + 1)]] = True
+        some = np.flatnonzero(words)  # eight flags at a time
+        at = np.flatnonzero(rows[some])
+        found.append(some[at >> 3] * 8 + (at & 7))
+        words[some] = 0
+    return np.concatenate(found), np.array([len(x) for x in found])
+
+
 def distinct_buckets(
     column: pa.Array, sizes: list[int], buckets: int, max_bytes: int | None = None, slots: np.ndarray | None = None,
     chunk_bytes: int = CHUNK_BYTES,

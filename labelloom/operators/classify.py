@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, cloudpickle
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -19,9 +20,11 @@ from .. import fixed_values as fv
 from ..functions.ngrams import distinct_buckets, ngram_lists
 from ..functions.text import argmax, softmax
 from ..session import ensure_checkpoint_dir
-from . import logistic as lg
 from .datasets import encode_labels
 from .evaluate import log_loss
+from .logistic import PACK_BYTES, blocks, bounded_batches, fit, hashing_slots, text_sums, written_packs
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # a cluster needs no copy of this module
 
 # --- scores to labels --------------------------------------------------------------------
 
@@ -275,10 +278,10 @@ class Logistic:
 
         @F.arrow_udf("array<double>")
         def run(column: pa.Array) -> pa.Array:
-            (coefficients, intercepts), slots = weights.value, lg.hashing_slots(width)
+            (coefficients, intercepts), slots = weights.value, hashing_slots(width)
             out = np.zeros((len(column), len(intercepts)))
-            for lo, hi, found, n in distinct_buckets(column, sizes, num_features, slots=slots, chunk_bytes=lg.PACK_BYTES):
-                out[lo:hi] = lg.text_sums(coefficients, n, found).T + intercepts
+            for lo, hi, found, n in distinct_buckets(column, sizes, num_features, slots=slots, chunk_bytes=PACK_BYTES):
+                out[lo:hi] = text_sums(coefficients, n, found).T + intercepts
             return _score_lists(out, column.is_null().to_numpy(zero_copy_only=False))
 
         return df.withColumn("scores", run(F.col("text")))
@@ -289,8 +292,8 @@ class Logistic:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coefficients, intercepts = weights.value
-            for labels, n, places in lg.blocks(batches, width):
-                scores = lg.text_sums(coefficients, n, places).T + intercepts
+            for labels, n, places in blocks(batches, width):
+                scores = text_sums(coefficients, n, places).T + intercepts
                 yield pa.RecordBatch.from_arrays([pa.array(labels.astype(np.int32)), _score_lists(scores)], ["label_idx", "scores"])
 
         return packs.mapInArrow(run, "label_idx int, scores array<double>")
@@ -316,7 +319,7 @@ def written_vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataF
     width = num_features * len(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for labels, n, places in lg.blocks(batches, width, 1):
+        for labels, n, places in blocks(batches, width, 1):
             bounds, rows = pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), len(n)
             columns = [
                 pa.array(np.zeros(rows, np.int8)), pa.array(np.full(rows, width, np.int32)),
@@ -327,7 +330,7 @@ def written_vectors(df: DataFrame, sizes: list[int], num_features: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(labels.astype(np.int32)), vectors], ["label_idx", "features"])
 
     schema = T.StructType([T.StructField("label_idx", T.IntegerType()), T.StructField("features", VectorUDT())])
-    return lg.written_packs(df, sizes, num_features).mapInArrow(run, schema)
+    return written_packs(df, sizes, num_features).mapInArrow(run, schema)
 
 
 def train_logistic(
@@ -345,12 +348,12 @@ def train_logistic(
     """
     spark, sizes = train.sparkSession, list(sizes or fv.NGRAM_SIZES)
     names = [r["label"] for r in classes.orderBy("idx").collect()]  # the class list
-    fit_on = lg.written_packs(encode_labels(train, classes), sizes, num_features)
-    held_out = lg.written_packs(encode_labels(val, classes), sizes, num_features)
+    fit_on = written_packs(encode_labels(train, classes), sizes, num_features)
+    held_out = written_packs(encode_labels(val, classes), sizes, num_features)
     best, history = None, []
-    for reg, found in zip(reg_params, lg.fit(fit_on, len(names), num_features * len(sizes), reg_params, max_iter), strict=True):
+    for reg, found in zip(reg_params, fit(fit_on, len(names), num_features * len(sizes), reg_params, max_iter), strict=True):
         candidate = Logistic(names, sizes, num_features, spark.sparkContext.broadcast(found), [])
-        with lg.bounded_batches(spark):
+        with bounded_batches(spark):
             row = log_loss(candidate.pack_scores(held_out), "scores").first()
         history.append((reg, row["loss"], row["accuracy"]))
         if best is None or row["loss"] < best[0]:

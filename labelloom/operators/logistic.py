@@ -63,19 +63,22 @@ def hashing_slots(width: int) -> np.ndarray:
 
 
 def _packed(found: np.ndarray, n: np.ndarray, width: int) -> bytes:
-    """Sorted places of one text after the other: differences over all texts that have any, their bytes by rank (mostly zero above the first)."""
+    """Sorted places of one text after the other: differences over all texts that have any, in 2 or 4 bytes, which stand by rank (most high ones are zero)."""
     n = n[n > 0]
     keys = found + np.repeat(np.arange(len(n)) * width, n)
-    steps = np.diff(keys, prepend=0).astype("<u4")
-    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+    steps = np.diff(keys, prepend=0)
+    wide = 2 if not len(steps) or steps.max() < 1 << 16 else 4
+    planes = steps.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide).T
+    return bytes([wide]) + pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpacked(raw: bytes, n: np.ndarray, width: int) -> np.ndarray:
     n = n[n > 0]
-    size = int(n.sum())
-    planes = np.frombuffer(pa.decompress(raw, 4 * size, codec="zstd", asbytes=True), np.uint8).reshape(4, size)
-    keys = np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int64)
-    return keys - np.repeat(np.arange(len(n)) * width, n)
+    size, wide = int(n.sum()), raw[0]
+    planes = np.frombuffer(pa.decompress(raw[1:], wide * size, codec="zstd", asbytes=True), np.uint8).reshape(wide, size)
+    keys = np.cumsum(np.ascontiguousarray(planes.T).view(f"<u{wide}").ravel(), dtype=np.int64)
+    keys -= np.repeat(np.arange(len(n)) * width, n)
+    return keys
 
 
 def written_packs(df: DataFrame, sizes: list[int], num_features: int) -> DataFrame:

@@ -1,17 +1,20 @@
 """Logistic regression over packs of n-grams against Spark ML, and its optimizer."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression
 
-from labelloom.functions import lbfgs
+from labelloom.functions import lbfgs, ngrams
 from labelloom.operators import classify as cf
 from labelloom.operators import datasets as ds
 from labelloom.operators import logistic as lg
-from tests.conftest import plan
+from tests.conftest import ROOT, plan
 
 CLASSES = ["a", "b", "c", "never"]
 
@@ -94,3 +97,37 @@ def test_minimizer_finds_a_curved_valley():
         while True:
             x = run.send(value(x))
     assert end.value.value == pytest.approx([1.0, 1.0], abs=1e-5)
+
+
+WITHOUT_PACKAGE = """
+import sys
+sys.path.insert(0, sys.argv[1])  # of this process; its Python workers do not get it
+from labelloom.session import build_session
+import __spark_entry__
+conf = {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.sql.warehouse.dir": sys.argv[2], "spark.checkpoint.dir": sys.argv[2]}
+spark = build_session("plain workers", "local[2]", **conf)
+for name in ("logistic_facts", "naive_bayes"):
+    print(name, __spark_entry__.queries()[name](spark, sys.argv[3]).count())
+spark.stop()
+"""
+
+
+def test_workers_need_no_copy_of_the_package(sf_dir, tmp_path):
+    kept = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    out = subprocess.run(
+        [sys.executable, "-c", WITHOUT_PACKAGE, ROOT, str(tmp_path), sf_dir], cwd=tmp_path, env=kept, capture_output=True, text=True, timeout=300
+    )
+    assert "logistic_facts 4" in out.stdout and "naive_bayes " in out.stdout, out.stderr[-3000:]
+
+
+@pytest.mark.parametrize("sizes, buckets", [([3, 4, 5, 6], 1000), ([2, 5], 1024), ([1], 3)])
+def test_marked_buckets_are_the_sorted_ones(monkeypatch, sizes, buckets):
+    """Long texts mark their buckets in a table, others are sorted."""
+    rng = random.Random(9)
+    column = pa.array(["".join(rng.choices("abcé가 ", k=k)) for k in (700, 0, 3, 1, 900, 2, 0)] + [None])
+    slots = np.random.default_rng(1).permutation(buckets * len(sizes))
+    marked = [x for _, _, *x in ngrams.distinct_buckets(column, sizes, buckets, slots=slots, chunk_bytes=800)]
+    monkeypatch.setattr(ngrams, "MARKS", 0)
+    monkeypatch.setattr(ngrams, "_marked", None)
+    for got, want in zip(marked, [x for _, _, *x in ngrams.distinct_buckets(column, sizes, buckets, slots=slots, chunk_bytes=800)], strict=True):
+        assert all((a == b).all() for a, b in zip(got, want, strict=True))
